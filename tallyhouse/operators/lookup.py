@@ -56,21 +56,26 @@ def broadcast_limit(spark: SparkSession) -> int:
 COLUMN_BYTES = 16
 
 
+def _text_columns(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+
+
 def _row_bytes(df: DataFrame) -> Column:
-    texts = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     fixed = F.lit(COLUMN_BYTES * len(df.columns))
-    return sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), fixed).cast("bigint")
+    return sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in _text_columns(df)), fixed).cast("bigint")
 
 
 def fits(frames: Sequence[DataFrame], limit: int) -> list[bool]:
     """Whether each frame is at most ``limit`` bytes.
 
-    A frame with too many rows is found by reading only that many rows of it, without columns. What remains is small
-    and is measured exactly, all frames in one job.
+    A frame with too many rows is found by reading only that many rows of it, without columns. What remains is small;
+    frames with texts are measured exactly, all in one job.
     """
     few = [df.select(F.lit(1)).offset(limit // (COLUMN_BYTES * len(df.columns))).isEmpty() for df in frames]
     sized = [
-        df.select(F.lit(i).alias("frame"), _row_bytes(df).alias("bytes")) for i, df in enumerate(frames) if few[i]
+        df.select(F.lit(i).alias("frame"), _row_bytes(df).alias("bytes"))
+        for i, df in enumerate(frames)
+        if few[i] and _text_columns(df)
     ]
     if not sized:
         return few
@@ -109,61 +114,71 @@ def salted_left_join(
     fact: DataFrame,
     dim: DataFrame,
     key: str,
+    dim_key: str,
     counts: Mapping[object, int],
     rows_per_split: int = ROWS_PER_SPLIT,
 ) -> DataFrame:
-    """Left join on ``key`` (present in both) with the hot keys of ``counts`` split; the key stays a fact column."""
-    spark = fact.sparkSession
+    """Left join on ``key = dim_key`` with the hot keys of ``counts`` split. Adds the columns of ``dim``."""
+    on_key = F.col(f"`{key}`")
     rows_without_key = counts.get(None, 0)
-    null_ways = max(16, -(-rows_without_key // rows_per_split))
     hot = [(value, -(-n // rows_per_split)) for value, n in counts.items() if value is not None and n > rows_per_split]
-    no_key = F.when(F.col(key).isNull(), _spread(F.lit(null_ways).cast("bigint")))
+    if not hot and rows_without_key <= rows_per_split:
+        return fact.join(dim, on_key == F.col(dim_key), "left")
+
     zero = F.lit(0).cast("bigint")
-    right = dim.withColumnRenamed(key, "__key")
+    salt = F.when(on_key.isNull(), _spread(F.lit(-(-rows_without_key // rows_per_split) + 1).cast("bigint")))
     if hot:
         # At most SKETCH_KEYS rows, so broadcasting them is bounded.
         schema = T.StructType([T.StructField("__hot", fact.schema[key].dataType), T.StructField("__ways", T.LongType())])
-        ways = F.broadcast(spark.createDataFrame(hot, schema))
-        left = fact.join(ways, F.col(key) == F.col("__hot"), "left").withColumn(
-            "__salt",
-            no_key.when(F.col("__ways").isNotNull(), _spread(F.col("__ways"))).otherwise(zero),
-        )
+        ways = F.broadcast(fact.sparkSession.createDataFrame(hot, schema))
+        salt = salt.when(F.col("__ways").isNotNull(), _spread(F.col("__ways")))
         repeats = F.sequence(zero, F.coalesce(F.col("__ways"), F.lit(1)) - 1)
-        right = (
-            right.join(ways, F.col("__key") == F.col("__hot"), "left")
-            .withColumn("__way", F.explode(repeats))
-            .drop("__hot", "__ways")
-        )
-        left = left.drop("__hot", "__ways")
+        left = fact.join(ways, on_key == F.col("__hot"), "left")
+        right = dim.join(ways, F.col(dim_key) == F.col("__hot"), "left")
     else:
-        left = fact.withColumn("__salt", no_key.otherwise(zero))
-        right = right.withColumn("__way", zero)
-    on = (F.col(key) == F.col("__key")) & (F.col("__salt") == F.col("__way"))
-    return left.join(right, on, "left").drop("__key", "__way", "__salt")
+        # Exploded, not a literal column: a literal would be folded into the fact side and the salt would no longer
+        # take part in the partitioning.
+        left, right, repeats = fact, dim, F.array(zero)
+    left = left.select(*fact.columns, salt.otherwise(zero).alias("__salt"))
+    right = right.select(*dim.columns, F.explode(repeats).alias("__way"))
+    on = (on_key == F.col(dim_key)) & (F.col("__salt") == F.col("__way"))
+    return left.join(right, on, "left").drop("__way", "__salt")
 
 
-def star_join(fact: DataFrame, lookups: Sequence[Lookup], rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
-    """Attach the columns of every lookup to the fact rows by left joins.
+def star_join(
+    fact: DataFrame,
+    lookups: Sequence[Lookup],
+    where: Column | None = None,
+    rows_per_split: int = ROWS_PER_SPLIT,
+) -> DataFrame:
+    """Attach the columns of every lookup to the fact rows by left joins, small dimensions first.
 
-    Lookup keys have to be columns of ``fact``. Small dimensions come first, so later shuffles see the final row.
+    Lookup keys have to be columns of ``fact``. ``where`` may use the columns of the first lookup, which is then joined
+    before all others, so that the rest meets only the rows kept.
     """
     limit = broadcast_limit(fact.sparkSession)
-    slim = {}
-    for i, lookup in enumerate(lookups):
-        renamed = [F.col(f"`{c}`").alias(out) for c, out in lookup.columns.items()]
-        slim[i] = lookup.dim.select(F.col(f"`{lookup.dim_key}`").alias(lookup.fact_key), *renamed)
+    slim = [
+        lookup.dim.select(
+            F.col(f"`{lookup.dim_key}`").alias(f"__key{i}"),
+            *[F.col(f"`{c}`").alias(out) for c, out in lookup.columns.items()],
+        )
+        for i, lookup in enumerate(lookups)
+    ]
     to_measure = [i for i, lookup in enumerate(lookups) if not lookup.bounded]
     fitting = dict(zip(to_measure, fits([slim[i] for i in to_measure], limit)))
-    small = [i for i in slim if fitting.get(i, True)]
-    large = [i for i in slim if not fitting.get(i, True)]
+    order = sorted(range(len(lookups)), key=lambda i: (where is not None and i != 0, not fitting.get(i, True)))
 
-    joined = fact
-    for i in small:
-        key = lookups[i].fact_key
-        dim = F.broadcast(slim[i].withColumnRenamed(key, "__key"))
-        joined = joined.join(dim, F.col(f"`{key}`") == F.col("__key"), "left").drop("__key")
-    counts = frequent_keys(fact, [lookups[i].fact_key for i in large]) if large else {}
-    for i in large:
+    joined, counts = fact, {}
+    for i in order:
         key = lookups[i].fact_key
-        joined = salted_left_join(joined, slim[i], key, counts[key], rows_per_split)
-    return joined
+        if fitting.get(i, True):
+            joined = joined.join(F.broadcast(slim[i]), F.col(f"`{key}`") == F.col(f"__key{i}"), "left")
+        else:
+            if key not in counts:
+                waiting = [lookups[j].fact_key for j in order if not fitting.get(j, True)]
+                counts |= frequent_keys(fact, [k for k in waiting if k not in counts])
+            joined = salted_left_join(joined, slim[i], key, f"__key{i}", counts[key], rows_per_split)
+        if where is not None and i == 0:
+            joined = joined.where(where)
+    outputs = [out for lookup in lookups for out in lookup.columns.values()]
+    return joined.select(*[F.col(f"`{c}`") for c in [*fact.columns, *outputs]])

@@ -25,8 +25,7 @@ def expense_rows(
     An unknown type compares to NULL and is left out. The filter comes before the other lookups.
     """
     kind = Lookup(transaction_types, "transaction_type_id", "transaction_type_id", {"is_income": "is_income"})
-    spent = star_join(transactions, [kind]).where(~F.col("is_income"))
-    return star_join(spent, lookups) if lookups else spent
+    return star_join(transactions, [kind, *lookups], where=~F.col("is_income"))
 
 
 def customer_monthly(
@@ -176,14 +175,15 @@ def wide_expense(tables: Mapping[str, DataFrame]) -> DataFrame:
         "transaction_type_id",
         attributes("transaction_types", "type"),
     )
-    spent = star_join(fact, [kind]).where(~F.col("type_is_income"))
     return star_join(
-        spent,
+        fact,
         [
+            kind,
             Lookup(tables["channels"], "transaction_channel_id", "channel_id", attributes("channels", "channel")),
             Lookup(tables["calender"], "transaction_date_key", "date_key", attributes("calender", "calender")),
             Lookup(merchants, "transaction_merchant_id", "merchant_merchant_id", same(merchants)),
             Lookup(tables["customers"], "transaction_customer_id", "customer_id", attributes("customers", "customer")),
             Lookup(accounts, "transaction_account_id", "account_account_number", same(accounts)),
         ],
+        where=~F.col("type_is_income"),
     )
