@@ -1,23 +1,36 @@
-"""Pivots over a fixed list of values, as conditional aggregates.
+"""Pivots over a fixed list of values, as filtered aggregates.
 
-``groupBy().pivot()`` plans two aggregations with two shuffles (by group and value, then by group). A conditional
-aggregate per listed value needs one, combines on the map side, and leaves the result partitioned by the group key,
-so a following join on that key adds no shuffle. An empty cell is NULL, as in a pivot.
+``groupBy().pivot()`` plans two aggregations with two shuffles (by group and value, then by group). One filtered
+aggregate per listed value needs a single one, combines on the map side, and leaves the result partitioned by the group
+key, so a following join on that key adds no shuffle. An empty cell is NULL, as in a pivot, and values outside the list
+are in no cell.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+CELL = "__cell"
 
-def sum_cells(by: Column, cells: Mapping[object, str], amount: Column) -> list[Column]:
-    """One sum per listed value of ``by``, named as ``cells`` says."""
-    return [F.sum(F.when(by == F.lit(value), amount)).alias(name) for value, name in cells.items()]
 
+def _cell_number(by: Column, values: list[object]) -> Column:
+    """Position of the value in the list, so that a row is compared to the listed values once and not per aggregate."""
+    number = F.when(by == F.lit(values[0]), F.lit(0))
+    for i, value in enumerate(values[1:], start=1):
+        number = number.when(by == F.lit(value), F.lit(i))
+    return number
 
-def count_cells(by: Column, cells: Mapping[object, str]) -> list[Column]:
-    """One row count per listed value of ``by``; NULL, not 0, where there is no row."""
-    return [F.sum(F.when(by == F.lit(value), F.lit(1))).alias(name) for value, name in cells.items()]
+
+def pivot_sum(df: DataFrame, key: str, by: str, cells: Mapping[object, str], amount: str) -> DataFrame:
+    """Sum of ``amount`` per key and listed value of ``by``; ``cells`` maps the values to column names."""
+    sums = [F.expr(f"sum(`{amount}`) FILTER (WHERE {CELL} = {i})").alias(n) for i, n in enumerate(cells.values())]
+    return df.withColumn(CELL, _cell_number(F.col(by), list(cells))).groupBy(key).agg(*sums)
+
+
+def pivot_count(df: DataFrame, key: str, by: str, cells: Mapping[object, str]) -> DataFrame:
+    """Rows per key and listed value of ``by``; NULL, not 0, where there is none."""
+    counts = [F.expr(f"sum(1) FILTER (WHERE {CELL} = {i})").alias(n) for i, n in enumerate(cells.values())]
+    return df.withColumn(CELL, _cell_number(F.col(by), list(cells))).groupBy(key).agg(*counts)

@@ -8,12 +8,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.scalars import age_years
 from tallyhouse.operators.lookup import Lookup, star_join
-from tallyhouse.operators.pivot import count_cells, sum_cells
+from tallyhouse.operators.pivot import pivot_count, pivot_sum
 from tallyhouse.schemas import CATEGORY_COLUMNS, MONEY, MONTHS
 
 
@@ -43,8 +43,7 @@ def customer_monthly(
     needed = transactions.select("transaction_date_key", "transaction_type_id", "customer_id", "amount")
     month = Lookup(calender, "transaction_date_key", "date_key", {"month": "month"})
     spent = expense_rows(needed, transaction_types, [month])
-    cells = sum_cells(F.col("month"), {name: name for name in MONTHS}, F.col("amount"))
-    monthly = spent.groupBy("customer_id").agg(*cells)
+    monthly = pivot_sum(spent, "customer_id", "month", {name: name for name in MONTHS}, "amount")
     attributes = customers.select(
         "customer_id",
         "first_name",
@@ -67,38 +66,31 @@ def segment_size(customers: DataFrame) -> DataFrame:
     return customers.groupBy("segment").agg(F.count(F.lit(1)).alias("customers"))
 
 
-def _by_segment(
-    transactions: DataFrame,
-    merchants: DataFrame,
-    categories: DataFrame,
-    customers: DataFrame,
-    attribute: str,
-    cells: Sequence[Column],
-    names: Sequence[str],
-) -> DataFrame:
-    """Cells per segment over all transactions; an unknown merchant counts in no cell, an unknown customer forms the
-    row without a segment.
-
-    Transactions are reduced to one row per customer before the customers are joined: a busy customer or segment costs
-    one row per task, and the second step adds up customers, not transactions.
-    """
-    merchant_attribute = star_join(
+def _labelled(transactions: DataFrame, merchants: DataFrame, categories: DataFrame, attribute: str) -> DataFrame:
+    """Every transaction with one attribute of its merchant's category; NULL when there is none."""
+    of_merchant = star_join(
         merchants.select("merchant_id", "category_id"),
         [Lookup(categories, "category_id", "category_id", {attribute: attribute})],
     )
     needed = transactions.select("merchant_id", "customer_id", "amount")
-    labelled = star_join(needed, [Lookup(merchant_attribute, "merchant_id", "merchant_id", {attribute: attribute})])
-    per_customer = labelled.groupBy("customer_id").agg(*cells)
+    return star_join(needed, [Lookup(of_merchant, "merchant_id", "merchant_id", {attribute: attribute})])
+
+
+def _by_segment(per_customer: DataFrame, customers: DataFrame) -> DataFrame:
+    """Add the cells of the customers up per segment; unknown customers form the row without a segment.
+
+    The transactions are reduced to one row per customer before: a busy customer or segment costs one row per task.
+    """
+    cells = [name for name in per_customer.columns if name != "customer_id"]
     with_segment = per_customer.join(customers.select("customer_id", "segment"), "customer_id", "left")
-    return with_segment.groupBy("segment").agg(*[F.sum(name).alias(name) for name in names])
+    return with_segment.groupBy("segment").agg(*[F.sum(name).alias(name) for name in cells])
 
 
-def _per_customer(cells: DataFrame, customers: DataFrame, names: Sequence[str]) -> DataFrame:
+def _per_head(by_segment: DataFrame, customers: DataFrame) -> DataFrame:
     """Cells divided by the number of customers in the segment. Both sides hold one row per segment."""
-    sized = cells.join(segment_size(customers), "segment", "left")
-    return sized.select(
-        "segment", *[(F.col(name) / F.col("customers")).cast(MONEY).alias(name) for name in names]
-    )
+    cells = [name for name in by_segment.columns if name != "segment"]
+    sized = by_segment.join(segment_size(customers), "segment", "left")
+    return sized.select("segment", *[(F.col(name) / F.col("customers")).cast(MONEY).alias(name) for name in cells])
 
 
 def segment_category_amount(
@@ -108,11 +100,10 @@ def segment_category_amount(
     customers: DataFrame,
     columns: Mapping[str, str] = CATEGORY_COLUMNS,
 ) -> DataFrame:
-    """Amount per segment and listed category, income included."""
-    cells = sum_cells(F.col("category_name"), columns, F.col("amount"))
-    names = list(columns.values())
-    summed = _by_segment(transactions, merchants, categories, customers, "category_name", cells, names)
-    return summed.select("segment", *[F.col(name).cast(MONEY).alias(name) for name in names])
+    """Amount per segment and listed category, income included. An unknown merchant counts in no category."""
+    labelled = _labelled(transactions, merchants, categories, "category_name")
+    summed = _by_segment(pivot_sum(labelled, "customer_id", "category_name", columns, "amount"), customers)
+    return summed.select("segment", *[F.col(name).cast(MONEY).alias(name) for name in columns.values()])
 
 
 def count_category_segment(
@@ -123,10 +114,9 @@ def count_category_segment(
     columns: Mapping[str, str] = CATEGORY_COLUMNS,
 ) -> DataFrame:
     """Transactions per customer of the segment, by listed category."""
-    cells = count_cells(F.col("category_name"), columns)
-    names = list(columns.values())
-    counted = _by_segment(transactions, merchants, categories, customers, "category_name", cells, names)
-    return _per_customer(counted, customers, names)
+    labelled = _labelled(transactions, merchants, categories, "category_name")
+    counted = _by_segment(pivot_count(labelled, "customer_id", "category_name", columns), customers)
+    return _per_head(counted, customers)
 
 
 def is_essential_avg(
@@ -134,10 +124,8 @@ def is_essential_avg(
 ) -> DataFrame:
     """Essential and other transactions per customer of the segment."""
     columns = {True: "Essential", False: "Non_Essential"}
-    cells = count_cells(F.col("is_essential"), columns)
-    names = list(columns.values())
-    counted = _by_segment(transactions, merchants, categories, customers, "is_essential", cells, names)
-    return _per_customer(counted, customers, names)
+    labelled = _labelled(transactions, merchants, categories, "is_essential")
+    return _per_head(_by_segment(pivot_count(labelled, "customer_id", "is_essential", columns), customers), customers)
 
 
 def wide_expense(tables: Mapping[str, DataFrame]) -> DataFrame:

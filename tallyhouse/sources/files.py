@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.schemas import RAW, RAW_FILES
@@ -25,8 +26,9 @@ def read_csv(
     """Read a CSV with a header by column position: the names of ``schema`` replace the header's.
 
     An empty field is NULL, a quoted empty field is an empty text, dates are ISO, text is UTF-8. A malformed line
-    fails the read with ``strict``; otherwise it is kept whole in the column ``_corrupt_record``. Quoted line breaks
-    need ``multiline``, which keeps Spark from splitting a file.
+    or a value that does not fit its type fails the read with ``strict``; otherwise the value is NULL and the line is
+    kept whole in the column ``_corrupt_record``. Quoted line breaks need ``multiline``, which keeps Spark from
+    splitting a file.
     """
     reader = (
         spark.read.option("header", True)
@@ -41,7 +43,19 @@ def read_csv(
     if strict:
         return reader.option("mode", "FAILFAST").schema(schema).csv(path)
     kept = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).schema(kept).csv(path)
+    # Without column pruning, so that a line counts as malformed whichever columns a query reads.
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.option("columnPruning", False).schema(kept).csv(path)
+
+
+def malformed_lines(df: DataFrame) -> DataFrame:
+    """Lines read and lines that are malformed, for a frame of ``read_csv``."""
+    first = F.col(f"`{df.columns[0]}`")
+    return df.agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(F.col(CORRUPT).isNotNull()).alias("malformed"),
+        F.count(first).alias("with_first_column"),
+    )
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -245,6 +245,100 @@ _CONTRACT = " UNION ALL ".join(
 )
 
 
+def _audit_line(rule: str, table: str, column: str, violations: str) -> str:
+    return (
+        f"SELECT '{rule}' AS rule, '{table}' AS table_name, '{column}' AS column_name, "
+        f"CAST(({violations}) AS BIGINT) AS violations"
+    )
+
+
+def _audit_count(rule: str, table: str, column: str, source: str, condition: str) -> str:
+    return _audit_line(rule, table, column, f"SELECT count(*) FILTER ({condition}) FROM {source}")
+
+
+def _audit_key(table: str, column: str, source: str, key: str) -> str:
+    return _audit_line(
+        "primary_key", table, column, f"SELECT count(*) FROM (SELECT {key} FROM {source} GROUP BY ALL HAVING count(*) > 1)"
+    )
+
+
+def _audit_orphans(table: str, column: str, source: str, value: str, parents: str) -> str:
+    return _audit_count("foreign_key", table, column, source, f"{value} NOT IN (SELECT {parents})")
+
+
+_AUDIT_CUSTOMERS = "(SELECT * FROM customer WHERE c_mktsegment <> 'MACHINERY')"
+_TX_ID = "l_orderkey || '-' || l_linenumber"
+
+_AUDIT = " UNION ALL ".join(
+    [
+        _audit_count("not_null", "cities", "city_name", "nation", "n_name IS NULL"),
+        _audit_count("not_null", "cities", "country", "nation JOIN region ON n_regionkey = r_regionkey", "r_name IS NULL"),
+        _audit_count("max_length", "cities", "city_name", "nation", "length(n_name) > 120"),
+        _audit_count("max_length", "cities", "country", "region", "length(r_name) > 120"),
+        _audit_key("cities", "city_id", "nation", "n_nationkey"),
+        _audit_count("not_null", "branches", "branch_name", "supplier", "s_name IS NULL"),
+        _audit_count("not_null", "branches", "city_id", "supplier", "s_nationkey IS NULL"),
+        _audit_count("max_length", "branches", "branch_name", "supplier", "length(s_name) > 120"),
+        _audit_key("branches", "branch_id", "supplier", "s_suppkey"),
+        _audit_orphans("branches", "city_id", "supplier", "s_nationkey", "n_nationkey FROM nation"),
+        _audit_count("not_null", "merchants", "merchant_name", "part", "p_name IS NULL"),
+        _audit_count("not_null", "merchants", "category_id", "part", "p_type IS NULL"),
+        _audit_count("not_null", "merchants", "city_id", "part", "p_size IS NULL"),
+        _audit_count("max_length", "merchants", "merchant_id", "part", "length(CAST(p_partkey AS VARCHAR)) > 64"),
+        _audit_count("max_length", "merchants", "merchant_name", "part", "length(p_name) > 160"),
+        _audit_key("merchants", "merchant_id", "part", "p_partkey"),
+        _audit_orphans("merchants", "city_id", "part", "p_size", "n_nationkey FROM nation"),
+        _audit_count("not_null", "customers", "first_name", _AUDIT_CUSTOMERS, "split_part(c_name, '#', 1) IS NULL"),
+        _audit_count("not_null", "customers", "last_name", _AUDIT_CUSTOMERS, "split_part(c_name, '#', 2) IS NULL"),
+        _audit_count("not_null", "customers", "date_of_birth", _AUDIT_CUSTOMERS, "c_nationkey IS NULL"),
+        _audit_count(
+            "max_length", "customers", "first_name", _AUDIT_CUSTOMERS, "length(split_part(c_name, '#', 1)) > 80"
+        ),
+        _audit_count("max_length", "customers", "last_name", _AUDIT_CUSTOMERS, "length(split_part(c_name, '#', 2)) > 80"),
+        _audit_count(
+            "precision", "customers", "annual_income", _AUDIT_CUSTOMERS,
+            "c_acctbal IS NOT NULL AND TRY_CAST(c_acctbal * 1e9 AS DECIMAL(14,2)) IS NULL",
+        ),
+        _audit_key("customers", "customer_id", _AUDIT_CUSTOMERS, "c_custkey"),
+        _audit_count("not_null", "accounts", "customer_id", "orders", "o_custkey IS NULL"),
+        _audit_count("not_null", "accounts", "initial_balance", "orders", "o_totalprice IS NULL"),
+        _audit_count("not_null", "accounts", "branch_id", "orders", "o_orderdate IS NULL"),
+        _audit_count("not_null", "accounts", "account_open_date", "orders", "o_orderdate IS NULL"),
+        _audit_count("max_length", "accounts", "account_number", "orders", "length(CAST(o_orderkey AS VARCHAR)) > 32"),
+        _audit_count(
+            "precision", "accounts", "initial_balance", "orders",
+            "o_totalprice IS NOT NULL AND TRY_CAST(o_totalprice AS DECIMAL(18,2)) IS NULL",
+        ),
+        _audit_key("accounts", "account_number", "orders", "o_orderkey"),
+        _audit_orphans("accounts", "customer_id", "orders", "o_custkey", f"c_custkey FROM {_AUDIT_CUSTOMERS}"),
+        _audit_orphans("accounts", "branch_id", "orders", "day(o_orderdate)", "s_suppkey FROM supplier"),
+        _audit_count("not_null", "transactions", "transaction_id", "lineitem", f"{_TX_ID} IS NULL"),
+        _audit_count("not_null", "transactions", "transaction_datetime", "lineitem", "l_shipdate IS NULL"),
+        _audit_count("not_null", "transactions", "account_number", "lineitem", "l_orderkey IS NULL"),
+        _audit_count("not_null", "transactions", "channel_id", "lineitem", "l_linestatus IS NULL"),
+        _audit_count("not_null", "transactions", "transaction_type_id", "lineitem", "l_returnflag IS NULL"),
+        _audit_count("not_null", "transactions", "amount", "lineitem", "l_extendedprice IS NULL"),
+        _audit_count("not_null", "transactions", "currency", "lineitem", "false"),
+        _audit_count("max_length", "transactions", "transaction_id", "lineitem", f"length({_TX_ID}) > 64"),
+        _audit_count(
+            "max_length", "transactions", "account_number", "lineitem", "length(CAST(l_orderkey AS VARCHAR)) > 32"
+        ),
+        _audit_count("max_length", "transactions", "merchant_id", "lineitem", "length(CAST(l_partkey AS VARCHAR)) > 64"),
+        _audit_count("max_length", "transactions", "currency", "lineitem", "length('USD') > 8"),
+        _audit_count(
+            "precision", "transactions", "amount", "lineitem",
+            "l_extendedprice IS NOT NULL AND TRY_CAST(l_extendedprice AS DECIMAL(18,2)) IS NULL",
+        ),
+        _audit_key(
+            "transactions", "transaction_id, transaction_datetime",
+            f"(SELECT {_TX_ID} AS id, CAST(l_shipdate AS DATE) AS d FROM lineitem)", "id, d",
+        ),
+        _audit_orphans("transactions", "account_number", "lineitem", "l_orderkey", "o_orderkey FROM orders"),
+        _audit_orphans("transactions", "merchant_id", "lineitem", "l_partkey", "p_partkey FROM part"),
+    ]
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "customer_monthly": _customer_monthly("true"),
@@ -332,6 +426,7 @@ SELECT * EXCLUDE (rn) FROM (
 SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem GROUP BY 1, 2
 HAVING count(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL""",
         "fk_violations": _FK,
+        "integrity_audit": _AUDIT,
         "null_profile": _NULL_PROFILE,
         "default_fill": """
 SELECT o_orderkey AS account_number,

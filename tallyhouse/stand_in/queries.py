@@ -20,6 +20,7 @@ from tallyhouse.operators.readback import first_rows
 from tallyhouse.operators.reconcile import reconcile
 from tallyhouse.operators.snapshot import current_snapshot
 from tallyhouse.plans import calendar, legacy, marts
+from tallyhouse.plans.audit import audit
 from tallyhouse.session import scratch_path
 from tallyhouse.sinks import tables as sink
 from tallyhouse.sources.contract import contract_report
@@ -357,6 +358,29 @@ def month_partition_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy(label.alias("partition_month")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def integrity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every declared rule over the tables under their older names, with the account owners of one segment missing."""
+    transactions = bank.raw_transactions(spark, sf_dir, with_customer=False)
+    return audit(
+        {
+            "cities": bank.raw_cities(spark, sf_dir),
+            "branches": bank.raw_branches(spark, sf_dir),
+            "merchants": bank.raw_merchants(spark, sf_dir),
+            "customers": bank.raw_customers(spark, sf_dir)
+            .where(F.col("segment") != "MACHINERY")
+            .withColumn("annual_income", F.col("monthly_salary_usd") * 1e9),
+            "accounts": bank.raw_accounts(spark, sf_dir),
+            "transactions": transactions.withColumnsRenamed(
+                {
+                    "transaction_id_dd": "transaction_id",
+                    "transaction_date": "transaction_datetime",
+                    "account_id": "account_number",
+                }
+            ),
+        }
+    )
+
+
 CONTRACT = {
     "orders": schemas.table(
         o_orderkey=T.LongType(),
@@ -408,6 +432,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "current_snapshot": snapshot_of_dimension,
         "pk_violations": pk_violations,
         "fk_violations": fk_violations,
+        "integrity_audit": integrity_audit,
         "null_profile": null_profile,
         "default_fill": default_fill,
         "length_violations": length_violations,
