@@ -67,8 +67,10 @@ def create_day_table(spark: SparkSession, table: str, schema, column: str = DAY)
 def replace_table_days(df: DataFrame, table: str, column: str = DAY) -> None:
     """``replace_days`` for a catalog table."""
     spark = df.sparkSession
-    ordered = df.select(*spark.table(table).columns).hint("rebalance", column)
-    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    rows = df.select(*spark.table(table).columns).hint("rebalance", column)
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} WITH ('partitionOverwriteMode' = 'dynamic') SELECT * FROM {{rows}}", rows=rows
+    )
 
 
 def drop_day(spark: SparkSession, table: str, day: date, column: str = DAY) -> None:

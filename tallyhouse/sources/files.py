@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 from tallyhouse.schemas import RAW, RAW_FILES
 
 CORRUPT = "_corrupt_record"
+# Stands for an unquoted empty field inside the reader. With the empty text here, a quoted one would be NULL as well.
+UNQUOTED_EMPTY = "\u0000"
 
 
 def read_csv(
@@ -35,7 +37,7 @@ def read_csv(
         .option("enforceSchema", True)
         .option("encoding", "UTF-8")
         .option("dateFormat", "yyyy-MM-dd")
-        .option("nullValue", "")
+        .option("nullValue", UNQUOTED_EMPTY)
         .option("emptyValue", "")
         .option("escape", '"')
         .option("multiLine", multiline)
@@ -43,19 +45,17 @@ def read_csv(
     if strict:
         return reader.option("mode", "FAILFAST").schema(schema).csv(path)
     kept = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    # Without column pruning, so that a line counts as malformed whichever columns a query reads.
+    # Without column pruning, so that a line with a wrong number of fields is noticed whichever columns a query reads.
+    # A value of the wrong type is noticed by queries that read its column.
     reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     return reader.option("columnPruning", False).schema(kept).csv(path)
 
 
 def malformed_lines(df: DataFrame) -> DataFrame:
-    """Lines read and lines that are malformed, for a frame of ``read_csv``."""
-    first = F.col(f"`{df.columns[0]}`")
-    return df.agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.count_if(F.col(CORRUPT).isNotNull()).alias("malformed"),
-        F.count(first).alias("with_first_column"),
-    )
+    """Lines, malformed lines, and values per column, for a frame of ``read_csv``. Reads every column."""
+    values = [F.count(F.col(f"`{name}`")).alias(f"values_{name}") for name in df.columns if name != CORRUPT]
+    lines = F.count(F.lit(1)).alias("lines")
+    return df.agg(lines, F.count_if(F.col(CORRUPT).isNotNull()).alias("malformed"), *values)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -1,0 +1,132 @@
+from datetime import date
+from decimal import Decimal as D
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyhouse import schemas
+from tallyhouse.operators.conform import conform, rejected_casts
+from tallyhouse.sinks.jdbc import write_options
+from tallyhouse.sources.contract import contract_report, require_schema, schema_differences
+from tallyhouse.sources.files import CORRUPT, malformed_lines, read_csv, read_registry
+from tallyhouse.sources.jdbc import Database, Split, day_predicates, scan_options
+from tests.conftest import rows
+
+
+def write(path, text, encoding="utf-8"):
+    path.write_bytes(text.encode(encoding))
+    return str(path)
+
+
+def test_csv_goes_by_position_and_reads_empty_fields_as_null(spark, tmp_path):
+    path = write(tmp_path / "c.csv", 'ID,Name,City\n1,"Ankara, Merkez",6\n2,,34\n3,"",\n4,İzmir,35\n5,"a ""b""",7\n')
+    df = read_csv(spark, path, schemas.table(city_id=schemas.TEXT, city_name=schemas.TEXT, country=schemas.TEXT))
+    assert rows(df.drop(CORRUPT)) == [
+        ("1", "Ankara, Merkez", "6"),
+        ("2", None, "34"),
+        ("3", "", None),
+        ("4", "İzmir", "35"),
+        ("5", 'a "b"', "7"),
+    ]
+
+
+def test_csv_windows_line_ends_and_upper_case_booleans(spark, tmp_path):
+    path = write(tmp_path / "c.csv", "category_id,category_name,is_essential\r\n1,ATM,TRUE\r\n2,gas,False")
+    assert rows(read_csv(spark, path, schemas.CATEGORIES).drop(CORRUPT)) == [("1", "ATM", True), ("2", "gas", False)]
+
+
+def test_csv_bad_values_are_null_and_counted_or_fail(spark, tmp_path):
+    path = write(
+        tmp_path / "b.csv",
+        "branch_id,branch_name,city_id,branch_start_date\n1,A,6,2024-01-31\n2,B,7,2024-13-01\n3,C\n4,D,8,2023-05-05\n",
+    )
+    df = read_csv(spark, path, schemas.BRANCHES)
+    assert df.count() == 4
+    assert rows(df.select("branch_id", "branch_start_date")) == [
+        ("1", date(2024, 1, 31)),
+        ("2", None),
+        ("3", None),
+        ("4", date(2023, 5, 5)),
+    ]
+    assert malformed_lines(df).first()["malformed"] == 2
+    assert [r["branch_id"] for r in df.where(F.col(CORRUPT).isNotNull()).orderBy("branch_id").collect()] == ["2", "3"]
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        read_csv(spark, path, schemas.BRANCHES, strict=True).collect()
+
+
+def test_registry_skips_missing_files_only(spark, tmp_path):
+    write(tmp_path / "channels.csv", "channel_id,channel_name\n1,POS\n")
+    found = read_registry(spark, str(tmp_path))
+    assert list(found.frames) == ["channels"]
+    assert set(found.skipped) == set(schemas.WAREHOUSE) - {"channels"}
+    assert rows(found.frames["channels"].drop(CORRUPT)) == [("1", "POS")]
+
+
+def test_conform_casts_names_and_stamps(spark):
+    raw = spark.sql("""
+        SELECT * FROM VALUES (1, 'Ayşe', '1990-05-01', '12.345', 'True', 'extra'), (2, 'B', '2024-13-01', 'zz', 'maybe', 'x')
+        AS t(ID, name, born, amount, flag, extra)
+    """)
+    schema = schemas.table(
+        id=schemas.TEXT, name=schemas.TEXT, born=schemas.DATE, amount=schemas.AMOUNT, flag=schemas.FLAG
+    )
+    day = date(2024, 1, 2)
+    got = conform(raw, schema, etl_date=True, as_of=day)
+    assert got.columns == ["id", "name", "born", "amount", "flag", "etl_date"]
+    assert rows(got) == [("1", "Ayşe", date(1990, 5, 1), D("12.35"), True, day), ("2", "B", None, None, None, day)]
+    assert {r["column_name"]: (r["rows"], r["rejected"]) for r in rejected_casts(raw, schema).collect()} == {
+        "id": (2, 0), "name": (2, 0), "born": (2, 1), "amount": (2, 1), "flag": (2, 1),
+    }
+
+
+def test_conform_missing_columns(spark):
+    raw = spark.sql("SELECT '1' AS channel_id")
+    with pytest.raises(ValueError):
+        conform(raw, schemas.CHANNELS)
+    assert rows(conform(raw, schemas.CHANNELS, allow_missing=True)) == [("1", None)]
+
+
+def test_conform_turns_a_database_time_into_text(spark):
+    raw = spark.sql("SELECT TIMESTAMP_NTZ '1970-01-01 17:44:00' AS transaction_time")
+    assert rows(conform(raw, schemas.table(transaction_time=schemas.TEXT))) == [("17:44:00",)]
+
+
+def test_decimal_overflow_is_null(spark):
+    raw = spark.sql("SELECT 1e20D AS amount")
+    assert rows(conform(raw, schemas.table(amount=schemas.AMOUNT))) == [(None,)]
+
+
+def test_contract(spark):
+    df = spark.sql("SELECT '1' AS channel_id, 5 AS channel_name")
+    assert schema_differences(df, schemas.CHANNELS) == ["channel_name: int instead of string"]
+    with pytest.raises(ValueError):
+        require_schema(df, schemas.BRANCHES)
+    good = spark.sql("SELECT '1' AS channel_id, 'POS' AS channel_name")
+    assert require_schema(good, schemas.CHANNELS) is good
+    report = {r["column_name"]: r for r in contract_report(good, schemas.table(channel_id=schemas.INT, x=schemas.TEXT, channel_name=schemas.DATE), "channels").collect()}
+    assert report["channel_id"]["unconvertible"] == 0
+    assert report["channel_name"]["unconvertible"] == 1
+    assert report["x"]["actual_type"] is None and report["x"]["unconvertible"] is None
+
+
+BASE = Database("jdbc:postgresql://host/db", "org.postgresql.Driver", {"user": "u", "password": "secret"})
+
+
+def test_jdbc_options():
+    plain = scan_options(BASE, "prod.accounts")
+    assert plain["fetchsize"] == "10000" and plain["socket_timeout"] == "600000" and "numPartitions" not in plain
+    split = scan_options(BASE, "prod.transactions", Split("transaction_date", date(2024, 1, 1), date(2025, 1, 1), 12))
+    assert split["lowerBound"] == "2024-01-01" and split["numPartitions"] == "12"
+    assert day_predicates([date(2024, 1, 2)], "transaction_date") == ["transaction_date = DATE '2024-01-02'"]
+    assert write_options(BASE, "t")["batchsize"] == "50000" and "truncate" not in write_options(BASE, "t")
+    assert write_options(BASE, "t", truncate=True, batch_size=None).get("truncate") == "true"
+    assert "batchsize" not in write_options(BASE, "t", batch_size=None)
+
+
+def test_database_takes_credentials_from_the_environment_only(monkeypatch):
+    monkeypatch.setenv("SRC_URL", "jdbc:x")
+    monkeypatch.setenv("SRC_DRIVER", "d")
+    monkeypatch.setenv("SRC_PASSWORD", "secret")
+    found = Database.from_environment("SRC")
+    assert found.properties == {"password": "secret"}
+    assert "secret" not in repr(found)
