@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -22,9 +23,10 @@ from pyspark.sql import types as T
 # Fact rows of one key that a single task may take; a key with more is split.
 ROWS_PER_SPLIT = 2_000_000
 # Keys the frequency sketch reports, and counters it keeps: a key with more than about 4 / SKETCH_SIZE of all rows is
-# always seen.
+# always seen. The sketches of the tasks are merged in groups before one task merges the groups.
 SKETCH_KEYS = 1_000
-SKETCH_SIZE = 20_000
+SKETCH_SIZE = 8_192
+SKETCH_GROUPS = 256
 
 _UNITS = {"": 1, "b": 1, "k": 2**10, "kb": 2**10, "m": 2**20, "mb": 2**20, "g": 2**30, "gb": 2**30}
 
@@ -71,7 +73,11 @@ def fits(frames: Sequence[DataFrame], limit: int) -> list[bool]:
     A frame with too many rows is found by reading only that many rows of it, without columns. What remains is small;
     frames with texts are measured exactly, all in one job.
     """
-    few = [df.select(F.lit(1)).offset(limit // (COLUMN_BYTES * len(df.columns))).isEmpty() for df in frames]
+    if not frames:
+        return []
+    beyond = [df.select(F.lit(1)).offset(limit // (COLUMN_BYTES * len(df.columns))) for df in frames]
+    with ThreadPoolExecutor(len(frames)) as pool:
+        few = list(pool.map(lambda df: df.isEmpty(), beyond))
     sized = [
         df.select(F.lit(i).alias("frame"), _row_bytes(df).alias("bytes"))
         for i, df in enumerate(frames)
@@ -90,15 +96,16 @@ def frequent_keys(fact: DataFrame, keys: Sequence[str]) -> dict[str, dict[object
     One pass over the key columns with a sketch of fixed size per task; at most ``SKETCH_KEYS`` values per column
     reach the driver. The counts only decide how a key is split, never which rows are kept.
     """
-    distinct = list(dict.fromkeys(keys))
-    sketches = [
-        F.expr(f"approx_top_k(`{name}`, {SKETCH_KEYS}, {SKETCH_SIZE})").alias(f"top_{i}")
-        for i, name in enumerate(distinct)
-    ]
-    row = fact.agg(*sketches).first()
-    return {
-        name: {entry["item"]: entry["count"] for entry in (row[f"top_{i}"] or [])} for i, name in enumerate(distinct)
-    }
+    names = list(dict.fromkeys(keys))
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("__group")
+    per_task = [F.expr(f"approx_top_k_accumulate(`{n}`, {SKETCH_SIZE})").alias(f"s{i}") for i, n in enumerate(names)]
+    merged = [F.expr(f"approx_top_k_estimate(approx_top_k_combine(s{i}), {SKETCH_KEYS})") for i in range(len(names))]
+    sketches = fact.select(*[F.col(f"`{n}`") for n in names], group).groupBy("__group").agg(*per_task)
+    # Grouped by a constant, since merging sketches fails on a task without input when there is no group.
+    found = sketches.groupBy(F.lit("all").alias("__all")).agg(*merged).drop("__all").first()
+    if found is None:
+        return {name: {} for name in names}
+    return {name: {entry["item"]: entry["count"] for entry in found[i]} for i, name in enumerate(names)}
 
 
 def _spread(ways: Column) -> Column:
@@ -151,10 +158,11 @@ def star_join(
     where: Column | None = None,
     rows_per_split: int = ROWS_PER_SPLIT,
 ) -> DataFrame:
-    """Attach the columns of every lookup to the fact rows by left joins, small dimensions first.
+    """Attach the columns of every lookup to the fact rows by left joins.
 
     Lookup keys have to be columns of ``fact``. ``where`` may use the columns of the first lookup, which is then joined
-    before all others, so that the rest meets only the rows kept.
+    before all others, so that the rest meets only the rows kept. Of the others the large dimensions come first, those
+    with few columns ahead: they shuffle the fact rows, which are still narrow then.
     """
     limit = broadcast_limit(fact.sparkSession)
     slim = [
@@ -166,7 +174,10 @@ def star_join(
     ]
     to_measure = [i for i, lookup in enumerate(lookups) if not lookup.bounded]
     fitting = dict(zip(to_measure, fits([slim[i] for i in to_measure], limit)))
-    order = sorted(range(len(lookups)), key=lambda i: (where is not None and i != 0, not fitting.get(i, True)))
+    order = sorted(
+        range(len(lookups)),
+        key=lambda i: (where is not None and i != 0, fitting.get(i, True), len(lookups[i].columns)),
+    )
 
     joined, counts = fact, {}
     for i in order:

@@ -104,3 +104,12 @@ def test_frequent_keys_sees_hot_and_missing_keys(spark):
     counts = frequent_keys(skewed(spark), ["k", "row"])
     assert counts["k"]["hot"] == 10_000
     assert counts["k"][None] == 10_000
+    assert frequent_keys(skewed(spark).limit(0), ["k"]) == {"k": {}}
+
+
+def test_empty_sides(spark, setting):
+    setting("spark.sql.autoBroadcastJoinThreshold", "0")
+    fact, dim = skewed(spark, 30), dimension(spark)
+    assert star_join(fact.limit(0), [Lookup(dim, "k", "dk", {"v": "v"})]).count() == 0
+    empty = star_join(fact, [Lookup(dim.limit(0), "k", "dk", {"v": "v"})], rows_per_split=5)
+    assert rows(empty) == brute_force(fact, dim.limit(0))
