@@ -6,11 +6,12 @@
     load-transactions SOURCE --warehouse W (--start D --end D | --dates D,D,...)
     clean-legacy      --csv FILE --target PATH                  cleaned rows of the older layout
     build-daily       --csv FILE --target PATH                  older layout: daily totals per account
-    build-mart        --mart M --warehouse W --target PATH
+    build-mart        --mart M (--warehouse W | --jdbc PREFIX) --target PATH
+    audit             --warehouse W --target PATH               declared integrity rules and their violations
 
 SOURCE is ``--parquet PATH``, ``--csv FILE``, or ``--jdbc PREFIX --source-table NAME`` with the connection in
 ``PREFIX_URL``, ``PREFIX_DRIVER``, ``PREFIX_USER`` and ``PREFIX_PASSWORD``. The window also comes from ``LOAD_START``,
-``LOAD_END`` and ``LOAD_DATES``. A target of the form ``jdbc:PREFIX:TABLE`` is written to a database.
+``LOAD_END`` and ``LOAD_DATES``. Days from a database are read side by side, one query per day. A target of the form ``jdbc:PREFIX:TABLE`` is written to a database.
 """
 
 from __future__ import annotations
@@ -24,16 +25,24 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.load_filter import parse_days
+from tallyhouse.operators.load_filter import parse_days, window_days
 from tallyhouse.plans import legacy
+from tallyhouse.plans.audit import audit
 from tallyhouse.plans.calendar import calendar_dim, days_between
-from tallyhouse.plans.pipeline import MARTS, Warehouse, build_mart, load_dimension, load_transactions
+from tallyhouse.plans.pipeline import (
+    MARTS,
+    Warehouse,
+    build_mart,
+    database_tables,
+    load_dimension,
+    load_transactions,
+)
 from tallyhouse.schemas import LEGACY_RAW, RAW, WAREHOUSE
 from tallyhouse.session import build_session
 from tallyhouse.sinks.jdbc import overwrite_jdbc
-from tallyhouse.sinks.tables import append_table, write_table
+from tallyhouse.sinks.tables import DAY, append_table, write_table
 from tallyhouse.sources.files import CORRUPT, malformed_lines, read_csv, read_registry, read_table
-from tallyhouse.sources.jdbc import Database, Split, read_jdbc
+from tallyhouse.sources.jdbc import Database, Split, read_jdbc, read_jdbc_days
 
 
 def parser() -> argparse.ArgumentParser:
@@ -74,7 +83,12 @@ def parser() -> argparse.ArgumentParser:
     facts.add_argument("--dates", type=parse_days, default=_days_of(os.getenv("LOAD_DATES")))
     job("clean-legacy", target=True).add_argument("--csv", required=True)
     job("build-daily", target=True).add_argument("--csv", required=True)
-    job("build-mart", warehouse=True, target=True).add_argument("--mart", required=True, choices=MARTS)
+    mart = job("build-mart", target=True)
+    mart.add_argument("--mart", required=True, choices=MARTS)
+    place = mart.add_mutually_exclusive_group(required=True)
+    place.add_argument("--warehouse")
+    place.add_argument("--jdbc")
+    job("audit", warehouse=True, target=True)
     return root
 
 
@@ -91,10 +105,14 @@ def _source(spark: SparkSession, args: argparse.Namespace, table: str) -> DataFr
         return read_table(spark, args.parquet)
     if args.csv:
         return read_csv(spark, args.csv, RAW[table]).drop(CORRUPT)
-    split = None
+    database, name = Database.from_environment(args.jdbc), args.source_table or table
     if args.split_column:
-        split = Split(args.split_column, args.split_lower, args.split_upper, args.split_parts)
-    return read_jdbc(spark, Database.from_environment(args.jdbc), args.source_table or table, split)
+        return read_jdbc(
+            spark, database, name, Split(args.split_column, args.split_lower, args.split_upper, args.split_parts)
+        )
+    if table == "transactions":
+        return read_jdbc_days(spark, database, name, args.dates or window_days(args.start, args.end), DAY)
+    return read_jdbc(spark, database, name)
 
 
 def _write(df: DataFrame, target: str) -> None:
@@ -124,7 +142,7 @@ def _load_transactions(warehouse: Warehouse, source: DataFrame, args: argparse.N
 def run(spark: SparkSession, argv: Sequence[str]) -> int:
     """Run one job; the result is the exit code."""
     args = parser().parse_args(argv)
-    warehouse = Warehouse(spark, args.warehouse) if "warehouse" in args else None
+    warehouse = Warehouse(spark, args.warehouse) if getattr(args, "warehouse", None) else None
     if args.job == "load-files":
         registry = read_registry(spark, args.folder, strict=args.strict)
         for table, df in registry.frames.items():
@@ -152,7 +170,13 @@ def run(spark: SparkSession, argv: Sequence[str]) -> int:
         rows = legacy.clean_raw(read_csv(spark, args.csv, LEGACY_RAW).drop(CORRUPT))
         _write(legacy.daily_account_totals(legacy.fact_with_moment(rows)), args.target)
     elif args.job == "build-mart":
-        _write(build_mart(args.mart, warehouse, args.as_of or date.today()), args.target)
+        if args.jdbc:
+            table = database_tables(spark, Database.from_environment(args.jdbc))
+        else:
+            table = Warehouse(spark, args.warehouse).table
+        _write(build_mart(args.mart, table, args.as_of or date.today()), args.target)
+    elif args.job == "audit":
+        _write(audit({t: warehouse.table(t) for t in WAREHOUSE if warehouse.has(t)}), args.target)
     return 0
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +16,14 @@ def parse_days(text: str) -> list[date]:
     return sorted({date.fromisoformat(part.strip()) for part in text.split(",") if part.strip()})
 
 
+def window_days(start: date, end: date) -> list[date]:
+    """The days of an inclusive window, from 1970 on."""
+    if end < start:
+        raise ValueError(f"load window ends on {end}, before its start {start}")
+    first = max(start, FIRST_DAY)
+    return [first + timedelta(days=i) for i in range((end - first).days + 1)]
+
+
 def in_window(day: Column, start: date, end: date) -> Column:
     """Inclusive window. An end before the start is an error."""
     if end < start:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from datetime import date
 
@@ -19,6 +19,7 @@ from tallyhouse.plans import marts
 from tallyhouse.schemas import PRIMARY_KEY, WAREHOUSE, WITHOUT_ETL_DATE
 from tallyhouse.sinks.tables import DAY, append_load, replace_days, write_table
 from tallyhouse.sources.files import read_table
+from tallyhouse.sources.jdbc import Database, Split, read_jdbc
 
 MARTS = (
     "customer_monthly",
@@ -45,10 +46,7 @@ class Warehouse:
 
     def table(self, table: str) -> DataFrame:
         """A table as of its latest load, without the load date."""
-        stored = self.loads(table)
-        if table == "transactions" or table in WITHOUT_ETL_DATE:
-            return stored.drop("etl_date")
-        return current_snapshot(stored, PRIMARY_KEY[table]).drop("etl_date")
+        return latest(self.loads(table), table)
 
     def has(self, table: str) -> bool:
         try:
@@ -114,9 +112,8 @@ def load_transactions(
     )
 
 
-def build_mart(name: str, warehouse: Warehouse, as_of: date) -> DataFrame:
-    """A mart from the warehouse tables."""
-    table = warehouse.table
+def build_mart(name: str, table: Callable[[str], DataFrame], as_of: date) -> DataFrame:
+    """A mart from the warehouse tables, which ``table`` gives by name: ``Warehouse.table`` or ``database_tables``."""
     if name == "customer_monthly":
         return marts.customer_monthly(
             table("transactions"), table("calender"), table("transaction_types"), table("customers"), as_of
@@ -131,3 +128,17 @@ def build_mart(name: str, warehouse: Warehouse, as_of: date) -> DataFrame:
     if name not in by_segment:
         raise ValueError(f"unknown mart {name}; there are {', '.join(MARTS)}")
     return by_segment[name](table("transactions"), table("merchants"), table("categories"), table("customers"))
+
+
+def latest(stored: DataFrame, table: str) -> DataFrame:
+    """A stored table as of its latest load, without the load date."""
+    if table == "transactions" or "etl_date" not in stored.columns:
+        return stored.drop("etl_date")
+    return current_snapshot(stored, PRIMARY_KEY[table]).drop("etl_date")
+
+
+def database_tables(
+    spark: SparkSession, database: Database, splits: Mapping[str, Split] | None = None
+) -> Callable[[str], DataFrame]:
+    """Warehouse tables kept in a database. Give a split for each large table, the transactions above all."""
+    return lambda table: latest(read_jdbc(spark, database, table, (splits or {}).get(table)), table)

@@ -8,10 +8,9 @@ from tallyhouse.sources.jdbc import BATCH_SIZE, Database
 
 
 def write_options(
-    database: Database, table: str, *, truncate: bool = False, batch_size: int | None = BATCH_SIZE, parts: int = 32
+    database: Database, table: str, *, truncate: bool = False, batch_size: int | None = BATCH_SIZE
 ) -> dict[str, str]:
-    """``parts`` bounds the connections a write opens at a time."""
-    options = database.options(dbtable=table, numPartitions=parts)
+    options = database.options(dbtable=table)
     if batch_size is not None:
         options["batchsize"] = str(batch_size)
     if truncate:
@@ -19,12 +18,24 @@ def write_options(
     return options
 
 
-def append_jdbc(df: DataFrame, database: Database, table: str, batch_size: int | None = BATCH_SIZE) -> None:
-    """Append rows. A task that runs again can append twice: load facts into a stage table that a rerun replaces."""
-    df.write.format("jdbc").mode("append").options(**write_options(database, table, batch_size=batch_size)).save()
+def _write(df: DataFrame, mode: str, options: dict[str, str], connections: int) -> None:
+    # A shuffle rather than the writer's own limit, which would also squeeze the computation into that many tasks.
+    df.repartition(connections).write.format("jdbc").mode(mode).options(**options).save()
 
 
-def overwrite_jdbc(df: DataFrame, database: Database, table: str, batch_size: int | None = BATCH_SIZE) -> None:
+def append_jdbc(
+    df: DataFrame, database: Database, table: str, batch_size: int | None = BATCH_SIZE, connections: int = 32
+) -> None:
+    """Append rows over at most ``connections`` connections.
+
+    A task that is run again after its executor is lost can append its rows twice: load facts into a stage table that a
+    rerun replaces.
+    """
+    _write(df, "append", write_options(database, table, batch_size=batch_size), connections)
+
+
+def overwrite_jdbc(
+    df: DataFrame, database: Database, table: str, batch_size: int | None = BATCH_SIZE, connections: int = 32
+) -> None:
     """Replace the rows and keep the table as it was declared."""
-    options = write_options(database, table, truncate=True, batch_size=batch_size)
-    df.write.format("jdbc").mode("overwrite").options(**options).save()
+    _write(df, "overwrite", write_options(database, table, truncate=True, batch_size=batch_size), connections)

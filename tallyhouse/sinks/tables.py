@@ -24,35 +24,35 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, column: str) -> None:
-    """Replace the partitions of ``column`` that occur in ``df`` and leave the others; no rows, no change.
-
-    All partitions are written by one job. The rows are rebalanced on the partition column first: a small day becomes
-    one file instead of one per task, and a day that holds much of the data is split over tasks.
-    """
-    (
-        df.hint("rebalance", column)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column)
-        .parquet(path)
-    )
+def _replace_partitions(df: DataFrame, path: str, column: str) -> None:
+    """Replace the partitions of ``column`` that occur in ``df`` and leave the others; no rows, no change."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
 
 
 def replace_days(df: DataFrame, path: str, column: str = DAY) -> None:
-    """Idempotent fact load: the days in ``df`` take the place of those days in the table. One writer at a time."""
-    replace_partitions(df, path, column)
+    """Idempotent fact load: the days in ``df`` take the place of those days in the table. One writer at a time.
+
+    All days are written by one job. The rows are rebalanced on the day first: a small day becomes one file instead of
+    one per task, and a day that holds much of the data is split over tasks.
+    """
+    _replace_partitions(df.hint("rebalance", column), path, column)
 
 
 def append_load(df: DataFrame, path: str) -> None:
-    """Add one stamped load of a dimension. Loading the same ``etl_date`` again replaces it, so a rerun adds nothing."""
-    replace_partitions(df, path, "etl_date")
+    """Add one stamped load of a dimension. Loading the same ``etl_date`` again replaces it, so a rerun adds nothing.
+
+    A load has one stamp, so the tasks write their rows as they are, without a shuffle.
+    """
+    _replace_partitions(df, path, "etl_date")
 
 
 def copy_without_day(spark: SparkSession, path: str, new_path: str, day: date, column: str = DAY) -> None:
-    """A table without one day, as a new table. For plain paths; a catalog table drops the partition instead."""
+    """A table without one day, as a new table. For plain paths; a catalog table drops the partition instead.
+
+    The dropped day is not read. A task reads files of few days, so it writes few, and nothing is shuffled.
+    """
     kept = read_table(spark, path).where(F.col(column) != F.lit(day))
-    replace_partitions(kept, new_path, column)
+    kept.write.mode("overwrite").partitionBy(column).parquet(new_path)
 
 
 # --- partitioned tables of the session catalog ------------------------------------------------------------------------

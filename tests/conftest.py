@@ -1,3 +1,5 @@
+import contextlib
+import io
 import os
 import sys
 
@@ -49,4 +51,7 @@ def rows(df):
 
 def plan_of(df):
     """The physical plan as text."""
-    return df._jdf.queryExecution().executedPlan().toString()
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain()
+    return text.getvalue()

@@ -54,6 +54,11 @@ def test_files_to_marts(spark, folder, tmp_path, capsys):
     for mart in ("count_category_segment", "is_essential_avg_dm"):
         assert jobs.run(spark, ["build-mart", "--mart", mart, "--warehouse", house, "--target", str(tmp_path / mart)]) == 0
     assert read_table(spark, str(tmp_path / "is_essential_avg_dm")).first()["Essential"] == 1
+    assert jobs.run(spark, ["audit", "--warehouse", house, "--target", str(tmp_path / "audit")]) == 0
+    found = read_table(spark, str(tmp_path / "audit")).where("rule = 'foreign_key' and table_name = 'transactions'")
+    assert {r["column_name"]: r["violations"] for r in found.collect()} == {
+        "merchant_id": 0, "customer_id": 0, "channel_id": 0, "transaction_type_id": 0,
+    }
 
 
 def test_transactions_by_window_and_list(spark, folder, tmp_path, monkeypatch, capsys):

@@ -4,7 +4,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.load_filter import in_days, in_window, loadable, parse_days, rejected_days
+from tallyhouse.operators.load_filter import in_days, in_window, loadable, parse_days, rejected_days, window_days
 from tallyhouse.operators.reconcile import reconcile
 from tallyhouse.operators.snapshot import current_snapshot
 from tallyhouse.plans.pipeline import Warehouse, build_mart, load_dimension, load_transactions
@@ -116,8 +116,11 @@ def test_window_and_list(spark):
     assert rows(df.where(in_window(day, date(1960, 1, 1), D1)).select("id")) == [("a",)]
     assert rows(df.where(in_days(day, parse_days(" 2024-04-14,, 2024-04-16 "))).select("id")) == [("a",), ("c",)]
     assert df.where(in_days(day, [])).count() == 0
-    with pytest.raises(ValueError):
-        in_window(day, D2, D1)
+    assert window_days(D1, D3) == [D1, D2, D3]
+    assert window_days(date(1969, 12, 30), date(1970, 1, 2)) == [date(1970, 1, 1), date(1970, 1, 2)]
+    for build in (lambda: in_window(day, D2, D1), lambda: window_days(D2, D1)):
+        with pytest.raises(ValueError):
+            build()
 
 
 def test_early_and_missing_days_are_rejected_and_counted(spark):
@@ -180,7 +183,7 @@ def test_warehouse_from_dimension_loads_to_mart(spark, tmp_path):
     assert rejected["balance_after_transaction"] == 4 and rejected["amount"] == 0
     load_transactions(source, house, days=[D3], as_of=D3)
     assert house.table("transactions").count() == 3
-    mart = build_mart("segment_category_amount", house, D3).collect()
+    mart = build_mart("segment_category_amount", house.table, D3).collect()
     assert [(r["segment"], r["ATM"]) for r in mart] == [("retirees", D("20.00"))]
     assert house.has("customers") and not house.has("channels")
     with pytest.raises(ValueError):
