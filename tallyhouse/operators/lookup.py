@@ -35,15 +35,20 @@ _UNITS = {"": 1, "b": 1, "k": 2**10, "kb": 2**10, "m": 2**20, "mb": 2**20, "g":
 class Lookup:
     """One dimension to attach: ``fact_key = dim_key``, and the dimension's columns with their output names.
 
-    ``bounded`` is for a frame whose size its parameters fix (a generated calendar); it is broadcast unmeasured.
+    ``attached`` are lookups for the dimension itself, by its output names. ``bounded`` is for a frame whose size its
+    parameters fix (a generated calendar); it is broadcast unmeasured.
     """
 
     dim: DataFrame
     fact_key: str
     dim_key: str
     columns: Mapping[str, str]
+    attached: Sequence[Lookup] = ()
     bounded: bool = False
 
+    def outputs(self) -> list[str]:
+        return [*self.columns.values(), *(name for lookup in self.attached for name in lookup.outputs())]
+
 
 def broadcast_limit(spark: SparkSession) -> int:
     """The session's broadcast limit in bytes; 0 when broadcasting is switched off."""
@@ -67,27 +72,30 @@ def _row_bytes(df: DataFrame) -> Column:
     return sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in _text_columns(df)), fixed).cast("bigint")
 
 
-def fits(frames: Sequence[DataFrame], limit: int) -> list[bool]:
-    """Whether each frame is at most ``limit`` bytes.
+def few_rows(frames: Sequence[DataFrame], widths: Sequence[int], limit: int) -> list[bool]:
+    """Whether each frame has so few rows that, at ``widths`` columns, it may fit into ``limit`` bytes.
 
-    A frame with too many rows is found by reading only that many rows of it, without columns. What remains is small;
-    frames with texts are measured exactly, all in one job.
+    Reads no more rows of a frame than that, and no column.
     """
     if not frames:
         return []
-    beyond = [df.select(F.lit(1)).offset(limit // (COLUMN_BYTES * len(df.columns))) for df in frames]
+    beyond = [df.select(F.lit(1)).offset(limit // (COLUMN_BYTES * n)) for df, n in zip(frames, widths)]
     with ThreadPoolExecutor(len(frames)) as pool:
-        few = list(pool.map(lambda df: df.isEmpty(), beyond))
+        return list(pool.map(lambda df: df.isEmpty(), beyond))
+
+
+def few_bytes(frames: Sequence[DataFrame], limit: int) -> list[bool]:
+    """Whether each frame, known to have few rows, is at most ``limit`` bytes. Measured exactly, all in one job."""
     sized = [
         df.select(F.lit(i).alias("frame"), _row_bytes(df).alias("bytes"))
         for i, df in enumerate(frames)
-        if few[i] and _text_columns(df)
+        if _text_columns(df)
     ]
     if not sized:
-        return few
+        return [True] * len(frames)
     totals = reduce(DataFrame.unionAll, sized).groupBy("frame").agg(F.sum("bytes").alias("bytes")).collect()
     found = {row["frame"]: row["bytes"] for row in totals}
-    return [ok and found.get(i, 0) <= limit for i, ok in enumerate(few)]
+    return [found.get(i, 0) <= limit for i in range(len(frames))]
 
 
 def frequent_keys(fact: DataFrame, keys: Sequence[str]) -> dict[str, dict[object, int]]:
@@ -130,7 +138,7 @@ def salted_left_join(
     rows_without_key = counts.get(None, 0)
     hot = [(value, -(-n // rows_per_split)) for value, n in counts.items() if value is not None and n > rows_per_split]
     if not hot and rows_without_key <= rows_per_split:
-        return fact.join(dim, on_key == F.col(dim_key), "left")
+        return fact.join(dim, on_key == F.col(f"`{dim_key}`"), "left")
 
     zero = F.lit(0).cast("bigint")
     salt = F.when(on_key.isNull(), _spread(F.lit(-(-rows_without_key // rows_per_split) + 1).cast("bigint")))
@@ -141,17 +149,22 @@ def salted_left_join(
         salt = salt.when(F.col("__ways").isNotNull(), _spread(F.col("__ways")))
         repeats = F.sequence(zero, F.coalesce(F.col("__ways"), F.lit(1)) - 1)
         left = fact.join(ways, on_key == F.col("__hot"), "left")
-        right = dim.join(ways, F.col(dim_key) == F.col("__hot"), "left")
+        right = dim.join(ways, F.col(f"`{dim_key}`") == F.col("__hot"), "left")
     else:
         # Exploded, not a literal column: a literal would be folded into the fact side and the salt would no longer
         # take part in the partitioning.
         left, right, repeats = fact, dim, F.array(zero)
     left = left.select(*fact.columns, salt.otherwise(zero).alias("__salt"))
     right = right.select(*dim.columns, F.explode(repeats).alias("__way"))
-    on = (on_key == F.col(dim_key)) & (F.col("__salt") == F.col("__way"))
+    on = (on_key == F.col(f"`{dim_key}`")) & (F.col("__salt") == F.col("__way"))
     return left.join(right, on, "left").drop("__way", "__salt")
 
 
+def _key(lookup: Lookup, position: int) -> str:
+    """Name of a dimension's key during the join; distinct also from those of attached lookups."""
+    return f"__{lookup.fact_key}_{position}"
+
+
 def star_join(
     fact: DataFrame,
     lookups: Sequence[Lookup],
@@ -165,15 +178,20 @@ def star_join(
     with few columns ahead: they shuffle the fact rows, which are still narrow then.
     """
     limit = broadcast_limit(fact.sparkSession)
-    slim = [
+    own = [
         lookup.dim.select(
-            F.col(f"`{lookup.dim_key}`").alias(f"__key{i}"),
+            F.col(f"`{lookup.dim_key}`").alias(_key(lookup, i)),
             *[F.col(f"`{c}`").alias(out) for c, out in lookup.columns.items()],
         )
         for i, lookup in enumerate(lookups)
     ]
+    # Rows are counted before anything is attached to the dimension, so that a large one is not joined for it.
     to_measure = [i for i, lookup in enumerate(lookups) if not lookup.bounded]
-    fitting = dict(zip(to_measure, fits([slim[i] for i in to_measure], limit)))
+    few = few_rows([own[i] for i in to_measure], [1 + len(lookups[i].outputs()) for i in to_measure], limit)
+    fitting = dict(zip(to_measure, few))
+    dims = [star_join(df, lookup.attached) if lookup.attached else df for df, lookup in zip(own, lookups)]
+    candidates = [i for i in to_measure if fitting[i]]
+    fitting |= dict(zip(candidates, few_bytes([dims[i] for i in candidates], limit)))
     order = sorted(
         range(len(lookups)),
         key=lambda i: (where is not None and i != 0, fitting.get(i, True), len(lookups[i].columns)),
@@ -183,13 +201,13 @@ def star_join(
     for i in order:
         key = lookups[i].fact_key
         if fitting.get(i, True):
-            joined = joined.join(F.broadcast(slim[i]), F.col(f"`{key}`") == F.col(f"__key{i}"), "left")
+            joined = joined.join(F.broadcast(dims[i]), F.col(f"`{key}`") == F.col(_key(lookups[i], i)), "left")
         else:
             if key not in counts:
                 waiting = [lookups[j].fact_key for j in order if not fitting.get(j, True)]
                 counts |= frequent_keys(fact, [k for k in waiting if k not in counts])
-            joined = salted_left_join(joined, slim[i], key, f"__key{i}", counts[key], rows_per_split)
+            joined = salted_left_join(joined, dims[i], key, _key(lookups[i], i), counts[key], rows_per_split)
         if where is not None and i == 0:
             joined = joined.where(where)
-    outputs = [out for lookup in lookups for out in lookup.columns.values()]
+    outputs = [out for lookup in lookups for out in lookup.outputs()]
     return joined.select(*[F.col(f"`{c}`") for c in [*fact.columns, *outputs]])

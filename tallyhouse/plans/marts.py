@@ -57,7 +57,7 @@ def customer_monthly(
         "last_name",
         "monthly_salary_usd",
         "age",
-        *[F.col(name).cast(MONEY).alias(name) for name in MONTHS],
+        *MONTHS,
     )
 
 
@@ -68,12 +68,11 @@ def segment_size(customers: DataFrame) -> DataFrame:
 
 def _labelled(transactions: DataFrame, merchants: DataFrame, categories: DataFrame, attribute: str) -> DataFrame:
     """Every transaction with one attribute of its merchant's category; NULL when there is none."""
-    of_merchant = star_join(
-        merchants.select("merchant_id", "category_id"),
-        [Lookup(categories, "category_id", "category_id", {attribute: attribute})],
+    of_category = Lookup(categories, "category_id", "category_id", {attribute: attribute})
+    of_merchant = Lookup(
+        merchants, "merchant_id", "merchant_id", {"category_id": "category_id"}, attached=[of_category]
     )
-    needed = transactions.select("merchant_id", "customer_id", "amount")
-    return star_join(needed, [Lookup(of_merchant, "merchant_id", "merchant_id", {attribute: attribute})])
+    return star_join(transactions.select("merchant_id", "customer_id", "amount"), [of_merchant])
 
 
 def _by_segment(per_customer: DataFrame, customers: DataFrame) -> DataFrame:
@@ -140,23 +139,6 @@ def wide_expense(tables: Mapping[str, DataFrame]) -> DataFrame:
     fact = tables["transactions"].select(
         *[F.col(c).alias(f"transaction_{c.removeprefix('transaction_')}") for c in tables["transactions"].columns]
     )
-    # Dimensions that hang on another dimension are attached there first, so the fact rows are joined once per
-    # dimension they refer to.
-    merchants = star_join(
-        tables["merchants"].select(*[F.col(c).alias(n) for c, n in attributes("merchants", "merchant").items()]),
-        [
-            Lookup(tables["categories"], "merchant_category_id", "category_id", attributes("categories", "category")),
-            Lookup(tables["cities"], "merchant_city_id", "city_id", attributes("cities", "city")),
-        ],
-    )
-    accounts = star_join(
-        tables["accounts"].select(*[F.col(c).alias(n) for c, n in attributes("accounts", "account").items()]),
-        [Lookup(tables["branches"], "account_branch_id", "branch_id", attributes("branches", "branch"))],
-    )
-
-    def same(df: DataFrame) -> dict[str, str]:
-        return {c: c for c in df.columns}
-
     kind = Lookup(
         tables["transaction_types"],
         "transaction_type_id",
@@ -169,9 +151,29 @@ def wide_expense(tables: Mapping[str, DataFrame]) -> DataFrame:
             kind,
             Lookup(tables["channels"], "transaction_channel_id", "channel_id", attributes("channels", "channel")),
             Lookup(tables["calender"], "transaction_date_key", "date_key", attributes("calender", "calender")),
-            Lookup(merchants, "transaction_merchant_id", "merchant_merchant_id", same(merchants)),
+            Lookup(
+                tables["merchants"],
+                "transaction_merchant_id",
+                "merchant_id",
+                attributes("merchants", "merchant"),
+                attached=[
+                    Lookup(
+                        tables["categories"],
+                        "merchant_category_id",
+                        "category_id",
+                        attributes("categories", "category"),
+                    ),
+                    Lookup(tables["cities"], "merchant_city_id", "city_id", attributes("cities", "city")),
+                ],
+            ),
             Lookup(tables["customers"], "transaction_customer_id", "customer_id", attributes("customers", "customer")),
-            Lookup(accounts, "transaction_account_id", "account_account_number", same(accounts)),
+            Lookup(
+                tables["accounts"],
+                "transaction_account_id",
+                "account_number",
+                attributes("accounts", "account"),
+                attached=[Lookup(tables["branches"], "account_branch_id", "branch_id", attributes("branches", "branch"))],
+            ),
         ],
         where=~F.col("type_is_income"),
     )

@@ -1,6 +1,14 @@
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.lookup import Lookup, broadcast_limit, fits, frequent_keys, salted_left_join, star_join
+from tallyhouse.operators.lookup import (
+    Lookup,
+    broadcast_limit,
+    few_bytes,
+    few_rows,
+    frequent_keys,
+    salted_left_join,
+    star_join,
+)
 from tests.conftest import plan_of, rows
 
 
@@ -90,8 +98,20 @@ def test_sizes_are_checked(spark):
     many = spark.range(100_000)
     texts = spark.range(10).select(F.expr("repeat('x', 100000)").alias("s"))
     tiny = spark.sql("SELECT 'a' AS s")
-    assert fits([many, texts, tiny], 500_000) == [False, False, True]
-    assert fits([spark.range(0).select(F.lit("a").alias("s"))], 100) == [True]
+    assert few_rows([many, texts, tiny], [1, 1, 1], 500_000) == [False, True, True]
+    assert few_bytes([texts, tiny, spark.range(3)], 500_000) == [False, True, True]
+    assert few_bytes([tiny.limit(0)], 100) == [True]
+
+
+def test_a_lookup_of_the_dimension_is_attached_to_the_dimension(spark, setting):
+    fact = spark.sql("SELECT * FROM VALUES ('a'), ('b'), ('z'), (null) AS t(k)")
+    dim = spark.sql("SELECT * FROM VALUES ('a', 'x'), ('b', null) AS t(k, outer_key)")
+    outer = spark.sql("SELECT 'x' AS k, 7 AS v")
+    nested = Lookup(dim, "k", "k", {"outer_key": "ok"}, attached=[Lookup(outer, "ok", "k", {"v": "v"})])
+    expected = [("a", "x", 7), ("b", None, None), ("z", None, None), (None, None, None)]
+    assert rows(star_join(fact, [nested])) == sorted(expected, key=repr)
+    setting("spark.sql.autoBroadcastJoinThreshold", "0")
+    assert rows(star_join(fact, [nested])) == sorted(expected, key=repr)
 
 
 def test_broadcast_limit_reads_the_session(spark, setting):
