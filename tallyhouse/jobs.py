@@ -4,14 +4,15 @@
     load-calendar     --start D --end D --warehouse W           the generated date dimension
     load-dimension    --table T SOURCE --warehouse W
     load-transactions SOURCE --warehouse W (--start D --end D | --dates D,D,...)
-    clean-legacy      --csv FILE --target PATH                  cleaned rows of the older layout
-    build-daily       --csv FILE --target PATH                  older layout: daily totals per account
+    clean-legacy      SOURCE --target PATH                      older layout: cleaned rows, appended
+    load-legacy       SOURCE --form day|moment --target PATH    older layout: fact, appended
+    build-daily       SOURCE --target PATH                      older layout: daily totals per account
     build-mart        --mart M (--warehouse W | --jdbc PREFIX) --target PATH
     audit             --warehouse W --target PATH               declared integrity rules and their violations
 
 SOURCE is ``--parquet PATH``, ``--csv FILE``, or ``--jdbc PREFIX --source-table NAME`` with the connection in
 ``PREFIX_URL``, ``PREFIX_DRIVER``, ``PREFIX_USER`` and ``PREFIX_PASSWORD``. The window also comes from ``LOAD_START``,
-``LOAD_END`` and ``LOAD_DATES``. Days from a database are read side by side, one query per day. A target of the form ``jdbc:PREFIX:TABLE`` is written to a database.
+``LOAD_END`` and ``LOAD_DATES``. ``--show N`` prints the first N rows of what was written. Days from a database are read side by side, one query per day. A target of the form ``jdbc:PREFIX:TABLE`` is written to a database.
 """
 
 from __future__ import annotations
@@ -24,8 +25,10 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyhouse.operators.load_filter import parse_days, window_days
+from tallyhouse.operators.readback import first_rows
 from tallyhouse.plans import legacy
 from tallyhouse.plans.audit import audit
 from tallyhouse.plans.calendar import calendar_dim, days_between
@@ -39,7 +42,7 @@ from tallyhouse.plans.pipeline import (
 )
 from tallyhouse.schemas import LEGACY_RAW, RAW, WAREHOUSE
 from tallyhouse.session import build_session
-from tallyhouse.sinks.jdbc import overwrite_jdbc
+from tallyhouse.sinks.jdbc import append_jdbc, overwrite_jdbc
 from tallyhouse.sinks.tables import DAY, append_table, write_table
 from tallyhouse.sources.files import CORRUPT, malformed_lines, read_csv, read_registry, read_table
 from tallyhouse.sources.jdbc import Database, Split, read_jdbc, read_jdbc_days
@@ -65,6 +68,7 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--warehouse", required=True)
         if target:
             sub.add_argument("--target", required=True)
+            sub.add_argument("--show", type=int, default=0)
         sub.add_argument("--as-of", type=date.fromisoformat)
         return sub
 
@@ -81,8 +85,9 @@ def parser() -> argparse.ArgumentParser:
     for name in ("start", "end"):
         facts.add_argument(f"--{name}", type=date.fromisoformat, default=_day_of(os.getenv(f"LOAD_{name.upper()}")))
     facts.add_argument("--dates", type=parse_days, default=_days_of(os.getenv("LOAD_DATES")))
-    job("clean-legacy", target=True).add_argument("--csv", required=True)
-    job("build-daily", target=True).add_argument("--csv", required=True)
+    job("clean-legacy", source=True, target=True)
+    job("load-legacy", source=True, target=True).add_argument("--form", choices=("day", "moment"), required=True)
+    job("build-daily", source=True, target=True)
     mart = job("build-mart", target=True)
     mart.add_argument("--mart", required=True, choices=MARTS)
     place = mart.add_mutually_exclusive_group(required=True)
@@ -100,27 +105,34 @@ def _days_of(text: str | None) -> list[date] | None:
     return parse_days(text) if text else None
 
 
-def _source(spark: SparkSession, args: argparse.Namespace, table: str) -> DataFrame:
+def _source(spark: SparkSession, args: argparse.Namespace, table: str, schema: StructType) -> DataFrame:
     if args.parquet:
         return read_table(spark, args.parquet)
     if args.csv:
-        return read_csv(spark, args.csv, RAW[table]).drop(CORRUPT)
+        return read_csv(spark, args.csv, schema).drop(CORRUPT)
     database, name = Database.from_environment(args.jdbc), args.source_table or table
     if args.split_column:
         return read_jdbc(
             spark, database, name, Split(args.split_column, args.split_lower, args.split_upper, args.split_parts)
         )
-    if table == "transactions":
+    if args.job == "load-transactions":
         return read_jdbc_days(spark, database, name, args.dates or window_days(args.start, args.end), DAY)
     return read_jdbc(spark, database, name)
 
 
-def _write(df: DataFrame, target: str) -> None:
-    if target.startswith("jdbc:"):
-        _, prefix, table = target.split(":", 2)
-        overwrite_jdbc(df, Database.from_environment(prefix), table)
+def _write(df: DataFrame, args: argparse.Namespace, append: bool = False) -> None:
+    """Write to the target and show its first rows in the order of the columns."""
+    spark = df.sparkSession
+    if args.target.startswith("jdbc:"):
+        _, prefix, table = args.target.split(":", 2)
+        database = Database.from_environment(prefix)
+        (append_jdbc if append else overwrite_jdbc)(df, database, table)
+        stored = read_jdbc(spark, database, table) if args.show else None
     else:
-        write_table(df, target)
+        (append_table if append else write_table)(df, args.target)
+        stored = read_table(spark, args.target) if args.show else None
+    if stored is not None:
+        first_rows(stored, stored.columns[:2], args.show).show(args.show, truncate=False)
 
 
 def _load_transactions(warehouse: Warehouse, source: DataFrame, args: argparse.Namespace) -> int:
@@ -161,22 +173,26 @@ def run(spark: SparkSession, argv: Sequence[str]) -> int:
     elif args.job == "load-calendar":
         load_dimension(calendar_dim(days_between(spark, args.start, args.end)), "calender", warehouse)
     elif args.job == "load-dimension":
-        load_dimension(_source(spark, args, args.table), args.table, warehouse, args.as_of)
+        load_dimension(_source(spark, args, args.table, RAW[args.table]), args.table, warehouse, args.as_of)
     elif args.job == "load-transactions":
-        return _load_transactions(warehouse, _source(spark, args, "transactions"), args)
-    elif args.job == "clean-legacy":
-        append_table(legacy.clean_raw(read_csv(spark, args.csv, LEGACY_RAW).drop(CORRUPT)), args.target)
-    elif args.job == "build-daily":
-        rows = legacy.clean_raw(read_csv(spark, args.csv, LEGACY_RAW).drop(CORRUPT))
-        _write(legacy.daily_account_totals(legacy.fact_with_moment(rows)), args.target)
+        return _load_transactions(warehouse, _source(spark, args, "transactions", RAW["transactions"]), args)
+    elif args.job in ("clean-legacy", "load-legacy", "build-daily"):
+        rows = _source(spark, args, "transactions", LEGACY_RAW)
+        if args.job == "clean-legacy":
+            _write(legacy.clean_raw(rows), args, append=True)
+        elif args.job == "load-legacy":
+            fact = legacy.fact_with_day_text if args.form == "day" else legacy.fact_with_moment
+            _write(fact(rows), args, append=True)
+        else:
+            _write(legacy.daily_account_totals(legacy.fact_with_moment(rows)), args)
     elif args.job == "build-mart":
         if args.jdbc:
             table = database_tables(spark, Database.from_environment(args.jdbc))
         else:
             table = Warehouse(spark, args.warehouse).table
-        _write(build_mart(args.mart, table, args.as_of or date.today()), args.target)
+        _write(build_mart(args.mart, table, args.as_of or date.today()), args)
     elif args.job == "audit":
-        _write(audit({t: warehouse.table(t) for t in WAREHOUSE if warehouse.has(t)}), args.target)
+        _write(audit({t: warehouse.table(t) for t in WAREHOUSE if warehouse.has(t)}), args)
     return 0
 
 

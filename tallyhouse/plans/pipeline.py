@@ -17,6 +17,7 @@ from tallyhouse.operators.reconcile import reconcile
 from tallyhouse.operators.snapshot import current_snapshot
 from tallyhouse.plans import marts
 from tallyhouse.schemas import PRIMARY_KEY, WAREHOUSE, WITHOUT_ETL_DATE
+from tallyhouse.session import written
 from tallyhouse.sinks.tables import DAY, append_load, replace_days, write_table
 from tallyhouse.sources.files import read_table
 from tallyhouse.sources.jdbc import Database, Split, read_jdbc
@@ -131,10 +132,14 @@ def build_mart(name: str, table: Callable[[str], DataFrame], as_of: date) -> Dat
 
 
 def latest(stored: DataFrame, table: str) -> DataFrame:
-    """A stored table as of its latest load, without the load date."""
+    """A stored table as of its latest load, without the load date.
+
+    The latest state of a dimension is written to the shared folder once, as a mart reads it several times: to check its
+    size, to join it, to count it.
+    """
     if table == "transactions" or "etl_date" not in stored.columns:
         return stored.drop("etl_date")
-    return current_snapshot(stored, PRIMARY_KEY[table]).drop("etl_date")
+    return written(current_snapshot(stored, PRIMARY_KEY[table]).drop("etl_date"), f"latest-{table}")
 
 
 def database_tables(

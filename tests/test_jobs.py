@@ -74,7 +74,7 @@ def test_transactions_by_window_and_list(spark, folder, tmp_path, monkeypatch, c
         jobs.run(spark, [*base, "--start", "2024-02-01", "--end", "2024-01-01"])
 
 
-def test_older_layout_daily_totals(spark, tmp_path):
+def test_older_layout_daily_totals(spark, tmp_path, capsys):
     raw = tmp_path / "t.csv"
     raw.write_text(
         "transaction_id,account_number,customer_id,transaction_date,transaction_time,transaction_amount,transaction_type,"
@@ -82,7 +82,13 @@ def test_older_layout_daily_totals(spark, tmp_path):
         "00000000001,ACC1,C1,2025-05-18,17:44:00,12.50,debit,Shop,gas,100.00,Ankara,POS\n"
         "00000000002,ACC1,C1,2025-05-18,18:44:00,2.50,debit,Shop,gas,97.50,Ankara,POS\n"
     )
-    assert jobs.run(spark, ["build-daily", "--csv", str(raw), "--target", str(tmp_path / "daily")]) == 0
+    assert jobs.run(spark, ["build-daily", "--csv", str(raw), "--target", str(tmp_path / "daily"), "--show", "3"]) == 0
+    assert "2025-05-18" in capsys.readouterr().out
+    for form in ("day", "moment"):
+        args = ["load-legacy", "--csv", str(raw), "--form", form, "--target", str(tmp_path / form)]
+        assert jobs.run(spark, args) == 0
+    assert {str(r["transaction_date"]) for r in read_table(spark, str(tmp_path / "day")).collect()} == {"2025-05-18"}
+    assert {str(r["ts"])[11:] for r in read_table(spark, str(tmp_path / "moment")).collect()} == {"17:44:00", "18:44:00"}
     found = read_table(spark, str(tmp_path / "daily")).first()
     assert (found["account_number"], found["day"], found["tx_count"], float(found["total_amount"])) == ("ACC1", "2025-05-18", 2, 15.0)
     assert jobs.run(spark, ["clean-legacy", "--csv", str(raw), "--target", str(tmp_path / "clean")]) == 0
