@@ -169,7 +169,7 @@ def star_join(
     fact: DataFrame,
     lookups: Sequence[Lookup],
     where: Column | None = None,
-    rows_per_split: int = ROWS_PER_SPLIT,
+    rows_per_split: int | None = None,
 ) -> DataFrame:
     """Attach the columns of every lookup to the fact rows by left joins.
 
@@ -177,6 +177,7 @@ def star_join(
     before all others, so that the rest meets only the rows kept. Of the others the large dimensions come first, those
     with few columns ahead: they shuffle the fact rows, which are still narrow then.
     """
+    rows_per_split = rows_per_split or ROWS_PER_SPLIT
     limit = broadcast_limit(fact.sparkSession)
     own = [
         lookup.dim.select(
