@@ -50,13 +50,18 @@ class Lookup:
         return [*self.columns.values(), *(name for lookup in self.attached for name in lookup.outputs())]
 
 
+# The session's limit is meant for estimates from compressed files. Sizes measured here are those of rows in memory, which
+# may be this many times larger.
+IN_MEMORY_FACTOR = 4
+
+
 def broadcast_limit(spark: SparkSession) -> int:
-    """The session's broadcast limit in bytes; 0 when broadcasting is switched off."""
+    """Measured bytes up to which a dimension is broadcast; 0 when the session has broadcasting switched off."""
     text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
     match = re.fullmatch(r"(-?\d+)\s*([kmg]?b?)", text)
     if match is None:
         raise ValueError(f"cannot read spark.sql.autoBroadcastJoinThreshold = {text}")
-    return max(0, int(match.group(1)) * _UNITS[match.group(2)])
+    return max(0, int(match.group(1)) * _UNITS[match.group(2)]) * IN_MEMORY_FACTOR
 
 
 # Bytes counted per column, over and above the characters of a text.
