@@ -22,6 +22,8 @@ SEED = 42
 SHARED = 3
 #: A bucket with more fingerprints than this is cut again by the bits that its key leaves free.
 BUCKET = 256
+#: With so few bits free a bucket cannot hold more than 2^FREE fingerprints, and is joined in any case.
+FREE = 8
 
 
 def fingerprint(text: str | None, shingle: int) -> int:
@@ -89,14 +91,15 @@ def close_pairs(prints: DataFrame, distance: int) -> DataFrame:
 
     Such a pair leaves SHARED of ``distance + SHARED`` blocks alike, so it shares a bucket: a choice of blocks and the
     fingerprint's bits there. A bucket of more than BUCKET fingerprints is not joined but cut again, by the same
-    argument, along the bits that its key leaves free. Keys grow each time, and with 8 bits free a bucket cannot hold
+    argument, along the bits that its key leaves free. Keys grow each time, and with FREE bits free a bucket cannot hold
     more than 256 fingerprints, so this ends, nothing is capped and no bucket is paired beyond BUCKET squared. The join
     emits a pair only if it is near, and from the first choice only that it agrees on.
     """
     todo, found, first = prints.select("fp", F.lit(0).cast("bigint").alias("held")), [], True
     while True:
         rows = written(expand(todo, distance), "buckets")
-        hot = written(rows.groupBy("mask", "key").count().where(F.col("count") > BUCKET).select("mask", "key"), "hot-buckets")
+        full = (F.col("count") > BUCKET) & (F.bit_count("mask") < BITS - FREE)
+        hot = written(rows.groupBy("mask", "key").count().where(full).select("mask", "key"), "hot-buckets")
         again = not hot.isEmpty()
         small = rows.join(hot, ["mask", "key"], "left_anti") if again else rows
         a = small.withColumnRenamed("fp", "a")

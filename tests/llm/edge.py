@@ -1,0 +1,36 @@
+"""Small documents with what goes wrong most easily: nulls, empty and long texts, ties, repeated rows, clashing columns."""
+
+from pyspark.sql import functions as F
+
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu".split()
+LINE = "This line stands in many of the documents."
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def text(seed: int, n: int) -> str:
+    return " ".join(WORDS[(seed * 7 + i * i + i * seed) % len(WORDS)] + str((seed * 31 + i) % 97) for i in range(n))
+
+
+ROWS = [
+    (1, text(1, 40) + "\n" + LINE, "en", "a", 1),
+    (2, text(1, 40) + "\n" + LINE, "en", "a", 1),
+    (3, text(3, 30) + "\n  " + LINE.upper() + "\t\n" + LINE, "fr", "b", 2),
+    (4, None, None, None, None),
+    (5, "", "en", None, 0),
+    (6, " \t\n ", "fr", "b", 4),
+    (7, text(7, 20_000), "fr", "a", 9),
+    (8, "12345 !!!\n" + LINE, "en", "c", 1),
+    (9, text(9, 60) + "\n\n" + LINE, None, "", 1),
+    (9, text(9, 60) + "\n\n" + LINE, None, "", 1),
+    (None, text(1, 40) + "\n" + LINE, "en", "a", 1),
+    (12, "éé ÀB ß\x0b\x0c" + LINE, "fr", "b", 3),
+]
+#: Names that the operators use themselves.
+CLASHES = ["size", "source_size", "target", "copies", "rate__", "n_lines", "n_dropped", "keys__", "fp", "fingerprint", "component_id", "block", "found", "host", "path", "rule", "verdict", "shard", "key", "score", "length", "start", "ids", "group__", "copies_"]
+
+
+def documents(spark, rows=ROWS, clash=True):
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for name in CLASHES if clash else []:
+        docs = docs.withColumn(name, F.lit("x"))
+    return docs
