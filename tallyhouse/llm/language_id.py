@@ -210,12 +210,14 @@ class Labeller:
 
     def label(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Language and score of each text."""
+        if not self.model.labels:
+            return [UNKNOWN] * len(texts), np.zeros(len(texts))
         found, owner = self.posteriors(texts)
-        mass = np.stack([np.bincount(owner, found[:, k], len(texts)) for k in range(len(self.model.labels))], 1) if self.model.labels else np.zeros((len(texts), 1))
+        mass = np.stack([np.bincount(owner, found[:, k], len(texts)) for k in range(len(self.model.labels))], 1)
         total = mass.sum(1)
         best = mass.argmax(1)
         score = np.clip(mass[np.arange(len(texts)), best] / np.maximum(total, 1e-300), 0, 1)
-        known = np.array([bool(self.model.labels) and n > 0 and has_letter(t) for n, t in zip(total, texts)])
+        known = np.array([n > 0 and has_letter(t) for n, t in zip(total, texts)], bool)
         return [self.model.labels[b] if k else UNKNOWN for b, k in zip(best, known)], np.where(known, score, 0.0)
 
     def spans(self, text: str | None) -> list[tuple[int, int, str]]:
