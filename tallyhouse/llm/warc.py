@@ -93,7 +93,7 @@ def page_number(value: str | None) -> int | None:
 
 CHUNK = (
     "file string, part long, place long, size long, reach long, kind string, page_id long, url string, payload_bytes long, payload_digest string, "
-    "refers_to long, body string, body_bytes long, body_digest string"
+    "refers_to long, raw string, body_from int, body_bytes long, body_digest string"
 )
 
 
@@ -104,7 +104,7 @@ def chunks(spark: SparkSession, path: str) -> DataFrame:
     chunks, so a chunk's offset is the sum of the sizes before it. A claim is -1 where no header with a length can be read.
     """
     names = [x.split()[0] for x in CHUNK.split(", ")]
-    kinds = {"string": pa.string(), "long": pa.int64()}
+    kinds = {"string": pa.string(), "long": pa.int64(), "int": pa.int32()}
     schema = pa.schema([(x.split()[0], kinds[x.split()[1]]) for x in CHUNK.split(", ")])
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,7 +129,7 @@ def chunks(spark: SparkSession, path: str) -> DataFrame:
                 rows.append((
                     file, part, place, size + len(MAGIC), reach, field(head, "WARC-Type"), page_number(field(head, "WARC-Record-ID")), field(head, "WARC-Target-URI"),
                     int(stated) if stated and stated.isdigit() else None, (field(head, "WARC-Payload-Digest") or "").removeprefix("sha1:") or None, page_number(field(head, "WARC-Refers-To")),
-                    payload.decode("utf-8", "replace") if whole else raw.decode("utf-8", "replace"), len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode(),
+                    raw.decode("utf-8", "replace"), len(raw[: len(raw) - len(END) - len(payload)].decode("utf-8", "replace")), len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode(),
                 ))
                 place += size + len(MAGIC)
             yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), schema.types)], schema=schema) if rows else pa.RecordBatch.from_pylist([], schema=schema)
@@ -178,11 +178,13 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     owner = F.last("begin", True).over(Window.partitionBy("file").orderBy("offset"))
     flags = written(flags.withColumn("record", owner).where("record is not null"), "chunk-owners")
     fields = ["kind", "page_id", "url", "payload_bytes", "payload_digest", "refers_to", "body", "body_bytes", "body_digest"]
-    whole = found.join(flags.where("begin is not null and whole").select("file", "part", "place"), ["file", "part", "place"], "left_semi").select(*fields)
+    # What stands between the head of the HTTP block and the two line ends that close the record.
+    body = F.col("raw").substr(F.col("body_from") + 1, F.length("raw") - F.col("body_from") - len(END))
+    whole = found.withColumn("body", body).join(flags.where("begin is not null and whole").select("file", "part", "place"), ["file", "part", "place"], "left_semi").select(*fields)
     broken = flags.join(flags.where("begin is not null and not whole").select("file", "record"), ["file", "record"], "left_semi")
     parts = found.join(broken.select("file", "part", "place", "record", "offset"), ["file", "part", "place"])
     firsts = [F.min_by(c, "offset").alias(c) for c in fields if not c.startswith("body")]
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("offset", F.col("body").alias("b")))), lambda s: s["b"]), MAGIC)
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("offset", F.col("raw").alias("b")))), lambda s: s["b"]), MAGIC)
     # The text of a record from its header on: the HTTP head and the payload lie between the first and the last blank line.
     text = parts.groupBy("file", "record").agg(*firsts, F.min_by("reach", "offset").alias("reach"), joined.alias("text"))
     text = text.withColumn("block", F.expr(r"substring(text, locate('\r\n\r\n', text) + 4)")).withColumn("block", F.expr("substring(block, 1, length(block) - 4)"))
