@@ -184,7 +184,7 @@ def run(spark: SparkSession, argv: Sequence[str]) -> int:
             fact = legacy.fact_with_day_text if args.form == "day" else legacy.fact_with_moment
             _write(fact(rows), args, append=True)
         else:
-            _write(legacy.daily_account_totals(legacy.fact_with_moment(rows)), args)
+            _write(legacy.daily_account_totals(legacy.fact_with_moment(rows, with_day=True)), args)
     elif args.job == "build-mart":
         if args.jdbc:
             table = database_tables(spark, Database.from_environment(args.jdbc))

@@ -1,42 +1,33 @@
 """Left joins of a fact table to its dimensions, safe against large dimensions and hot keys.
 
-Each dimension is cut to its key and the wanted columns and its size is measured. Within the session's broadcast
-limit it is broadcast, so the fact rows are not shuffled. A larger one is joined by a shuffle on (key, salt): a key
-that many fact rows share is spread over several salts and its one dimension row is repeated for each of them, so no
-task gets the whole key. Fact rows without a key are spread too. Every fact row is kept exactly once.
+Each lookup says what kind of dimension it has. A small one (types, channels, calendar) is joined without a hint, so the
+planner broadcasts it if its size is within the session's limit, and adaptive execution does so once the size is
+known. A large one (customers, accounts, merchants) is joined on (key, salt): the fact rows of every key are spread
+over a fixed number of salts, and each dimension row is repeated for each salt. So no key is one task's, whatever its
+share of the rows, and rows without a key are spread too. Nothing is measured and no job runs while a plan is built; the plan does not
+depend on the size of the data. Every fact row is kept exactly once.
 
 Dimension keys have to be unique (see ``current_snapshot``); a repeated key repeats fact rows, as in any join.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# Fact rows of one key that a single task may take; a key with more is split.
-ROWS_PER_SPLIT = 2_000_000
-# Keys the frequency sketch reports, and counters it keeps: a key with more than about 4 / SKETCH_SIZE of all rows is
-# always seen. The sketches of the tasks are merged in groups before one task merges the groups.
-SKETCH_KEYS = 1_000
-SKETCH_SIZE = 8_192
-SKETCH_GROUPS = 256
-
-_UNITS = {"": 1, "b": 1, "k": 2**10, "kb": 2**10, "m": 2**20, "mb": 2**20, "g": 2**30, "gb": 2**30}
+# Ways that each key of a large dimension is split. A key that holds a third of the facts costs a task a forty-eighth.
+SPLITS = 16
 
 
 @dataclass(frozen=True)
 class Lookup:
     """One dimension to attach: ``fact_key = dim_key``, and the dimension's columns with their output names.
 
-    ``attached`` are lookups for the dimension itself, by its output names. ``bounded`` is for a frame whose size its
-    parameters fix (a generated calendar); it is broadcast unmeasured.
+    ``attached`` are lookups for the dimension itself, by its output names. ``large`` is for a dimension that grows with
+    the business: its keys are split.
     """
 
     dim: DataFrame
@@ -44,124 +35,24 @@ class Lookup:
     dim_key: str
     columns: Mapping[str, str]
     attached: Sequence[Lookup] = ()
-    bounded: bool = False
+    large: bool = False
 
     def outputs(self) -> list[str]:
         return [*self.columns.values(), *(name for lookup in self.attached for name in lookup.outputs())]
 
 
-# The session's limit is meant for estimates from compressed files. Sizes measured here are those of rows in memory, which
-# may be this many times larger.
-IN_MEMORY_FACTOR = 4
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """Measured bytes up to which a dimension is broadcast; 0 when the session has broadcasting switched off."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
-    match = re.fullmatch(r"(-?\d+)\s*([kmg]?b?)", text)
-    if match is None:
-        raise ValueError(f"cannot read spark.sql.autoBroadcastJoinThreshold = {text}")
-    return max(0, int(match.group(1)) * _UNITS[match.group(2)]) * IN_MEMORY_FACTOR
-
-
-# Bytes counted per column, over and above the characters of a text.
-COLUMN_BYTES = 16
-
-
-def _text_columns(df: DataFrame) -> list[Column]:
-    return [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-
+def salted_left_join(fact: DataFrame, dim: DataFrame, key: str, dim_key: str, splits: int = SPLITS) -> DataFrame:
+    """Left join on ``key = dim_key`` with every key split ``splits`` ways. Adds the columns of ``dim``.
 
-def _row_bytes(df: DataFrame) -> Column:
-    fixed = F.lit(COLUMN_BYTES * len(df.columns))
-    return sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in _text_columns(df)), fixed).cast("bigint")
-
-
-def few_rows(frames: Sequence[DataFrame], widths: Sequence[int], limit: int) -> list[bool]:
-    """Whether each frame has so few rows that, at ``widths`` columns, it may fit into ``limit`` bytes.
-
-    Reads no more rows of a frame than that, and no column.
-    """
-    if not frames:
-        return []
-    beyond = [df.select(F.lit(1)).offset(limit // (COLUMN_BYTES * n)) for df, n in zip(frames, widths)]
-    with ThreadPoolExecutor(len(frames)) as pool:
-        return list(pool.map(lambda df: df.isEmpty(), beyond))
-
-
-def few_bytes(frames: Sequence[DataFrame], limit: int) -> list[bool]:
-    """Whether each frame, known to have few rows, is at most ``limit`` bytes. Measured exactly, all in one job."""
-    sized = [
-        df.select(F.lit(i).alias("frame"), _row_bytes(df).alias("bytes"))
-        for i, df in enumerate(frames)
-        if _text_columns(df)
-    ]
-    if not sized:
-        return [True] * len(frames)
-    totals = reduce(DataFrame.unionAll, sized).groupBy("frame").agg(F.sum("bytes").alias("bytes")).collect()
-    found = {row["frame"]: row["bytes"] for row in totals}
-    return [found.get(i, 0) <= limit for i in range(len(frames))]
-
-
-def frequent_keys(fact: DataFrame, keys: Sequence[str]) -> dict[str, dict[object, int]]:
-    """Frequent values of each column with their approximate row counts.
-
-    One pass over the key columns with a sketch of fixed size per task; at most ``SKETCH_KEYS`` values per column
-    reach the driver. The counts only decide how a key is split, never which rows are kept.
+    The salt is the input partition's number. A task holds a bounded share of the rows, so sending its rows of one key to
+    one place is even enough; the number neither reads a column nor depends on the order of rows, and a task that runs
+    again gets the same one.
     """
-    names = list(dict.fromkeys(keys))
-    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("__group")
-    per_task = [F.expr(f"approx_top_k_accumulate(`{n}`, {SKETCH_SIZE})").alias(f"s{i}") for i, n in enumerate(names)]
-    merged = [F.expr(f"approx_top_k_estimate(approx_top_k_combine(s{i}), {SKETCH_KEYS})") for i in range(len(names))]
-    sketches = fact.select(*[F.col(f"`{n}`") for n in names], group).groupBy("__group").agg(*per_task)
-    # Grouped by a constant, since merging sketches fails on a task without input when there is no group.
-    found = sketches.groupBy(F.lit("all").alias("__all")).agg(*merged).drop("__all").first()
-    if found is None:
-        return {name: {} for name in names}
-    return {name: {entry["item"]: entry["count"] for entry in found[i]} for i, name in enumerate(names)}
-
-
-def _spread(ways: Column) -> Column:
-    """A number in [0, ways) by input partition.
-
-    A task holds a bounded share of the rows, so sending its rows of one key to one place is even enough. The number
-    neither reads a column nor depends on the order of rows, and a task that runs again gets the same one.
-    """
-    return F.pmod(F.spark_partition_id().cast("bigint"), ways)
-
-
-def salted_left_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    key: str,
-    dim_key: str,
-    counts: Mapping[object, int],
-    rows_per_split: int = ROWS_PER_SPLIT,
-) -> DataFrame:
-    """Left join on ``key = dim_key`` with the hot keys of ``counts`` split. Adds the columns of ``dim``."""
-    on_key = F.col(f"`{key}`")
-    rows_without_key = counts.get(None, 0)
-    hot = [(value, -(-n // rows_per_split)) for value, n in counts.items() if value is not None and n > rows_per_split]
-    if not hot and rows_without_key <= rows_per_split:
-        return fact.join(dim, on_key == F.col(f"`{dim_key}`"), "left")
-
-    zero = F.lit(0).cast("bigint")
-    salt = F.when(on_key.isNull(), _spread(F.lit(-(-rows_without_key // rows_per_split) + 1).cast("bigint")))
-    if hot:
-        # At most SKETCH_KEYS rows, so broadcasting them is bounded.
-        schema = T.StructType([T.StructField("__hot", fact.schema[key].dataType), T.StructField("__ways", T.LongType())])
-        ways = F.broadcast(fact.sparkSession.createDataFrame(hot, schema))
-        salt = salt.when(F.col("__ways").isNotNull(), _spread(F.col("__ways")))
-        repeats = F.sequence(zero, F.coalesce(F.col("__ways"), F.lit(1)) - 1)
-        left = fact.join(ways, on_key == F.col("__hot"), "left")
-        right = dim.join(ways, F.col(f"`{dim_key}`") == F.col("__hot"), "left")
-    else:
-        # Exploded, not a literal column: a literal would be folded into the fact side and the salt would no longer
-        # take part in the partitioning.
-        left, right, repeats = fact, dim, F.array(zero)
-    left = left.select(*fact.columns, salt.otherwise(zero).alias("__salt"))
-    right = right.select(*dim.columns, F.explode(repeats).alias("__way"))
-    on = (on_key == F.col(f"`{dim_key}`")) & (F.col("__salt") == F.col("__way"))
+    salt = F.pmod(F.spark_partition_id().cast("bigint"), F.lit(splits).cast("bigint"))
+    left = fact.select(*[F.col(f"`{c}`") for c in fact.columns], salt.alias("__salt"))
+    ways = F.sequence(F.lit(0).cast("bigint"), F.lit(splits - 1).cast("bigint"))
+    right = dim.select(*[F.col(f"`{c}`") for c in dim.columns], F.explode(ways).alias("__way"))
+    on = (F.col(f"`{key}`") == F.col(f"`{dim_key}`")) & (F.col("__salt") == F.col("__way"))
     return left.join(right, on, "left").drop("__way", "__salt")
 
 
@@ -170,49 +61,28 @@ def _key(lookup: Lookup, position: int) -> str:
     return f"__{lookup.fact_key}_{position}"
 
 
-def star_join(
-    fact: DataFrame,
-    lookups: Sequence[Lookup],
-    where: Column | None = None,
-    rows_per_split: int | None = None,
-) -> DataFrame:
+def star_join(fact: DataFrame, lookups: Sequence[Lookup], where: Column | None = None) -> DataFrame:
     """Attach the columns of every lookup to the fact rows by left joins.
 
     Lookup keys have to be columns of ``fact``. ``where`` may use the columns of the first lookup, which is then joined
     before all others, so that the rest meets only the rows kept. Of the others the large dimensions come first, those
     with few columns ahead: they shuffle the fact rows, which are still narrow then.
     """
-    rows_per_split = rows_per_split or ROWS_PER_SPLIT
-    limit = broadcast_limit(fact.sparkSession)
-    own = [
-        lookup.dim.select(
-            F.col(f"`{lookup.dim_key}`").alias(_key(lookup, i)),
-            *[F.col(f"`{c}`").alias(out) for c, out in lookup.columns.items()],
-        )
-        for i, lookup in enumerate(lookups)
-    ]
-    # Rows are counted before anything is attached to the dimension, so that a large one is not joined for it.
-    to_measure = [i for i, lookup in enumerate(lookups) if not lookup.bounded]
-    few = few_rows([own[i] for i in to_measure], [1 + len(lookups[i].outputs()) for i in to_measure], limit)
-    fitting = dict(zip(to_measure, few))
-    dims = [star_join(df, lookup.attached) if lookup.attached else df for df, lookup in zip(own, lookups)]
-    candidates = [i for i in to_measure if fitting[i]]
-    fitting |= dict(zip(candidates, few_bytes([dims[i] for i in candidates], limit)))
     order = sorted(
         range(len(lookups)),
-        key=lambda i: (where is not None and i != 0, fitting.get(i, True), len(lookups[i].columns)),
+        key=lambda i: (where is not None and i != 0, not lookups[i].large, len(lookups[i].columns)),
     )
-
-    joined, counts = fact, {}
+    joined = fact
     for i in order:
-        key = lookups[i].fact_key
-        if fitting.get(i, True):
-            joined = joined.join(F.broadcast(dims[i]), F.col(f"`{key}`") == F.col(_key(lookups[i], i)), "left")
+        lookup, key = lookups[i], _key(lookups[i], i)
+        dim = lookup.dim.select(
+            F.col(f"`{lookup.dim_key}`").alias(key), *[F.col(f"`{c}`").alias(out) for c, out in lookup.columns.items()]
+        )
+        dim = star_join(dim, lookup.attached) if lookup.attached else dim
+        if lookup.large:
+            joined = salted_left_join(joined, dim, lookup.fact_key, key, SPLITS)
         else:
-            if key not in counts:
-                waiting = [lookups[j].fact_key for j in order if not fitting.get(j, True)]
-                counts |= frequent_keys(fact, [k for k in waiting if k not in counts])
-            joined = salted_left_join(joined, dims[i], key, _key(lookups[i], i), counts[key], rows_per_split)
+            joined = joined.join(dim, F.col(f"`{lookup.fact_key}`") == F.col(key), "left")
         if where is not None and i == 0:
             joined = joined.where(where)
     outputs = [out for lookup in lookups for out in lookup.outputs()]

@@ -70,7 +70,7 @@ def _labelled(transactions: DataFrame, merchants: DataFrame, categories: DataFra
     """Every transaction with one attribute of its merchant's category; NULL when there is none."""
     of_category = Lookup(categories, "category_id", "category_id", {attribute: attribute})
     of_merchant = Lookup(
-        merchants, "merchant_id", "merchant_id", {"category_id": "category_id"}, attached=[of_category]
+        merchants, "merchant_id", "merchant_id", {"category_id": "category_id"}, attached=[of_category], large=True
     )
     return star_join(transactions.select("merchant_id", "customer_id", "amount"), [of_merchant])
 
@@ -165,14 +165,22 @@ def wide_expense(tables: Mapping[str, DataFrame]) -> DataFrame:
                     ),
                     Lookup(tables["cities"], "merchant_city_id", "city_id", attributes("cities", "city")),
                 ],
+                large=True,
+            ),
+            Lookup(
+                tables["customers"],
+                "transaction_customer_id",
+                "customer_id",
+                attributes("customers", "customer"),
+                large=True,
             ),
-            Lookup(tables["customers"], "transaction_customer_id", "customer_id", attributes("customers", "customer")),
             Lookup(
                 tables["accounts"],
                 "transaction_account_id",
                 "account_number",
                 attributes("accounts", "account"),
                 attached=[Lookup(tables["branches"], "account_branch_id", "branch_id", attributes("branches", "branch"))],
+                large=True,
             ),
         ],
         where=~F.col("type_is_income"),

@@ -119,7 +119,7 @@ def legacy_fact_detected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_account_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return legacy.daily_account_totals(legacy.fact_with_moment(bank.legacy_rows(spark, sf_dir).drop("ts")))
+    return legacy.daily_account_totals(legacy.fact_with_moment(bank.legacy_rows(spark, sf_dir).drop("ts"), with_day=True))
 
 
 def timestamp_build(spark: SparkSession, sf_dir: str) -> DataFrame:

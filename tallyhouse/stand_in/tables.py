@@ -78,7 +78,7 @@ def raw_transactions(
     )
     if with_customer:
         orders = read(spark, sf_dir, "orders")
-        needed = star_join(needed, [Lookup(orders, "l_orderkey", "o_orderkey", {"o_custkey": "customer_id"})])
+        needed = star_join(needed, [Lookup(orders, "l_orderkey", "o_orderkey", {"o_custkey": "customer_id"}, large=True)])
     day = F.col("l_shipdate").cast("date")
     columns = [
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("transaction_id_dd"),

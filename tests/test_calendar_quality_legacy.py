@@ -149,3 +149,17 @@ def test_first_rows_breaks_ties_and_plans_a_top_n(spark):
     top = first_rows(df, ["k"], 3)
     assert [tuple(r) for r in top.collect()] == [("10", "a"), ("10", "b"), ("2", "z")]
     assert "TakeOrderedAndProject" in plan_of(top)
+
+
+def test_daily_totals_keep_the_day_without_a_time(spark):
+    columns = "transaction_id string, account_number string, customer_id string, transaction_date date, transaction_amount decimal(12,2), transaction_type string, category string, location string, channel string"
+    source = spark.createDataFrame([], columns)
+    day = F.lit("2025-05-18").cast("date")
+    row = [F.lit("1").alias("transaction_id"), F.lit("A1").alias("account_number"), F.lit("C").alias("customer_id"), day.alias("transaction_date")]
+    rest = [F.lit("1.00").cast("decimal(12,2)").alias("transaction_amount"), *[F.lit("x").alias(c) for c in source.columns[5:]]]
+    one = spark.range(1)
+    for time, ts in ((F.lit(None).cast("string"), None), (F.lit("9:05:00"), "2025-05-18 09:05:00"), (F.to_timestamp(F.lit("1970-01-01 17:44:00")), "2025-05-18 17:44:00")):
+        fact = legacy.fact_with_moment(one.select(*row, time.alias("transaction_time"), *rest), with_day=True)
+        found = fact.first()["ts"]
+        assert (str(found) if found else None) == ts
+        assert rows(legacy.daily_account_totals(fact)) == [("A1", "2025-05-18", 1, D("1.00"))]

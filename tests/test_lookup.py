@@ -1,14 +1,6 @@
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.lookup import (
-    Lookup,
-    broadcast_limit,
-    few_bytes,
-    few_rows,
-    frequent_keys,
-    salted_left_join,
-    star_join,
-)
+from tallyhouse.operators.lookup import Lookup, salted_left_join, star_join
 from tests.conftest import plan_of, rows
 
 
@@ -36,7 +28,7 @@ def test_broadcast_and_salted_joins_agree_with_brute_force(spark, setting):
     assert "BroadcastHashJoin" in plan_of(small)
     assert rows(small) == expected
     setting("spark.sql.autoBroadcastJoinThreshold", "0")
-    large = star_join(fact, [lookup], rows_per_split=500)
+    large = star_join(fact, [Lookup(dim, "k", "dk", {"v": "v"}, large=True)])
     assert "SortMergeJoin" in plan_of(large) and "__salt" in plan_of(large)
     assert rows(large) == expected
 
@@ -44,7 +36,7 @@ def test_broadcast_and_salted_joins_agree_with_brute_force(spark, setting):
 def test_hot_key_and_missing_keys_are_spread(spark, setting):
     setting("spark.sql.autoBroadcastJoinThreshold", "0")
     setting("spark.sql.adaptive.enabled", "false")
-    joined = star_join(skewed(spark), [Lookup(dimension(spark), "k", "dk", {"v": "v"})], rows_per_split=500)
+    joined = star_join(skewed(spark), [Lookup(dimension(spark), "k", "dk", {"v": "v"}, large=True)])
     sizes = {r["p"]: r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()}
     # Unsplit, one task would hold at least a third of the 30,000 rows.
     assert max(sizes.values()) < 10_000
@@ -55,33 +47,18 @@ def test_missing_keys_alone_are_spread(spark, setting):
     setting("spark.sql.adaptive.enabled", "false")
     fact = skewed(spark).where(F.col("k").isNull() | (F.col("k") != "hot"))
     dim = dimension(spark)
-    joined = star_join(fact, [Lookup(dim, "k", "dk", {"v": "v"})], rows_per_split=500)
+    joined = star_join(fact, [Lookup(dim, "k", "dk", {"v": "v"}, large=True)])
     assert rows(joined) == brute_force(fact, dim)
     sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     assert max(sizes) < 7_000
 
 
-def test_even_keys_are_not_salted(spark, setting):
-    setting("spark.sql.autoBroadcastJoinThreshold", "0")
-    fact = spark.range(1000).select(F.col("id").cast("string").alias("k"))
-    joined = star_join(fact, [Lookup(dimension(spark), "k", "dk", {"v": "v"})])
-    assert "__salt" not in plan_of(joined)
-    assert joined.count() == 1000
-
-
-def test_splitting_does_not_depend_on_the_estimate(spark):
-    fact, dim = skewed(spark), dimension(spark).withColumnRenamed("dk", "__k")
-    expected = brute_force(fact, dimension(spark))
-    for counts in ({}, {"hot": 1}, {"hot": 99_999_999 // 1000}, {"absent": 5_000, None: 50_000}):
-        assert rows(salted_left_join(fact, dim, "k", "__k", counts, 1_000).drop("__k")) == expected
-
-
 def test_repeated_dimension_keys_repeat_rows_like_any_join(spark, setting):
     fact = skewed(spark, 300)
     dim = dimension(spark).unionAll(spark.sql("SELECT 'hot' AS dk, -2L AS v"))
     expected = rows(fact.join(dim, F.col("k") == F.col("dk"), "left").drop("dk"))
     setting("spark.sql.autoBroadcastJoinThreshold", "0")
-    assert rows(star_join(fact, [Lookup(dim, "k", "dk", {"v": "v"})], rows_per_split=10)) == expected
+    assert rows(star_join(fact, [Lookup(dim, "k", "dk", {"v": "v"}, large=True)])) == expected
 
 
 def test_where_applies_after_the_first_lookup(spark, setting):
@@ -94,15 +71,6 @@ def test_where_applies_after_the_first_lookup(spark, setting):
     assert rows(star_join(fact, [first, second], where=F.col("ok"))) == expected
 
 
-def test_sizes_are_checked(spark):
-    many = spark.range(100_000)
-    texts = spark.range(10).select(F.expr("repeat('x', 100000)").alias("s"))
-    tiny = spark.sql("SELECT 'a' AS s")
-    assert few_rows([many, texts, tiny], [1, 1, 1], 500_000) == [False, True, True]
-    assert few_bytes([texts, tiny, spark.range(3)], 500_000) == [False, True, True]
-    assert few_bytes([tiny.limit(0)], 100) == [True]
-
-
 def test_a_lookup_of_the_dimension_is_attached_to_the_dimension(spark, setting):
     fact = spark.sql("SELECT * FROM VALUES ('a'), ('b'), ('z'), (null) AS t(k)")
     dim = spark.sql("SELECT * FROM VALUES ('a', 'x'), ('b', null) AS t(k, outer_key)")
@@ -114,22 +82,37 @@ def test_a_lookup_of_the_dimension_is_attached_to_the_dimension(spark, setting):
     assert rows(star_join(fact, [nested])) == sorted(expected, key=repr)
 
 
-def test_broadcast_limit_reads_the_session(spark, setting):
-    for text, bytes_ in (("-1", 0), ("0", 0), ("10MB", 10 * 2**20), ("512k", 512 * 2**10), ("10485760b", 10485760)):
-        setting("spark.sql.autoBroadcastJoinThreshold", text)
-        assert broadcast_limit(spark) == 4 * bytes_
-
-
-def test_frequent_keys_sees_hot_and_missing_keys(spark):
-    counts = frequent_keys(skewed(spark), ["k", "row"])
-    assert counts["k"]["hot"] == 10_000
-    assert counts["k"][None] == 10_000
-    assert frequent_keys(skewed(spark).limit(0), ["k"]) == {"k": {}}
-
-
 def test_empty_sides(spark, setting):
     setting("spark.sql.autoBroadcastJoinThreshold", "0")
     fact, dim = skewed(spark, 30), dimension(spark)
     assert star_join(fact.limit(0), [Lookup(dim, "k", "dk", {"v": "v"})]).count() == 0
-    empty = star_join(fact, [Lookup(dim.limit(0), "k", "dk", {"v": "v"})], rows_per_split=5)
+    empty = star_join(fact, [Lookup(dim.limit(0), "k", "dk", {"v": "v"}, large=True)])
     assert rows(empty) == brute_force(fact, dim.limit(0))
+
+
+def test_the_number_of_splits_changes_no_row(spark):
+    fact, dim = skewed(spark), dimension(spark).withColumnRenamed("dk", "__k")
+    expected = brute_force(fact, dimension(spark))
+    for splits in (1, 3, 16):
+        assert rows(salted_left_join(fact, dim, "k", "__k", splits).drop("__k")) == expected
+
+
+def test_many_warm_keys_are_split(spark, setting):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    setting("spark.sql.adaptive.enabled", "false")
+    fact = spark.range(0, 64_000, 1, 16).select(F.col("id").alias("row"), (F.col("id") % 100).cast("string").alias("k"))
+    joined = star_join(fact, [Lookup(dimension(spark), "k", "dk", {"v": "v"}, large=True)])
+    places = joined.select("k", F.spark_partition_id().alias("p")).distinct().groupBy("k").count().agg(F.min("count")).first()[0]
+    assert places > 1
+    assert "__salt" not in plan_of(star_join(fact, [Lookup(dimension(spark), "k", "dk", {"v": "v"})]))
+
+
+def test_building_a_plan_runs_no_job(spark):
+    fact, dim = skewed(spark), dimension(spark)
+    nested = Lookup(dim, "v", "v", {"dk": "again"})
+    spark.sparkContext.setJobGroup("build", "plan only")
+    try:
+        star_join(fact, [Lookup(dim, "k", "dk", {"v": "v"}, attached=[nested], large=True), Lookup(dim, "k", "dk", {"v": "w"})], where=F.col("v") > 0)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("build")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
