@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 UNKNOWN = "und"
 #: Bounds of the training sample: documents for each language, languages, words for each sequence, sequences.
 SAMPLE_DOCS, MAX_LANGUAGES, SEQUENCE_WORDS, SEQUENCES = 150, 64, 48, 3000
-#: Weights of hashed features; words for each language's lexicon; words that a worker remembers.
-FEATURES, LEXICON, REMEMBERED = 1 << 16, 400, 400_000
+#: Weights of hashed features; words for each language's lexicon; words that a worker remembers; texts that it labels at a time.
+FEATURES, LEXICON, REMEMBERED, TEXTS = 1 << 16, 400, 150_000, 250
 #: Characters that are not part of words (ASCII punctuation and digits).
 NOT_IN_WORDS = bytes(b for b in range(33, 127) if not chr(b).isalpha())
 EDGE_LEFT, EDGE_RIGHT = b"\x02", b"\x03"
@@ -258,7 +258,7 @@ def predict(model: Model):
     def labelled(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = Labeller(model)
         for texts in batches:
-            parts = [own.label([t if isinstance(t, str) else None for t in texts.iloc[at : at + 1000]]) for at in range(0, len(texts), 1000)]
+            parts = [own.label([t if isinstance(t, str) else None for t in texts.iloc[at : at + TEXTS]]) for at in range(0, len(texts), TEXTS)]
             yield pd.DataFrame({"lang_pred": [x for p in parts for x in p[0]], "score": np.concatenate([p[1] for p in parts]) if parts else np.zeros(0)})
 
     return labelled
