@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tallyhouse import rules
 from tallyhouse.operators.load_filter import parse_days, window_days
 from tallyhouse.operators.readback import first_rows
 from tallyhouse.plans import legacy
@@ -34,17 +35,18 @@ from tallyhouse.plans.audit import audit
 from tallyhouse.plans.calendar import calendar_dim, days_between
 from tallyhouse.plans.pipeline import (
     MARTS,
+    FactLoad,
     Warehouse,
     build_mart,
     database_tables,
     load_dimension,
     load_transactions,
 )
-from tallyhouse.schemas import LEGACY_RAW, RAW, WAREHOUSE
-from tallyhouse.session import build_session
+from tallyhouse.schemas import LEGACY_RAW, PRIMARY_KEY, RAW, WAREHOUSE
+from tallyhouse.session import build_session, written
 from tallyhouse.sinks.jdbc import append_jdbc, overwrite_jdbc
 from tallyhouse.sinks.tables import DAY, append_table, write_table
-from tallyhouse.sources.files import CORRUPT, malformed_lines, read_csv, read_registry, read_table
+from tallyhouse.sources.files import CORRUPT, read_csv, read_registry, read_table, split_rejects
 from tallyhouse.sources.jdbc import Database, Split, read_jdbc, read_jdbc_days
 
 
@@ -60,10 +62,7 @@ def parser() -> argparse.ArgumentParser:
             place.add_argument("--csv")
             place.add_argument("--jdbc")
             sub.add_argument("--source-table")
-            sub.add_argument("--split-column", help="column to read a database table in parallel by")
-            sub.add_argument("--split-lower")
-            sub.add_argument("--split-upper")
-            sub.add_argument("--split-parts", type=int, default=32)
+            _split_options(sub)
         if warehouse:
             sub.add_argument("--warehouse", required=True)
         if target:
@@ -93,10 +92,25 @@ def parser() -> argparse.ArgumentParser:
     place = mart.add_mutually_exclusive_group(required=True)
     place.add_argument("--warehouse")
     place.add_argument("--jdbc")
+    _split_options(mart)
     job("audit", warehouse=True, target=True)
     return root
 
 
+def _split_options(sub: argparse.ArgumentParser) -> None:
+    sub.add_argument("--split-column", help="column to read a database table in parallel by; build-mart: that of transactions")
+    sub.add_argument("--split-lower")
+    sub.add_argument("--split-upper")
+    sub.add_argument("--split-parts", type=int, default=32)
+
+
+def fact_splits(args: argparse.Namespace) -> dict[str, Split]:
+    """The split of the facts for a mart from a database. One is required: without it a single task reads them all."""
+    if not (args.split_column and args.split_lower and args.split_upper):
+        raise ValueError("build-mart --jdbc needs --split-column, --split-lower and --split-upper for transactions")
+    return {"transactions": Split(args.split_column, args.split_lower, args.split_upper, args.split_parts)}
+
+
 def _day_of(text: str | None) -> date | None:
     return date.fromisoformat(text) if text else None
 
@@ -135,11 +149,8 @@ def _write(df: DataFrame, args: argparse.Namespace, append: bool = False) -> Non
         first_rows(stored, stored.columns[:2], args.show).show(args.show, truncate=False)
 
 
-def _load_transactions(warehouse: Warehouse, source: DataFrame, args: argparse.Namespace) -> int:
-    """Load and report. The exit code says whether every row of the chosen days has arrived."""
-    done = load_transactions(
-        source, warehouse, start=args.start, end=args.end, days=args.dates, as_of=args.as_of
-    )
+def _report(done: FactLoad) -> int:
+    """Print what a fact load did. The exit code says whether every row of the chosen days has arrived."""
     totals = done.per_day.agg(
         F.sum("source_rows").alias("read"),
         F.sum("target_rows").alias("stored"),
@@ -157,25 +168,30 @@ def run(spark: SparkSession, argv: Sequence[str]) -> int:
     warehouse = Warehouse(spark, args.warehouse) if getattr(args, "warehouse", None) else None
     if args.job == "load-files":
         registry = read_registry(spark, args.folder, strict=args.strict)
+        code = 0
         for table, df in registry.frames.items():
-            if not args.strict:
-                seen = malformed_lines(df).first()
-                print(f"{table}: {seen['lines']} lines, {seen['malformed']} malformed")
-            rows = df.drop(CORRUPT)
+            rows, rejects = (df, None) if args.strict else split_rejects(written(df, f"lines-{table}"), PRIMARY_KEY[table])
+            if rejects is not None:
+                write_table(rejects, warehouse.location(f"rejected_{table}"))
+                stored = read_table(spark, warehouse.location(f"rejected_{table}"), rejects.schema)
+                seen = stored.agg(F.count(CORRUPT).alias("malformed"), F.count(F.lit(1)).alias("rejected")).first()
+                print(f"{table}: {rows.count() + seen['rejected']} lines, {seen['malformed']} malformed, {seen['rejected']} rejected")
             if table == "transactions":
                 bounds = rows.agg(F.min("transaction_date").alias("lo"), F.max("transaction_date").alias("hi")).first()
                 if bounds["lo"] is not None:
-                    load_transactions(rows, warehouse, start=bounds["lo"], end=bounds["hi"], as_of=args.as_of)
+                    code = _report(load_transactions(rows, warehouse, start=bounds["lo"], end=bounds["hi"], as_of=args.as_of))
             else:
                 load_dimension(rows, table, warehouse, args.as_of)
             print(f"loaded {table}")
         print(f"not there: {', '.join(registry.skipped) or 'none'}")
+        return code
     elif args.job == "load-calendar":
         load_dimension(calendar_dim(days_between(spark, args.start, args.end)), "calender", warehouse)
     elif args.job == "load-dimension":
         load_dimension(_source(spark, args, args.table, RAW[args.table]), args.table, warehouse, args.as_of)
     elif args.job == "load-transactions":
-        return _load_transactions(warehouse, _source(spark, args, "transactions", RAW["transactions"]), args)
+        source = _source(spark, args, "transactions", RAW["transactions"])
+        return _report(load_transactions(source, warehouse, start=args.start, end=args.end, days=args.dates, as_of=args.as_of))
     elif args.job in ("clean-legacy", "load-legacy", "build-daily"):
         rows = _source(spark, args, "transactions", LEGACY_RAW)
         if args.job == "clean-legacy":
@@ -187,12 +203,13 @@ def run(spark: SparkSession, argv: Sequence[str]) -> int:
             _write(legacy.daily_account_totals(legacy.fact_with_moment(rows, with_day=True)), args)
     elif args.job == "build-mart":
         if args.jdbc:
-            table = database_tables(spark, Database.from_environment(args.jdbc))
+            splits = fact_splits(args)
+            table = database_tables(spark, Database.from_environment(args.jdbc), splits)
         else:
             table = Warehouse(spark, args.warehouse).table
         _write(build_mart(args.mart, table, args.as_of or date.today()), args)
     elif args.job == "audit":
-        _write(audit({t: warehouse.table(t) for t in WAREHOUSE if warehouse.has(t)}), args)
+        _write(audit({t: warehouse.loads(t) for t in WAREHOUSE if warehouse.has(t)}, rules.CURRENT), args)
     return 0
 
 

@@ -11,51 +11,59 @@ from pyspark.sql import functions as F
 from tallyhouse import rules
 from tallyhouse.operators.quality import fk_violations, pk_violations
 
+REPORT = "rule string, table_name string, column_name string, checked boolean, violations long"
 
-def column_rules(df: DataFrame, table: str) -> DataFrame | None:
-    """NOT NULL, text length and number precision of one table, all counted in one pass."""
+
+def column_rules(table: str, declared: rules.Rules) -> list[tuple[str, str, Column]]:
+    """NOT NULL, text length and number precision of one table: rule, column, condition of a violation."""
     checks: list[tuple[str, str, Column]] = []
-    for name in rules.NOT_NULL.get(table, ()):
-        if name in df.columns:
-            checks.append(("not_null", name, F.col(name).isNull()))
-    for name, limit in rules.MAX_LENGTH.get(table, {}).items():
-        if name in df.columns:
-            checks.append(("max_length", name, F.length(name) > limit))
-    for name, (precision, scale) in rules.PRECISION.get(table, {}).items():
-        if name in df.columns:
-            fitted = F.col(name).try_cast(f"decimal({precision},{scale})")
-            checks.append(("precision", name, F.col(name).isNotNull() & fitted.isNull()))
-    if not checks:
-        return None
-    counted = df.agg(*[F.count_if(broken).alias(f"broken_{i}") for i, (_, _, broken) in enumerate(checks)])
-    lines = [
-        _line(rule, table, name, F.col(f"broken_{i}")) for i, (rule, name, _) in enumerate(checks)
-    ]
-    return counted.select(F.inline(F.array(*lines)))
+    for name in declared.not_null.get(table, ()):
+        checks.append(("not_null", name, F.col(name).isNull()))
+    for name, limit in declared.max_length.get(table, {}).items():
+        checks.append(("max_length", name, F.length(name) > limit))
+    for name, (precision, scale) in declared.precision.get(table, {}).items():
+        fitted = F.col(name).try_cast(f"decimal({precision},{scale})")
+        checks.append(("precision", name, F.col(name).isNotNull() & fitted.isNull()))
+    return checks
 
 
-def audit(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per declared rule that the given tables can be checked for: rule, table, column, violations.
+def audit(tables: Mapping[str, DataFrame], declared: rules.Rules = rules.OLDER) -> DataFrame:
+    """One row per declared rule: rule, table, column, whether it was checked, violations.
 
-    A key rule counts the keys (primary) or child rows (foreign) that break it. Rules on tables or columns that are not
-    given are left out.
+    A key rule counts the keys (primary) or child rows (foreign) that break it. Tables may be given with all their loads: a
+    dimension's key has to be unique in each load date, the fact's in the whole table. A rule on a table or column
+    that is not given is reported as not checked, its violations are NULL.
     """
-    reports = []
-    for table, df in tables.items():
-        checked = column_rules(df, table)
-        if checked is not None:
-            reports.append(checked)
-        key = rules.PRIMARY_KEYS.get(table, ())
-        if key and set(key) <= set(df.columns):
-            broken = pk_violations(df, key).agg(F.count(F.lit(1)).alias("n"))
+    have = {table: set(df.columns) for table, df in tables.items()}
+    reports: list[DataFrame] = []
+    unchecked: list[tuple[str, str, str, bool, int | None]] = []
+    for table, key in declared.primary_keys.items():
+        given = have.get(table, set())
+        checks = column_rules(table, declared)
+        # All column rules of a table are counted in one pass.
+        known = [check for check in checks if check[1] in given]
+        unchecked += [(rule, table, name, False, None) for rule, name, _ in checks if name not in given]
+        if known:
+            counted = tables[table].agg(*[F.count_if(broken).alias(f"broken_{i}") for i, (_, _, broken) in enumerate(known)])
+            lines = [_line(rule, table, name, F.col(f"broken_{i}")) for i, (rule, name, _) in enumerate(known)]
+            reports.append(counted.select(F.inline(F.array(*lines))))
+        if set(key) <= given:
+            by_load = ("etl_date",) if "etl_date" in given and table != "transactions" else ()
+            broken = pk_violations(tables[table], (*key, *by_load)).agg(F.count(F.lit(1)).alias("n"))
             reports.append(broken.select(F.inline(F.array(_line("primary_key", table, ", ".join(key), F.col("n"))))))
-        for column, parent, parent_key in rules.FOREIGN_KEYS.get(table, ()):
-            if column in df.columns and parent in tables and parent_key in tables[parent].columns:
-                orphans = fk_violations(df, column, tables[parent], parent_key, column)
+        else:
+            unchecked.append(("primary_key", table, ", ".join(key), False, None))
+        for column, parent, parent_key in declared.foreign_keys.get(table, ()):
+            if column in given and parent_key in have.get(parent, set()):
+                orphans = fk_violations(tables[table], column, tables[parent], parent_key, column)
                 broken = orphans.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n"))
                 reports.append(broken.select(F.inline(F.array(_line("foreign_key", table, column, F.col("n"))))))
+            else:
+                unchecked.append(("foreign_key", table, column, False, None))
     if not reports:
         raise ValueError("no declared rule applies to the given tables")
+    if unchecked:
+        reports.append(reports[0].sparkSession.createDataFrame(unchecked, REPORT))
     return reduce(DataFrame.unionAll, reports)
 
 
@@ -64,5 +72,6 @@ def _line(rule: str, table: str, column: str, violations: Column) -> Column:
         F.lit(rule).alias("rule"),
         F.lit(table).alias("table_name"),
         F.lit(column).alias("column_name"),
+        F.lit(True).alias("checked"),
         violations.cast("bigint").alias("violations"),
     )

@@ -9,6 +9,7 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse import schemas
 from tallyhouse.operators.conform import conform, rejected_casts
@@ -81,13 +82,14 @@ def load_dimension(source: DataFrame, table: str, warehouse: Warehouse, as_of: d
         write_table(rows, warehouse.location(table))
 
 
-def chosen_days(start: date | None, end: date | None, days: Iterable[date] | None) -> Column:
+def chosen_days(start: date | None, end: date | None, days: Iterable[date] | None, day: Column | None = None) -> Column:
     """The condition of a load: a list of days, or an inclusive window."""
+    day = F.col(DAY) if day is None else day
     if days is not None:
-        return in_days(F.col(DAY), days)
+        return in_days(day, days)
     if start is None or end is None:
         raise ValueError("give a list of days, or the first and the last day of a window")
-    return in_window(F.col(DAY), start, end)
+    return in_window(day, start, end)
 
 
 def load_transactions(
@@ -100,14 +102,19 @@ def load_transactions(
     as_of: date | None = None,
 ) -> FactLoad:
     """Replace the chosen days of the fact table by the source's rows of those days. A day the source has no row for
-    stays as it is. All days are loaded by one job."""
-    chosen = chosen_days(start, end, list(days) if days is not None else None)
+    stays as it is. All days are loaded by one job. Lost values are counted in the chosen days only; rows without a
+    usable day belong to none, so their count reads the day column of the whole source."""
+    days = list(days) if days is not None else None
+    chosen = chosen_days(start, end, days)
+    is_date = any(f.name.lower() == DAY and isinstance(f.dataType, T.DateType) for f in source.schema.fields)
+    # A date column as it is, so that the window reaches the scan.
+    of_source = chosen_days(start, end, days, F.col(DAY) if is_date else F.col(DAY).try_cast("date"))
     typed = conform(source, schemas.TRANSACTIONS, etl_date=True, as_of=as_of)
     rows = loadable(typed).where(chosen)
     replace_days(rows, warehouse.location("transactions"))
     target = read_table(warehouse.spark, warehouse.location("transactions"), rows.schema).where(chosen)
     return FactLoad(
-        rejected_values=rejected_casts(source, schemas.TRANSACTIONS),
+        rejected_values=rejected_casts(source.where(of_source), schemas.TRANSACTIONS),
         rejected_rows=rejected_days(typed),
         per_day=reconcile(rows, target),
     )

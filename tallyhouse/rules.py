@@ -1,13 +1,17 @@
 """Integrity rules the banking source schema declares (fixed values).
 
-The schema of these rules is the older one: ``date_dim`` in place of ``calender`` and ``transaction_datetime`` in place
-of ``transaction_date``.
+The dictionaries hold the rules of the older layout: ``date_dim`` in place of ``calender`` and ``transaction_datetime``
+in place of ``transaction_date``. ``OLDER`` and ``CURRENT`` are the rules of each layout.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass
 from datetime import date
 
+from tallyhouse.schemas import PRIMARY_KEY, WAREHOUSE
+
 PRIMARY_KEYS: dict[str, tuple[str, ...]] = {
     "date_dim": ("date",),
     "cities": ("city_id",),
@@ -97,3 +101,64 @@ PRECISION: dict[str, dict[str, tuple[int, int]]] = {
 
 # Month partitions of the fact table: from the first day up to, not including, the second.
 MONTH_PARTITIONS = (date(2023, 1, 1), date(2027, 1, 1))
+
+# older name -> name in the current layout
+CURRENT_TABLES: dict[str, str] = {"date_dim": "calender"}
+CURRENT_COLUMNS: dict[str, dict[str, str]] = {
+    "date_dim": {"date": "calender"},
+    "transactions": {
+        "transaction_id": "transaction_id_dd", "transaction_datetime": "transaction_date", "account_number": "account_id",
+    },
+}
+
+
+@dataclass(frozen=True)
+class Rules:
+    """The declared rules of one layout, by table."""
+
+    primary_keys: Mapping[str, tuple[str, ...]]
+    foreign_keys: Mapping[str, tuple[tuple[str, str, str], ...]]
+    not_null: Mapping[str, tuple[str, ...]]
+    max_length: Mapping[str, Mapping[str, int]]
+    precision: Mapping[str, Mapping[str, tuple[int, int]]]
+
+
+def _current() -> Rules:
+    """The older rules under the current names, as far as the warehouse tables have the columns, and the current keys.
+
+    A foreign key whose column has another type than its parent's now is none any more: the salary day is a number there.
+    """
+
+    def column(table: str, name: str) -> str:
+        return CURRENT_COLUMNS.get(table, {}).get(name, name)
+
+    def field(table: str, name: str):
+        fields = {f.name: f for f in WAREHOUSE[CURRENT_TABLES.get(table, table)].fields}
+        return fields.get(column(table, name))
+
+    def limits(declared: Mapping[str, Mapping]) -> dict[str, dict]:
+        return {
+            CURRENT_TABLES.get(t, t): {column(t, c): limit for c, limit in own.items() if field(t, c)}
+            for t, own in declared.items()
+        }
+
+    foreign = {
+        child: tuple(
+            (column(child, c), CURRENT_TABLES.get(parent, parent), column(parent, key))
+            for c, parent, key in own
+            if field(child, c) and field(child, c).dataType == field(parent, key).dataType
+        )
+        for child, own in FOREIGN_KEYS.items()
+    }
+    not_null = limits({t: dict.fromkeys(own) for t, own in NOT_NULL.items()})
+    return Rules(
+        {table: (key,) for table, key in PRIMARY_KEY.items()},
+        foreign,
+        {table: tuple(own) for table, own in not_null.items()},
+        limits(MAX_LENGTH),
+        limits(PRECISION),
+    )
+
+
+OLDER = Rules(PRIMARY_KEYS, FOREIGN_KEYS, NOT_NULL, MAX_LENGTH, PRECISION)
+CURRENT = _current()

@@ -58,6 +58,15 @@ def malformed_lines(df: DataFrame) -> DataFrame:
     return df.agg(lines, F.count_if(F.col(CORRUPT).isNotNull()).alias("malformed"), *values)
 
 
+def split_rejects(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Rows to load, and rows to keep apart: malformed lines as they stand in the file, and rows without a key.
+
+    ``df`` is a frame of ``read_csv`` that has been written once, so that both parts judge a line by all its columns.
+    """
+    reject = F.col(CORRUPT).isNotNull() | F.col(key).isNull()
+    return df.where(~reject).drop(CORRUPT), df.where(reject)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Read a Parquet table; with a schema also when it holds no file yet."""
     reader = spark.read if schema is None else spark.read.schema(schema)

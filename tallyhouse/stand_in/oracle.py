@@ -208,8 +208,9 @@ _FK = " UNION ALL ".join(
     [
         _orphans("transactions.account", "lineitem", "l_orderkey", "orders", "o_orderkey"),
         _orphans("transactions.merchant", "lineitem", "l_partkey", "part", "p_partkey"),
-        _orphans("transactions.branch", "lineitem", "l_suppkey", "supplier", "s_suppkey", "s_acctbal > 0"),
-        _orphans("accounts.customer", "orders", "o_custkey", "customer", "c_custkey", "c_mktsegment <> 'MACHINERY'"),
+        _orphans("transactions.branch", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
+        _orphans("accounts.customer", "orders", "o_custkey", "customer", "c_custkey"),
+        _orphans("merchants.city", "part", "p_size", "nation", "n_nationkey"),
     ]
 )
 
@@ -248,7 +249,7 @@ _CONTRACT = " UNION ALL ".join(
 def _audit_line(rule: str, table: str, column: str, violations: str) -> str:
     return (
         f"SELECT '{rule}' AS rule, '{table}' AS table_name, '{column}' AS column_name, "
-        f"CAST(({violations}) AS BIGINT) AS violations"
+        f"{str(violations != 'NULL').lower()} AS checked, CAST(({violations}) AS BIGINT) AS violations"
     )
 
 
@@ -258,7 +259,8 @@ def _audit_count(rule: str, table: str, column: str, source: str, condition: str
 
 def _audit_key(table: str, column: str, source: str, key: str) -> str:
     return _audit_line(
-        "primary_key", table, column, f"SELECT count(*) FROM (SELECT {key} FROM {source} GROUP BY ALL HAVING count(*) > 1)"
+        "primary_key", table, column,
+        f"SELECT count(*) FROM (SELECT {key} AS k FROM {source} GROUP BY 1 HAVING count(*) > 1 OR k IS NULL)",
     )
 
 
@@ -266,15 +268,48 @@ def _audit_orphans(table: str, column: str, source: str, value: str, parents: st
     return _audit_count("foreign_key", table, column, source, f"{value} NOT IN (SELECT {parents})")
 
 
-_AUDIT_CUSTOMERS = "(SELECT * FROM customer WHERE c_mktsegment <> 'MACHINERY')"
+_FIRST_DAY, _LAST_DAY = "DATE '1995-01-01'", "DATE '2001-12-31'"
+_AUDIT_DAYS = f"(SELECT CAST(unnest(generate_series({_FIRST_DAY}, {_LAST_DAY}, INTERVAL 1 DAY)) AS DATE) AS d)"
+# Rules on tables and columns that the driver's tables have no source for: rule, table, columns.
+_AUDIT_UNCHECKED = [
+    ("not_null", "categories", "category_name is_essential"),
+    ("not_null", "channels", "channel_name"),
+    ("not_null", "transaction_types", "transaction_type_name is_transfer is_income"),
+    ("not_null", "branches", "branch_start_date"),
+    ("not_null", "customers", "monthly_salary_day num_dependents"),
+    ("not_null", "accounts", "overdraft_limit"),
+    ("not_null", "transactions", "customer_id is_recurring is_salary"),
+    ("max_length", "categories", "category_name"),
+    ("max_length", "channels", "channel_name"),
+    ("max_length", "transaction_types", "transaction_type_name"),
+    ("max_length", "customers", "gender marital_status education_level employment_status job_title housing"),
+    ("precision", "customers", "annual_income credit_score"),
+    ("precision", "accounts", "overdraft_limit"),
+    ("precision", "transactions", "previous_balance balance_after_transaction"),
+    ("primary_key", "categories", "category_id"),
+    ("primary_key", "channels", "channel_id"),
+    ("primary_key", "transaction_types", "transaction_type_id"),
+    ("foreign_key", "branches", "branch_start_date"),
+    ("foreign_key", "merchants", "category_id"),
+    ("foreign_key", "transactions", "customer_id channel_id transaction_type_id"),
+]
 _TX_ID = "l_orderkey || '-' || l_linenumber"
 
 _AUDIT = " UNION ALL ".join(
     [
         _audit_count("not_null", "cities", "city_name", "nation", "n_name IS NULL"),
-        _audit_count("not_null", "cities", "country", "nation JOIN region ON n_regionkey = r_regionkey", "r_name IS NULL"),
+        *[
+            _audit_count("not_null", "calender", name, _AUDIT_DAYS, "d IS NULL")
+            for name in (
+                "year", "month", "weekday", "isweekend", "isholiday", "isholiday_in_us", "day_in_quarter",
+                "day_in_month", "day_in_week",
+            )
+        ],
+        _audit_count("max_length", "calender", "month", _AUDIT_DAYS, "length(monthname(d)) > 20"),
+        _audit_count("max_length", "calender", "weekday", _AUDIT_DAYS, "length(dayname(d)) > 20"),
+        _audit_key("calender", "date_key", _AUDIT_DAYS, "d"),
+        *[_audit_line(rule, table, name, "NULL") for rule, table, names in _AUDIT_UNCHECKED for name in names.split()],
         _audit_count("max_length", "cities", "city_name", "nation", "length(n_name) > 120"),
-        _audit_count("max_length", "cities", "country", "region", "length(r_name) > 120"),
         _audit_key("cities", "city_id", "nation", "n_nationkey"),
         _audit_count("not_null", "branches", "branch_name", "supplier", "s_name IS NULL"),
         _audit_count("not_null", "branches", "city_id", "supplier", "s_nationkey IS NULL"),
@@ -288,18 +323,16 @@ _AUDIT = " UNION ALL ".join(
         _audit_count("max_length", "merchants", "merchant_name", "part", "length(p_name) > 160"),
         _audit_key("merchants", "merchant_id", "part", "p_partkey"),
         _audit_orphans("merchants", "city_id", "part", "p_size", "n_nationkey FROM nation"),
-        _audit_count("not_null", "customers", "first_name", _AUDIT_CUSTOMERS, "split_part(c_name, '#', 1) IS NULL"),
-        _audit_count("not_null", "customers", "last_name", _AUDIT_CUSTOMERS, "split_part(c_name, '#', 2) IS NULL"),
-        _audit_count("not_null", "customers", "date_of_birth", _AUDIT_CUSTOMERS, "c_nationkey IS NULL"),
+        _audit_count("not_null", "customers", "first_name", "customer", "split_part(c_name, '#', 1) IS NULL"),
+        _audit_count("not_null", "customers", "last_name", "customer", "split_part(c_name, '#', 2) IS NULL"),
+        _audit_count("not_null", "customers", "date_of_birth", "customer", "c_nationkey IS NULL"),
+        _audit_count("max_length", "customers", "first_name", "customer", "length(split_part(c_name, '#', 1)) > 80"),
+        _audit_count("max_length", "customers", "last_name", "customer", "length(split_part(c_name, '#', 2)) > 80"),
+        _audit_key("customers", "customer_id", "customer", "c_custkey"),
         _audit_count(
-            "max_length", "customers", "first_name", _AUDIT_CUSTOMERS, "length(split_part(c_name, '#', 1)) > 80"
+            "foreign_key", "customers", "date_of_birth", "customer",
+            f"make_date(1950 + c_nationkey, 1, 1) NOT BETWEEN {_FIRST_DAY} AND {_LAST_DAY}",
         ),
-        _audit_count("max_length", "customers", "last_name", _AUDIT_CUSTOMERS, "length(split_part(c_name, '#', 2)) > 80"),
-        _audit_count(
-            "precision", "customers", "annual_income", _AUDIT_CUSTOMERS,
-            "c_acctbal IS NOT NULL AND TRY_CAST(c_acctbal * 1e9 AS DECIMAL(14,2)) IS NULL",
-        ),
-        _audit_key("customers", "customer_id", _AUDIT_CUSTOMERS, "c_custkey"),
         _audit_count("not_null", "accounts", "customer_id", "orders", "o_custkey IS NULL"),
         _audit_count("not_null", "accounts", "initial_balance", "orders", "o_totalprice IS NULL"),
         _audit_count("not_null", "accounts", "branch_id", "orders", "o_orderdate IS NULL"),
@@ -310,30 +343,33 @@ _AUDIT = " UNION ALL ".join(
             "o_totalprice IS NOT NULL AND TRY_CAST(o_totalprice AS DECIMAL(18,2)) IS NULL",
         ),
         _audit_key("accounts", "account_number", "orders", "o_orderkey"),
-        _audit_orphans("accounts", "customer_id", "orders", "o_custkey", f"c_custkey FROM {_AUDIT_CUSTOMERS}"),
+        _audit_orphans("accounts", "customer_id", "orders", "o_custkey", "c_custkey FROM customer"),
+        _audit_count(
+            "foreign_key", "accounts", "account_open_date", "orders",
+            f"CAST(o_orderdate AS DATE) NOT BETWEEN {_FIRST_DAY} AND {_LAST_DAY}",
+        ),
         _audit_orphans("accounts", "branch_id", "orders", "day(o_orderdate)", "s_suppkey FROM supplier"),
-        _audit_count("not_null", "transactions", "transaction_id", "lineitem", f"{_TX_ID} IS NULL"),
-        _audit_count("not_null", "transactions", "transaction_datetime", "lineitem", "l_shipdate IS NULL"),
-        _audit_count("not_null", "transactions", "account_number", "lineitem", "l_orderkey IS NULL"),
+        _audit_count("not_null", "transactions", "transaction_id_dd", "lineitem", f"{_TX_ID} IS NULL"),
+        _audit_count("not_null", "transactions", "transaction_date", "lineitem", "l_shipdate IS NULL"),
+        _audit_count("not_null", "transactions", "account_id", "lineitem", "l_orderkey IS NULL"),
         _audit_count("not_null", "transactions", "channel_id", "lineitem", "l_linestatus IS NULL"),
         _audit_count("not_null", "transactions", "transaction_type_id", "lineitem", "l_returnflag IS NULL"),
         _audit_count("not_null", "transactions", "amount", "lineitem", "l_extendedprice IS NULL"),
         _audit_count("not_null", "transactions", "currency", "lineitem", "false"),
-        _audit_count("max_length", "transactions", "transaction_id", "lineitem", f"length({_TX_ID}) > 64"),
-        _audit_count(
-            "max_length", "transactions", "account_number", "lineitem", "length(CAST(l_orderkey AS VARCHAR)) > 32"
-        ),
+        _audit_count("max_length", "transactions", "transaction_id_dd", "lineitem", f"length({_TX_ID}) > 64"),
+        _audit_count("max_length", "transactions", "account_id", "lineitem", "length(CAST(l_orderkey AS VARCHAR)) > 32"),
         _audit_count("max_length", "transactions", "merchant_id", "lineitem", "length(CAST(l_partkey AS VARCHAR)) > 64"),
         _audit_count("max_length", "transactions", "currency", "lineitem", "length('USD') > 8"),
         _audit_count(
             "precision", "transactions", "amount", "lineitem",
             "l_extendedprice IS NOT NULL AND TRY_CAST(l_extendedprice AS DECIMAL(18,2)) IS NULL",
         ),
-        _audit_key(
-            "transactions", "transaction_id, transaction_datetime",
-            f"(SELECT {_TX_ID} AS id, CAST(l_shipdate AS DATE) AS d FROM lineitem)", "id, d",
+        _audit_key("transactions", "transaction_id_dd", "lineitem", _TX_ID),
+        _audit_count(
+            "foreign_key", "transactions", "transaction_date", "lineitem",
+            f"CAST(l_shipdate AS DATE) NOT BETWEEN {_FIRST_DAY} AND {_LAST_DAY}",
         ),
-        _audit_orphans("transactions", "account_number", "lineitem", "l_orderkey", "o_orderkey FROM orders"),
+        _audit_orphans("transactions", "account_id", "lineitem", "l_orderkey", "o_orderkey FROM orders"),
         _audit_orphans("transactions", "merchant_id", "lineitem", "l_partkey", "p_partkey FROM part"),
     ]
 )

@@ -1,8 +1,13 @@
+from datetime import date
+
 import pytest
 
 from tallyhouse import jobs
+from tallyhouse.plans.pipeline import Warehouse, load_transactions
+from tallyhouse.schemas import TRANSACTIONS
 from tallyhouse.sources.files import read_table
-from tests.conftest import rows
+from tallyhouse.sources.jdbc import Split
+from tests.conftest import plan_of, rows
 
 FILES = {
     "channels.csv": "channel_id,channel_name\n1,POS\n2,online\n",
@@ -55,10 +60,61 @@ def test_files_to_marts(spark, folder, tmp_path, capsys):
         assert jobs.run(spark, ["build-mart", "--mart", mart, "--warehouse", house, "--target", str(tmp_path / mart)]) == 0
     assert read_table(spark, str(tmp_path / "is_essential_avg_dm")).first()["Essential"] == 1
     assert jobs.run(spark, ["audit", "--warehouse", house, "--target", str(tmp_path / "audit")]) == 0
-    found = read_table(spark, str(tmp_path / "audit")).where("rule = 'foreign_key' and table_name = 'transactions'")
+    report = read_table(spark, str(tmp_path / "audit"))
+    found = report.where("rule = 'foreign_key' and table_name = 'transactions'")
     assert {r["column_name"]: r["violations"] for r in found.collect()} == {
-        "merchant_id": 0, "customer_id": 0, "channel_id": 0, "transaction_type_id": 0,
+        "merchant_id": 0, "customer_id": 0, "channel_id": 0, "transaction_type_id": 0, "transaction_date": 0,
+        "account_id": None,
     }
+    assert report.where("rule = 'primary_key'").count() == 10
+    assert {r["table_name"] for r in report.where("not checked").collect()} >= {"accounts", "branches", "cities"}
+
+
+def test_audit_job_sees_repeated_and_missing_keys(spark, tmp_path):
+    house = str(tmp_path / "house")
+    for day, lines in (("2024-03-01", "('B1', 'a'), ('B1', 'b'), (null, 'c'), (null, 'd')"), ("2024-03-02", "('B1', 'a'), ('B2', 'b')")):
+        source = spark.sql(f"SELECT *, '1' AS city_id, DATE '2020-01-01' AS branch_start_date FROM VALUES {lines} AS t(branch_id, branch_name)")
+        source.write.parquet(str(tmp_path / day))
+        args = ["load-dimension", "--table", "branches", "--parquet", str(tmp_path / day), "--warehouse", house, "--as-of", day]
+        assert jobs.run(spark, args) == 0
+    assert jobs.run(spark, ["audit", "--warehouse", house, "--target", str(tmp_path / "audit")]) == 0
+    report = read_table(spark, str(tmp_path / "audit")).where("table_name = 'branches'")
+    found = {(r["rule"], r["column_name"]): (r["checked"], r["violations"]) for r in report.collect()}
+    assert found[("primary_key", "branch_id")] == (True, 2)
+    assert found[("foreign_key", "city_id")] == (False, None)
+
+
+def test_damaged_lines_and_missing_keys_are_kept_apart(spark, folder, tmp_path, capsys):
+    house = str(tmp_path / "house")
+    (folder / "merchants.csv").write_text("merchant_id,merchant_name,category_id,city_id\nm1,Cash,1,34\nm2,Fuel\n,Nameless,1,34\n,Other,1,34\n")
+    (folder / "cities.csv").write_text("city_id,city_name,country,is_capital\n34,Istanbul,TR,False\n6,Ankara,TR,perhaps\n")
+    assert jobs.run(spark, ["load-files", "--folder", str(folder), "--warehouse", house, "--as-of", "2024-03-01"]) == 0
+    printed = capsys.readouterr().out
+    assert "merchants: 4 lines, 1 malformed, 3 rejected" in printed and "cities: 2 lines, 1 malformed, 1 rejected" in printed
+    assert rows(read_table(spark, f"{house}/merchants").select("merchant_id")) == [("m1",)]
+    assert rows(read_table(spark, f"{house}/cities").select("city_id")) == [("34",)]
+    kept = read_table(spark, f"{house}/rejected_merchants")
+    assert sorted(r["_corrupt_record"] or r["merchant_name"] for r in kept.collect()) == ["Nameless", "Other", "m2,Fuel"]
+
+
+def test_mart_from_a_database_needs_a_split_of_the_facts(spark, monkeypatch):
+    mart = ["build-mart", "--mart", "customer_monthly", "--jdbc", "BANK", "--target", "t"]
+    with pytest.raises(ValueError, match="split-column"):
+        jobs.run(spark, mart)
+    split = ["--split-column", "transaction_date", "--split-lower", "2023-01-01", "--split-upper", "2027-01-01", "--split-parts", "48"]
+    found = jobs.fact_splits(jobs.parser().parse_args([*mart, *split]))
+    assert found == {"transactions": Split("transaction_date", "2023-01-01", "2027-01-01", 48)}
+
+
+def test_lost_values_are_counted_in_the_window(spark, tmp_path):
+    columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in TRANSACTIONS.fields if f.name not in ("transaction_date", "amount"))
+    path = str(tmp_path / "source")
+    spark.sql(f"SELECT d AS transaction_date, a AS amount, {columns} FROM VALUES (DATE '2024-01-05', 'x'), (DATE '2024-01-06', 'y') AS t(d, a)").write.parquet(path)
+    day = date(2024, 1, 5)
+    done = load_transactions(read_table(spark, path), Warehouse(spark, str(tmp_path / "house")), start=day, end=day)
+    lost = done.rejected_values.where("column_name = 'amount'")
+    assert [tuple(r) for r in lost.collect()] == [("amount", 1, 1)]
+    assert "GreaterThanOrEqual(transaction_date,2024-01-05)" in plan_of(done.rejected_values)
 
 
 def test_transactions_by_window_and_list(spark, folder, tmp_path, monkeypatch, capsys):
