@@ -158,7 +158,7 @@ def _report(done: FactLoad) -> int:
     ).first()
     print(f"read {totals['read'] or 0} rows, stored {totals['stored'] or 0}, days that differ: {totals['wrong_days']}")
     print(f"rejected rows: {done.rejected_rows.first().asDict()}")
-    done.rejected_values.where(F.col("rejected") > 0).show(truncate=False)
+    done.rejected_in_days.where(F.col("rejected") > 0).show(truncate=False)
     return 1 if totals["wrong_days"] else 0
 
 

@@ -62,10 +62,11 @@ class Warehouse:
 
 @dataclass(frozen=True)
 class FactLoad:
-    """What a fact load did, as frames to look at: casts that lost a value, rows without a usable day, and rows per
-    day in source and target."""
+    """What a fact load did, as frames to look at: casts that lost a value, in the whole source and in the chosen days,
+    rows without a usable day, and rows per day in source and target."""
 
     rejected_values: DataFrame
+    rejected_in_days: DataFrame
     rejected_rows: DataFrame
     per_day: DataFrame
 
@@ -102,8 +103,8 @@ def load_transactions(
     as_of: date | None = None,
 ) -> FactLoad:
     """Replace the chosen days of the fact table by the source's rows of those days. A day the source has no row for
-    stays as it is. All days are loaded by one job. Lost values are counted in the chosen days only; rows without a
-    usable day belong to none, so their count reads the day column of the whole source."""
+    stays as it is. All days are loaded by one job. The report's frames run when they are
+    looked at; ``rejected_in_days`` scans the chosen days only, and ``rejected_rows`` reads the day column alone."""
     days = list(days) if days is not None else None
     chosen = chosen_days(start, end, days)
     is_date = any(f.name.lower() == DAY and isinstance(f.dataType, T.DateType) for f in source.schema.fields)
@@ -114,7 +115,8 @@ def load_transactions(
     replace_days(rows, warehouse.location("transactions"))
     target = read_table(warehouse.spark, warehouse.location("transactions"), rows.schema).where(chosen)
     return FactLoad(
-        rejected_values=rejected_casts(source.where(of_source), schemas.TRANSACTIONS),
+        rejected_values=rejected_casts(source, schemas.TRANSACTIONS),
+        rejected_in_days=rejected_casts(source.where(of_source), schemas.TRANSACTIONS),
         rejected_rows=rejected_days(typed),
         per_day=reconcile(rows, target),
     )

@@ -112,9 +112,9 @@ def test_lost_values_are_counted_in_the_window(spark, tmp_path):
     spark.sql(f"SELECT d AS transaction_date, a AS amount, {columns} FROM VALUES (DATE '2024-01-05', 'x'), (DATE '2024-01-06', 'y') AS t(d, a)").write.parquet(path)
     day = date(2024, 1, 5)
     done = load_transactions(read_table(spark, path), Warehouse(spark, str(tmp_path / "house")), start=day, end=day)
-    lost = done.rejected_values.where("column_name = 'amount'")
+    lost = done.rejected_in_days.where("column_name = 'amount'")
     assert [tuple(r) for r in lost.collect()] == [("amount", 1, 1)]
-    assert "GreaterThanOrEqual(transaction_date,2024-01-05)" in plan_of(done.rejected_values)
+    assert "GreaterThanOrEqual(transaction_date,2024-01-05)" in plan_of(done.rejected_in_days)
 
 
 def test_transactions_by_window_and_list(spark, folder, tmp_path, monkeypatch, capsys):
