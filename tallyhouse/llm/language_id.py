@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 UNKNOWN = "und"
 #: Bounds of the training sample: documents for each language, languages, words for each sequence, sequences.
 SAMPLE_DOCS, MAX_LANGUAGES, SEQUENCE_WORDS, SEQUENCES = 150, 64, 48, 3000
-#: Weights of hashed features; words for each language's lexicon; words that a worker remembers; texts that it labels at a time.
-FEATURES, LEXICON, REMEMBERED, TEXTS = 1 << 16, 400, 150_000, 250
+#: Weights of hashed features; words for each language's lexicon; words that a worker remembers; words that it labels at a time.
+FEATURES, LEXICON, REMEMBERED, BLOCK = 1 << 16, 400, 150_000, 80_000
 #: Characters that are not part of words (ASCII punctuation and digits).
 NOT_IN_WORDS = bytes(b for b in range(33, 127) if not chr(b).isalpha())
 EDGE_LEFT, EDGE_RIGHT = b"\x02", b"\x03"
@@ -193,8 +193,11 @@ class Labeller:
             self.table = np.concatenate([self.table, self.model.scores(fresh)])
         return np.fromiter(map(self.seen.__getitem__, words), np.int64, len(words))
 
-    def posteriors(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Posteriors of all words, and the number of the text of each. Each line is a chain."""
+    def blocks(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Posteriors of all words, and the number of the text of each, some lines at a time. Each line is a chain.
+
+        A block ends with the line that brings it to BLOCK words, so memory follows the longest line and not the longest text.
+        """
         words, lengths, owner = [], [], []
         for i, text in enumerate(texts):
             for line in (text or "").split("\n"):
@@ -203,17 +206,27 @@ class Labeller:
                     words += own
                     lengths.append(len(own))
                     owner.append(i)
-        ids = self.lookup(words)
-        lengths = np.array(lengths, np.int64)
-        found, _, _ = forward_backward(self.table[ids], self.model.transitions, self.model.start, lengths)
-        return found, np.repeat(np.array(owner, np.int64), lengths)
+                if len(words) >= BLOCK:
+                    yield self.posteriors(words, lengths, owner)
+                    words, lengths, owner = [], [], []
+        if words:
+            yield self.posteriors(words, lengths, owner)
+
+    def posteriors(self, words: list[bytes], lengths: list[int], owner: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        ids, sizes = self.lookup(words), np.array(lengths, np.int64)
+        found, _, _ = forward_backward(self.table[ids], self.model.transitions, self.model.start, sizes)
+        return found, np.repeat(np.array(owner, np.int64), sizes)
 
     def label(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Language and score of each text."""
         if not self.model.labels:
             return [UNKNOWN] * len(texts), np.zeros(len(texts))
-        found, owner = self.posteriors(texts)
-        mass = np.stack([np.bincount(owner, found[:, k], len(texts)) for k in range(len(self.model.labels))], 1)
+        mass = np.zeros((len(texts), len(self.model.labels)))
+        for found, owner in self.blocks(texts):
+            first = int(owner[0])
+            size = int(owner[-1]) + 1 - first
+            for k in range(mass.shape[1]):
+                mass[first : first + size, k] += np.bincount(owner - first, found[:, k], size)
         total = mass.sum(1)
         best = mass.argmax(1)
         score = np.clip(mass[np.arange(len(texts)), best] / np.maximum(total, 1e-300), 0, 1)
@@ -222,9 +235,8 @@ class Labeller:
 
     def spans(self, text: str | None) -> list[tuple[int, int, str]]:
         """Runs of words with one language: first word, end, language."""
-        found, _ = self.posteriors([text])
         out: list[tuple[int, int, str]] = []
-        for i, k in enumerate(found.argmax(1).tolist() if len(found) else []):
+        for i, k in enumerate(k for found, _ in self.blocks([text]) for k in found.argmax(1).tolist()):
             lang = self.model.labels[k]
             out = [*out[:-1], (out[-1][0], i + 1, lang)] if out and out[-1][2] == lang else [*out, (i, i + 1, lang)]
         return out
@@ -258,8 +270,8 @@ def predict(model: Model):
     def labelled(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = Labeller(model)
         for texts in batches:
-            parts = [own.label([t if isinstance(t, str) else None for t in texts.iloc[at : at + TEXTS]]) for at in range(0, len(texts), TEXTS)]
-            yield pd.DataFrame({"lang_pred": [x for p in parts for x in p[0]], "score": np.concatenate([p[1] for p in parts]) if parts else np.zeros(0)})
+            langs, scores = own.label([t if isinstance(t, str) else None for t in texts])
+            yield pd.DataFrame({"lang_pred": langs, "score": scores})
 
     return labelled
 

@@ -358,6 +358,18 @@ def test_language_edges_and_switches(spark):
     assert language_id.identify(documents(spark, []), model).count() == 0
 
 
+def test_blocks_of_lines_do_not_change_labels(spark, monkeypatch):
+    docs = table(spark)
+    labeller = language_id.Labeller(language_id.learn(docs))
+    texts = [r["text"] for r in docs.orderBy("doc_id").collect()] + [None, "", "12\n\n34"]
+    langs, scores = labeller.label(texts)
+    monkeypatch.setattr(language_id, "BLOCK", 100)
+    again, close = labeller.label(texts)
+    assert again == langs and np.allclose(close, scores, atol=1e-12)
+    assert len(list(labeller.blocks(texts))) > len(texts) / 2 and langs[-3:] == ["und"] * 3
+    assert [len(part) for part in labeller.label([])] == [0, 0]
+
+
 def test_a_very_long_text_is_whole(spark):
     assert len(text(7, 20_000).split()) == 20_000
     got = lm_scoring.score_documents(documents(spark)).where("doc_id = 7").first()
