@@ -150,7 +150,8 @@ def _write(df: DataFrame, args: argparse.Namespace, append: bool = False) -> Non
 
 
 def _report(done: FactLoad) -> int:
-    """Print what a fact load did. The exit code says whether every row of the chosen days has arrived."""
+    """Print what a fact load did. The exit code says whether the chosen days now hold the source's rows: every row has
+    arrived, and no day keeps rows of an earlier load that the source no longer has."""
     totals = done.per_day.agg(
         F.sum("source_rows").alias("read"),
         F.sum("target_rows").alias("stored"),
@@ -159,7 +160,10 @@ def _report(done: FactLoad) -> int:
     print(f"read {totals['read'] or 0} rows, stored {totals['stored'] or 0}, days that differ: {totals['wrong_days']}")
     print(f"rejected rows: {done.rejected_rows.first().asDict()}")
     done.rejected_in_days.where(F.col("rejected") > 0).show(truncate=False)
-    return 1 if totals["wrong_days"] else 0
+    stale = [str(r[DAY]) for r in done.per_day.where("source_rows = 0 and target_rows > 0").orderBy(DAY).collect()]
+    if stale:
+        print(f"days that the source no longer has, left as they were: {', '.join(stale)}")
+    return 1 if totals["wrong_days"] or stale else 0
 
 
 def run(spark: SparkSession, argv: Sequence[str]) -> int:

@@ -130,6 +130,17 @@ def test_transactions_by_window_and_list(spark, folder, tmp_path, monkeypatch, c
         jobs.run(spark, [*base, "--start", "2024-02-01", "--end", "2024-01-01"])
 
 
+def test_days_that_left_the_source_are_named(spark, folder, tmp_path, capsys):
+    house, csv = str(tmp_path / "house"), folder / "transactions.csv"
+    load = ["load-transactions", "--csv", str(csv), "--warehouse", house, "--start", "2024-01-01", "--end", "2024-02-28"]
+    assert jobs.run(spark, load) == 0
+    assert "no longer has" not in capsys.readouterr().out
+    csv.write_text("".join(line for line in csv.read_text().splitlines(True) if not line.startswith("t1,")))
+    assert jobs.run(spark, load) == 1
+    assert "the source no longer has, left as they were: 2024-01-05" in capsys.readouterr().out
+    assert rows(read_table(spark, f"{house}/transactions").select("transaction_id_dd")) == [("t1",), ("t2",)]
+
+
 def test_older_layout_daily_totals(spark, tmp_path, capsys):
     raw = tmp_path / "t.csv"
     raw.write_text(
