@@ -10,6 +10,7 @@ keys that are no longer shared out of the filters, so every load can be undone.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,8 @@ from .common import WHITE, free_name
 
 SHARDS = 64
 SLOTS = 4
+#: A filter with more keys than this share of its slots is built anew, with room for twice its keys.
+FULL = 0.8
 
 
 def line_key(line: bytes) -> bytes:
@@ -77,10 +80,10 @@ class CuckooFilter:
     """Buckets of four 16-bit fingerprints; a key lies in one of two buckets. Bounded by the number of keys of a shard."""
 
     def __init__(self, n_keys: int):
-        self.mask = (1 << max(2, int(np.ceil(np.log2(max(1, n_keys) / SLOTS / 0.8))))) - 1
+        self.mask = (1 << max(2, int(np.ceil(np.log2(max(1, n_keys) / SLOTS / FULL))))) - 1
         self.slots = np.zeros((self.mask + 1, SLOTS), np.uint16)
-        #: What found no place in the buckets, kept whole.
-        self.rest: set[tuple[int, int]] = set()
+        #: What found no place in the buckets, and how many keys it stands for: those with one fingerprint and one pair of buckets.
+        self.rest: Counter[tuple[int, int]] = Counter()
 
     def places(self, digests: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Fingerprint, first and second bucket; the second is the first xor a hash of the fingerprint, and back."""
@@ -105,7 +108,7 @@ class CuckooFilter:
                 mark, self.slots[bucket, turn] = int(self.slots[bucket, turn]), mark
                 bucket ^= int(self.turn(np.array([mark]))[0])
             else:
-                self.rest.add((mark, min(bucket, bucket ^ int(self.turn(np.array([mark]))[0]))))
+                self.rest[mark, min(bucket, bucket ^ int(self.turn(np.array([mark]))[0]))] += 1
 
     def delete(self, digests: np.ndarray) -> None:
         for mark, first, second in zip(*(x.tolist() for x in self.places(digests))):
@@ -115,7 +118,9 @@ class CuckooFilter:
                     self.slots[bucket, at[0]] = 0
                     break
             else:
-                self.rest.discard((mark, min(first, second)))
+                self.rest[mark, min(first, second)] -= 1
+                if self.rest[mark, min(first, second)] <= 0:
+                    del self.rest[mark, min(first, second)]
 
     def __contains__(self, digest: bytes) -> bool:
         return bool(self.contains(np.frombuffer(digest, np.uint8).reshape(1, 16))[0])
@@ -128,7 +133,7 @@ class CuckooFilter:
         return found
 
     def dump(self) -> bytes:
-        rest = np.array(sorted(self.rest), np.int64).reshape(-1, 2)
+        rest = np.array([(*entry, n) for entry, n in sorted(self.rest.items())], np.int64)
         return np.int64(self.mask).tobytes() + self.slots.tobytes() + rest.tobytes()
 
     @classmethod
@@ -137,35 +142,48 @@ class CuckooFilter:
         own.mask = int(np.frombuffer(raw[:8], np.int64)[0])
         end = 8 + (own.mask + 1) * SLOTS * 2
         own.slots = np.frombuffer(raw[8:end], np.uint16).reshape(-1, SLOTS).copy()
-        own.rest = {tuple(x) for x in np.frombuffer(raw[end:], np.int64).reshape(-1, 2).tolist()}
+        own.rest = Counter({(mark, bucket): n for mark, bucket, n in np.frombuffer(raw[end:], np.int64).reshape(-1, 3).tolist()})
         return own
 
 
+FILTERS = "shard int, filter binary, slots long"
+
+
 def digests_of(keys) -> np.ndarray:
     return np.frombuffer(b"".join(keys), np.uint8).reshape(-1, 16).copy()
 
 
-def build_filters(table: DataFrame, min_docs: int) -> DataFrame:
-    """``shard`` and ``filter``: the keys of the table that at least ``min_docs`` documents hold."""
+def build_filters(table: DataFrame, min_docs: int, room: int = 1) -> DataFrame:
+    """``shard``, ``filter`` and its ``slots``: the keys of the table that at least ``min_docs`` documents hold, with room for so many times their number."""
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
-        made = CuckooFilter(len(rows))
+        made = CuckooFilter(room * len(rows))
         made.insert(digests_of(sorted(rows["key"])))
-        return pd.DataFrame({"shard": rows["shard"].iloc[:1], "filter": [made.dump()]})
+        return pd.DataFrame({"shard": rows["shard"].iloc[:1], "filter": [made.dump()], "slots": made.slots.size})
 
-    return table.where(F.col("n_docs") >= min_docs).select("shard", "key").groupBy("shard").applyInPandas(build, "shard int, filter binary")
+    return table.where(F.col("n_docs") >= min_docs).select("shard", "key").groupBy("shard").applyInPandas(build, FILTERS)
 
 
-def change_filters(filters: DataFrame, changes: DataFrame) -> DataFrame:
-    """The filters with keys put in (``sign`` 1) and taken out (-1), each key as often as it is listed."""
+def change_filters(filters: DataFrame, changes: DataFrame, table: DataFrame, min_docs: int) -> DataFrame:
+    """The filters with keys put in (``sign`` 1) and taken out (-1), each key as often as it is listed.
+
+    ``table`` is the exact table after the change. The filters of shards that have none yet, or would be full, are
+    built from it, with room for twice the keys.
+    """
 
     def change(own: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        made = CuckooFilter.load(own["filter"].iloc[0]) if len(own) else CuckooFilter(2 * len(rows))
+        made = CuckooFilter.load(own["filter"].iloc[0])
         made.delete(digests_of(rows.loc[rows["sign"] < 0, "key"]))
         made.insert(digests_of(rows.loc[rows["sign"] > 0, "key"]))
-        return pd.DataFrame({"shard": (own if len(own) else rows)["shard"].iloc[:1].to_numpy(), "filter": [made.dump()]})
+        return pd.DataFrame({"shard": own["shard"], "filter": [made.dump()], "slots": made.slots.size})
 
-    return filters.groupBy("shard").cogroup(changes.select("shard", "key", "sign").groupBy("shard")).applyInPandas(change, "shard int, filter binary")
+    needed = table.where(F.col("n_docs") >= min_docs).groupBy("shard").agg(F.count("*").alias("needed"))
+    full = needed.join(filters.select("shard", "slots"), "shard", "left").where(F.col("slots").isNull() | (F.col("needed") > FULL * F.col("slots")))
+    # A number for each shard at most.
+    full = F.col("shard").isin([r["shard"] for r in full.collect()])
+    kept, moved = filters.where(~full), changes.where(~full).select("shard", "key", "sign")
+    changed = kept.groupBy("shard").cogroup(moved.groupBy("shard")).applyInPandas(change, FILTERS)
+    return changed.unionByName(build_filters(table.where(full), min_docs, room=2))
 
 
 def possible_hits(refs: DataFrame, filters: DataFrame) -> DataFrame:
@@ -257,7 +275,7 @@ class LineIndex:
         self.least, self.min_docs = least, min_docs
         self.log = spark.createDataFrame([], "shard int, key binary, doc_id long, sign int")
         self.table = spark.createDataFrame([], "shard int, key binary, n_docs long, keeper long")
-        self.filters = spark.createDataFrame([], "shard int, filter binary")
+        self.filters = spark.createDataFrame([], FILTERS)
 
     def insert(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> None:
         """Add documents. A key that a document has already in the index is not counted again."""
@@ -276,7 +294,7 @@ class LineIndex:
         moved = has.join(was, ["shard", "key"], "left_anti").withColumn("sign", F.lit(1)).unionByName(
             was.join(has, ["shard", "key"], "left_anti").withColumn("sign", F.lit(-1))
         )
-        self.filters = written(change_filters(self.filters, moved), "line-filters")
+        self.filters = written(change_filters(self.filters, moved, now, self.min_docs), "line-filters")
         self.table = now
 
     def strip(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

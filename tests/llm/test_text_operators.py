@@ -265,6 +265,36 @@ def test_line_index_can_be_undone(spark):
     assert index.table.count() == 0 and LINE in "".join(r["text"] or "" for r in index.strip(docs).collect())
 
 
+def test_cuckoo_filter_tells_overflowing_keys_of_one_mark_apart():
+    keys = np.zeros((40, 16), np.uint8)
+    keys[:, 4], keys[:, 8] = np.arange(40), 7  # one fingerprint and one bucket
+    own = line_dedup.CuckooFilter(1)
+    own.insert(keys)
+    own = line_dedup.CuckooFilter.load(own.dump())
+    own.delete(keys[:39])
+    assert own.contains(keys[39:]).all()
+    own.delete(keys[39:])
+    assert not own.contains(keys).any() and not own.rest
+
+
+def test_line_index_grows_past_a_tiny_first_load(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SHARDS", 1)
+    shared = ["\n".join(f"{half} half, shared line number {i}" for i in range(2000)) for half in ("first", "second")]
+    texts = [LINE] * 3 + ["\n".join(shared)] * 2 + shared
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    index = line_dedup.LineIndex(spark)
+    index.insert(docs.where("doc_id < 3"))
+    index.insert(docs.where("doc_id >= 3"))
+    left = docs.where("doc_id <> 6")
+    for now in (docs, left):
+        if now is left:
+            index.delete(docs.where("doc_id = 6"))
+        (own,) = [line_dedup.CuckooFilter.load(r["filter"]) for r in index.filters.collect()]
+        keys = [r["key"] for r in index.table.where("n_docs >= 3").collect()]
+        assert own.contains(line_dedup.digests_of(keys)).all() and len(keys) <= 0.8 * own.slots.size and not own.rest
+        assert sorted(map(tuple, index.strip(now).collect())) == sorted(map(tuple, line_dedup.dedup_lines(now).collect()))
+
+
 # -- LM scoring
 
 
