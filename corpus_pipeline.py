@@ -13,17 +13,13 @@ from tallyhouse.llm import language_id, line_dedup, mixing, packing, queries, si
 from tallyhouse.llm.common import free_name, read_table
 from tallyhouse.session import written
 
-#: A document goes if no language has this share of its words, or if it has no letter at all.
-LEAST_LANGUAGE = 0.4
-
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language. The model is learned from the labelled ones that are not held out."""
+    """Documents in learned languages, one or several. The model is learned from the labelled ones that are not held out."""
     model = language_id.learn(docs.where(f"not coalesce({queries.HELD_OUT}, false)"))
     found = free_name(docs, "found")
     judged = docs.withColumn(found, language_id.predict(model)(F.col("text")))
-    kept = (F.col(f"{found}.lang_pred") != language_id.UNKNOWN) & (F.col(f"{found}.score") >= LEAST_LANGUAGE)
-    return judged.where(kept).select(docs.columns)
+    return judged.where(F.col(f"{found}.learned")).select(docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

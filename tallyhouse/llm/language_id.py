@@ -21,6 +21,8 @@ UNKNOWN = "und"
 SAMPLE_DOCS, MAX_LANGUAGES, SEQUENCE_WORDS, SEQUENCES = 150, 64, 48, 3000
 #: Weights of hashed features; words for each language's lexicon; words that a worker remembers; words that it labels at a time.
 FEATURES, LEXICON, REMEMBERED, BLOCK = 1 << 16, 400, 150_000, 80_000
+#: Bits by which the n-grams of the training words are remembered, to tell text that is in no learned language.
+GRAM_BITS = 22
 #: Characters that are not part of words (ASCII punctuation and digits).
 NOT_IN_WORDS = bytes(b for b in range(33, 127) if not chr(b).isalpha())
 EDGE_LEFT, EDGE_RIGHT = b"\x02", b"\x03"
@@ -30,8 +32,8 @@ def plain_words(line: str) -> list[bytes]:
     return line.lower().encode("utf-8", "surrogatepass").translate(None, NOT_IN_WORDS).split()
 
 
-def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed features of words: numbers of features, and for each the number of its word.
+def grams(words: list[bytes], bits: int = FEATURES.bit_length() - 1) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of words: numbers of features (of so many bits), and for each the number of its word.
 
     The n-grams of 2 to 4 bytes of the word between two edge marks; those with a mark are its affixes.
     """
@@ -46,11 +48,28 @@ def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         rolling = rolling[:-1] * np.uint64(0x100000001B3) ^ flat[n - 1 :]
         whole = owner[n - 1 :] == owner[: len(owner) - n + 1]
         mixed = rolling[whole] * np.uint64(0x9E3779B97F4A7C15)
-        features.append((mixed >> np.uint64(48)).astype(np.int64) % FEATURES)
+        features.append((mixed >> np.uint64(64 - bits)).astype(np.int64))
         owners.append(owner[n - 1 :][whole])
     return np.concatenate(features), np.concatenate(owners)
 
 
+def gram_set(words: list[bytes]) -> np.ndarray:
+    """The n-grams of words, as a bit for each hash."""
+    bits = np.zeros(1 << GRAM_BITS, bool)
+    if words:
+        bits[grams(words, GRAM_BITS)[0]] = True
+    return np.packbits(bits)
+
+
+def known_share(words: list[bytes], own: np.ndarray) -> np.ndarray:
+    """The share of each word's n-grams that are in a set."""
+    if not words:
+        return np.zeros(0)
+    found, owner = grams(words, GRAM_BITS)
+    hits = (own[found >> 3] >> (7 - (found & 7)).astype(np.uint8)) & 1
+    return np.bincount(owner, hits, len(words)) / np.bincount(owner, minlength=len(words))
+
+
 def forward_backward(scores: np.ndarray, transitions: np.ndarray, start: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     """Posterior of each word's label, expected transitions summed over all, and the log of the partition functions' product.
 
@@ -90,6 +109,9 @@ class Model:
     lexicon_weight: np.ndarray
     transitions: np.ndarray
     start: np.ndarray
+    #: The n-grams of all training words, and the share of them that the words of a text in a learned language hold at least.
+    grams: np.ndarray
+    least_known: float
 
     def scores(self, words: list[bytes]) -> np.ndarray:
         if not words:
@@ -137,7 +159,7 @@ def train(texts: list[str], langs: list[str], seed: int = 7, rounds: int = 4, ra
         truth.append(labels_of)
     known = {w: i for i, w in enumerate(dict.fromkeys(w for c in chains for w in c))}
     n = len(labels)
-    model = Model(labels, np.zeros((FEATURES, n)), lexicon, np.ones(n), np.zeros((n, n)), np.zeros(n))
+    model = Model(labels, np.zeros((FEATURES, n)), lexicon, np.ones(n), np.zeros((n, n)), np.zeros(n), *familiar(words, langs))
     if not known:
         return model
     features, owner = grams(list(known))
@@ -178,23 +200,45 @@ def train(texts: list[str], langs: list[str], seed: int = 7, rounds: int = 4, ra
     return model
 
 
+def familiar(words: list[list[bytes]], langs: list[str]) -> tuple[np.ndarray, float]:
+    """The n-grams of the documents' words, and half of what one half of them knows of the other, for the language where that is least.
+
+    It is asked whether the n-grams are known and not how sure a label is, so that a word which several languages share
+    counts in full. Where a language has little text the bound falls, as little can be told from it.
+    """
+    halves: list[dict[str, list[list[bytes]]]] = [{}, {}]
+    for lang in set(langs):
+        own = [w for w, of in zip(words, langs) if of == lang and w]
+        own = own if len(own) > 1 else [[x] for w in own for x in w]
+        halves[0][lang], halves[1][lang] = own[::2], own[1::2]
+    flat = lambda docs: [w for d in docs for w in d]
+    first = gram_set(list(dict.fromkeys(w for docs in halves[0].values() for w in flat(docs))))
+    shares = [known_share(flat(docs), first) if any(docs) else np.zeros(1) for docs in halves[1].values()]
+    return gram_set(list(dict.fromkeys(flat(words)))), 0.5 * min((float(x.mean()) for x in shares), default=0.0)
+
+
 class Labeller:
     """Labels texts in a worker. Remembers the evidence of a bounded number of words."""
 
     def __init__(self, model: Model):
-        self.model, self.seen, self.table = model, {}, np.zeros((0, len(model.labels)))
+        self.model, self.seen, self.table, self.known = model, {}, np.zeros((0, len(model.labels))), np.zeros(0)
 
     def lookup(self, words: list[bytes]) -> np.ndarray:
         if len(self.seen) > REMEMBERED:
-            self.seen, self.table = {}, self.table[:0]
+            self.seen, self.table, self.known = {}, self.table[:0], self.known[:0]
         fresh = list(set(words).difference(self.seen))
         if fresh:
             self.seen.update(zip(fresh, range(len(self.seen), len(self.seen) + len(fresh))))
             self.table = np.concatenate([self.table, self.model.scores(fresh)])
+            self.known = np.concatenate([self.known, known_share(fresh, self.model.grams)])
         return np.fromiter(map(self.seen.__getitem__, words), np.int64, len(words))
 
     def blocks(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Posteriors of all words, and the number of the text of each, some lines at a time. Each line is a chain.
+        """Posteriors of all words, and the number of the text of each, some lines at a time. Each line is a chain."""
+        return ((found, owner) for found, owner, _ in self.judged(texts))
+
+    def judged(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """As ``blocks``, and the known share of each word's n-grams.
 
         A block ends with the line that brings it to BLOCK words, so memory follows the longest line and not the longest text.
         """
@@ -212,26 +256,32 @@ class Labeller:
         if words:
             yield self.posteriors(words, lengths, owner)
 
-    def posteriors(self, words: list[bytes], lengths: list[int], owner: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    def posteriors(self, words: list[bytes], lengths: list[int], owner: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         ids, sizes = self.lookup(words), np.array(lengths, np.int64)
         found, _, _ = forward_backward(self.table[ids], self.model.transitions, self.model.start, sizes)
-        return found, np.repeat(np.array(owner, np.int64), sizes)
+        return found, np.repeat(np.array(owner, np.int64), sizes), self.known[ids]
 
     def label(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Language and score of each text."""
+        return self.judge(texts)[:2]
+
+    def judge(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language and score of each text, and whether it is in learned languages, however many it is mixed from."""
         if not self.model.labels:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts))
-        mass = np.zeros((len(texts), len(self.model.labels)))
-        for found, owner in self.blocks(texts):
+            return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
+        mass, familiar = np.zeros((len(texts), len(self.model.labels))), np.zeros(len(texts))
+        for found, owner, share in self.judged(texts):
             first = int(owner[0])
             size = int(owner[-1]) + 1 - first
             for k in range(mass.shape[1]):
                 mass[first : first + size, k] += np.bincount(owner - first, found[:, k], size)
+            familiar[first : first + size] += np.bincount(owner - first, share, size)
         total = mass.sum(1)
         best = mass.argmax(1)
         score = np.clip(mass[np.arange(len(texts)), best] / np.maximum(total, 1e-300), 0, 1)
         known = np.array([n > 0 and has_letter(t) for n, t in zip(total, texts)], bool)
-        return [self.model.labels[b] if k else UNKNOWN for b, k in zip(best, known)], np.where(known, score, 0.0)
+        learned = known & (familiar >= self.model.least_known * total * (1 - 1e-9))
+        return [self.model.labels[b] if k else UNKNOWN for b, k in zip(best, known)], np.where(known, score, 0.0), learned
 
     def spans(self, text: str | None) -> list[tuple[int, int, str]]:
         """Runs of words with one language: first word, end, language."""
@@ -265,13 +315,13 @@ def training_sample(docs: DataFrame, lang: str = "lang", text: str = "text", doc
 
 
 def predict(model: Model):
-    """A function of a text column: a struct of ``lang_pred`` and ``score``."""
-    @F.pandas_udf("lang_pred string, score double")
+    """A function of a text column: a struct of ``lang_pred``, ``score`` and ``learned`` (the text is in learned languages)."""
+    @F.pandas_udf("lang_pred string, score double, learned boolean")
     def labelled(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = Labeller(model)
         for texts in batches:
-            langs, scores = own.label([t if isinstance(t, str) else None for t in texts])
-            yield pd.DataFrame({"lang_pred": langs, "score": scores})
+            langs, scores, learned = own.judge([t if isinstance(t, str) else None for t in texts])
+            yield pd.DataFrame({"lang_pred": langs, "score": scores, "learned": learned})
 
     return labelled
 

@@ -248,3 +248,25 @@ def test_pipeline_stages_on_edges(spark):
     single = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
     kept = sorted(r["doc_id"] or -1 for r in single.collect())
     assert kept == [-1, 1, 3, 4, 7, 8, 9, 12] and len(ROWS) == 12
+
+
+def test_language_stage_keeps_mixed_texts_and_drops_unlearned_ones(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    by = {}
+    for r in docs.where("text is not null").orderBy("doc_id").collect():
+        by.setdefault(r["lang"], []).append(r["text"].split())
+    pure = [[w for t in texts[:20] for w in t][:400] for _, texts in sorted(by.items())]
+    assert len(pure) == 4 and min(map(len, pure)) == 400
+    mixes = [list(range(3)), list(range(1, 4)), list(range(4))]
+    clean = [" ".join(w for k in mix for w in pure[k][: 1200 // len(mix) // 4]) for mix in mixes]
+    clean += ["\n".join(" ".join(pure[k][i : i + 10]) for i in range(0, 100, 10) for k in mix) for mix in mixes]
+    rng = np.random.default_rng(5)
+    noise = " ".join("".join(rng.choice(list("bcdfghjklmnpqrstvwxz"), 8)) for _ in range(300))
+    junk = [None, "12 34 -- 56", noise, "Быстрая коричневая лиса прыгает через ленивую собаку " * 9, "".join(map(chr, rng.integers(0x4E00, 0x9000, 300)))]
+    added = spark.createDataFrame([(10**6 + i, t, None) for i, t in enumerate(clean + junk)], "doc_id long, text string, lang string")
+    # A second label for every other document of a language divides the mass of its words.
+    split = docs.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, F.concat("lang", F.lit("2"))).otherwise(F.col("lang")))
+    for learned in (docs, split):
+        kept = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, learned.unionByName(added), SF).collect()}
+        assert {i for i in kept if i >= 10**6} == {10**6 + i for i in range(len(clean))}
+        assert kept >= {r["doc_id"] for r in docs.where("text rlike '[a-z]'").collect()}
