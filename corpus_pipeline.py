@@ -32,11 +32,19 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: that with the smallest id. Documents without an id stay, as nothing can name them."""
-    groups = simhash.near_duplicates(docs, shingle=3, distance=3)
-    heads = written(groups.where("doc_id = component_id").select(F.col("doc_id").alias("head__")).distinct(), "heads")
-    kept = docs.join(heads, docs["doc_id"].cast("long") == heads["head__"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    """One document of each group: that with the smallest id; of rows with one id that with the smallest hash of the whole row.
+
+    Rows with one id and different texts are documents of their own. Rows without an id are grouped with the others, and one
+    of them stays in each group beside the one with an id, as nothing can name it. Rows equal in all columns are one.
+    """
+    row = free_name(docs, "row__")
+    # A null leaves the hash as it is, so whether a column is null is hashed too.
+    keyed = docs.withColumn(row, F.xxhash64(*[part for c in docs.columns for part in (docs[c], docs[c].isNull())]))
+    groups = simhash.near_duplicates(keyed, shingle=3, distance=3, doc_id=row).select(F.col("doc_id").alias("of__"), "component_id").distinct()
+    named = keyed.select(F.col(row).alias("row__"), F.col("doc_id").cast("long").alias("id__")).distinct()
+    first = groups.join(named, F.col("of__") == F.col("row__")).groupBy("component_id", F.col("id__").isNull().alias("unnamed__"))
+    heads = written(first.agg(F.min(F.struct("id__", "row__")).alias("first__")).select(F.col("first__.row__").alias("head__")), "heads")
+    return keyed.join(heads, keyed[row] == heads["head__"], "left_semi").dropDuplicates([row]).select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

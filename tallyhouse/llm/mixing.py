@@ -56,7 +56,7 @@ def mix_sources(
     Returns the frame and the names of the added columns (``size``, ``source_size``, ``target``, ``copies``), which are
     new names where the documents have such columns already. Each document is taken ``floor(rate)`` times, and once
     more if a hash of its id is below the fraction. Null texts have size 0; null is a source of its own, named last;
-    a source of size 0 has target 0 and none of its documents is taken; repeated rows are taken alike, and rows without an id as one id.
+    a source of size 0 has target 0 and none of its documents is taken; repeated rows are taken alike. Rows without an id draw by their text.
     The result does not depend on partitions or reruns. An empty table gives an empty mix.
     """
     new = {name: free_name(docs, name) for name in ("size", "source_size", "target", "copies")}
@@ -69,10 +69,11 @@ def mix_sources(
         F.col("source").alias("source__"), F.col("source_size").alias(new["source_size"]), F.col("target").alias(new["target"]), F.col("rate").alias(rate),
         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt_r__"),
     )
-    sized = sized.withColumn(salt, F.pmod(F.xxhash64(F.lit("salt"), F.col(doc_id)), F.lit(SALTS)).cast("int"))
+    nameless = F.when(F.col(doc_id).isNull(), F.coalesce(F.col(text), F.lit("")))
+    sized = sized.withColumn(salt, F.pmod(F.xxhash64(F.lit("salt"), F.col(doc_id), nameless), F.lit(SALTS)).cast("int"))
     both = sized.join(rates, sized[source].eqNullSafe(rates["source__"]) & (sized[salt] == rates["salt_r__"]))
     whole = F.floor(F.col(rate))
-    more = (unit_hash(seed, F.col(doc_id)) < F.col(rate) - whole).cast("long")
+    more = (unit_hash(seed, F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("null:"), nameless))) < F.col(rate) - whole).cast("long")
     both = both.withColumn(new["copies"], whole + more)
     return both.drop("source__", "salt_r__", rate, salt), new
 

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyhouse.llm import ann, cover_tree, queries, url_filter, warc
+from tallyhouse.llm import ann, cover_tree, mixing, queries, url_filter, warc
 from tests.llm.edge import ROWS, documents
 from tests.llm.test_text_operators import components, lower, plain_lines
 
@@ -270,3 +270,21 @@ def test_language_stage_keeps_mixed_texts_and_drops_unlearned_ones(spark):
         kept = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, learned.unionByName(added), SF).collect()}
         assert {i for i in kept if i >= 10**6} == {10**6 + i for i in range(len(clean))}
         assert kept >= {r["doc_id"] for r in docs.where("text rlike '[a-z]'").collect()}
+
+
+def test_rows_with_one_id_or_none_are_told_apart(spark):
+    a, b = (f"{x} text about many things that the other text does not name, in words of its own {x} {x}" for x in ("first", "second"))
+    c = "Something else entirely stands here: numbers, colours, seven rivers and the names of the hills beyond them"
+    rows = [(1, a, "x"), (2, b, "x"), (2, c, "x"), (2, c, "x"), (3, c, "y"), *[(None, b, "x")] * 3, (None, c, "x"), (None, c, "y"), (5, a, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    single = lambda df: sorted(map(tuple, corpus_pipeline.drop_near_duplicates(spark, df, SF).collect()), key=repr)
+    got = single(docs.repartition(5))
+    assert [r[:2] for r in got] == sorted([(1, a), (2, b), (2, c), (None, b), (None, c)], key=repr)
+    assert single(docs.orderBy(F.desc("text"), F.desc("source")).coalesce(1)) == got
+
+
+def test_rows_without_an_id_draw_by_their_text(spark):
+    docs = spark.createDataFrame([(None, f"text number {i}", s) for i in range(1000) for s in ("a", "b")], "doc_id long, text string, source string")
+    mixed, new = mixing.mix_sources(docs, [2, 1], 1.1)
+    for r in mixed.groupBy("source", new["target"]).agg(F.sum(F.col(new["size"]) * F.col(new["copies"])).alias("taken")).collect():
+        assert r["taken"] == pytest.approx(r[new["target"]], rel=0.1)
