@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, cover_tree, language_id, line_dedup, lm_scoring, mixing, packing, simhash, url_filter, warc
+from . import ann, cover_tree, language_id, line_dedup, lm_scoring, mixing, packing, simhash, url_filter, warc, whitening
 from .common import read_table
 
 #: The listed rules (host, path, verdict).
@@ -88,10 +88,16 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "n_words", "n_backoff", F.round("score", 6).alias("score"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    rows = whitening.whiten(vectors, whitening.learn(vectors, components=16))
+    return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_ann_hilbert, op2_cover_tree_dedup, op3_warc_roundtrip, op4_language_id, op5_url_filter,
-        op6_packing, op7_mixing, op8_simhash, op9_line_dedup, op10_lm_scoring,
+        op6_packing, op7_mixing, op8_simhash, op9_line_dedup, op10_lm_scoring, op13_whitening,
     ]
     return {f.__name__: f for f in found}
 
