@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, cover_tree, language_id, line_dedup, lm_scoring, mixing, packing, simhash, url_filter, warc, whitening
+from . import ann, cover_tree, disclosure, language_id, line_dedup, lm_scoring, mixing, packing, simhash, url_filter, warc, whitening
 from .common import read_table
 
 #: The listed rules (host, path, verdict).
@@ -88,6 +88,14 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "n_words", "n_backoff", F.round("score", 6).alias("score"))
 
 
+def op12_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = disclosure.find_spans(read_table(spark, sf_dir, "documents"))
+    base, added = disclosure.joined(F.col("base")), disclosure.joined(F.col("added"), F.lit(disclosure.TERM_KIND))
+    counts = [disclosure.count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in disclosure.KINDS]
+    spans = F.array_join(F.filter(F.array(base, added), lambda s: s != ""), ",")
+    return found.select("doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), spans.alias("spans"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings")
     rows = whitening.whiten(vectors, whitening.learn(vectors, components=16))
@@ -97,7 +105,7 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_ann_hilbert, op2_cover_tree_dedup, op3_warc_roundtrip, op4_language_id, op5_url_filter,
-        op6_packing, op7_mixing, op8_simhash, op9_line_dedup, op10_lm_scoring, op13_whitening,
+        op6_packing, op7_mixing, op8_simhash, op9_line_dedup, op10_lm_scoring, op12_sanitisation, op13_whitening,
     ]
     return {f.__name__: f for f in found}
 
