@@ -43,11 +43,16 @@ WINDOW = 10
 MIN_TEXTS = 3
 #: Shares of the entity's information from which a term is generalised, and removed.
 GENERALISE, REMOVE = 0.9, 0.97
+#: Texts whose digest begins with a byte below this give all their terms in the first pass, for lower bounds of counts.
+WITNESS_BYTE = 4
 #: 64-bit words of the filter of candidate terms (1 MB); beyond it more terms pass that the exact join drops.
 FILTER_WORDS, FILTER_BITS = 1 << 17, 4
 
+#: Characters of text whose terms are held at once.
+PART_CHARS = 500_000
+
 SPAN = "struct<kind:string,start:int,end:int>"
-SCANNED = f"doc_id long, digest binary, base array<{SPAN}>, mentions array<struct<entity:string,terms:array<string>>>"
+SCANNED = f"doc_id long, digest binary, base array<{SPAN}>, mentions array<struct<entity:string,terms:array<string>>>, witness array<string>"
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -125,15 +130,17 @@ def scan(docs: DataFrame, doc_id: str, text: str, window: int) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            base, mentions = [], []
-            for body in batch.column(2):
+            base, mentions, witness = [], [], []
+            for digest, body in zip(batch.column(1), batch.column(2)):
                 body = body.as_py() or ""
                 spans = base_spans(body)
+                sampled = digest.as_py()[0] < WITNESS_BYTE
+                witness.append(list({t for t, _, _ in free_terms(body, spans)}) if sampled else [])
                 base.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
                 mentions.append(mentions_of(body, spans, window) if spans else [])
             spans_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
             mentions_type = pa.list_(pa.struct([("entity", pa.string()), ("terms", pa.list_(pa.string()))]))
-            yield pa.record_batch({"doc_id": batch.column(0), "digest": batch.column(1), "base": pa.array(base, spans_type), "mentions": pa.array(mentions, mentions_type)})
+            yield pa.record_batch({"doc_id": batch.column(0), "digest": batch.column(1), "base": pa.array(base, spans_type), "mentions": pa.array(mentions, mentions_type), "witness": pa.array(witness, pa.list_(pa.string()))})
 
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), digest_of(F.col(text)).alias("digest"), F.col(text).alias("text"))
     return narrow.mapInArrow(rows, SCANNED)
@@ -166,30 +173,46 @@ def hashes_of(terms: list[str]) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(t.encode()) for t in terms], np.uint64)
 
 
+def parts_of(batch: pa.RecordBatch, chars: int) -> Iterator[tuple[list[bytes], list[str]]]:
+    """Digests and texts of a batch, in parts of about so many characters, so that memory follows the longest text."""
+    digests, bodies, size = [], [], 0
+    for digest, body in zip(batch.column(0), batch.column(1)):
+        digests.append(digest.as_py())
+        bodies.append(body.as_py() or "")
+        size += len(bodies[-1])
+        if size >= chars:
+            yield digests, bodies
+            digests, bodies, size = [], [], 0
+    if digests:
+        yield digests, bodies
+
+
 def places(docs: DataFrame, terms: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``digest``, ``term`` and where it stands, for each distinct text and each of the terms in it outside base spans."""
     words = np.frombuffer(term_filter(terms), np.uint64)
 
+    def passing(texts: list[str]) -> Iterator[tuple[int, set[str]]]:
+        """The place of each text that holds terms which pass, and these terms."""
+        found = [set(map(str.lower, TERM.findall(body))) for body in texts]
+        distinct = list(set().union(*found))
+        at, mask = filter_masks(hashes_of(distinct)) if distinct else (np.zeros(0, int), np.zeros(0, np.uint64))
+        chosen = {t for t, ok in zip(distinct, (words[at] & mask == mask).tolist()) if ok}
+        return ((i, chosen & own) for i, own in enumerate(found) if not chosen.isdisjoint(own))
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = {"digest": pa.binary(), "term": pa.string(), "spans": pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))}
         for batch in batches:
-            bodies = [body.as_py() or "" for body in batch.column(1)]
-            found = [set(map(str.lower, TERM.findall(body))) for body in bodies]
-            distinct = list(set().union(*found))
-            at, mask = filter_masks(hashes_of(distinct)) if distinct else (np.zeros(0, int), np.zeros(0, np.uint64))
-            passing = {t for t, ok in zip(distinct, (words[at] & mask == mask).tolist()) if ok}
-            out: dict[str, list] = {"digest": [], "term": [], "spans": []}
-            for digest, body, own in zip(batch.column(0), bodies, found):
-                if passing.isdisjoint(own):
-                    continue
-                where: dict[str, list] = {}
-                for term, a, b in free_terms(body, base_spans(body)):
-                    if term in passing:
-                        where.setdefault(term, []).append({"start": a, "end": b})
-                for term, spans in where.items():
-                    for name, value in (("digest", digest.as_py()), ("term", term), ("spans", spans)):
-                        out[name].append(value)
-            types = {"digest": pa.binary(), "term": pa.string(), "spans": pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))}
-            yield pa.record_batch({name: pa.array(out[name], kind) for name, kind in types.items()})
+            for digests, bodies in parts_of(batch, PART_CHARS):
+                out: dict[str, list] = {name: [] for name in types}
+                for i, chosen in passing(bodies):
+                    where: dict[str, list] = {}
+                    for term, a, b in free_terms(bodies[i], base_spans(bodies[i])):
+                        if term in chosen:
+                            where.setdefault(term, []).append({"start": a, "end": b})
+                    for term, spans in where.items():
+                        for name, value in (("digest", digests[i]), ("term", term), ("spans", spans)):
+                            out[name].append(value)
+                yield pa.record_batch({name: pa.array(out[name], kind) for name, kind in types.items()})
 
     narrow = docs.where(F.col(text) != "").select(digest_of(F.col(text)).alias("digest"), F.col(text).alias("text"))
     hits = narrow.mapInArrow(rows, "digest binary, term string, spans array<struct<start:int,end:int>>")
@@ -200,8 +223,9 @@ def places(docs: DataFrame, terms: DataFrame, doc_id: str, text: str) -> DataFra
 def disclosing_terms(docs: DataFrame, scanned: DataFrame, doc_id: str, text: str, min_texts: int, share: float) -> DataFrame:
     """``digest``, ``term``, ``spans`` and ``share``: the terms of each distinct text that disclose at least ``share`` of an entity in it.
 
-    A pair counts only with ``min_texts`` distinct texts. That a term occurs in all at least as often as near entities
-    bounds p(e | t) from above, so pairs that cannot reach the share fall away before the second pass, and none other.
+    A pair counts only with ``min_texts`` distinct texts. A term occurs in at least the texts that have it near an entity
+    or are among those that gave all their terms, which bounds p(e | t) from above: pairs that cannot reach the share
+    fall away before the second pass, and none other.
     """
     n = scanned.where(F.col("digest") != digest_of(F.lit(""))).agg(F.count_distinct("digest")).first()[0]
     held = scanned.select("digest", F.explode("mentions").alias("m")).select("digest", "m.entity", "m.terms")
@@ -210,7 +234,8 @@ def disclosing_terms(docs: DataFrame, scanned: DataFrame, doc_id: str, text: str
     entities = written(entities, "entities")
     near = held.join(entities, "entity").select("digest", "entity", "of_entity", F.explode("terms").alias("term"))
     pairs = near.groupBy("entity", "of_entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= min_texts)
-    at_least = near.select("digest", "term").distinct().groupBy("term").agg(F.count("*").alias("at_least"))
+    known = held.select("digest", F.explode("terms").alias("term")).unionByName(scanned.select("digest", F.explode("witness").alias("term")))
+    at_least = known.distinct().groupBy("term").agg(F.count("*").alias("at_least"))
     tells = lambda of_term: 1 + F.log2(F.col("both") / of_term) / F.log2(F.lit(n) / F.col("of_entity"))
     candidates = pairs.join(at_least, "term").where(tells(F.col("at_least")) >= share).drop("at_least")
     candidates = written(candidates, "candidate-terms")
