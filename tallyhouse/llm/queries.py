@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, cover_tree, disclosure, language_id, line_dedup, lm_scoring, mixing, packing, simhash, url_filter, warc, whitening
+from . import ann, cover_tree, disclosure, language_id, lexical_search, line_dedup, lm_scoring, mixing, packing, simhash, url_filter, warc, whitening
 from .common import read_table
 
 #: The listed rules (host, path, verdict).
@@ -88,6 +88,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "n_words", "n_backoff", F.round("score", 6).alias("score"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read_table(spark, sf_dir, "benchmark"), read_table(spark, sf_dir, "documents"), k=50)
+
+
 def op12_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = disclosure.find_spans(read_table(spark, sf_dir, "documents"))
     base, added = disclosure.joined(F.col("base")), disclosure.joined(F.col("added"), F.lit(disclosure.TERM_KIND))
@@ -105,7 +109,7 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_ann_hilbert, op2_cover_tree_dedup, op3_warc_roundtrip, op4_language_id, op5_url_filter,
-        op6_packing, op7_mixing, op8_simhash, op9_line_dedup, op10_lm_scoring, op12_sanitisation, op13_whitening,
+        op6_packing, op7_mixing, op8_simhash, op9_line_dedup, op10_lm_scoring, op11_lexical_search, op12_sanitisation, op13_whitening,
     ]
     return {f.__name__: f for f in found}
 
@@ -207,6 +211,23 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(y.down, 0)::BIGINT AS n_bac
 """
 
 
+OP11_TERMS = r"regexp_extract_all(" + LOWER.format("text") + r", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP11_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {OP11_TERMS} AS w FROM documents
+), n AS (SELECT r, doc_id, w, len(w)::BIGINT AS n FROM d WHERE len(w) > 0
+), s AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM n
+), q AS (SELECT DISTINCT item_id, t FROM (SELECT item_id, unnest({OP11_TERMS}) AS t FROM benchmark)
+), f AS (
+  SELECT r, t, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS t FROM n) WHERE t IN (SELECT t FROM q) GROUP BY r, t
+), g AS (SELECT t, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM f, s GROUP BY t, docs
+), x AS (
+  SELECT item_id, doc_id, sum(g.w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n.n * docs) // terms))))::BIGINT AS score
+  FROM q JOIN f USING (t) JOIN g USING (t) JOIN n USING (r), s GROUP BY item_id, r, doc_id
+), y AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM x WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM y WHERE rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that SQL can express; the others are tested against brute force, a round trip or held-out accuracy."""
     return {
@@ -216,4 +237,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_mixing": OP7_SQL,
         "op9_line_dedup": OP9_SQL,
         "op10_lm_scoring": OP10_SQL,
+        "op11_lexical_search": OP11_SQL,
     }
