@@ -1,11 +1,10 @@
-"""Left joins of a fact table to its dimensions, safe against large dimensions and hot keys.
+"""Left joins of a fact table to its dimensions.
 
-Each lookup says what kind of dimension it has. A small one (types, channels, calendar) is joined without a hint, so the
-planner broadcasts it if its size is within the session's limit, and adaptive execution does so once the size is
-known. A large one (customers, accounts, merchants) is joined on (key, salt): the fact rows of every key are spread
-over a fixed number of salts, and each dimension row is repeated for each salt. So no key is one task's, whatever its
-share of the rows, and rows without a key are spread too. Nothing is measured and no job runs while a plan is built; the plan does not
-depend on the size of the data. Every fact row is kept exactly once.
+Every lookup is a plain left join without a hint: the planner broadcasts a dimension within the session's limit, adaptive
+execution does so once a size is known, and beyond it both sides are shuffled by the key. A key that holds a third of
+the facts, and the facts without a key, each fall into one shuffle partition, which adaptive execution splits by map tasks
+(``spark.sql.adaptive.skewJoin``): it may split the fact side of a left join whatever the key. Nothing is measured and no job
+runs while a plan is built. Every fact row is kept exactly once.
 
 Dimension keys have to be unique (see ``current_snapshot``); a repeated key repeats fact rows, as in any join.
 """
@@ -18,16 +17,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Ways that each key of a large dimension is split. A key that holds a third of the facts costs a task a forty-eighth.
-SPLITS = 16
-
 
 @dataclass(frozen=True)
 class Lookup:
     """One dimension to attach: ``fact_key = dim_key``, and the dimension's columns with their output names.
 
     ``attached`` are lookups for the dimension itself, by its output names. ``large`` is for a dimension that grows with
-    the business: its keys are split.
+    the business: it is joined while the facts are narrow, as it may shuffle them.
     """
 
     dim: DataFrame
@@ -41,21 +37,6 @@ class Lookup:
         return [*self.columns.values(), *(name for lookup in self.attached for name in lookup.outputs())]
 
 
-def salted_left_join(fact: DataFrame, dim: DataFrame, key: str, dim_key: str, splits: int = SPLITS) -> DataFrame:
-    """Left join on ``key = dim_key`` with every key split ``splits`` ways. Adds the columns of ``dim``.
-
-    The salt is the input partition's number. A task holds a bounded share of the rows, so sending its rows of one key to
-    one place is even enough; the number neither reads a column nor depends on the order of rows, and a task that runs
-    again gets the same one.
-    """
-    salt = F.pmod(F.spark_partition_id().cast("bigint"), F.lit(splits).cast("bigint"))
-    left = fact.select(*[F.col(f"`{c}`") for c in fact.columns], salt.alias("__salt"))
-    ways = F.sequence(F.lit(0).cast("bigint"), F.lit(splits - 1).cast("bigint"))
-    right = dim.select(*[F.col(f"`{c}`") for c in dim.columns], F.explode(ways).alias("__way"))
-    on = (F.col(f"`{key}`") == F.col(f"`{dim_key}`")) & (F.col("__salt") == F.col("__way"))
-    return left.join(right, on, "left").drop("__way", "__salt")
-
-
 def _key(lookup: Lookup, position: int) -> str:
     """Name of a dimension's key during the join; distinct also from those of attached lookups."""
     return f"__{lookup.fact_key}_{position}"
@@ -79,10 +60,7 @@ def star_join(fact: DataFrame, lookups: Sequence[Lookup], where: Column | None =
             F.col(f"`{lookup.dim_key}`").alias(key), *[F.col(f"`{c}`").alias(out) for c, out in lookup.columns.items()]
         )
         dim = star_join(dim, lookup.attached) if lookup.attached else dim
-        if lookup.large:
-            joined = salted_left_join(joined, dim, lookup.fact_key, key, SPLITS)
-        else:
-            joined = joined.join(dim, F.col(f"`{lookup.fact_key}`") == F.col(key), "left")
+        joined = joined.join(dim, F.col(f"`{lookup.fact_key}`") == F.col(key), "left")
         if where is not None and i == 0:
             joined = joined.where(where)
     outputs = [out for lookup in lookups for out in lookup.outputs()]

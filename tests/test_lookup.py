@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.lookup import Lookup, salted_left_join, star_join
+from tallyhouse.operators.lookup import Lookup, star_join
 from tests.conftest import plan_of, rows
 
 
@@ -20,7 +20,7 @@ def brute_force(fact, dim):
     return sorted(((r["row"], r["k"], known.get(r["k"])) for r in fact.collect()), key=repr)
 
 
-def test_broadcast_and_salted_joins_agree_with_brute_force(spark, setting):
+def test_broadcast_and_shuffled_joins_agree_with_brute_force(spark, setting):
     fact, dim = skewed(spark), dimension(spark)
     expected = brute_force(fact, dim)
     lookup = Lookup(dim, "k", "dk", {"v": "v"})
@@ -29,28 +29,31 @@ def test_broadcast_and_salted_joins_agree_with_brute_force(spark, setting):
     assert rows(small) == expected
     setting("spark.sql.autoBroadcastJoinThreshold", "0")
     large = star_join(fact, [Lookup(dim, "k", "dk", {"v": "v"}, large=True)])
-    assert "SortMergeJoin" in plan_of(large) and "__salt" in plan_of(large)
+    assert "SortMergeJoin" in plan_of(large)
     assert rows(large) == expected
 
 
-def test_hot_key_and_missing_keys_are_spread(spark, setting):
-    setting("spark.sql.autoBroadcastJoinThreshold", "0")
-    setting("spark.sql.adaptive.enabled", "false")
-    joined = star_join(skewed(spark), [Lookup(dimension(spark), "k", "dk", {"v": "v"}, large=True)])
-    sizes = {r["p"]: r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()}
-    # Unsplit, one task would hold at least a third of the 30,000 rows.
-    assert max(sizes.values()) < 10_000
+def small_partitions(setting):
+    """Adaptive execution as at scale, with kilobytes in place of megabytes."""
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    setting("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    setting("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1k")
+    setting("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.2")
+    setting("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
 
 
-def test_missing_keys_alone_are_spread(spark, setting):
-    setting("spark.sql.autoBroadcastJoinThreshold", "0")
-    setting("spark.sql.adaptive.enabled", "false")
-    fact = skewed(spark).where(F.col("k").isNull() | (F.col("k") != "hot"))
-    dim = dimension(spark)
-    joined = star_join(fact, [Lookup(dim, "k", "dk", {"v": "v"}, large=True)])
-    assert rows(joined) == brute_force(fact, dim)
-    sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
-    assert max(sizes) < 7_000
+def test_hot_key_and_missing_keys_are_spread(spark, setting):
+    small_partitions(setting)
+    joined = star_join(skewed(spark), [Lookup(dimension(spark), "k", "dk", {"v": "v"}, large=True)])
+    assert rows(joined) == brute_force(skewed(spark), dimension(spark))
+    placed = joined.withColumn("task", F.spark_partition_id()).withColumn("kind", F.when(F.col("k") == "hot", "hot").when(F.col("k").isNull(), "none"))
+    sizes = {}
+    for r in placed.groupBy("kind", "task").count().collect():
+        sizes.setdefault(r["kind"], []).append(r["count"])
+    # Unsplit, one task would hold all 10,000 rows of either kind.
+    assert len(sizes["hot"]) > 1 and max(sizes["hot"]) < 6_000
+    assert len(sizes["none"]) > 1 and max(sizes["none"]) < 6_000
 
 
 def test_repeated_dimension_keys_repeat_rows_like_any_join(spark, setting):
@@ -90,23 +93,6 @@ def test_empty_sides(spark, setting):
     assert rows(empty) == brute_force(fact, dim.limit(0))
 
 
-def test_the_number_of_splits_changes_no_row(spark):
-    fact, dim = skewed(spark), dimension(spark).withColumnRenamed("dk", "__k")
-    expected = brute_force(fact, dimension(spark))
-    for splits in (1, 3, 16):
-        assert rows(salted_left_join(fact, dim, "k", "__k", splits).drop("__k")) == expected
-
-
-def test_many_warm_keys_are_split(spark, setting):
-    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
-    setting("spark.sql.adaptive.enabled", "false")
-    fact = spark.range(0, 64_000, 1, 16).select(F.col("id").alias("row"), (F.col("id") % 100).cast("string").alias("k"))
-    joined = star_join(fact, [Lookup(dimension(spark), "k", "dk", {"v": "v"}, large=True)])
-    places = joined.select("k", F.spark_partition_id().alias("p")).distinct().groupBy("k").count().agg(F.min("count")).first()[0]
-    assert places > 1
-    assert "__salt" not in plan_of(star_join(fact, [Lookup(dimension(spark), "k", "dk", {"v": "v"})]))
-
-
 def test_building_a_plan_runs_no_job(spark):
     fact, dim = skewed(spark), dimension(spark)
     nested = Lookup(dim, "v", "v", {"dk": "again"})
