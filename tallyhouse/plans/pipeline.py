@@ -19,7 +19,8 @@ from tallyhouse.operators.snapshot import current_snapshot
 from tallyhouse.plans import marts
 from tallyhouse.schemas import PRIMARY_KEY, WAREHOUSE, WITHOUT_ETL_DATE
 from tallyhouse.session import written
-from tallyhouse.sinks.tables import DAY, append_load, replace_days, write_table
+from tallyhouse.sinks.snapshots import load_and_merge, read_snapshot
+from tallyhouse.sinks.tables import DAY, replace_days, write_table
 from tallyhouse.sources.files import read_table
 from tallyhouse.sources.jdbc import Database, Split, read_jdbc
 
@@ -47,8 +48,11 @@ class Warehouse:
         return read_table(self.spark, self.location(table))
 
     def table(self, table: str) -> DataFrame:
-        """A table as of its latest load, without the load date."""
-        return latest(self.loads(table), table)
+        """A table as of its latest load, without the load date: the stored snapshot of a dimension, which loads keep up to date."""
+        if table == "transactions" or table in WITHOUT_ETL_DATE:
+            return self.loads(table).drop("etl_date")
+        merged = read_snapshot(self.spark, self.location(table))
+        return (current_snapshot(self.loads(table), PRIMARY_KEY[table]) if merged is None else merged).drop("etl_date")
 
     def has(self, table: str) -> bool:
         try:
@@ -72,13 +76,14 @@ class FactLoad:
 
 
 def load_dimension(source: DataFrame, table: str, warehouse: Warehouse, as_of: date | None = None) -> None:
-    """Conform a dimension and store it: as one more load, or in place of the old table if it has no load date."""
+    """Conform a dimension and store it: as one more load, merged into the table's snapshot, or in place of the old table if
+    it has no load date."""
     if table == "transactions" or table not in WAREHOUSE:
         raise ValueError(f"{table} is no dimension")
     stamped = table not in WITHOUT_ETL_DATE
     rows = conform(source, WAREHOUSE[table], etl_date=stamped, as_of=as_of)
     if stamped:
-        append_load(rows, warehouse.location(table))
+        load_and_merge(rows, warehouse.location(table), PRIMARY_KEY[table])
     else:
         write_table(rows, warehouse.location(table))
 
@@ -141,10 +146,10 @@ def build_mart(name: str, table: Callable[[str], DataFrame], as_of: date) -> Dat
 
 
 def latest(stored: DataFrame, table: str) -> DataFrame:
-    """A stored table as of its latest load, without the load date.
+    """A table kept in a database as of its latest load, without the load date.
 
-    The latest state of a dimension is written to the shared folder once, as a mart reads it several times: to check its
-    size, to join it, to count it.
+    The latest state of a dimension is written to the shared folder once, as a mart reads it several times: to join it and to
+    count it.
     """
     if table == "transactions" or "etl_date" not in stored.columns:
         return stored.drop("etl_date")

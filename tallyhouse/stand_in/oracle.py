@@ -458,6 +458,17 @@ WITH cust AS (SELECT {CUSTOMER_COLUMNS} FROM customer),
     SELECT * REPLACE ('IN_DEBT' AS segment), DATE '2001-02-01' AS etl_date FROM cust WHERE monthly_salary_usd < 0)
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY etl_date DESC) AS rn FROM loads) WHERE rn = 1""",
+        "snapshot_merge": f"""
+WITH cust AS (SELECT {CUSTOMER_COLUMNS} FROM customer)
+SELECT * REPLACE (CASE WHEN monthly_salary_usd < -500 THEN 'DEEP_IN_DEBT' ELSE segment END AS segment),
+       CASE WHEN monthly_salary_usd < -500 THEN DATE '2001-02-01' ELSE DATE '2001-01-01' END AS etl_date
+FROM cust""",
+        "staged_exchange": f"""{_DAY_SUMMARY}
+WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-08-31'
+  AND (CAST(l_shipdate AS DATE) < DATE '1996-03-01' OR l_returnflag <> 'R'
+       OR CAST(l_shipdate AS DATE) <= DATE '1996-06-30' AND CAST(l_shipdate AS DATE) NOT IN (
+         SELECT CAST(l_shipdate AS DATE) FROM lineitem WHERE l_returnflag <> 'R'))
+GROUP BY 1""",
         "pk_violations": """
 SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem GROUP BY 1, 2
 HAVING count(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL""",

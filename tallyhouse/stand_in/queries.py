@@ -22,6 +22,7 @@ from tallyhouse.operators.snapshot import current_snapshot
 from tallyhouse.plans import calendar, legacy, marts
 from tallyhouse.plans.audit import audit
 from tallyhouse.session import scratch_path
+from tallyhouse.sinks import exchange, snapshots
 from tallyhouse.sinks import tables as sink
 from tallyhouse.sources.contract import contract_report
 from tallyhouse.sources.files import CORRUPT, read_registry, read_table
@@ -258,6 +259,29 @@ def partition_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _day_summary(spark.table(table))
 
 
+STAGED = (date(1996, 1, 1), date(1996, 6, 30)), (date(1996, 3, 1), date(1996, 8, 31))
+
+
+def staged_exchange(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A half-year of days, then an exchange that brings the expenses alone for known and new days, then a load that loses the rows
+    of one day and is rejected."""
+    rows = _window_rows(spark, sf_dir)
+    database = f"tally_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'staged')}'")
+    table = f"{database}.transactions"
+    sink.create_day_table(spark, table, rows.schema)
+    first, second = (rows.where(in_window(F.col("transaction_date"), *window)) for window in STAGED)
+    expenses = marts.expense_rows(second, bank.transaction_types(spark)).drop("is_income")
+    for load in (first, expenses):
+        exchange.exchange(spark, exchange.stage_days(load, table), exchange.same_counts(load))
+    try:
+        short = first.where(F.col("transaction_date") != F.lit(DROPPED_DAY))
+        exchange.exchange(spark, exchange.stage_days(short, table), exchange.same_counts(first))
+    except exchange.LoadRejected:
+        return _day_summary(spark.table(table))
+    raise RuntimeError("a load without the rows of a day was not rejected")
+
+
 def load_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All days of the source against a target that holds the window."""
     source = bank.transactions(spark, sf_dir, with_customer=False)
@@ -291,6 +315,23 @@ def snapshot_of_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_snapshot(read_table(spark, path), "customer_id")
 
 
+def snapshot_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers merged load by load: all of them, those in debt under another segment, that load again with fewer rows and a
+    third segment, and a late load of an earlier day, which changes nothing."""
+    path = scratch_path(spark, "merged-dimension")
+    all_of_them = conform(bank.raw_customers(spark, sf_dir), bank.customers(spark, sf_dir).schema)
+    in_debt, deep_in_debt = (all_of_them.where(F.col("monthly_salary_usd") < limit) for limit in (0, -500))
+    loads = (
+        (all_of_them, date(2001, 1, 1)),
+        (in_debt.withColumn("segment", F.lit("IN_DEBT")), date(2001, 2, 1)),
+        (deep_in_debt.withColumn("segment", F.lit("DEEP_IN_DEBT")), date(2001, 2, 1)),
+        (in_debt.withColumn("segment", F.lit("LATE")), date(2000, 12, 1)),
+    )
+    for rows, day in loads:
+        snapshots.load_and_merge(rows.withColumn("etl_date", F.lit(day)), path, "customer_id")
+    return snapshots.read_snapshot(spark, path)
+
+
 def top_accounts_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_rows(bank.accounts(spark, sf_dir), ["customer_id", "account_open_date"], n=6)
 
@@ -422,7 +463,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "day_list_load": day_list_load,
         "partition_drop": partition_drop,
         "month_partition_assign": month_partition_assign,
+        "staged_exchange": staged_exchange,
         "current_snapshot": snapshot_of_dimension,
+        "snapshot_merge": snapshot_merge,
         "pk_violations": pk_violations,
         "fk_violations": fk_violations,
         "integrity_audit": integrity_audit,
