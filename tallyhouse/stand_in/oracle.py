@@ -501,6 +501,12 @@ SELECT transaction_date, source_rows, target_rows, source_rows - target_rows AS
          count(*) FILTER ({_IN_WINDOW}) AS target_rows
   FROM lineitem GROUP BY 1)""",
         "source_contract": _CONTRACT,
+        "csv_quoted_breaks": """
+SELECT CAST(l_shipdate AS DATE) AS shipped,
+       'a "quoted", comment' || chr(10) || l_returnflag || chr(10) || chr(10) || l_linestatus AS text,
+       count(*) AS rows, CAST(sum(l_orderkey) AS BIGINT) AS orders
+FROM lineitem GROUP BY 1, 2
+UNION ALL SELECT NULL, '1,"cut' || chr(10) || 'off"', 1, 1""",
         "csv_ingest": f"""
 WITH acc AS (SELECT {ACCOUNT_COLUMNS} FROM orders), cust AS (SELECT {CUSTOMER_COLUMNS} FROM customer)
 SELECT acc.*, last_name, segment FROM acc LEFT JOIN cust ON acc.customer_id = cust.customer_id""",

@@ -26,6 +26,7 @@ from tallyhouse.sinks import exchange, snapshots
 from tallyhouse.sinks import tables as sink
 from tallyhouse.sources.contract import contract_report
 from tallyhouse.sources.files import CORRUPT, read_registry, read_table
+from tallyhouse.sources.quoted_csv import read_quoted_csv
 from tallyhouse.stand_in import tables as bank
 
 AS_OF = date(2002, 1, 1)
@@ -304,6 +305,21 @@ def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accounts.join(owners, "customer_id", "left")
 
 
+def csv_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with a comment that holds line breaks, quotes and commas, written as CSV and read in splits; a line without its last
+    fields is kept apart."""
+    comment = F.concat_ws("\n", F.lit('a "quoted", comment'), "l_returnflag", F.lit(""), "l_linestatus")
+    lines = bank.read(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", comment.alias("comment"), F.col("l_shipdate").cast("date").alias("shipped")
+    )
+    folder = scratch_path(spark, "quoted-csv")
+    lines.write.option("header", True).option("escape", '"').csv(f"{folder}/lines.csv")
+    spark.range(1).select(F.lit('l_orderkey,l_linenumber,comment,shipped\n1,"cut\noff"').alias("text")).coalesce(1).write.text(f"{folder}/cut.csv")
+    read = read_quoted_csv(spark, f"{folder}/*.csv", lines.schema)
+    kind = F.when(F.col(CORRUPT).isNotNull(), F.col(CORRUPT)).otherwise(F.col("comment"))
+    return read.groupBy(F.col("shipped"), kind.alias("text")).agg(F.count(F.lit(1)).alias("rows"), F.sum("l_orderkey").alias("orders"))
+
+
 def snapshot_of_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers loaded twice; in the second load those in debt have moved to another segment."""
     path = scratch_path(spark, "dimension")
@@ -477,4 +493,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "load_reconciliation": load_reconciliation,
         "source_contract": source_contract,
         "csv_ingest": csv_ingest,
+        "csv_quoted_breaks": csv_quoted_breaks,
     }
