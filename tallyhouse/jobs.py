@@ -33,6 +33,7 @@ from tallyhouse.operators.readback import first_rows
 from tallyhouse.plans import legacy
 from tallyhouse.plans.audit import audit
 from tallyhouse.plans.calendar import calendar_dim, days_between
+from tallyhouse.plans.ledger import FAILED, LOADED, load_open_days
 from tallyhouse.plans.pipeline import (
     MARTS,
     FactLoad,
@@ -42,12 +43,14 @@ from tallyhouse.plans.pipeline import (
     load_dimension,
     load_transactions,
 )
-from tallyhouse.schemas import LEGACY_RAW, PRIMARY_KEY, RAW, WAREHOUSE
+from tallyhouse.plans.tagging import MALFORMED, REASON, LoadReport
+from tallyhouse.schemas import LEGACY_RAW, RAW, WAREHOUSE
 from tallyhouse.session import build_session, written
 from tallyhouse.sinks.jdbc import append_jdbc, overwrite_jdbc
 from tallyhouse.sinks.tables import DAY, append_table, write_table
-from tallyhouse.sources.files import CORRUPT, read_csv, read_registry, read_table, split_rejects
+from tallyhouse.sources.files import read_csv, read_registry, read_table, split_rejects
 from tallyhouse.sources.jdbc import Database, Split, read_jdbc, read_jdbc_days
+from tallyhouse.sources.quoted_csv import read_quoted_csv
 
 
 def parser() -> argparse.ArgumentParser:
@@ -62,6 +65,7 @@ def parser() -> argparse.ArgumentParser:
             place.add_argument("--csv")
             place.add_argument("--jdbc")
             sub.add_argument("--source-table")
+            sub.add_argument("--quoted-breaks", action="store_true", help="the CSV has line breaks within quotes")
             _split_options(sub)
         if warehouse:
             sub.add_argument("--warehouse", required=True)
@@ -83,6 +87,7 @@ def parser() -> argparse.ArgumentParser:
     facts = job("load-transactions", source=True, warehouse=True)
     for name in ("start", "end"):
         facts.add_argument(f"--{name}", type=date.fromisoformat, default=_day_of(os.getenv(f"LOAD_{name.upper()}")))
+    facts.add_argument("--day-by-day", action="store_true", help="one day after the other; days that the ledger has as loaded are left out")
     facts.add_argument("--dates", type=parse_days, default=_days_of(os.getenv("LOAD_DATES")))
     job("clean-legacy", source=True, target=True)
     job("load-legacy", source=True, target=True).add_argument("--form", choices=("day", "moment"), required=True)
@@ -123,7 +128,7 @@ def _source(spark: SparkSession, args: argparse.Namespace, table: str, schema: S
     if args.parquet:
         return read_table(spark, args.parquet)
     if args.csv:
-        return read_csv(spark, args.csv, schema).drop(CORRUPT)
+        return (read_quoted_csv if args.quoted_breaks else read_csv)(spark, args.csv, schema)
     database, name = Database.from_environment(args.jdbc), args.source_table or table
     if args.split_column:
         return read_jdbc(
@@ -149,6 +154,23 @@ def _write(df: DataFrame, args: argparse.Namespace, append: bool = False) -> Non
         first_rows(stored, stored.columns[:2], args.show).show(args.show, truncate=False)
 
 
+def _write_rejects(rejects: DataFrame, target: str) -> None:
+    """Keep the malformed lines of a file beside a target that is a path, and say how many there are."""
+    print(f"{rejects.count()} malformed lines")
+    if not target.startswith("jdbc:"):
+        write_table(rejects, f"{target.rstrip('/')}__rejected")
+
+
+def _print_rejects(report: LoadReport) -> None:
+    """Rows of a load by reason, and values that its conversion lost."""
+    by_reason = report.rows.groupBy(REASON).agg(F.count(F.lit(1)).alias("rows")).collect()
+    counts = {r[REASON]: r["rows"] for r in by_reason}
+    lines, loaded = sum(counts.values()), counts.pop(None, 0)
+    print(f"{report.table}: {lines} lines, {counts.get(MALFORMED, 0)} malformed, {lines - loaded} rejected, {loaded} to load")
+    print(f"rejected rows: {dict(sorted(counts.items()))}")
+    report.lost_values().orderBy("column_name").show(truncate=False)
+
+
 def _report(done: FactLoad) -> int:
     """Print what a fact load did. The exit code says whether the chosen days now hold the source's rows: every row has
     arrived, and no day keeps rows of an earlier load that the source no longer has."""
@@ -158,14 +180,30 @@ def _report(done: FactLoad) -> int:
         F.count_if((F.col("source_rows") > 0) & (F.col("difference") != 0)).alias("wrong_days"),
     ).first()
     print(f"read {totals['read'] or 0} rows, stored {totals['stored'] or 0}, days that differ: {totals['wrong_days']}")
-    print(f"rejected rows: {done.rejected_rows.first().asDict()}")
-    done.rejected_in_days.where(F.col("rejected") > 0).show(truncate=False)
+    _print_rejects(done.report)
     stale = [str(r[DAY]) for r in done.per_day.where("source_rows = 0 and target_rows > 0").orderBy(DAY).collect()]
     if stale:
         print(f"days that the source no longer has, left as they were: {', '.join(stale)}")
     return 1 if totals["wrong_days"] or stale else 0
 
 
+def _load_day_by_day(spark: SparkSession, source: DataFrame, warehouse: Warehouse, args: argparse.Namespace) -> int:
+    """Load the chosen days that the ledger does not have as done. The exit code says whether a day is still open."""
+
+    def load(day: date) -> int:
+        done = load_transactions(source, warehouse, days=[day], as_of=args.as_of)
+        return done.report.accepted().count()
+
+    days = args.dates or window_days(args.start, args.end)
+    state = load_open_days(spark, warehouse.location("load_ledger"), "transactions", days, load)
+    open_days = state.where(F.col("outcome") != LOADED).orderBy("day")
+    counts = {r["outcome"]: r["count"] for r in state.groupBy("outcome").count().collect()}
+    print(f"days: {dict(sorted(counts.items()))}")
+    for r in open_days.collect():
+        print(f"{r['day']}: {r['outcome']} at attempt {r['attempt']}" + (f": {r['error'].splitlines()[0]}" if r["error"] else ""))
+    return 1 if FAILED in counts else 0
+
+
 def run(spark: SparkSession, argv: Sequence[str]) -> int:
     """Run one job; the result is the exit code."""
     args = parser().parse_args(argv)
@@ -174,30 +212,30 @@ def run(spark: SparkSession, argv: Sequence[str]) -> int:
         registry = read_registry(spark, args.folder, strict=args.strict)
         code = 0
         for table, df in registry.frames.items():
-            rows, rejects = (df, None) if args.strict else split_rejects(written(df, f"lines-{table}"), PRIMARY_KEY[table])
-            if rejects is not None:
-                write_table(rejects, warehouse.location(f"rejected_{table}"))
-                stored = read_table(spark, warehouse.location(f"rejected_{table}"), rejects.schema)
-                seen = stored.agg(F.count(CORRUPT).alias("malformed"), F.count(F.lit(1)).alias("rejected")).first()
-                print(f"{table}: {rows.count() + seen['rejected']} lines, {seen['malformed']} malformed, {seen['rejected']} rejected")
             if table == "transactions":
+                rows = df if args.strict else written(df, "lines-transactions")
                 bounds = rows.agg(F.min("transaction_date").alias("lo"), F.max("transaction_date").alias("hi")).first()
-                if bounds["lo"] is not None:
-                    code = _report(load_transactions(rows, warehouse, start=bounds["lo"], end=bounds["hi"], as_of=args.as_of))
+                days = {"start": bounds["lo"], "end": bounds["hi"]} if bounds["lo"] is not None else {"days": []}
+                code = _report(load_transactions(rows, warehouse, as_of=args.as_of, **days))
             else:
-                load_dimension(rows, table, warehouse, args.as_of)
+                _print_rejects(load_dimension(df, table, warehouse, args.as_of))
             print(f"loaded {table}")
         print(f"not there: {', '.join(registry.skipped) or 'none'}")
         return code
     elif args.job == "load-calendar":
-        load_dimension(calendar_dim(days_between(spark, args.start, args.end)), "calender", warehouse)
+        _print_rejects(load_dimension(calendar_dim(days_between(spark, args.start, args.end)), "calender", warehouse))
     elif args.job == "load-dimension":
-        load_dimension(_source(spark, args, args.table, RAW[args.table]), args.table, warehouse, args.as_of)
+        _print_rejects(load_dimension(_source(spark, args, args.table, RAW[args.table]), args.table, warehouse, args.as_of))
     elif args.job == "load-transactions":
         source = _source(spark, args, "transactions", RAW["transactions"])
+        if args.day_by_day:
+            return _load_day_by_day(spark, source, warehouse, args)
         return _report(load_transactions(source, warehouse, start=args.start, end=args.end, days=args.dates, as_of=args.as_of))
     elif args.job in ("clean-legacy", "load-legacy", "build-daily"):
         rows = _source(spark, args, "transactions", LEGACY_RAW)
+        if args.csv:
+            rows, rejects = split_rejects(written(rows, "lines"), None)
+            _write_rejects(rejects, args.target)
         if args.job == "clean-legacy":
             _write(legacy.clean_raw(rows), args, append=True)
         elif args.job == "load-legacy":

@@ -36,6 +36,13 @@ def conform(
     Columns outside the schema are left out. A column the source lacks is an error, or a typed NULL with
     ``allow_missing``. ``etl_date`` adds the load stamp.
     """
+    return df.select(*columns_of(df, schema, etl_date=etl_date, as_of=as_of, allow_missing=allow_missing))
+
+
+def columns_of(
+    df: DataFrame, schema: T.StructType, *, etl_date: bool = False, as_of: date | None = None, allow_missing: bool = False
+) -> list[Column]:
+    """The columns that ``conform`` selects."""
     present = _by_name(df)
     missing = [field.name for field in schema.fields if field.name.lower() not in present]
     if missing and not allow_missing:
@@ -48,20 +55,22 @@ def conform(
     ]
     if etl_date:
         columns.append(stamp(as_of))
-    return df.select(*columns)
+    return columns
+
+
+def loses(df: DataFrame, schema: T.StructType) -> list[tuple[str, Column]]:
+    """For each shared column, whether the cast to ``schema`` turns a value into NULL."""
+    present = _by_name(df)
+    shared = [(present[field.name.lower()], field) for field in schema.fields if field.name.lower() in present]
+    return [(field.name, F.col(f"`{have.name}`").isNotNull() & _cast(have, field).isNull()) for have, field in shared]
 
 
 def rejected_casts(df: DataFrame, schema: T.StructType) -> DataFrame:
     """One row per shared column: rows seen and values that the cast to ``schema`` turns into NULL. One pass."""
-    present = _by_name(df)
-    fields = [field for field in schema.fields if field.name.lower() in present]
-    counters = [F.count(F.lit(1)).alias("rows")]
-    for field in fields:
-        source = present[field.name.lower()]
-        lost = F.col(f"`{source.name}`").isNotNull() & _cast(source, field).isNull()
-        counters.append(F.count_if(lost).alias(f"lost_{field.name}"))
+    shared = loses(df, schema)
+    counters = [F.count(F.lit(1)).alias("rows"), *[F.count_if(lost).alias(f"lost_{name}") for name, lost in shared]]
     totals = df.agg(*counters)
-    pairs = ", ".join(f"'{field.name}', `lost_{field.name}`" for field in fields)
-    return totals.selectExpr("rows", f"stack({len(fields)}, {pairs}) as (column_name, rejected)").select(
+    pairs = ", ".join(f"'{name}', `lost_{name}`" for name, _ in shared)
+    return totals.selectExpr("rows", f"stack({len(shared)}, {pairs}) as (column_name, rejected)").select(
         "column_name", "rows", "rejected"
     )

@@ -11,12 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse import schemas
-from tallyhouse.operators.conform import conform, rejected_casts
-from tallyhouse.operators.load_filter import in_days, in_window, loadable, rejected_days
+from tallyhouse import rules, schemas
+from tallyhouse.operators.load_filter import FIRST_DAY, in_days, in_window
 from tallyhouse.operators.reconcile import reconcile
 from tallyhouse.operators.snapshot import current_snapshot
 from tallyhouse.plans import marts
+from tallyhouse.plans.tagging import LoadReport, accept, tagged
 from tallyhouse.schemas import PRIMARY_KEY, WAREHOUSE, WITHOUT_ETL_DATE
 from tallyhouse.session import written
 from tallyhouse.sinks.snapshots import load_and_merge, read_snapshot
@@ -66,26 +66,32 @@ class Warehouse:
 
 @dataclass(frozen=True)
 class FactLoad:
-    """What a fact load did, as frames to look at: casts that lost a value, in the whole source and in the chosen days,
-    rows without a usable day, and rows per day in source and target."""
+    """What a fact load did: its tagged rows, and rows per day in source and target."""
 
-    rejected_values: DataFrame
-    rejected_in_days: DataFrame
-    rejected_rows: DataFrame
+    report: LoadReport
     per_day: DataFrame
 
 
-def load_dimension(source: DataFrame, table: str, warehouse: Warehouse, as_of: date | None = None) -> None:
+def quarantine(report: LoadReport, warehouse: Warehouse) -> None:
+    """Keep the rejected rows of the latest load beside the table, with the line or values, and the reason."""
+    write_table(report.rejected(), warehouse.location(f"rejected_{report.table}"))
+
+
+def load_dimension(source: DataFrame, table: str, warehouse: Warehouse, as_of: date | None = None) -> LoadReport:
     """Conform a dimension and store it: as one more load, merged into the table's snapshot, or in place of the old table if
-    it has no load date."""
+    it has no load date. The source is read once; columns it omits take their declared defaults, others must be there."""
     if table == "transactions" or table not in WAREHOUSE:
         raise ValueError(f"{table} is no dimension")
     stamped = table not in WITHOUT_ETL_DATE
-    rows = conform(source, WAREHOUSE[table], etl_date=stamped, as_of=as_of)
+    source = accept(source, WAREHOUSE[table], rules.DEFAULTS.get(table, {}), table)
+    rows = tagged(source, WAREHOUSE[table], PRIMARY_KEY[table], etl_date=stamped, as_of=as_of)
+    report = LoadReport(table, written(rows, f"tagged-{table}"))
+    quarantine(report, warehouse)
     if stamped:
-        load_and_merge(rows, warehouse.location(table), PRIMARY_KEY[table])
+        load_and_merge(report.accepted(), warehouse.location(table), PRIMARY_KEY[table])
     else:
-        write_table(rows, warehouse.location(table))
+        write_table(report.accepted(), warehouse.location(table))
+    return report
 
 
 def chosen_days(start: date | None, end: date | None, days: Iterable[date] | None, day: Column | None = None) -> Column:
@@ -108,23 +114,26 @@ def load_transactions(
     as_of: date | None = None,
 ) -> FactLoad:
     """Replace the chosen days of the fact table by the source's rows of those days. A day the source has no row for
-    stays as it is. All days are loaded by one job. The report's frames run when they are
-    looked at; ``rejected_in_days`` scans the chosen days only, and ``rejected_rows`` reads the day column alone."""
+    stays as it is. The source is read once, and all days are loaded by one job; the report is read from the tagged rows."""
     days = list(days) if days is not None else None
     chosen = chosen_days(start, end, days)
+    rows = tagged_transactions(source, start=start, end=end, days=days, as_of=as_of)
+    report = LoadReport("transactions", written(rows, "tagged-transactions"), DAY)
+    quarantine(report, warehouse)
+    replace_days(report.accepted(), warehouse.location("transactions"))
+    target = read_table(warehouse.spark, warehouse.location("transactions"), report.accepted().schema).where(chosen)
+    return FactLoad(report, reconcile(report.accepted(), target))
+
+
+def tagged_transactions(
+    source: DataFrame, *, start: date | None = None, end: date | None = None, days: Iterable[date] | None = None, as_of: date | None = None
+) -> DataFrame:
+    """The tagged rows of the chosen days, and those that have no usable day. The condition reaches the scan of a date column."""
+    source = accept(source, schemas.TRANSACTIONS, rules.DEFAULTS["transactions"], "transactions")
     is_date = any(f.name.lower() == DAY and isinstance(f.dataType, T.DateType) for f in source.schema.fields)
-    # A date column as it is, so that the window reaches the scan.
-    of_source = chosen_days(start, end, days, F.col(DAY) if is_date else F.col(DAY).try_cast("date"))
-    typed = conform(source, schemas.TRANSACTIONS, etl_date=True, as_of=as_of)
-    rows = loadable(typed).where(chosen)
-    replace_days(rows, warehouse.location("transactions"))
-    target = read_table(warehouse.spark, warehouse.location("transactions"), rows.schema).where(chosen)
-    return FactLoad(
-        rejected_values=rejected_casts(source, schemas.TRANSACTIONS),
-        rejected_in_days=rejected_casts(source.where(of_source), schemas.TRANSACTIONS),
-        rejected_rows=rejected_days(typed),
-        per_day=reconcile(rows, target),
-    )
+    day = F.col(DAY) if is_date else F.col(DAY).try_cast("date")
+    wanted = source.where(chosen_days(start, end, days, day) | day.isNull() | (day < F.lit(FIRST_DAY)))
+    return tagged(wanted, schemas.TRANSACTIONS, PRIMARY_KEY["transactions"], day=DAY, etl_date=True, as_of=as_of)
 
 
 def build_mart(name: str, table: Callable[[str], DataFrame], as_of: date) -> DataFrame:

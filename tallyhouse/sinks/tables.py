@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,28 +85,3 @@ def replace_day(df: DataFrame, table: str, day: date, column: str = DAY) -> None
         f"INSERT OVERWRITE TABLE {table} PARTITION (`{column}` = DATE '{day.isoformat()}') SELECT * FROM {{rows}}",
         rows=rows,
     )
-
-
-# --- day by day -------------------------------------------------------------------------------------------------------
-
-
-@dataclass(frozen=True)
-class DayResult:
-    day: date
-    loaded: bool
-    error: str | None = None
-
-
-def load_each_day(days: Iterable[date], load: Callable[[date], None]) -> list[DayResult]:
-    """Load days one by one; a failing day does not stop the others and is reported.
-
-    Prefer ``replace_days`` over all days at once. This is for sources that need to be asked day by day.
-    """
-    results = []
-    for day in days:
-        try:
-            load(day)
-            results.append(DayResult(day, True))
-        except Exception as error:  # noqa: BLE001 - reported to the caller
-            results.append(DayResult(day, False, str(error)))
-    return results

@@ -58,12 +58,12 @@ def malformed_lines(df: DataFrame) -> DataFrame:
     return df.agg(lines, F.count_if(F.col(CORRUPT).isNotNull()).alias("malformed"), *values)
 
 
-def split_rejects(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Rows to load, and rows to keep apart: malformed lines as they stand in the file, and rows without a key.
+def split_rejects(df: DataFrame, key: str | None) -> tuple[DataFrame, DataFrame]:
+    """Rows to load, and rows to keep apart: malformed lines as they stand in the file, and rows without a key if there is one.
 
     ``df`` is a frame of ``read_csv`` that has been written once, so that both parts judge a line by all its columns.
     """
-    reject = F.col(CORRUPT).isNotNull() | F.col(key).isNull()
+    reject = F.col(CORRUPT).isNotNull() | (F.col(key).isNull() if key else F.lit(False))
     return df.where(~reject).drop(CORRUPT), df.where(reject)
 
 

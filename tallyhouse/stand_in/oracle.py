@@ -458,6 +458,26 @@ WITH cust AS (SELECT {CUSTOMER_COLUMNS} FROM customer),
     SELECT * REPLACE ('IN_DEBT' AS segment), DATE '2001-02-01' AS etl_date FROM cust WHERE monthly_salary_usd < 0)
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY etl_date DESC) AS rn FROM loads) WHERE rn = 1""",
+        "load_report": f"""
+WITH tx AS (
+  SELECT l_linenumber AS n, CASE WHEN l_linenumber = 7 THEN NULL
+    WHEN l_linenumber = 6 THEN CAST('1969' || strftime(l_shipdate, '-%m-%d') AS DATE) ELSE CAST(l_shipdate AS DATE) END AS d
+  FROM lineitem WHERE l_linenumber <> 6 OR try_cast('1969' || strftime(l_shipdate, '-%m-%d') AS DATE) IS NOT NULL
+  UNION ALL SELECT 7, NULL FROM lineitem WHERE l_linenumber = 6 AND try_cast('1969' || strftime(l_shipdate, '-%m-%d') AS DATE) IS NULL),
+seen AS (SELECT *, CASE WHEN d IS NULL THEN 'no day' WHEN d < DATE '1970-01-01' THEN 'before 1970' ELSE 'loaded' END AS what
+  FROM tx WHERE d IS NULL OR d < DATE '1970-01-01' OR d BETWEEN DATE '1996-01-01' AND DATE '1996-12-28')
+SELECT what, CAST(d AS VARCHAR) AS of, count(*) AS rows FROM seen GROUP BY 1, 2
+UNION ALL SELECT 'lost', 'amount', count(*) FROM seen WHERE n = 5
+UNION ALL SELECT 'lost', 'balance_after_transaction', count(*) FROM seen WHERE n = 4
+UNION ALL SELECT 'lost', 'transaction_date', count(*) FROM seen WHERE what = 'no day'
+UNION ALL SELECT 'stored', 'all rows', count(*) FROM seen WHERE what = 'loaded'
+UNION ALL SELECT 'kept apart', 'all rows', count(*) FROM seen WHERE what <> 'loaded'""",
+        "load_ledger": """
+SELECT CAST(l_shipdate AS DATE) AS day, 'loaded' AS outcome, count(*) AS rows,
+       CAST(CASE WHEN CAST(l_shipdate AS DATE) >= DATE '1996-03-15' THEN 2 ELSE 1 END AS BIGINT) AS attempts,
+       CAST(CASE WHEN CAST(l_shipdate AS DATE) = DATE '1996-03-15' THEN 1 ELSE 0 END AS BIGINT) AS failures,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS amount
+FROM lineitem WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1996-03-13' AND DATE '1996-03-16' GROUP BY 1""",
         "snapshot_merge": f"""
 WITH cust AS (SELECT {CUSTOMER_COLUMNS} FROM customer)
 SELECT * REPLACE (CASE WHEN monthly_salary_usd < -500 THEN 'DEEP_IN_DEBT' ELSE segment END AS segment),

@@ -21,6 +21,8 @@ from tallyhouse.operators.reconcile import reconcile
 from tallyhouse.operators.snapshot import current_snapshot
 from tallyhouse.plans import calendar, legacy, marts
 from tallyhouse.plans.audit import audit
+from tallyhouse.plans.ledger import load_open_days, read_ledger
+from tallyhouse.plans.pipeline import Warehouse, load_transactions
 from tallyhouse.session import scratch_path
 from tallyhouse.sinks import exchange, snapshots
 from tallyhouse.sinks import tables as sink
@@ -289,6 +291,57 @@ def load_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile(source, _loaded_window(spark, sf_dir, runs=1))
 
 
+def _faulty_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions as text, some with a day that is none or is too early, some with an amount or a balance that is no number."""
+    lines = bank.raw_transactions(spark, sf_dir, with_customer=False)
+    number = F.substring_index("transaction_id_dd", "-", -1)
+    day = F.col("transaction_date").cast("string")
+    given = lines.withColumns(
+        {
+            "transaction_date": F.when(number == "7", "someday").when(number == "6", F.concat(F.lit("1969"), F.substring(day, 5, 6))).otherwise(day),
+            "amount": F.when(number == "5", "n/a").otherwise(F.col("amount").cast(schemas.MONEY).cast("string")),
+            "balance_after_transaction": F.when(number == "4", "?"),
+        }
+    )
+    there = {c.lower() for c in given.columns} | set(rules.DEFAULTS["transactions"])
+    return given.select("*", *[F.lit(None).cast("string").alias(n) for n in schemas.TRANSACTIONS.names if n not in there])
+
+
+def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the load of a window says of itself: rows by day and reason, those that were stored, and values lost in conversion."""
+    house = Warehouse(spark, scratch_path(spark, "reported"))
+    done = load_transactions(_faulty_source(spark, sf_dir), house, start=WINDOW[0], end=WINDOW[1], as_of=AS_OF)
+    by_reason = done.report.outcomes().select(F.coalesce("reason", F.lit("loaded")).alias("what"), F.col("day").cast("string").alias("of"), "rows")
+    lost = done.report.lost_values().select(F.lit("lost").alias("what"), F.col("column_name").alias("of"), F.col("lost").alias("rows"))
+    stored = house.loads("transactions").where("not is_recurring and not is_salary").agg(F.count(F.lit(1)).alias("rows"))
+    kept = house.loads("rejected_transactions").agg(F.count(F.lit(1)).alias("rows"))
+    others = [(df, name) for df, name in ((stored, "stored"), (kept, "kept apart"))]
+    return reduce(DataFrame.unionAll, [by_reason, lost, *[df.select(F.lit(name), F.lit("all rows"), "rows") for df, name in others]])
+
+
+def load_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days loaded one by one, twice: at first one day fails and one has no rows yet; only these are tried again."""
+    house = Warehouse(spark, scratch_path(spark, "ledger"))
+    rows = bank.transactions(spark, sf_dir, with_customer=False)
+    days = parse_days("1996-03-13, 1996-03-14, 1996-03-15, 1996-03-16")
+    tried: list[date] = []
+
+    def load(day: date) -> int:
+        tried.append(day)
+        if tried.count(day) == 1 and day == DROPPED_DAY:
+            raise RuntimeError("the source is down")
+        found = rows.where(F.col("transaction_date") == F.lit(day)).where(F.lit(tried.count(day) > 1 or day != REPLACED_DAY))
+        sink.replace_days(found, house.location("transactions"))
+        stored = read_table(spark, house.location("transactions"), rows.schema)
+        return stored.where(F.col("transaction_date") == F.lit(day)).count()
+
+    for _ in range(2):
+        latest = load_open_days(spark, house.location("ledger"), "transactions", days, load)
+    attempts = read_ledger(spark, house.location("ledger")).groupBy("day").agg(F.count(F.lit(1)).alias("attempts"), F.count("error").alias("failures"))
+    stored = read_table(spark, house.location("transactions"), rows.schema).groupBy(F.col("transaction_date").alias("day")).agg(F.sum("amount").cast(schemas.MONEY).alias("amount"))
+    return latest.select("day", "outcome", "rows").join(attempts, "day").join(stored, "day", "left")
+
+
 def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write two tables as CSV, read the folder back through the registry; a registered third file is not there."""
     folder = scratch_path(spark, "csv")
@@ -480,6 +533,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "partition_drop": partition_drop,
         "month_partition_assign": month_partition_assign,
         "staged_exchange": staged_exchange,
+        "load_report": load_report,
+        "load_ledger": load_ledger,
         "current_snapshot": snapshot_of_dimension,
         "snapshot_merge": snapshot_merge,
         "pk_violations": pk_violations,

@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 
 from tallyhouse import jobs
-from tallyhouse.plans.pipeline import Warehouse, load_transactions
+from tallyhouse.plans.pipeline import Warehouse, load_transactions, tagged_transactions
 from tallyhouse.schemas import TRANSACTIONS
 from tallyhouse.sources.files import read_table
 from tallyhouse.sources.jdbc import Split
@@ -112,9 +112,8 @@ def test_lost_values_are_counted_in_the_window(spark, tmp_path):
     spark.sql(f"SELECT d AS transaction_date, a AS amount, {columns} FROM VALUES (DATE '2024-01-05', 'x'), (DATE '2024-01-06', 'y') AS t(d, a)").write.parquet(path)
     day = date(2024, 1, 5)
     done = load_transactions(read_table(spark, path), Warehouse(spark, str(tmp_path / "house")), start=day, end=day)
-    lost = done.rejected_in_days.where("column_name = 'amount'")
-    assert [tuple(r) for r in lost.collect()] == [("amount", 1, 1)]
-    assert "GreaterThanOrEqual(transaction_date,2024-01-05)" in plan_of(done.rejected_in_days)
+    assert [tuple(r) for r in done.report.lost_values().collect()] == [("amount", 1)]
+    assert "GreaterThanOrEqual(transaction_date,2024-01-05)" in plan_of(tagged_transactions(read_table(spark, path), start=day, end=day))
 
 
 def test_transactions_by_window_and_list(spark, folder, tmp_path, monkeypatch, capsys):
@@ -130,6 +129,28 @@ def test_transactions_by_window_and_list(spark, folder, tmp_path, monkeypatch, c
         jobs.run(spark, [*base, "--start", "2024-02-01", "--end", "2024-01-01"])
 
 
+def test_day_by_day_leaves_out_what_the_ledger_has_as_loaded(spark, folder, tmp_path, capsys):
+    house, csv = str(tmp_path / "house"), str(folder / "transactions.csv")
+    load = ["load-transactions", "--csv", csv, "--warehouse", house, "--day-by-day", "--dates", "2024-01-05,2024-02-05,2024-02-06"]
+    for attempt in (1, 2):
+        assert jobs.run(spark, load) == 0
+        assert f"2024-02-06: empty at attempt {attempt}" in capsys.readouterr().out
+    assert rows(read_table(spark, f"{house}/load_ledger").groupBy("outcome").count()) == [("empty", 2), ("loaded", 2)]
+    assert rows(read_table(spark, f"{house}/transactions").select("transaction_id_dd")) == [("t1",), ("t2",)]
+
+
+def test_csv_jobs_keep_damaged_lines_apart(spark, folder, tmp_path, capsys):
+    house, csv = str(tmp_path / "house"), folder / "merchants.csv"
+    csv.write_text('merchant_id,merchant_name,category_id,city_id\nm1,"Cash\nand carry",1,34\nm2,Fuel\n,Nameless,1,34\n')
+    load = ["load-dimension", "--table", "merchants", "--csv", str(csv), "--warehouse", house, "--as-of", "2024-03-01", "--quoted-breaks"]
+    assert jobs.run(spark, load) == 0
+    assert "merchants: 3 lines, 1 malformed, 2 rejected, 1 to load" in capsys.readouterr().out
+    assert rows(read_table(spark, f"{house}/merchants").select("merchant_name")) == [("Cash\nand carry",)]
+    kept = read_table(spark, f"{house}/rejected_merchants")
+    assert rows(kept.select("reject_reason", "_corrupt_record")) == [("malformed line", "m2,Fuel"), ("no key", None)]
+    assert '"merchant_name":"Nameless"' in kept.where("reject_reason = 'no key'").first()["source_values"]
+
+
 def test_days_that_left_the_source_are_named(spark, folder, tmp_path, capsys):
     house, csv = str(tmp_path / "house"), folder / "transactions.csv"
     load = ["load-transactions", "--csv", str(csv), "--warehouse", house, "--start", "2024-01-01", "--end", "2024-02-28"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyhouse.operators.load_filter import in_days, in_window, loadable, parse_days, rejected_days, window_days
 from tallyhouse.operators.reconcile import reconcile
 from tallyhouse.operators.snapshot import current_snapshot
+from tallyhouse.plans.ledger import days_to_load, load_open_days, read_ledger
 from tallyhouse.plans.pipeline import Warehouse, build_mart, load_dimension, load_transactions
 from tallyhouse.session import scratch_path
 from tallyhouse.sinks import tables as sink
@@ -95,18 +96,33 @@ def test_catalog_table_days(spark, day_table):
     assert stored(spark, day_table) == []
 
 
-def test_failing_day_is_reported_and_does_not_stop_the_others():
-    seen = []
+def test_failed_and_empty_days_alone_are_tried_again(spark, tmp_path):
+    path, seen = str(tmp_path / "ledger"), []
 
     def load(day):
-        if day == D2:
-            raise RuntimeError("source is down")
         seen.append(day)
+        if day == D2 and seen.count(D2) == 1:
+            raise RuntimeError("source is down")
+        return 0 if day == D3 and seen.count(D3) < 3 else 5
+
+    first = load_open_days(spark, path, "facts", [D3, D1, D2, D2], load)
+    assert rows(first.select("day", "attempt", "outcome", "rows", "error")) == [
+        (D1, 1, "loaded", 5, None), (D2, 1, "failed", None, "source is down"), (D3, 1, "empty", 0, None),
+    ]
+    load_open_days(spark, path, "facts", [D1, D2, D3], load)
+    last = load_open_days(spark, path, "facts", [D1, D2, D3], load)
+    assert seen == [D1, D2, D3, D2, D3, D3]
+    assert rows(last.select("day", "attempt", "outcome")) == [(D1, 1, "loaded"), (D2, 2, "loaded"), (D3, 3, "loaded")]
+    assert read_ledger(spark, path).count() == 6 and days_to_load(spark, path, "other", [D1]) == {D1: 1}
+
 
-    results = sink.load_each_day([D1, D2, D3], load)
-    assert seen == [D1, D3]
-    assert [(r.day, r.loaded) for r in results] == [(D1, True), (D2, False), (D3, True)]
-    assert results[1].error == "source is down"
+def test_omitted_columns_take_their_defaults_and_others_must_be_there(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    types = spark.sql("SELECT '1' AS transaction_type_id, 'a' AS transaction_type_name, CAST(null AS boolean) AS is_income")
+    load_dimension(types, "transaction_types", house, D1)
+    assert rows(house.table("transaction_types")) == [("1", "a", False, None)]
+    with pytest.raises(ValueError, match="does not match the contract: .*transaction_type_name: missing"):
+        load_dimension(types.drop("transaction_type_name"), "transaction_types", house, D1)
 
 
 def test_window_and_list(spark):
@@ -178,9 +194,10 @@ def test_warehouse_from_dimension_loads_to_mart(spark, tmp_path):
     source = source.withColumn("balance_after_transaction", F.lit("zz"))
     report = load_transactions(source, house, start=D1, end=D2, as_of=D3)
     assert rows(report.per_day) == [(D1, 1, 1, 0), (D2, 1, 1, 0)]
-    assert report.rejected_rows.first()["rows_before_1970"] == 1
-    rejected = {r["column_name"]: r["rejected"] for r in report.rejected_values.collect()}
-    assert rejected["balance_after_transaction"] == 4 and rejected["amount"] == 0
+    outcomes = {(r["reason"], r["day"]): r["rows"] for r in report.report.outcomes().collect()}
+    assert outcomes == {(None, D1): 1, (None, D2): 1, ("before 1970", date(1969, 1, 1)): 1}
+    assert rows(report.report.lost_values()) == [("balance_after_transaction", 3)]
+    assert rows(house.loads("rejected_transactions").select("transaction_id_dd", "reject_reason")) == [("4", "before 1970")]
     load_transactions(source, house, days=[D3], as_of=D3)
     assert house.table("transactions").count() == 3
     mart = build_mart("segment_category_amount", house.table, D3).collect()
