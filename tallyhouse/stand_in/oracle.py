@@ -396,6 +396,10 @@ SELECT CASE WHEN length(CAST(event_id AS VARCHAR)) >= 11 THEN CAST(event_id AS V
        strftime(ts, '%Y-%m-%d') AS transaction_date, CAST(value AS DECIMAL(18,2)) AS amount, event_type AS type,
        {_LEGACY_TEXT}
 FROM events""",
+        "legacy_mixed_folder": """
+SELECT user_id || '/' || event_type AS account_number, strftime(ts, '%Y-%m-%d') AS day, 2 * count(*) AS tx_count,
+       CAST(2 * sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total_amount
+FROM events GROUP BY 1, 2""",
         "legacy_fact_detected": f"""
 WITH rows AS ({_LEGACY_MOMENT})
 SELECT *, 'ts' AS layout FROM rows UNION ALL SELECT *, 'date_and_time' AS layout FROM rows""",

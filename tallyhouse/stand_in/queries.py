@@ -122,6 +122,16 @@ def legacy_fact_detected(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def legacy_mixed_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of both layouts in one folder, and the daily totals of their rows together."""
+    rows, folder = bank.legacy_rows(spark, sf_dir), scratch_path(spark, "layouts")
+    names = {"transaction_amount": "amount", "transaction_type": "type"}
+    rows.drop("transaction_date", "transaction_time").withColumnsRenamed(names).write.parquet(folder)
+    rows.drop("ts").write.mode("append").parquet(folder)
+    fact = legacy.fact_with_moment(legacy.read_layouts(spark, folder), with_day=True)
+    return legacy.daily_account_totals(fact.withColumn("account_number", F.concat_ws("/", "account_number", "type")))
+
+
 def daily_account_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return legacy.daily_account_totals(legacy.fact_with_moment(bank.legacy_rows(spark, sf_dir).drop("ts"), with_day=True))
 
@@ -514,6 +524,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "segment_size": segment_size,
         "daily_account_agg": daily_account_agg,
         "legacy_fact": legacy_fact,
+        "legacy_mixed_folder": legacy_mixed_folder,
         "legacy_fact_detected": legacy_fact_detected,
         "timestamp_build": timestamp_build,
         "customer_age": customer_age,

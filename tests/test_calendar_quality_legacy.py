@@ -163,3 +163,18 @@ def test_daily_totals_keep_the_day_without_a_time(spark):
         found = fact.first()["ts"]
         assert (str(found) if found else None) == ts
         assert rows(legacy.daily_account_totals(fact)) == [("A1", "2025-05-18", 1, D("1.00"))]
+
+
+def test_rows_of_merged_layouts_take_the_name_they_have_a_value_for(spark, tmp_path):
+    text = "CAST(null AS string) AS category, CAST(null AS string) AS location, CAST(null AS string) AS channel"
+    folder = str(tmp_path / "layouts")
+    spark.sql(f"SELECT '1' AS transaction_id, 'A1' AS account_number, 'C1' AS customer_id, TIMESTAMP_NTZ '2025-05-18 10:00:00' AS ts, '1.5' AS amount, 'debit' AS type, {text}").write.parquet(folder)
+    older = spark.sql(f"SELECT '2' AS transaction_id, 'A1' AS account_number, 'C1' AS customer_id, DATE '2025-05-19' AS transaction_date, '9:05:00' AS transaction_time, '2.5' AS transaction_amount, 'credit' AS transaction_type, {text}")
+    older.write.mode("append").parquet(folder)
+    fact = legacy.fact_with_moment(legacy.read_layouts(spark, folder), with_day=True)
+    assert rows(fact.select("transaction_id", "amount", "type", F.col("ts").cast("string"), "day")) == [
+        ("1", D("1.50"), "debit", "2025-05-18 10:00:00", "2025-05-18"),
+        ("2", D("2.50"), "credit", "2025-05-19 09:05:00", "2025-05-19"),
+    ]
+    with pytest.raises(ValueError, match="amount or transaction_amount"):
+        legacy.fact_with_moment(older.drop("transaction_amount"))
