@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
-#: Bounds of the training sample: documents for each language, languages, words for each sequence, sequences.
-SAMPLE_DOCS, MAX_LANGUAGES, SEQUENCE_WORDS, SEQUENCES = 150, 64, 48, 3000
+#: Bounds of the training sample: documents for each language, words for each sequence, sequences, and these for each language if that is more.
+SAMPLE_DOCS, SEQUENCE_WORDS, SEQUENCES, SEQUENCES_EACH = 150, 48, 3000, 100
 #: Weights of hashed features; words for each language's lexicon; words that a worker remembers; words that it labels at a time.
 FEATURES, LEXICON, REMEMBERED, BLOCK = 1 << 16, 400, 150_000, 80_000
 #: Bits by which the n-grams of the training words are remembered, to tell text that is in no learned language.
@@ -145,7 +145,7 @@ def train(texts: list[str], langs: list[str], seed: int = 7, rounds: int = 4, ra
     stretches: list[list[int]] = [[i for i, own in enumerate(words) if own and number[langs[i]] == k] for k in range(len(labels))]
     usable = [k for k in range(len(labels)) if stretches[k]]
     chains, truth = [], []
-    for _ in range(SEQUENCES if usable else 0):
+    for _ in range(max(SEQUENCES, SEQUENCES_EACH * len(usable)) if usable else 0):
         chain, labels_of = [], []
         while len(chain) < SEQUENCE_WORDS:
             k = int(rng.choice(usable))
@@ -297,20 +297,22 @@ def has_letter(text: str | None) -> bool:
 
 
 def training_sample(docs: DataFrame, lang: str = "lang", text: str = "text", doc_id: str = "doc_id", per_lang: int = SAMPLE_DOCS) -> tuple[list[str], list[str]]:
-    """Whole texts and languages of ``per_lang`` documents of each of at most MAX_LANGUAGES languages (the most frequent).
+    """Whole texts and languages of ``per_lang`` documents of every language, or of all that a language has.
 
-    The documents are those with the smallest hashes of their ids, so the sample is the same on each run.
+    The documents are those with the smallest hashes of id and text, so the sample is the same on each run and does not
+    depend on ids: rows without one, or with the same, are told apart by their texts. Rows alike in both are one.
     Ranks are limited before the shuffle, so a language that has most documents is no burden.
     """
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    labelled = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(F.lit("sample"), F.col(doc_id)).alias("rank"))
-    langs = [r["lang"] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("rank"))
-    chosen = labelled.where(F.col("lang").isin(langs)).select("lang", "rank").withColumn("place", place).where(F.col("place") <= per_lang)
+    rank = F.xxhash64(F.lit("sample"), F.col(doc_id), F.col(text)).alias("rank")
+    labelled = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), rank)
+    # Equal ranks share a place, so that many copies of a text do not take the places of others.
+    place = F.dense_rank().over(Window.partitionBy("lang").orderBy("rank"))
+    chosen = labelled.select("lang", "rank").withColumn("place", place).where(F.col("place") <= per_lang)
+    # At most per_lang rows of two short columns for each language.
     chosen = chosen.select(F.col("lang").alias("l"), F.col("rank").alias("r")).distinct()
-    # At most per_lang * MAX_LANGUAGES rows of two short columns.
-    rows = labelled.join(F.broadcast(chosen), (F.col("lang") == F.col("l")) & (F.col("rank") == F.col("r"))).select("lang", "text").orderBy("lang", "rank").limit(2 * per_lang * MAX_LANGUAGES)
-    rows = rows.collect()
+    rows = labelled.join(F.broadcast(chosen), (F.col("lang") == F.col("l")) & (F.col("rank") == F.col("r"))).dropDuplicates(["lang", "rank"])
+    rows = rows.orderBy("lang", "rank").select("lang", "text").collect()
     return [r["text"] for r in rows], [r["lang"] for r in rows]
 
 

@@ -26,7 +26,7 @@ ROWS = [
     (12, "éé ÀB ß\x0b\x0c" + LINE, "fr", "b", 3),
 ]
 #: Names that the operators use themselves.
-CLASHES = ["size", "source_size", "target", "copies", "rate__", "n_lines", "n_dropped", "keys__", "fp", "fingerprint", "component_id", "block", "found", "host", "path", "rule", "verdict", "shard", "key", "score", "length", "start", "ids", "group__", "copies_"]
+CLASHES = ["size", "source_size", "target", "copies", "rate__", "n_lines", "n_dropped", "keys__", "fp", "fingerprint", "component_id", "block", "found", "host", "path", "rule", "verdict", "shard", "key", "score", "length", "start", "ids", "group__", "copies_", "id__", "of__", "source__", "salt__", "salt_r__", "salt_of__", "url__", "hits__", "digest", "text_hash", "items", "item"]
 
 
 def documents(spark, rows=ROWS, clash=True):

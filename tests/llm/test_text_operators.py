@@ -388,6 +388,19 @@ def test_language_edges_and_switches(spark):
     assert language_id.identify(documents(spark, []), model).count() == 0
 
 
+def test_every_language_is_learned_whatever_the_ids(spark):
+    many = [(i, f"w{i % 70}a w{i % 70}b text {i}", f"l{i % 70:02}", "a", 1) for i in range(210)]
+    texts, langs = language_id.training_sample(documents(spark, many, clash=False))
+    assert len(texts) == 210 and len(set(langs)) == 70
+    for one_id in (None, 7):
+        hot = [(one_id, f"the english text number {i}", "en", "a", 1) for i in range(20_000)]
+        copies = [(one_id, "the same english text", "en", "a", 1)] * 3_000
+        french = [(i, f"le texte français {i}", "fr", "a", 1) for i in range(300)]
+        texts, langs = language_id.training_sample(documents(spark, hot + copies + french, clash=False))
+        assert Counter(langs) == {"en": language_id.SAMPLE_DOCS, "fr": language_id.SAMPLE_DOCS}
+        assert len(set(texts)) == 2 * language_id.SAMPLE_DOCS
+
+
 def test_blocks_of_lines_do_not_change_labels(spark, monkeypatch):
     docs = table(spark)
     labeller = language_id.Labeller(language_id.learn(docs))

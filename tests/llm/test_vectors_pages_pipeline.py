@@ -125,6 +125,19 @@ def test_cover_tree_covers_and_nests():
         assert all(tree.radius[c] <= tree.radius[node] / 2 + 1e-3 for c in children)
 
 
+def test_two_lengths_in_one_table(spark):
+    rows = [(i, [1.0, float(i % 2)], 0) for i in range(4)] + [(10 + i, [1.0, 0.5, float(i % 3)], 0) for i in range(6)]
+    df = vector_frame(spark, rows)
+    links = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in cover_tree.near_duplicates(df, threshold=0.99).collect()}
+    assert {i: links[i] for i in range(4)} == {0: (1, 0), 1: (1, 1), 2: (1, 0), 3: (1, 1)}
+    assert {i: links[i] for i in range(10, 16)} == {10 + i: (1, 10 + i % 3) for i in range(6)}
+    found = {}
+    for r in ann.nearest(df, "vec_id % 10 = 0", k=3).collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    assert sorted(found[0]) == [(1, 2), (2, 1), (3, 3)] and sorted(found[10])[0] == (1, 13)
+    assert all(v >= 10 for _, v in found[10])
+
+
 # -- WARC
 
 PAGES = [
