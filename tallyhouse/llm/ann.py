@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from math import erf
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.session import written
 
-from .vectors import distinct_vectors, matrix, usable_rows
+from .vectors import distinct_vectors, lengths, matrix, usable_rows
 
 CURVES, PROJECTED, BITS = 8, 4, 8
 #: Rows of a range on average, and the least number of ranges of a curve.
@@ -88,16 +89,33 @@ def nearest(vectors: DataFrame, queries: str, k: int = 5, vec_id: str = "vec_id"
     """``query_id``, ``rank``, ``vec_id``, ``score``: the ``k`` nearest found of each query, by cosine, ties to the smaller id.
 
     ``queries`` is a SQL condition on ``vec_id``. All rows but the query's own are candidates. Vectors that are null,
-    empty, zero, or hold null or non-finite components take no part, nor do those of another length than most, and rows
-    without an id. Repeated rows are one row. Fewer candidates than ``k`` give as many rows. Other columns are ignored; an empty
+    empty, zero, or hold null or non-finite components take no part, nor do rows without an id. Vectors of another length
+    than the query's are no candidates; each length has curves of its own. Repeated rows are one row. Fewer candidates than ``k`` give as many rows. Other columns are ignored; an empty
     table gives an empty result.
 
     Copies of a vector have one place on each curve and bring their ``k + 1`` smallest ids, as no others can be in a
     result. The width of the windows is what PROBES queries need to find WANTED of their true neighbours, which one
     pass over all rows tells: a number of ranges, measured alike at every size.
     """
-    spark, most = vectors.sparkSession, k + 1
     rows = usable_rows(vectors, vec_id, embedding)
+    sizes = lengths(rows)
+    if len(sizes) > 1:
+        rows = written(rows, "usable-vectors")
+    found = [_nearest(rows.where(F.size("v") == n) if len(sizes) > 1 else rows, queries, k) for n in sizes]
+    if not found:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    found = reduce(DataFrame.unionByName, found)
+    if len(sizes) == 1:
+        return found
+    # An id may have vectors of several lengths: what is found for each of them is ranked together.
+    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return best.withColumn("rank", place.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _nearest(rows: DataFrame, queries: str, k: int) -> DataFrame:
+    """``nearest`` for usable rows of one length."""
+    spark, most = rows.sparkSession, k + 1
     reps = written(distinct_vectors(rows, most), "distinct-vectors")
     # A query is known by its vector; ranked queries of one vector share what is found.
     asked = rows.where(queries).select(F.col("vec_id").alias("query_id"), F.col("v").alias("w"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -21,7 +22,7 @@ from tallyhouse.session import written
 
 from .ann import cosines, unit
 from .common import connected_components
-from .vectors import matrix, usable_rows
+from .vectors import lengths, matrix, usable_rows
 
 #: Centres at the top at most, vectors for each on average, and vectors of a chunk.
 CENTRES, PER_CENTRE, CHUNK = 1_024, 4_096, 2_048
@@ -194,7 +195,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, vec_id: str = "v
 
     Two vectors link if their cosine, in double precision, is ``threshold`` at least (which must be above 0). ``n_links`` counts the other
     ids linked directly, ``component_id`` is the smallest id that links reach, and ``kept`` tells whether it is the row's own. Vectors that are
-    null, empty, zero, of another length than most, or hold null or non-finite components link with nothing: 0 links, their own component. Repeated rows are one row, rows without
+    null, empty, zero, or hold null or non-finite components link with nothing: 0 links, their own component. Vectors of different lengths do not link; each length is matched by itself. Repeated rows are one row, rows without
     an id are left out, other columns are ignored, an empty table gives an empty result. An id with several vectors has the links of all of them.
 
     Copies of a vector are one vector with a count, however many. In a group of near copies whole nodes link at once, and each task hands on a count for each vector
@@ -202,9 +203,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, vec_id: str = "v
     """
     rows = usable_rows(vectors, vec_id, embedding)
     reps = written(rows.groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "distinct-vectors")
-    n = reps.count()
-    sample = reps.orderBy(F.xxhash64(F.lit("centre"), "rep"), "rep").limit(int(min(CENTRES, max(1, -(-n // PER_CENTRE))))).select("v").toArrow()
-    counts, edges = (matched(reps, unit(matrix(sample["v"])), threshold) if n else (None, None))
+    found = []
+    for size in lengths(reps):
+        own = reps.where(F.size("v") == size)
+        sample = own.orderBy(F.xxhash64(F.lit("centre"), "rep"), "rep").limit(int(min(CENTRES, max(1, -(-own.count() // PER_CENTRE))))).select("v").toArrow()
+        found.append(matched(own, unit(matrix(sample["v"])), threshold))
+    counts, edges = [reduce(DataFrame.unionByName, part) for part in zip(*found)] or (None, None)
     ids = vectors.select(F.col(vec_id).cast("long").alias("vec_id")).where("vec_id is not null").distinct()
     if counts is None:
         return ids.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))

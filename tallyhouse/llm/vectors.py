@@ -11,14 +11,19 @@ from pyspark.sql import functions as F
 def usable_rows(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     """``vec_id`` and ``v`` (array of double), each pair once: rows with an id whose vector has a direction.
 
-    That is: not null or empty, all components finite and not all zero, and as long as most vectors are (the longer of two lengths that are as frequent).
+    That is: not null or empty, all components finite and not all zero. Vectors of different lengths have no cosine, so
+    callers take each length by itself (``lengths``).
     """
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0))
-    length = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
     # A negative zero is a zero, so that copies are equal.
-    return rows.where(F.size("v") == (length["n"] if length else 0)).select("vec_id", F.transform("v", lambda x: x + 0.0).alias("v")).distinct()
+    return rows.select("vec_id", F.transform("v", lambda x: x + 0.0).alias("v")).distinct()
+
+
+def lengths(rows: DataFrame) -> list[int]:
+    """The lengths of the vectors ``v``."""
+    return sorted(r[0] for r in rows.select(F.size("v")).distinct().collect())
 
 
 def distinct_vectors(rows: DataFrame, ids: int) -> DataFrame:
