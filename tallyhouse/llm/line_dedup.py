@@ -242,8 +242,9 @@ def strip_lines(docs: DataFrame, lost: DataFrame, least: int, doc_id: str = "doc
             columns[text] = pa.array(bodies, batch.schema.field(at).type)
             yield pa.record_batch(columns | {n_lines: pa.array(before, pa.int64()), n_dropped: pa.array(gone, pa.int64())})
 
-    lost = lost.select(F.col("doc_id").alias("id__"), F.col("keys").alias(keys))
-    both = docs.join(lost, docs[doc_id].cast("long") == lost["id__"], "left").drop("id__")
+    of = free_name(docs, "of__")
+    lost = lost.select(F.col("doc_id").alias(of), F.col("keys").alias(keys))
+    both = docs.join(lost, docs[doc_id].cast("long") == lost[of], "left").drop(of)
     fields = ", ".join(f"`{name}` {kind}" for name, kind in [*docs.dtypes, (n_lines, "bigint"), (n_dropped, "bigint")])
     return both.mapInArrow(strip, fields)
 

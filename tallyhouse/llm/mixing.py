@@ -60,22 +60,22 @@ def mix_sources(
     The result does not depend on partitions or reruns. An empty table gives an empty mix.
     """
     new = {name: free_name(docs, name) for name in ("size", "source_size", "target", "copies")}
-    rate, salt = free_name(docs, "rate__"), free_name(docs, "salt__")
+    rate, salt, of, salt_of = (free_name(docs, name) for name in ("rate__", "salt__", "of__", "salt_of__"))
     sized = docs.withColumn(new["size"], word_count(F.col(text)))
     sums = sized.groupBy(F.col(source).alias("source")).agg(F.sum(new["size"]).alias("source_size"))
     # Written, so that its size is known: the planner broadcasts it below the session's limit. Beyond that the salts spread a hot source.
     rates = written(source_rates(sums, weights, share, cap), "rates")
     rates = rates.select(
-        F.col("source").alias("source__"), F.col("source_size").alias(new["source_size"]), F.col("target").alias(new["target"]), F.col("rate").alias(rate),
-        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt_r__"),
+        F.col("source").alias(of), F.col("source_size").alias(new["source_size"]), F.col("target").alias(new["target"]), F.col("rate").alias(rate),
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(salt_of),
     )
     nameless = F.when(F.col(doc_id).isNull(), F.coalesce(F.col(text), F.lit("")))
     sized = sized.withColumn(salt, F.pmod(F.xxhash64(F.lit("salt"), F.col(doc_id), nameless), F.lit(SALTS)).cast("int"))
-    both = sized.join(rates, sized[source].eqNullSafe(rates["source__"]) & (sized[salt] == rates["salt_r__"]))
+    both = sized.join(rates, sized[source].eqNullSafe(rates[of]) & (sized[salt] == rates[salt_of]))
     whole = F.floor(F.col(rate))
     more = (unit_hash(seed, F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("null:"), nameless))) < F.col(rate) - whole).cast("long")
     both = both.withColumn(new["copies"], whole + more)
-    return both.drop("source__", "salt_r__", rate, salt), new
+    return both.drop(of, salt_of, rate, salt), new
 
 
 def emit_copies(mixed: DataFrame, copies: str, columns: list[str]) -> DataFrame:

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import UPPER
+from .common import UPPER, free_name
 
 #: A block of the filter is one 64-bit word; a key sets this many bits in it.
 BITS_PER_KEY = 4
@@ -69,7 +69,7 @@ def candidates(host: Column, path: Column, lengths: list[int]) -> Column:
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", otherwise: str = "allow", keep: list[str] | None = None) -> DataFrame:
-    """Each row's ``keep`` columns with ``host``, ``path``, ``rule`` and ``verdict``.
+    """Each row's ``keep`` columns with ``host``, ``path``, ``rule`` and ``verdict`` (new names where ``keep`` has such columns).
 
     ``rules`` has host, path and verdict. A rule fits its host and all subdomains if the path starts with the rule's;
     the longest (host and path together) wins, and of one that is listed twice the first verdict by name. Rows that no rule fits, null urls
@@ -81,7 +81,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", otherwise:
     filter rejects is never shuffled. The others are judged once per distinct url, which
     is pre-aggregated before its shuffle, and adaptive execution splits a url that many rows share.
     """
-    keep = ["page_id"] if keep is None else keep
+    kept = ["page_id"] if keep is None else keep
+    # Names that clash with nothing while the rows are judged; at the end the kept ones are back, and the others give way to them.
+    keep = [f"keep{i}__" for i in range(len(kept))]
     listed = rules.select(
         F.translate(F.col("host"), UPPER, UPPER.lower()).alias("r_host"), F.col("path").alias("r_path"), F.col("verdict").alias("r_verdict")
     ).where("r_host is not null and r_path is not null")
@@ -90,7 +92,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", otherwise:
     about = listed.agg(F.count("*").alias("n"), F.array_distinct(F.flatten(F.collect_set("cuts"))).alias("lengths")).first()
     lengths = sorted(about["lengths"])
     words = int(min(MAX_WORDS, max(64, about["n"] * WORDS_PER_RULE)))
-    rows = pages.select(*[F.col(c) for c in keep], F.col(url).alias("url__"), url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"))
+    rows = pages.select(*[F.col(c).alias(name) for c, name in zip(kept, keep)], F.col(url).alias("url__"), url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"))
     bloom = F.lit(bloom_filter(listed, "key", words))
     found = candidates(F.col("host"), F.col("path"), lengths)
     rows = rows.withColumn("hits__", F.filter(found, lambda key: may_be_listed(key, bloom, words)) if lengths else F.array().cast("array<string>"))
@@ -101,4 +103,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", otherwise:
     )
     with_rule = passed.join(judged, "url__", "left").select(*keep, "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(otherwise)).alias("verdict"))
     without = rows.where(F.size("hits__") == 0).select(*keep, "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(otherwise).alias("verdict"))
-    return with_rule.unionByName(without)
+    both = with_rule.unionByName(without)
+    own = pages.select(*kept)
+    added = [F.col(name).alias(free_name(own, name)) for name in ("host", "path", "rule", "verdict")]
+    return both.select(*[F.col(name).alias(c) for c, name in zip(kept, keep)], *added)
