@@ -25,6 +25,7 @@ RECORDS_PER_FILE = 20_000
 #: The digits of numbers in base 32 as Spark writes them, and those of RFC 4648.
 CONV_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 BASE32_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
 
@@ -53,8 +54,13 @@ def record_types(pages: DataFrame, min_bytes: int = 0, page_id: str = "page_id",
     return both.withColumn("record_type", F.when(revisit, "revisit").otherwise("response")).withColumn("refers_to", F.when(revisit, F.col("first"))).drop("digest", "first")
 
 
-def record_text(rows: DataFrame) -> DataFrame:
-    """The record of each row as one text, without the two line ends that close it."""
+def record_text(rows: DataFrame, date: str | None = None) -> DataFrame:
+    """The record of each row as one text, without the two line ends that close it. ``date`` (UTC, ISO 8601) is now if it is not given."""
+    now = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'") if date is None else F.lit(date)
+    # Rows without an id are named by what they hold.
+    named = F.md5(F.concat_ws("|", "url", "payload_digest"))
+    uuid = F.concat_ws("-", *[F.substring(named, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+    record_id = F.coalesce(F.concat(F.lit("<urn:page:"), F.col("page_id").cast("string"), F.lit(">")), F.concat(F.lit("<urn:uuid:"), uuid, F.lit(">")))
     one_line = lambda c: F.regexp_replace(F.regexp_replace(c, "\r", "%0D"), "\n", "%0A")
     response = F.col("record_type") == "response"
     block = F.when(response, F.concat(F.lit(HTTP_HEAD), F.col("payload"))).otherwise("")
@@ -63,11 +69,13 @@ def record_text(rows: DataFrame) -> DataFrame:
     head = F.concat(
         F.lit(MAGIC),
         line("WARC-Type", F.col("record_type")),
-        F.coalesce(line("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.col("page_id").cast("string"), F.lit(">"))), F.lit("")),
+        line("WARC-Record-ID", record_id),
+        line("WARC-Date", now),
         F.coalesce(line("WARC-Target-URI", one_line(F.col("url"))), F.lit("")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
         line("WARC-Payload-Length", F.col("payload_bytes").cast("string")),
         F.coalesce(line("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.col("refers_to").cast("string"), F.lit(">"))), F.lit("")),
+        F.when(response, "").otherwise(f"WARC-Profile: {REVISIT_PROFILE}\r\n"),
         F.when(response, "Content-Type: application/http; msgtype=response\r\n").otherwise(""),
         line("Content-Length", length),
         F.lit("\r\n"),
@@ -97,10 +105,10 @@ CHUNK = (
 )
 
 
-def chunks(spark: SparkSession, path: str) -> DataFrame:
+def chunks(spark: SparkSession, path: str, texts: bool = True, files: DataFrame | None = None) -> DataFrame:
     """What stands after each magic line up to the next, with its place among the split's bytes and the length that its header claims.
 
-    Spark's text reader cuts the files at the magic line and splits large files. Every byte belongs to one split's
+    Without ``texts``, ``raw`` is null and the rows are small. ``files`` (``of_file``) says which files to read, else all are. Spark's text reader cuts the files at the magic line and splits large files. Every byte belongs to one split's
     chunks, so a chunk's offset is the sum of the sizes before it. A claim is -1 where no header with a length can be read.
     """
     names = [x.split()[0] for x in CHUNK.split(", ")]
@@ -129,12 +137,14 @@ def chunks(spark: SparkSession, path: str) -> DataFrame:
                 rows.append((
                     file, part, place, size + len(MAGIC), reach, field(head, "WARC-Type"), page_number(field(head, "WARC-Record-ID")), field(head, "WARC-Target-URI"),
                     int(stated) if stated and stated.isdigit() else None, (field(head, "WARC-Payload-Digest") or "").removeprefix("sha1:") or None, page_number(field(head, "WARC-Refers-To")),
-                    raw.decode("utf-8", "replace"), len(raw[: len(raw) - len(END) - len(payload)].decode("utf-8", "replace")), len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode(),
+                    raw.decode("utf-8", "replace") if texts else None, len(raw[: len(raw) - len(END) - len(payload)].decode("utf-8", "replace")) if texts else None, len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode(),
                 ))
                 place += size + len(MAGIC)
             yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), schema.types)], schema=schema) if rows else pa.RecordBatch.from_pylist([], schema=schema)
 
     lines = spark.read.option("lineSep", MAGIC).text(path).select(F.col("value").cast("binary"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part"))
+    if files is not None:
+        lines = lines.join(files, F.col("file") == F.col("of_file"), "left_semi")
     return lines.mapInArrow(parse, CHUNK).select(*names)
 
 
@@ -156,12 +166,14 @@ def reachable(candidates: DataFrame) -> DataFrame:
     return known.join(candidates.select("file", "offset"), ["file", "offset"], "left_semi")
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
+def read_warc(spark: SparkSession, path: str, bodies: bool = True) -> DataFrame:
     """A row for each record that the chains reach: the header's fields, and ``body``, ``body_bytes``, ``body_digest`` of the payload that was read.
 
     A record whose payload holds the magic line is put together from its chunks. Files are known by path; an archive without records gives an empty result.
+    One pass reads all there is to know of whole records, and writes it down without their texts. Texts are read again for
+    ``bodies`` (else ``body`` is null), and from the files that hold a record to be put together.
     """
-    found = chunks(spark, path)
+    found = written(chunks(spark, path, texts=False), "chunks")
     # One row for each split: where its first chunk stands. A file has as many splits as its size calls for.
     ends = found.groupBy("file", "part").agg(F.sum("size").alias("bytes"))
     ahead = Window.partitionBy("file").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -179,10 +191,14 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     flags = written(flags.withColumn("record", owner).where("record is not null"), "chunk-owners")
     fields = ["kind", "page_id", "url", "payload_bytes", "payload_digest", "refers_to", "body", "body_bytes", "body_digest"]
     # What stands between the head of the HTTP block and the two line ends that close the record.
-    body = F.col("raw").substr(F.col("body_from") + 1, F.length("raw") - F.col("body_from") - len(END))
-    whole = found.withColumn("body", body).join(flags.where("begin is not null and whole").select("file", "part", "place"), ["file", "part", "place"], "left_semi").select(*fields)
-    broken = flags.join(flags.where("begin is not null and not whole").select("file", "record"), ["file", "record"], "left_semi")
-    parts = found.join(broken.select("file", "part", "place", "record", "offset"), ["file", "part", "place"])
+    body = F.col("raw").substr(F.col("body_from") + 1, F.length("raw") - F.col("body_from") - len(END)) if bodies else F.lit(None).cast("string")
+    records = (chunks(spark, path) if bodies else found).withColumn("body", body)
+    whole = records.join(flags.where("begin is not null and whole").select("file", "part", "place"), ["file", "part", "place"], "left_semi").select(*fields)
+    broken = written(flags.join(flags.where("begin is not null and not whole").select("file", "record"), ["file", "record"], "left_semi"), "broken-records")
+    if broken.isEmpty():
+        return whole
+    parts = chunks(spark, path, files=broken.select(F.col("file").alias("of_file")).distinct())
+    parts = parts.join(broken.select("file", "part", "place", "record", "offset"), ["file", "part", "place"])
     firsts = [F.min_by(c, "offset").alias(c) for c in fields if not c.startswith("body")]
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("offset", F.col("raw").alias("b")))), lambda s: s["b"]), MAGIC)
     # The text of a record from its header on: the HTTP head and the payload lie between the first and the last blank line.
@@ -190,6 +206,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     text = text.withColumn("block", F.expr(r"substring(text, locate('\r\n\r\n', text) + 4)")).withColumn("block", F.expr("substring(block, 1, length(block) - 4)"))
     text = text.withColumn("body", F.when(F.expr(r"locate('\r\n\r\n', block) > 0"), F.expr(r"substring(block, locate('\r\n\r\n', block) + 4)")).otherwise(""))
     text = text.withColumn("body_bytes", F.octet_length("body").cast("long")).withColumn("body_digest", sha1_base32(F.col("body")))
+    text = text if bodies else text.withColumn("body", F.lit(None).cast("string"))
     return whole.unionByName(text.select(*fields))
 
 
