@@ -1,13 +1,14 @@
 """Command line of the jobs, for spark-submit or ``python -m tallyhouse.jobs``.
 
     load-files        --folder CSV_FOLDER --warehouse W [--strict]   every registered CSV file that is there
-    load-calendar     --start D --end D --warehouse W           the generated date dimension
+    load-calendar     --start D --end D --warehouse W [--holidays]   the generated date dimension
     load-dimension    --table T SOURCE --warehouse W
     load-transactions SOURCE --warehouse W (--start D --end D | --dates D,D,...)
     clean-legacy      SOURCE --target PATH                      older layout: cleaned rows, appended
     load-legacy       SOURCE --form day|moment --target PATH    older layout: fact, appended
     build-daily       SOURCE --target PATH                      older layout: daily totals per account
-    build-mart        --mart M (--warehouse W | --jdbc PREFIX) --target PATH
+    bucket-facts      --mart M --warehouse W [--buckets N]      facts and the mart's largest dimension in buckets of one key
+    build-mart        --mart M (--warehouse W | --jdbc PREFIX) --target PATH [--bucketed [--buckets N]]
     audit             --warehouse W --target PATH               declared integrity rules and their violations
 
 SOURCE is ``--parquet PATH``, ``--csv FILE``, or ``--jdbc PREFIX --source-table NAME`` with the connection in
@@ -33,6 +34,8 @@ from tallyhouse.operators.readback import first_rows
 from tallyhouse.plans import legacy
 from tallyhouse.plans.audit import audit
 from tallyhouse.plans.calendar import calendar_dim, days_between
+from tallyhouse.plans.colocated import MART_BUCKETS, build_from_buckets, store_buckets
+from tallyhouse.plans.holidays import SETTLEMENT, US_FEDERAL
 from tallyhouse.plans.ledger import FAILED, LOADED, load_open_days
 from tallyhouse.plans.pipeline import (
     MARTS,
@@ -46,6 +49,7 @@ from tallyhouse.plans.pipeline import (
 from tallyhouse.plans.tagging import MALFORMED, REASON, LoadReport
 from tallyhouse.schemas import LEGACY_RAW, RAW, WAREHOUSE
 from tallyhouse.session import build_session, written
+from tallyhouse.sinks.buckets import BUCKETS
 from tallyhouse.sinks.jdbc import append_jdbc, overwrite_jdbc
 from tallyhouse.sinks.tables import DAY, append_table, write_table
 from tallyhouse.sources.files import read_csv, read_registry, read_table, split_rejects
@@ -81,6 +85,7 @@ def parser() -> argparse.ArgumentParser:
     calendar = job("load-calendar", warehouse=True)
     calendar.add_argument("--start", type=date.fromisoformat, required=True)
     calendar.add_argument("--end", type=date.fromisoformat, required=True)
+    calendar.add_argument("--holidays", action="store_true", help="bank settlement holidays and US federal ones, by rule")
     job("load-dimension", source=True, warehouse=True).add_argument(
         "--table", required=True, choices=[t for t in WAREHOUSE if t != "transactions"]
     )
@@ -98,6 +103,11 @@ def parser() -> argparse.ArgumentParser:
     place.add_argument("--warehouse")
     place.add_argument("--jdbc")
     _split_options(mart)
+    mart.add_argument("--bucketed", action="store_true", help="use what bucket-facts left; loads since then are not in it")
+    by_key = job("bucket-facts", warehouse=True)
+    by_key.add_argument("--mart", required=True, choices=sorted(MART_BUCKETS))
+    for sub in (mart, by_key):
+        sub.add_argument("--buckets", type=int, default=BUCKETS)
     job("audit", warehouse=True, target=True)
     return root
 
@@ -223,7 +233,8 @@ def run(spark: SparkSession, argv: Sequence[str]) -> int:
         print(f"not there: {', '.join(registry.skipped) or 'none'}")
         return code
     elif args.job == "load-calendar":
-        _print_rejects(load_dimension(calendar_dim(days_between(spark, args.start, args.end)), "calender", warehouse))
+        rules_of_days = {"rules": SETTLEMENT, "us_rules": US_FEDERAL} if args.holidays else {}
+        _print_rejects(load_dimension(calendar_dim(days_between(spark, args.start, args.end), **rules_of_days), "calender", warehouse))
     elif args.job == "load-dimension":
         _print_rejects(load_dimension(_source(spark, args, args.table, RAW[args.table]), args.table, warehouse, args.as_of))
     elif args.job == "load-transactions":
@@ -243,7 +254,15 @@ def run(spark: SparkSession, argv: Sequence[str]) -> int:
             _write(fact(rows), args, append=True)
         else:
             _write(legacy.daily_account_totals(legacy.fact_with_moment(rows, with_day=True)), args)
+    elif args.job == "bucket-facts":
+        store_buckets(warehouse.table, warehouse.path, args.mart, args.buckets)
     elif args.job == "build-mart":
+        if args.bucketed:
+            if not args.warehouse or args.mart not in MART_BUCKETS:
+                raise ValueError(f"--bucketed needs --warehouse and one of the marts {', '.join(sorted(MART_BUCKETS))}")
+            as_of = args.as_of or date.today()
+            _write(build_from_buckets(spark, warehouse.table, warehouse.path, args.mart, as_of, args.buckets), args)
+            return 0
         if args.jdbc:
             splits = fact_splits(args)
             table = database_tables(spark, Database.from_environment(args.jdbc), splits)

@@ -1,6 +1,6 @@
 """Left joins of a fact table to its dimensions.
 
-Every lookup is a plain left join without a hint: the planner broadcasts a dimension within the session's limit, adaptive
+Every lookup of a whole dimension is a plain left join without a hint: the planner broadcasts a dimension within the session's limit, adaptive
 execution does so once a size is known, and beyond it both sides are shuffled by the key. A key that holds a third of
 the facts, and the facts without a key, each fall into one shuffle partition, which adaptive execution splits by map tasks
 (``spark.sql.adaptive.skewJoin``): it may split the fact side of a left join whatever the key. Nothing is measured and no job
@@ -23,7 +23,9 @@ class Lookup:
     """One dimension to attach: ``fact_key = dim_key``, and the dimension's columns with their output names.
 
     ``attached`` are lookups for the dimension itself, by its output names. ``large`` is for a dimension that grows with
-    the business: it is joined while the facts are narrow, as it may shuffle them.
+    the business: it is joined while the facts are narrow, as it may shuffle them. ``colocated`` is for one stored in the
+    same buckets as the facts: it is joined before any other shuffles them. ``bounded`` is for rows whose number does not grow
+    with the data: they are broadcast.
     """
 
     dim: DataFrame
@@ -32,6 +34,8 @@ class Lookup:
     columns: Mapping[str, str]
     attached: Sequence[Lookup] = ()
     large: bool = False
+    colocated: bool = False
+    bounded: bool = False
 
     def outputs(self) -> list[str]:
         return [*self.columns.values(), *(name for lookup in self.attached for name in lookup.outputs())]
@@ -51,7 +55,7 @@ def star_join(fact: DataFrame, lookups: Sequence[Lookup], where: Column | None =
     """
     order = sorted(
         range(len(lookups)),
-        key=lambda i: (where is not None and i != 0, not lookups[i].large, len(lookups[i].columns)),
+        key=lambda i: (where is not None and i != 0, not lookups[i].colocated, not lookups[i].large, len(lookups[i].columns)),
     )
     joined = fact
     for i in order:
@@ -60,6 +64,7 @@ def star_join(fact: DataFrame, lookups: Sequence[Lookup], where: Column | None =
             F.col(f"`{lookup.dim_key}`").alias(key), *[F.col(f"`{c}`").alias(out) for c, out in lookup.columns.items()]
         )
         dim = star_join(dim, lookup.attached) if lookup.attached else dim
+        dim = F.broadcast(dim) if lookup.bounded else dim
         joined = joined.join(dim, F.col(f"`{lookup.fact_key}`") == F.col(key), "left")
         if where is not None and i == 0:
             joined = joined.where(where)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.scalars import day_id
+from tallyhouse.plans.holidays import Rule, is_holiday
 
 
 def days_between(spark: SparkSession, start: date, end: date) -> DataFrame:
@@ -24,19 +26,23 @@ def days_covering(dates: DataFrame) -> DataFrame:
     return bounds.select(F.explode(F.sequence("first_day", "last_day")).alias("calender"))
 
 
-def calendar_dim(days: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
+def calendar_dim(
+    days: DataFrame, holidays: DataFrame | None = None, rules: Sequence[Rule] = (), us_rules: Sequence[Rule] = ()
+) -> DataFrame:
     """Date attributes for a frame of days (column ``calender``).
 
-    ``holidays`` has the columns ``holiday`` (date, unique) and ``in_us`` (boolean). ``day`` is the day of the month;
-    ``day_in_week`` counts from Monday = 1 to Sunday = 7.
+    ``holidays`` has the columns ``holiday`` (date, unique) and ``in_us`` (boolean). Days on which a rule falls are holidays
+    too, those of ``us_rules`` in the US only and with the weekday on which one of a weekend is observed. ``day`` is the day of
+    the month; ``day_in_week`` counts from Monday = 1 to Sunday = 7.
     """
     day = F.col("calender")
     monday_first = F.weekday(day) + 1
     if holidays is None:
-        marked, is_holiday, in_us = days, F.lit(False), F.lit(False)
+        marked, listed, listed_in_us = days, F.lit(False), F.lit(False)
     else:
         marked = days.join(holidays, day == F.col("holiday"), "left")
-        is_holiday, in_us = F.col("holiday").isNotNull(), F.coalesce("in_us", F.lit(False))
+        listed, listed_in_us = F.col("holiday").isNotNull(), F.coalesce("in_us", F.lit(False))
+    by_rule, by_us_rule = is_holiday(day, rules), is_holiday(day, us_rules, observed=True)
     return marked.select(
         day_id(day).alias("date_key"),
         day,
@@ -47,8 +53,8 @@ def calendar_dim(days: DataFrame, holidays: DataFrame | None = None) -> DataFram
         F.date_format(day, "EEEE").alias("weekday"),
         F.weekofyear(day).alias("week_of_year"),
         (monday_first >= 6).alias("isweekend"),
-        is_holiday.alias("isholiday"),
-        in_us.alias("isholiday_in_us"),
+        (listed | by_rule).alias("isholiday"),
+        (listed_in_us | by_us_rule).alias("isholiday_in_us"),
         F.dayofyear(day).alias("day_in_year"),
         _day_in_quarter(day).alias("day_in_quarter"),
         F.dayofmonth(day).alias("day_in_month"),

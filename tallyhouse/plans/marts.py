@@ -127,15 +127,19 @@ def is_essential_avg(
     return _per_head(_by_segment(pivot_count(labelled, "customer_id", "is_essential", columns), customers), customers)
 
 
-def wide_expense(tables: Mapping[str, DataFrame]) -> DataFrame:
+def wide_expense(tables: Mapping[str, DataFrame], colocated: str | None = None, bounded: str | None = None) -> DataFrame:
     """Expense transactions with every dimension, each column prefixed by its table.
 
-    Keys: the category and the city come through the merchant, the branch through the account.
+    Keys: the category and the city come through the merchant, the branch through the account. ``colocated``
+    names the table that is stored in the same buckets as the transactions, ``bounded`` one that has few rows whatever the data.
     """
 
     def attributes(table: str, prefix: str) -> dict[str, str]:
         return {c: f"{prefix}_{c}" for c in tables[table].columns}
 
+    def placed(table: str) -> dict[str, bool]:
+        return {"large": True, "colocated": table == colocated, "bounded": table == bounded}
+
     fact = tables["transactions"].select(
         *[F.col(c).alias(f"transaction_{c.removeprefix('transaction_')}") for c in tables["transactions"].columns]
     )
@@ -165,14 +169,14 @@ def wide_expense(tables: Mapping[str, DataFrame]) -> DataFrame:
                     ),
                     Lookup(tables["cities"], "merchant_city_id", "city_id", attributes("cities", "city")),
                 ],
-                large=True,
+                **placed("merchants"),
             ),
             Lookup(
                 tables["customers"],
                 "transaction_customer_id",
                 "customer_id",
                 attributes("customers", "customer"),
-                large=True,
+                **placed("customers"),
             ),
             Lookup(
                 tables["accounts"],
@@ -180,7 +184,7 @@ def wide_expense(tables: Mapping[str, DataFrame]) -> DataFrame:
                 "account_number",
                 attributes("accounts", "account"),
                 attached=[Lookup(tables["branches"], "account_branch_id", "branch_id", attributes("branches", "branch"))],
-                large=True,
+                **placed("accounts"),
             ),
         ],
         where=~F.col("type_is_income"),

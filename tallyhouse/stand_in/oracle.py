@@ -375,6 +375,41 @@ _AUDIT = " UNION ALL ".join(
 )
 
 
+_HOLIDAYS = """
+WITH bounds AS (
+    SELECT min(d) AS lo, max(d) AS hi
+    FROM (SELECT CAST(l_shipdate AS DATE) AS d FROM lineitem UNION ALL SELECT CAST(o_orderdate AS DATE) FROM orders)),
+  wide AS (
+    SELECT CAST(unnest(generate_series(date_trunc('year', lo) - INTERVAL 1 YEAR, date_trunc('year', hi) + INTERVAL 2 YEAR, INTERVAL 1 DAY)) AS DATE) AS d
+    FROM bounds),
+  placed AS (
+    SELECT d, year(d) AS y, month(d) AS m, day(d) AS n, isodow(d) AS w,
+           row_number() OVER (PARTITION BY year(d), month(d), isodow(d) ORDER BY d) AS nth,
+           row_number() OVER (PARTITION BY year(d), month(d), isodow(d) ORDER BY d DESC) AS nth_last
+    FROM wide),
+  -- Gauss's rule for Easter in the years 1900 to 2099, with its two exceptions.
+  parts AS (SELECT DISTINCT y, (19 * (y % 19) + 24) % 30 AS a, y % 4 AS p, y % 7 AS q, y % 19 AS g FROM placed),
+  found AS (SELECT y, a, g, (2 * p + 4 * q + 6 * a + 5) % 7 AS b FROM parts),
+  easter AS (
+    SELECT y, make_date(y, 3, 22) + CAST(a + b - CASE WHEN b = 6 AND (a = 29 OR (a = 28 AND g > 10)) THEN 7 ELSE 0 END AS INTEGER) AS e
+    FROM found),
+  us AS (
+    SELECT d, isodow(d) AS w FROM placed
+    WHERE (m, n) IN ((1, 1), (7, 4), (11, 11), (12, 25)) OR (m = 6 AND n = 19 AND y >= 2021)
+       OR (m = 1 AND w = 1 AND nth = 3 AND y >= 1986) OR (m = 2 AND w = 1 AND nth = 3) OR (m = 5 AND w = 1 AND nth_last = 1)
+       OR (m = 9 AND w = 1 AND nth = 1) OR (m = 10 AND w = 1 AND nth = 2) OR (m = 11 AND w = 4 AND nth = 4)),
+  seen AS (SELECT d FROM us UNION SELECT d - 1 FROM us WHERE w = 6 UNION SELECT d + 1 FROM us WHERE w = 7),
+  closed AS (
+    SELECT d FROM placed WHERE (m, n) IN ((1, 1), (5, 1), (12, 25), (12, 26))
+    UNION SELECT e - 2 FROM easter UNION SELECT e + 1 FROM easter),
+  moved AS (
+    SELECT CAST(l_shipdate AS DATE) AS d, count(*) AS rows, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS amount
+    FROM lineitem GROUP BY 1)
+SELECT placed.d AS calender, dayname(placed.d) AS weekday, placed.d IN (SELECT d FROM closed) AS isholiday,
+       placed.d IN (SELECT d FROM seen) AS isholiday_in_us, rows, amount
+FROM placed JOIN bounds ON placed.d BETWEEN lo AND hi LEFT JOIN moved ON moved.d = placed.d"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "customer_monthly": _customer_monthly("true"),
@@ -433,6 +468,7 @@ FROM lineitem""",
 SELECT DISTINCT l_returnflag AS transaction_type_id, lower(l_returnflag) AS transaction_type_name,
        l_returnflag = 'N' AS is_transfer, l_returnflag = 'R' AS is_income, {AS_OF} AS etl_date
 FROM lineitem""",
+        "calendar_holidays": _HOLIDAYS,
         "calendar_dim": f"""
 WITH dates AS (
     SELECT CAST(l_shipdate AS DATE) AS d FROM lineitem UNION ALL SELECT CAST(o_orderdate AS DATE) FROM orders),
@@ -443,6 +479,8 @@ SELECT {CALENDAR_COLUMNS},
        d IN (DATE '1996-01-01', DATE '1996-07-04') AS isholiday_in_us, {CALENDAR_COUNTS}
 FROM days""",
         "wide_expense_transactions": _WIDE,
+        "bucketed_star": _WIDE,
+        "bucketed_customer_monthly": _customer_monthly("true"),
         "day_window_load": f"{_DAY_SUMMARY} WHERE {_IN_WINDOW} GROUP BY 1",
         "day_list_load": f"""{_DAY_SUMMARY}
 WHERE CAST(l_shipdate AS DATE) IN (DATE '1997-04-14', DATE '1997-04-17', DATE '1997-05-02') GROUP BY 1""",

@@ -19,11 +19,12 @@ from tallyhouse.operators.load_filter import in_days, in_window, loadable, parse
 from tallyhouse.operators.readback import first_rows
 from tallyhouse.operators.reconcile import reconcile
 from tallyhouse.operators.snapshot import current_snapshot
-from tallyhouse.plans import calendar, legacy, marts
+from tallyhouse.plans import calendar, colocated, legacy, marts
 from tallyhouse.plans.audit import audit
+from tallyhouse.plans.holidays import SETTLEMENT, US_FEDERAL
 from tallyhouse.plans.ledger import load_open_days, read_ledger
 from tallyhouse.plans.pipeline import Warehouse, load_transactions
-from tallyhouse.session import scratch_path
+from tallyhouse.session import scratch_path, written
 from tallyhouse.sinks import exchange, snapshots
 from tallyhouse.sinks import tables as sink
 from tallyhouse.sources.contract import contract_report
@@ -86,21 +87,40 @@ def segment_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.segment_size(bank.customers(spark, sf_dir))
 
 
+def _wide_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {
+        "transactions": bank.transactions(spark, sf_dir),
+        "categories": bank.categories(spark),
+        "merchants": bank.merchants(spark, sf_dir),
+        "customers": bank.customers(spark, sf_dir),
+        "accounts": bank.accounts(spark, sf_dir),
+        "channels": bank.channels(spark),
+        "calender": bank.calender(spark),
+        "cities": bank.cities(spark, sf_dir),
+        "branches": bank.branches(spark, sf_dir),
+        "transaction_types": bank.transaction_types(spark),
+    }
+
+
 def wide_expense_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.wide_expense(
-        {
-            "transactions": bank.transactions(spark, sf_dir),
-            "categories": bank.categories(spark),
-            "merchants": bank.merchants(spark, sf_dir),
-            "customers": bank.customers(spark, sf_dir),
-            "accounts": bank.accounts(spark, sf_dir),
-            "channels": bank.channels(spark),
-            "calender": bank.calender(spark),
-            "cities": bank.cities(spark, sf_dir),
-            "branches": bank.branches(spark, sf_dir),
-            "transaction_types": bank.transaction_types(spark),
-        }
-    )
+    return marts.wide_expense(_wide_tables(spark, sf_dir))
+
+
+def _from_buckets(spark: SparkSession, sf_dir: str, mart: str) -> DataFrame:
+    tables, folder = _wide_tables(spark, sf_dir), scratch_path(spark, "buckets")
+    tables["transactions"] = written(tables["transactions"], "facts")
+    colocated.store_buckets(tables.__getitem__, folder, mart, buckets=16)
+    return colocated.build_from_buckets(spark, tables.__getitem__, folder, mart, AS_OF, buckets=16)
+
+
+def bucketed_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide mart from facts and accounts stored in buckets of the account."""
+    return _from_buckets(spark, sf_dir, "wide_expense")
+
+
+def bucketed_customer_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly mart from facts and customers stored in buckets of the customer."""
+    return _from_buckets(spark, sf_dir, "customer_monthly")
 
 
 # --- older layout -----------------------------------------------------------------------------------------------------
@@ -207,18 +227,28 @@ def conform_transaction_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stamped(raw, "transaction_types")
 
 
+def _covered_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shipped = bank.read(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("date").alias("d"))
+    ordered = bank.read(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("d"))
+    return calendar.days_covering(shipped.unionAll(ordered))
+
+
 def calendar_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per day from the first to the last date of the orders and lines. Days of three dates are holidays."""
-    dates = (
-        bank.read(spark, sf_dir, "lineitem")
-        .select(F.col("l_shipdate").cast("date").alias("d"))
-        .unionAll(bank.read(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("d")))
-    )
     holidays = spark.sql("""
         SELECT * FROM VALUES (DATE '1996-01-01', true), (DATE '1996-07-04', true), (DATE '1997-04-23', false)
         AS t(holiday, in_us)
     """)
-    return calendar.calendar_dim(calendar.days_covering(dates), holidays)
+    return calendar.calendar_dim(_covered_days(spark, sf_dir), holidays)
+
+
+def calendar_holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days with their holidays by rule, and the transactions and amount of each day."""
+    days = calendar.calendar_dim(_covered_days(spark, sf_dir), rules=SETTLEMENT, us_rules=US_FEDERAL)
+    moved = _day_summary(bank.transactions(spark, sf_dir, with_customer=False))
+    return days.join(moved, F.col("calender") == F.col("transaction_date"), "left").select(
+        "calender", "weekday", "isholiday", "isholiday_in_us", "rows", "amount"
+    )
 
 
 # --- loads ------------------------------------------------------------------------------------------------------------
@@ -538,7 +568,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "conform_channels": conform_channels,
         "conform_transaction_types": conform_transaction_types,
         "calendar_dim": calendar_dim,
+        "calendar_holidays": calendar_holidays,
         "wide_expense_transactions": wide_expense_transactions,
+        "bucketed_star": bucketed_star,
+        "bucketed_customer_monthly": bucketed_customer_monthly,
         "day_window_load": day_window_load,
         "day_list_load": day_list_load,
         "partition_drop": partition_drop,

@@ -56,6 +56,12 @@ def test_files_to_marts(spark, folder, tmp_path, capsys):
     found = read_table(spark, target).collect()
     assert len(found) == 1
     assert (found[0]["first_name"], float(found[0]["January"]), float(found[0]["February"])) == ("Ayşe", 10.5, 4.0)
+    bucketed = ["--bucketed", "--buckets", "4"]
+    assert jobs.run(spark, ["bucket-facts", "--mart", "customer_monthly", "--warehouse", house, "--buckets", "4"]) == 0
+    assert jobs.run(spark, [*args[:6], str(tmp_path / "from_buckets"), *args[7:], *bucketed]) == 0
+    assert rows(read_table(spark, str(tmp_path / "from_buckets"))) == sorted(map(tuple, found), key=repr)
+    with pytest.raises(ValueError, match="--bucketed needs"):
+        jobs.run(spark, ["build-mart", "--mart", "is_essential_avg_dm", "--warehouse", house, "--target", target, *bucketed])
     for mart in ("count_category_segment", "is_essential_avg_dm"):
         assert jobs.run(spark, ["build-mart", "--mart", mart, "--warehouse", house, "--target", str(tmp_path / mart)]) == 0
     assert read_table(spark, str(tmp_path / "is_essential_avg_dm")).first()["Essential"] == 1
