@@ -3,7 +3,7 @@
     load-files        --folder CSV_FOLDER --warehouse W [--strict]   every registered CSV file that is there
     load-calendar     --start D --end D --warehouse W [--holidays]   the generated date dimension
     load-dimension    --table T SOURCE --warehouse W
-    load-transactions SOURCE --warehouse W (--start D --end D | --dates D,D,...)
+    load-transactions SOURCE --warehouse W (--start D --end D | --dates D,D,...) [--check-keys]
     clean-legacy      SOURCE --target PATH                      older layout: cleaned rows, appended
     load-legacy       SOURCE --form day|moment --target PATH    older layout: fact, appended
     build-daily       SOURCE --target PATH                      older layout: daily totals per account
@@ -93,6 +93,7 @@ def parser() -> argparse.ArgumentParser:
     for name in ("start", "end"):
         facts.add_argument(f"--{name}", type=date.fromisoformat, default=_day_of(os.getenv(f"LOAD_{name.upper()}")))
     facts.add_argument("--day-by-day", action="store_true", help="one day after the other; days that the ledger has as loaded are left out")
+    facts.add_argument("--check-keys", action="store_true", help="reject a load that breaks declared keys, before any day changes")
     facts.add_argument("--dates", type=parse_days, default=_days_of(os.getenv("LOAD_DATES")))
     job("clean-legacy", source=True, target=True)
     job("load-legacy", source=True, target=True).add_argument("--form", choices=("day", "moment"), required=True)
@@ -201,7 +202,7 @@ def _load_day_by_day(spark: SparkSession, source: DataFrame, warehouse: Warehous
     """Load the chosen days that the ledger does not have as done. The exit code says whether a day is still open."""
 
     def load(day: date) -> int:
-        done = load_transactions(source, warehouse, days=[day], as_of=args.as_of)
+        done = load_transactions(source, warehouse, days=[day], as_of=args.as_of, checked=args.check_keys)
         return done.report.accepted().count()
 
     days = args.dates or window_days(args.start, args.end)
@@ -241,7 +242,8 @@ def run(spark: SparkSession, argv: Sequence[str]) -> int:
         source = _source(spark, args, "transactions", RAW["transactions"])
         if args.day_by_day:
             return _load_day_by_day(spark, source, warehouse, args)
-        return _report(load_transactions(source, warehouse, start=args.start, end=args.end, days=args.dates, as_of=args.as_of))
+        window = {"start": args.start, "end": args.end, "days": args.dates}
+        return _report(load_transactions(source, warehouse, **window, as_of=args.as_of, checked=args.check_keys))
     elif args.job in ("clean-legacy", "load-legacy", "build-daily"):
         rows = _source(spark, args, "transactions", LEGACY_RAW)
         if args.csv:

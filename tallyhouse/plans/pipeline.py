@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tallyhouse import rules, schemas
 from tallyhouse.operators.load_filter import FIRST_DAY, in_days, in_window
+from tallyhouse.operators.load_keys import check_keys
 from tallyhouse.operators.reconcile import reconcile
 from tallyhouse.operators.snapshot import current_snapshot
 from tallyhouse.plans import marts
@@ -72,6 +73,10 @@ class FactLoad:
     per_day: DataFrame
 
 
+class KeysRejected(ValueError):
+    """The keys of a load break the declared rules; the table is as it was."""
+
+
 def quarantine(report: LoadReport, warehouse: Warehouse) -> None:
     """Keep the rejected rows of the latest load beside the table, with the line or values, and the reason."""
     write_table(report.rejected(), warehouse.location(f"rejected_{report.table}"))
@@ -112,19 +117,39 @@ def load_transactions(
     end: date | None = None,
     days: Iterable[date] | None = None,
     as_of: date | None = None,
+    checked: bool = False,
 ) -> FactLoad:
     """Replace the chosen days of the fact table by the source's rows of those days. A day the source has no row for
-    stays as it is. The source is read once, and all days are loaded by one job; the report is read from the tagged rows."""
+    stays as it is. The source is read once, and all days are loaded by one job; the report is read from the tagged rows.
+
+    With ``checked``, a load whose rows break the declared keys, references or NOT NULL rules is rejected before any day changes,
+    and what is wrong with it is kept as ``violations_transactions``. Dimensions that are not there are not looked at.
+    """
     days = list(days) if days is not None else None
     chosen = chosen_days(start, end, days)
     rows = tagged_transactions(source, start=start, end=end, days=days, as_of=as_of)
     report = LoadReport("transactions", written(rows, "tagged-transactions"), DAY)
     quarantine(report, warehouse)
+    if checked:
+        _check_keys(report.accepted(), warehouse)
     replace_days(report.accepted(), warehouse.location("transactions"))
     target = read_table(warehouse.spark, warehouse.location("transactions"), report.accepted().schema).where(chosen)
     return FactLoad(report, reconcile(report.accepted(), target))
 
 
+def _check_keys(rows: DataFrame, warehouse: Warehouse) -> None:
+    stored = warehouse.loads("transactions") if warehouse.has("transactions") else None
+    references = rules.CURRENT.foreign_keys["transactions"]
+    parents = {table: warehouse.table(table) for table in {t for _, t, _ in references} if warehouse.has(table)}
+    not_null = rules.CURRENT.not_null["transactions"]
+    wrong = check_keys(rows, stored, PRIMARY_KEY["transactions"], DAY, references, parents, not_null)
+    write_table(wrong, warehouse.location("violations_transactions"))
+    counts = warehouse.loads("violations_transactions").groupBy("rule", "column_name").agg(F.sum("rows").alias("rows"))
+    found = [f"{r['rule']}: {r['column_name']}, {r['rows']} rows" for r in counts.orderBy("rule", "column_name").collect()]
+    if found:
+        raise KeysRejected(f"the load was rejected: {'; '.join(found)}")
+
+
 def tagged_transactions(
     source: DataFrame, *, start: date | None = None, end: date | None = None, days: Iterable[date] | None = None, as_of: date | None = None
 ) -> DataFrame:

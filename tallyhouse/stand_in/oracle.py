@@ -375,6 +375,22 @@ _AUDIT = " UNION ALL ".join(
 )
 
 
+_KEY_CHECK = """
+WITH lines AS (
+    SELECT l_orderkey || '-' || l_linenumber AS id, l_linenumber AS number, CAST(l_shipdate AS DATE) AS d, l_partkey, l_suppkey
+    FROM lineitem),
+  new AS (SELECT * FROM lines WHERE d BETWEEN DATE '1997-04-01' AND DATE '1997-06-30'),
+  old AS (SELECT * FROM lines WHERE d BETWEEN DATE '1996-01-01' AND DATE '1996-12-28'),
+  load AS (SELECT * FROM new UNION ALL SELECT * FROM new WHERE number = 2 UNION ALL SELECT * FROM old WHERE number = 3),
+  counted AS (SELECT id, count(*) AS rows FROM load GROUP BY 1)
+SELECT 'repeated in the load' AS rule, 'transaction_id_dd' AS column_name, id AS value, rows FROM counted WHERE rows > 1
+UNION ALL SELECT 'held by another day', 'transaction_id_dd', id, rows FROM counted WHERE id IN (SELECT id FROM old)
+UNION ALL SELECT 'no parent', 'merchant_id', CAST(l_partkey AS VARCHAR), count(*) FROM load
+  WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size < 25) GROUP BY l_partkey
+UNION ALL SELECT 'no parent', 'branch_id', CAST(l_suppkey AS VARCHAR), count(*) FROM load
+  WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier) GROUP BY l_suppkey
+UNION ALL SELECT 'missing', 'channel_id', NULL, count(*) FROM load WHERE number = 5 HAVING count(*) > 0"""
+
 _HOLIDAYS = """
 WITH bounds AS (
     SELECT min(d) AS lo, max(d) AS hi
@@ -469,6 +485,7 @@ SELECT DISTINCT l_returnflag AS transaction_type_id, lower(l_returnflag) AS tran
        l_returnflag = 'N' AS is_transfer, l_returnflag = 'R' AS is_income, {AS_OF} AS etl_date
 FROM lineitem""",
         "calendar_holidays": _HOLIDAYS,
+        "load_key_check": _KEY_CHECK,
         "calendar_dim": f"""
 WITH dates AS (
     SELECT CAST(l_shipdate AS DATE) AS d FROM lineitem UNION ALL SELECT CAST(o_orderdate AS DATE) FROM orders),

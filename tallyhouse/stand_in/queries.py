@@ -16,6 +16,7 @@ from tallyhouse.functions.scalars import age_years, moment
 from tallyhouse.operators import quality
 from tallyhouse.operators.conform import conform
 from tallyhouse.operators.load_filter import in_days, in_window, loadable, parse_days
+from tallyhouse.operators.load_keys import check_keys
 from tallyhouse.operators.readback import first_rows
 from tallyhouse.operators.reconcile import reconcile
 from tallyhouse.operators.snapshot import current_snapshot
@@ -382,6 +383,32 @@ def load_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest.select("day", "outcome", "rows").join(attempts, "day").join(stored, "day", "left")
 
 
+NEW_DAYS, MOVED_TO = (date(1997, 4, 1), date(1997, 6, 30)), date(1997, 6, 30)
+
+
+def load_key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days to be loaded beside a stored window. Third lines of orders of the window come again under a new day, second lines of the
+    new days come twice, merchants of large cities are unknown and some channels are missing."""
+    rows = bank.transactions(spark, sf_dir, with_customer=False)
+    stored_at, load_at = scratch_path(spark, "stored-days"), scratch_path(spark, "load")
+    sink.replace_days(rows.where(in_window(F.col("transaction_date"), *WINDOW)), stored_at)
+    number = F.substring_index("transaction_id_dd", "-", -1)
+    new = rows.where(in_window(F.col("transaction_date"), *NEW_DAYS))
+    again = rows.where(in_window(F.col("transaction_date"), *WINDOW) & (number == "3")).withColumn("transaction_date", F.lit(MOVED_TO))
+    load = new.unionAll(new.where(number == "2")).unionAll(again)
+    load.withColumn("channel_id", F.when(number != "5", F.col("channel_id"))).write.parquet(load_at)
+    merchants = bank.merchants(spark, sf_dir).where(F.col("city_id").cast("int") < 25)
+    return check_keys(
+        read_table(spark, load_at),
+        read_table(spark, stored_at),
+        "transaction_id_dd",
+        sink.DAY,
+        [("merchant_id", "merchants", "merchant_id"), ("branch_id", "branches", "branch_id")],
+        {"merchants": merchants, "branches": bank.branches(spark, sf_dir)},
+        ["transaction_id_dd", "channel_id", "amount"],
+    )
+
+
 def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write two tables as CSV, read the folder back through the registry; a registered third file is not there."""
     folder = scratch_path(spark, "csv")
@@ -579,6 +606,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "staged_exchange": staged_exchange,
         "load_report": load_report,
         "load_ledger": load_ledger,
+        "load_key_check": load_key_check,
         "current_snapshot": snapshot_of_dimension,
         "snapshot_merge": snapshot_merge,
         "pk_violations": pk_violations,
