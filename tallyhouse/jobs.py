@@ -4,6 +4,7 @@
     load-calendar     --start D --end D --warehouse W [--holidays]   the generated date dimension
     load-dimension    --table T SOURCE --warehouse W
     load-transactions SOURCE --warehouse W (--start D --end D | --dates D,D,...) [--check-keys]
+    copy-months       --warehouse W (--start D --end D | --dates D,D,...) --target PATH   days of the facts into a month layout
     clean-legacy      SOURCE --target PATH                      older layout: cleaned rows, appended
     load-legacy       SOURCE --form day|moment --target PATH    older layout: fact, appended
     build-daily       SOURCE --target PATH                      older layout: daily totals per account
@@ -42,6 +43,7 @@ from tallyhouse.plans.pipeline import (
     FactLoad,
     Warehouse,
     build_mart,
+    chosen_days,
     database_tables,
     load_dimension,
     load_transactions,
@@ -51,6 +53,7 @@ from tallyhouse.schemas import LEGACY_RAW, RAW, WAREHOUSE
 from tallyhouse.session import build_session, written
 from tallyhouse.sinks.buckets import BUCKETS
 from tallyhouse.sinks.jdbc import append_jdbc, overwrite_jdbc
+from tallyhouse.sinks.months import MonthLayout, replace_days_in_months
 from tallyhouse.sinks.tables import DAY, append_table, write_table
 from tallyhouse.sources.files import read_csv, read_registry, read_table, split_rejects
 from tallyhouse.sources.jdbc import Database, Split, read_jdbc, read_jdbc_days
@@ -90,11 +93,13 @@ def parser() -> argparse.ArgumentParser:
         "--table", required=True, choices=[t for t in WAREHOUSE if t != "transactions"]
     )
     facts = job("load-transactions", source=True, warehouse=True)
-    for name in ("start", "end"):
-        facts.add_argument(f"--{name}", type=date.fromisoformat, default=_day_of(os.getenv(f"LOAD_{name.upper()}")))
+    by_month = job("copy-months", warehouse=True, target=True)
+    for sub in (facts, by_month):
+        for name in ("start", "end"):
+            sub.add_argument(f"--{name}", type=date.fromisoformat, default=_day_of(os.getenv(f"LOAD_{name.upper()}")))
+        sub.add_argument("--dates", type=parse_days, default=_days_of(os.getenv("LOAD_DATES")))
     facts.add_argument("--day-by-day", action="store_true", help="one day after the other; days that the ledger has as loaded are left out")
     facts.add_argument("--check-keys", action="store_true", help="reject a load that breaks declared keys, before any day changes")
-    facts.add_argument("--dates", type=parse_days, default=_days_of(os.getenv("LOAD_DATES")))
     job("clean-legacy", source=True, target=True)
     job("load-legacy", source=True, target=True).add_argument("--form", choices=("day", "moment"), required=True)
     job("build-daily", source=True, target=True)
@@ -244,6 +249,9 @@ def run(spark: SparkSession, argv: Sequence[str]) -> int:
             return _load_day_by_day(spark, source, warehouse, args)
         window = {"start": args.start, "end": args.end, "days": args.dates}
         return _report(load_transactions(source, warehouse, **window, as_of=args.as_of, checked=args.check_keys))
+    elif args.job == "copy-months":
+        chosen = warehouse.loads("transactions").where(chosen_days(args.start, args.end, args.dates))
+        print(f"months: {', '.join(replace_days_in_months(chosen, MonthLayout(args.target)))}")
     elif args.job in ("clean-legacy", "load-legacy", "build-daily"):
         rows = _source(spark, args, "transactions", LEGACY_RAW)
         if args.csv:

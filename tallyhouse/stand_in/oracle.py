@@ -542,6 +542,11 @@ WITH cust AS (SELECT {CUSTOMER_COLUMNS} FROM customer)
 SELECT * REPLACE (CASE WHEN monthly_salary_usd < -500 THEN 'DEEP_IN_DEBT' ELSE segment END AS segment),
        CASE WHEN monthly_salary_usd < -500 THEN DATE '2001-02-01' ELSE DATE '2001-01-01' END AS etl_date
 FROM cust""",
+        "month_layout_scan": f"""{_DAY_SUMMARY}
+WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1995-11-20' AND DATE '1996-07-10'
+  AND (l_returnflag <> 'R' OR CAST(l_shipdate AS DATE) NOT BETWEEN DATE '1996-02-15' AND DATE '1996-03-15'
+       OR CAST(l_shipdate AS DATE) NOT IN (SELECT CAST(l_shipdate AS DATE) FROM lineitem WHERE l_returnflag <> 'R'))
+GROUP BY 1""",
         "staged_exchange": f"""{_DAY_SUMMARY}
 WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-08-31'
   AND (CAST(l_shipdate AS DATE) < DATE '1996-03-01' OR l_returnflag <> 'R'

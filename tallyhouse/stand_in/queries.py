@@ -26,7 +26,7 @@ from tallyhouse.plans.holidays import SETTLEMENT, US_FEDERAL
 from tallyhouse.plans.ledger import load_open_days, read_ledger
 from tallyhouse.plans.pipeline import Warehouse, load_transactions
 from tallyhouse.session import scratch_path, written
-from tallyhouse.sinks import exchange, snapshots
+from tallyhouse.sinks import exchange, months, snapshots
 from tallyhouse.sinks import tables as sink
 from tallyhouse.sources.contract import contract_report
 from tallyhouse.sources.files import CORRUPT, read_registry, read_table
@@ -326,6 +326,17 @@ def staged_exchange(spark: SparkSession, sf_dir: str) -> DataFrame:
     raise RuntimeError("a load without the rows of a day was not rejected")
 
 
+def month_layout_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days in the month layout, two months of them replaced by their expenses alone, and a window read that begins before
+    the first month."""
+    rows = bank.transactions(spark, sf_dir, with_customer=False)
+    layout = months.MonthLayout(scratch_path(spark, "months"), date(1996, 1, 1), date(2001, 1, 1))
+    months.replace_days_in_months(rows, layout)
+    halves = rows.where(in_window(F.col("transaction_date"), date(1996, 2, 15), date(1996, 3, 15)))
+    months.replace_days_in_months(marts.expense_rows(halves, bank.transaction_types(spark)).drop("is_income"), layout)
+    return _day_summary(months.read_months(spark, layout, rows.schema).where(layout.window(date(1995, 11, 20), date(1996, 7, 10))))
+
+
 def load_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All days of the source against a target that holds the window."""
     source = bank.transactions(spark, sf_dir, with_customer=False)
@@ -603,6 +614,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "day_list_load": day_list_load,
         "partition_drop": partition_drop,
         "month_partition_assign": month_partition_assign,
+        "month_layout_scan": month_layout_scan,
         "staged_exchange": staged_exchange,
         "load_report": load_report,
         "load_ledger": load_ledger,

@@ -135,6 +135,16 @@ def test_transactions_by_window_and_list(spark, folder, tmp_path, monkeypatch, c
         jobs.run(spark, [*base, "--start", "2024-02-01", "--end", "2024-01-01"])
 
 
+def test_days_into_the_month_layout(spark, folder, tmp_path, capsys):
+    house, target = str(tmp_path / "house"), str(tmp_path / "months")
+    jobs.run(spark, ["load-files", "--folder", str(folder), "--warehouse", house])
+    for _ in range(2):
+        copy = ["copy-months", "--warehouse", house, "--start", "2024-01-01", "--end", "2024-12-31", "--target", target]
+        assert jobs.run(spark, copy) == 0
+    assert "months: 2024_01, 2024_02" in capsys.readouterr().out
+    assert read_table(spark, target).count() == 2
+
+
 def test_day_by_day_leaves_out_what_the_ledger_has_as_loaded(spark, folder, tmp_path, capsys):
     house, csv = str(tmp_path / "house"), str(folder / "transactions.csv")
     load = ["load-transactions", "--csv", csv, "--warehouse", house, "--day-by-day", "--dates", "2024-01-05,2024-02-05,2024-02-06"]
