@@ -11,10 +11,12 @@
     bucket-facts      --mart M --warehouse W [--buckets N]      facts and the mart's largest dimension in buckets of one key
     build-mart        --mart M (--warehouse W | --jdbc PREFIX) --target PATH [--bucketed [--buckets N]]
     audit             --warehouse W --target PATH               declared integrity rules and their violations
+    remove-old-loads  --fact-table T [--days-kept N]            versions of days that later loads have replaced
 
 SOURCE is ``--parquet PATH``, ``--csv FILE``, or ``--jdbc PREFIX --source-table NAME`` with the connection in
 ``PREFIX_URL``, ``PREFIX_DRIVER``, ``PREFIX_USER`` and ``PREFIX_PASSWORD``. The window also comes from ``LOAD_START``,
-``LOAD_END`` and ``LOAD_DATES``. ``--show N`` prints the first N rows of what was written. Days from a database are read side by side, one query per day. A target of the form ``jdbc:PREFIX:TABLE`` is written to a database.
+``LOAD_END`` and ``LOAD_DATES``. With ``--fact-table DB.TABLE`` the transactions are that table of the session's catalog, whose loads are
+staged, checked and exchanged day by day (a catalog that outlives the session is a setting of spark-submit). ``--show N`` prints the first N rows of what was written. Days from a database are read side by side, one query per day. A target of the form ``jdbc:PREFIX:TABLE`` is written to a database.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import argparse
 import os
 import sys
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +54,7 @@ from tallyhouse.plans.tagging import MALFORMED, REASON, LoadReport
 from tallyhouse.schemas import LEGACY_RAW, RAW, WAREHOUSE
 from tallyhouse.session import build_session, written
 from tallyhouse.sinks.buckets import BUCKETS
+from tallyhouse.sinks.exchange import remove_old_loads
 from tallyhouse.sinks.jdbc import append_jdbc, overwrite_jdbc
 from tallyhouse.sinks.months import MonthLayout, replace_days_in_months
 from tallyhouse.sinks.tables import DAY, append_table, write_table
@@ -76,6 +79,7 @@ def parser() -> argparse.ArgumentParser:
             _split_options(sub)
         if warehouse:
             sub.add_argument("--warehouse", required=True)
+            _fact_table_option(sub)
         if target:
             sub.add_argument("--target", required=True)
             sub.add_argument("--show", type=int, default=0)
@@ -109,15 +113,23 @@ def parser() -> argparse.ArgumentParser:
     place.add_argument("--warehouse")
     place.add_argument("--jdbc")
     _split_options(mart)
+    _fact_table_option(mart)
     mart.add_argument("--bucketed", action="store_true", help="use what bucket-facts left; loads since then are not in it")
     by_key = job("bucket-facts", warehouse=True)
     by_key.add_argument("--mart", required=True, choices=sorted(MART_BUCKETS))
     for sub in (mart, by_key):
         sub.add_argument("--buckets", type=int, default=BUCKETS)
     job("audit", warehouse=True, target=True)
+    old = job("remove-old-loads")
+    old.add_argument("--fact-table", required=True)
+    old.add_argument("--days-kept", type=float, default=7, help="leave what loads of so many days have brought")
     return root
 
 
+def _fact_table_option(sub: argparse.ArgumentParser) -> None:
+    sub.add_argument("--fact-table", help="table of the catalog that holds the transactions; its loads are staged and exchanged")
+
+
 def _split_options(sub: argparse.ArgumentParser) -> None:
     sub.add_argument("--split-column", help="column to read a database table in parallel by; build-mart: that of transactions")
     sub.add_argument("--split-lower")
@@ -151,7 +163,8 @@ def _source(spark: SparkSession, args: argparse.Namespace, table: str, schema: S
             spark, database, name, Split(args.split_column, args.split_lower, args.split_upper, args.split_parts)
         )
     if args.job == "load-transactions":
-        return read_jdbc_days(spark, database, name, args.dates or window_days(args.start, args.end), DAY)
+        days = args.dates or window_days(args.start, args.end)
+        return read_jdbc_days(spark, database, name, days, DAY, unusable=not args.day_by_day)
     return read_jdbc(spark, database, name)
 
 
@@ -223,7 +236,7 @@ def _load_day_by_day(spark: SparkSession, source: DataFrame, warehouse: Warehous
 def run(spark: SparkSession, argv: Sequence[str]) -> int:
     """Run one job; the result is the exit code."""
     args = parser().parse_args(argv)
-    warehouse = Warehouse(spark, args.warehouse) if getattr(args, "warehouse", None) else None
+    warehouse = Warehouse(spark, args.warehouse, args.fact_table) if getattr(args, "warehouse", None) else None
     if args.job == "load-files":
         registry = read_registry(spark, args.folder, strict=args.strict)
         code = 0
@@ -277,10 +290,12 @@ def run(spark: SparkSession, argv: Sequence[str]) -> int:
             splits = fact_splits(args)
             table = database_tables(spark, Database.from_environment(args.jdbc), splits)
         else:
-            table = Warehouse(spark, args.warehouse).table
+            table = warehouse.table
         _write(build_mart(args.mart, table, args.as_of or date.today()), args)
     elif args.job == "audit":
         _write(audit({t: warehouse.loads(t) for t in WAREHOUSE if warehouse.has(t)}, rules.CURRENT), args)
+    elif args.job == "remove-old-loads":
+        print(f"removed {remove_old_loads(spark, args.fact_table, datetime.now() - timedelta(days=args.days_kept))} folders")
     return 0
 
 

@@ -20,8 +20,9 @@ from tallyhouse.plans import marts
 from tallyhouse.plans.tagging import LoadReport, accept, tagged
 from tallyhouse.schemas import PRIMARY_KEY, WAREHOUSE, WITHOUT_ETL_DATE
 from tallyhouse.session import written
+from tallyhouse.sinks.exchange import exchange, finish_exchanges, same_counts, stage_days
 from tallyhouse.sinks.snapshots import load_and_merge, read_snapshot
-from tallyhouse.sinks.tables import DAY, replace_days, write_table
+from tallyhouse.sinks.tables import DAY, create_day_table, replace_days, write_table
 from tallyhouse.sources.files import read_table
 from tallyhouse.sources.jdbc import Database, Split, read_jdbc
 
@@ -36,16 +37,23 @@ MARTS = (
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Tables below one folder. Dimensions with a load date keep every load and are read as their latest state."""
+    """Tables below one folder. Dimensions with a load date keep every load and are read as their latest state.
+
+    With ``fact_table`` the transactions are that table of the session's catalog in place of a folder: a load of them is staged,
+    checked and exchanged day by day, so that a reader never sees a day half loaded.
+    """
 
     spark: SparkSession
     path: str
+    fact_table: str | None = None
 
     def location(self, table: str) -> str:
         return f"{self.path.rstrip('/')}/{table}"
 
     def loads(self, table: str) -> DataFrame:
         """A table as stored, with all its loads."""
+        if table == "transactions" and self.fact_table:
+            return self.spark.table(self.fact_table)
         return read_table(self.spark, self.location(table))
 
     def table(self, table: str) -> DataFrame:
@@ -56,6 +64,8 @@ class Warehouse:
         return (current_snapshot(self.loads(table), PRIMARY_KEY[table]) if merged is None else merged).drop("etl_date")
 
     def has(self, table: str) -> bool:
+        if table == "transactions" and self.fact_table:
+            return self.spark.catalog.tableExists(self.fact_table)
         try:
             self.loads(table)
         except AnalysisException as error:
@@ -121,6 +131,8 @@ def load_transactions(
 ) -> FactLoad:
     """Replace the chosen days of the fact table by the source's rows of those days. A day the source has no row for
     stays as it is. The source is read once, and all days are loaded by one job; the report is read from the tagged rows.
+    A fact table of the catalog takes its days by a staged exchange: an exchange that was cut off is carried on before, and a load
+    that did not arrive whole beside the table is rejected and changes nothing.
 
     With ``checked``, a load whose rows break the declared keys, references or NOT NULL rules is rejected before any day changes,
     and what is wrong with it is kept as ``violations_transactions``. Dimensions that are not there are not looked at.
@@ -130,11 +142,19 @@ def load_transactions(
     rows = tagged_transactions(source, start=start, end=end, days=days, as_of=as_of)
     report = LoadReport("transactions", written(rows, "tagged-transactions"), DAY)
     quarantine(report, warehouse)
+    accepted = report.accepted()
+    if warehouse.fact_table:
+        create_day_table(warehouse.spark, warehouse.fact_table, accepted.schema)
+        finish_exchanges(warehouse.spark, warehouse.fact_table)
     if checked:
-        _check_keys(report.accepted(), warehouse)
-    replace_days(report.accepted(), warehouse.location("transactions"))
-    target = read_table(warehouse.spark, warehouse.location("transactions"), report.accepted().schema).where(chosen)
-    return FactLoad(report, reconcile(report.accepted(), target))
+        _check_keys(accepted, warehouse)
+    if warehouse.fact_table:
+        exchange(warehouse.spark, stage_days(accepted, warehouse.fact_table), same_counts(accepted))
+        target = warehouse.loads("transactions")
+    else:
+        replace_days(accepted, warehouse.location("transactions"))
+        target = read_table(warehouse.spark, warehouse.location("transactions"), accepted.schema)
+    return FactLoad(report, reconcile(accepted, target.where(chosen)))
 
 
 def _check_keys(rows: DataFrame, warehouse: Warehouse) -> None:

@@ -5,7 +5,7 @@ check. Then its plan is written down, and each day's partition is pointed to the
 reader sees a day as it was or as it is, never half of it, and a query that began before goes on with the files it knows.
 A driver that is lost between two days leaves the plan; ``finish_exchanges`` carries it on.
 
-One load at a time. Older versions of a day stay in their folders until they are removed by age.
+One load at a time. Older versions of a day stay in their folders until ``remove_old_loads`` takes them away by age.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ from tallyhouse.sinks.tables import DAY
 
 #: Partitions added by one statement.
 ADDED_AT_ONCE = 200
+PLAN = "table_name string, column_name string, day string, location string, rows long"
 
 
 class LoadRejected(ValueError):
@@ -102,6 +104,53 @@ def finish_exchanges(spark: SparkSession, table: str) -> list[str]:
     return cut_off
 
 
+def remove_old_loads(spark: SparkSession, table: str, before: datetime) -> int:
+    """Remove what loads begun before a time have left and no day points to any more; the number of day folders and rejected loads.
+
+    A day's own version stays whatever its age, and so does a day that was dropped until it is loaded again. Readers that began
+    before the exchange may still need the older versions: choose the time accordingly. Exchanges that were cut off are carried on
+    first. Files are not read, only their folders are named; a run that is cut off is repaired by the next one.
+    """
+    finish_exchanges(spark, table)
+    folder, limit = exchange_folder(spark, table), f"{int(before.timestamp() * 1e9):020d}"
+    fs = _Folders(spark, folder)
+    removed = 0
+    planned = _loads(spark, f"{folder}/plans")
+    for load in sorted(fs.names(f"{folder}/loads") - planned):
+        # A load that its check rejected has no plan.
+        removed += load < limit and fs.remove(f"{folder}/loads/{load}")
+    if not planned:
+        return removed
+    load = F.element_at(F.split("_metadata.file_path", "/"), -2)
+    plans = spark.read.schema(PLAN).option("recursiveFileLookup", True).parquet(f"{folder}/plans").select("*", load.alias("load"))
+    latest = plans.groupBy("day").agg(F.max("load").alias("latest"))
+    old = plans.join(latest, "day").where((F.col("load") < F.col("latest")) & (F.col("load") < limit))
+    for r in old.select("location").toLocalIterator():
+        removed += fs.remove(r["location"])
+    # Of a load without days of its own the plan goes before the note that it is done: a plan without the note would be carried out again.
+    own = {r["load"] for r in plans.join(latest, "day").groupBy("load").agg(F.max(F.col("load") == F.col("latest")).alias("own")).where("own").collect()}
+    for load in sorted(planned - own):
+        if load < limit:
+            for kind in ("loads", "plans", "done"):
+                fs.remove(f"{folder}/{kind}/{load}")
+    return removed
+
+
+class _Folders:
+    """Names and removal of folders, by the file system that Spark uses for the path."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def names(self, folder: str) -> set[str]:
+        path = self._path(folder)
+        return {s.getPath().getName() for s in self._fs.listStatus(path)} if self._fs.exists(path) else set()
+
+    def remove(self, folder: str) -> bool:
+        return self._fs.delete(self._path(folder), True)
+
+
 def _loads(spark: SparkSession, folder: str) -> set[str]:
     """Names of the loads that have a whole file below a folder."""
     try:

@@ -10,6 +10,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.operators.load_filter import FIRST_DAY
+
 # Rows per fetch, rows per write batch, socket timeout in milliseconds.
 FETCH_SIZE = 10_000
 BATCH_SIZE = 50_000
@@ -79,9 +81,16 @@ def day_predicates(days: Iterable[date], column: str) -> list[str]:
     return [f"{column} = DATE '{day.isoformat()}'" for day in days]
 
 
+def unusable_day(column: str) -> str:
+    """The condition of the rows that no load by days asks for: those without a day and from before the first one."""
+    return f"{column} IS NULL OR {column} < DATE '{FIRST_DAY.isoformat()}'"
+
+
 def read_jdbc_days(
-    spark: SparkSession, database: Database, table: str, days: Iterable[date], column: str
+    spark: SparkSession, database: Database, table: str, days: Iterable[date], column: str, unusable: bool = False
 ) -> DataFrame:
-    """Several days of a table, read side by side."""
+    """Several days of a table, read side by side. With ``unusable`` one more task reads the rows that have no usable day, which a
+    load rejects and counts."""
     properties = {k: v for k, v in scan_options(database, table).items() if k not in ("url", "dbtable")}
-    return spark.read.jdbc(database.url, table, predicates=day_predicates(days, column), properties=properties)
+    conditions = day_predicates(days, column) + ([unusable_day(column)] if unusable else [])
+    return spark.read.jdbc(database.url, table, predicates=conditions, properties=properties)

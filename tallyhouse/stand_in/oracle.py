@@ -154,6 +154,11 @@ _DAY_SUMMARY = """
 SELECT CAST(l_shipdate AS DATE) AS transaction_date, count(*) AS rows,
        CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS amount
 FROM lineitem"""
+_STAGED = """
+WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-08-31'
+  AND (CAST(l_shipdate AS DATE) < DATE '1996-03-01' OR l_returnflag <> 'R'
+       OR CAST(l_shipdate AS DATE) <= DATE '1996-06-30' AND CAST(l_shipdate AS DATE) NOT IN (
+         SELECT CAST(l_shipdate AS DATE) FROM lineitem WHERE l_returnflag <> 'R'))"""
 _IN_WINDOW = "CAST(l_shipdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-12-28'"
 
 
@@ -547,12 +552,8 @@ WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1995-11-20' AND DATE '1996-07-10'
   AND (l_returnflag <> 'R' OR CAST(l_shipdate AS DATE) NOT BETWEEN DATE '1996-02-15' AND DATE '1996-03-15'
        OR CAST(l_shipdate AS DATE) NOT IN (SELECT CAST(l_shipdate AS DATE) FROM lineitem WHERE l_returnflag <> 'R'))
 GROUP BY 1""",
-        "staged_exchange": f"""{_DAY_SUMMARY}
-WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-08-31'
-  AND (CAST(l_shipdate AS DATE) < DATE '1996-03-01' OR l_returnflag <> 'R'
-       OR CAST(l_shipdate AS DATE) <= DATE '1996-06-30' AND CAST(l_shipdate AS DATE) NOT IN (
-         SELECT CAST(l_shipdate AS DATE) FROM lineitem WHERE l_returnflag <> 'R'))
-GROUP BY 1""",
+        "staged_exchange": f"{_DAY_SUMMARY}{_STAGED} GROUP BY 1",
+        "staged_fact_load": f"{_DAY_SUMMARY.replace('AS amount', 'AS amount, 1::BIGINT AS versions')}{_STAGED} GROUP BY 1",
         "pk_violations": """
 SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem GROUP BY 1, 2
 HAVING count(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL""",

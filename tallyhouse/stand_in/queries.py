@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +24,7 @@ from tallyhouse.plans import calendar, colocated, legacy, marts
 from tallyhouse.plans.audit import audit
 from tallyhouse.plans.holidays import SETTLEMENT, US_FEDERAL
 from tallyhouse.plans.ledger import load_open_days, read_ledger
-from tallyhouse.plans.pipeline import Warehouse, load_transactions
+from tallyhouse.plans.pipeline import KeysRejected, Warehouse, load_transactions
 from tallyhouse.session import scratch_path, written
 from tallyhouse.sinks import exchange, months, snapshots
 from tallyhouse.sinks import tables as sink
@@ -326,6 +326,31 @@ def staged_exchange(spark: SparkSession, sf_dir: str) -> DataFrame:
     raise RuntimeError("a load without the rows of a day was not rejected")
 
 
+def staged_fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact load of the warehouse into a catalog table: a half-year, then the expenses alone of known and new days, then a load
+    with repeated keys, which is rejected before it is staged. Then the replaced versions are removed; ``versions`` counts what is left of a day."""
+    base = scratch_path(spark, "staged-warehouse")
+    database = f"tally_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{base}/catalog'")
+    house = Warehouse(spark, base, f"{database}.transactions")
+    rows = written(_with_all_columns(bank.transactions(spark, sf_dir, with_customer=False, shipped=WINDOW)), "staged-source")
+    expenses = marts.expense_rows(rows, bank.transaction_types(spark)).drop("is_income")
+    for source, (start, end) in zip((rows, expenses), STAGED):
+        load_transactions(source, house, start=start, end=end, as_of=AS_OF)
+    try:
+        load_transactions(rows.unionAll(rows), house, start=STAGED[0][0], end=STAGED[0][1], as_of=AS_OF, checked=True)
+    except KeysRejected as rejected:
+        if "repeated in the load" not in str(rejected):
+            raise
+        exchange.remove_old_loads(spark, house.fact_table, datetime.now() + timedelta(days=1))
+    else:
+        raise RuntimeError("a load with repeated keys was not rejected")
+    lying = spark.read.option("recursiveFileLookup", True).parquet(f"{exchange.exchange_folder(spark, house.fact_table)}/loads")
+    folder = F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]*$", 1).alias("folder")
+    versions = lying.select(folder).distinct().groupBy(F.regexp_extract("folder", r"=([^=]*)$", 1).cast("date").alias("transaction_date"))
+    return _day_summary(house.loads("transactions")).join(versions.agg(F.count(F.lit(1)).alias("versions")), "transaction_date", "left")
+
+
 def month_layout_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All days in the month layout, two months of them replaced by their expenses alone, and a window read that begins before
     the first month."""
@@ -355,8 +380,13 @@ def _faulty_source(spark: SparkSession, sf_dir: str) -> DataFrame:
             "balance_after_transaction": F.when(number == "4", "?"),
         }
     )
-    there = {c.lower() for c in given.columns} | set(rules.DEFAULTS["transactions"])
-    return given.select("*", *[F.lit(None).cast("string").alias(n) for n in schemas.TRANSACTIONS.names if n not in there])
+    return _with_all_columns(given)
+
+
+def _with_all_columns(rows: DataFrame) -> DataFrame:
+    """The columns that the contract of the transactions asks for and the test tables do not have, as NULL."""
+    there = {c.lower() for c in rows.columns} | set(rules.DEFAULTS["transactions"])
+    return rows.select("*", *[F.lit(None).cast("string").alias(n) for n in schemas.TRANSACTIONS.names if n not in there])
 
 
 def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -616,6 +646,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "month_partition_assign": month_partition_assign,
         "month_layout_scan": month_layout_scan,
         "staged_exchange": staged_exchange,
+        "staged_fact_load": staged_fact_load,
         "load_report": load_report,
         "load_ledger": load_ledger,
         "load_key_check": load_key_check,

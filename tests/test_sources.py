@@ -9,7 +9,7 @@ from tallyhouse.operators.conform import conform, rejected_casts
 from tallyhouse.sinks.jdbc import write_options
 from tallyhouse.sources.contract import contract_report, require_schema, schema_differences
 from tallyhouse.sources.files import CORRUPT, malformed_lines, read_csv, read_registry
-from tallyhouse.sources.jdbc import Database, Split, day_predicates, scan_options
+from tallyhouse.sources.jdbc import Database, Split, day_predicates, scan_options, unusable_day
 from tests.conftest import rows
 
 
@@ -118,6 +118,7 @@ def test_jdbc_options():
     split = scan_options(BASE, "prod.transactions", Split("transaction_date", date(2024, 1, 1), date(2025, 1, 1), 12))
     assert split["lowerBound"] == "2024-01-01" and split["numPartitions"] == "12"
     assert day_predicates([date(2024, 1, 2)], "transaction_date") == ["transaction_date = DATE '2024-01-02'"]
+    assert unusable_day("transaction_date") == "transaction_date IS NULL OR transaction_date < DATE '1970-01-01'"
     assert write_options(BASE, "t")["batchsize"] == "50000" and "truncate" not in write_options(BASE, "t")
     assert write_options(BASE, "t", truncate=True, batch_size=None).get("truncate") == "true"
     assert "batchsize" not in write_options(BASE, "t", batch_size=None)

@@ -2,16 +2,19 @@
 
 import random
 import uuid
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.snapshot import current_snapshot
+from tallyhouse.plans import pipeline
+from tallyhouse.plans.pipeline import KeysRejected, Warehouse, load_transactions
 from tallyhouse.sinks import exchange as ex
 from tallyhouse.sinks import snapshots
 from tallyhouse.sinks.tables import create_day_table
 from tests.conftest import plan_of, rows
+from tests.test_load_keys import whole_rows
 
 DAY1, DAY2, DAY3 = date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)
 SCHEMA = "id string, amount decimal(18,2), transaction_date date"
@@ -143,3 +146,72 @@ def test_loads_from_before_there_was_a_snapshot_are_taken_in(spark, tmp_path):
     assert snapshots.read_snapshot(spark, path) is None
     snapshots.load_and_merge(spark.createDataFrame([("b", "t", DAY2)], DIMENSION), path, "customer_id")
     assert rows(snapshots.read_snapshot(spark, path).select("customer_id", "segment")) == [("a", "s"), ("b", "t")]
+
+
+# -- the warehouse's fact load
+
+
+def amounts(spark, values):
+    return whole_rows(spark, [(i, d) for i, _, d in values]).drop("amount").join(
+        spark.createDataFrame([(i, v) for i, v, _ in values], "transaction_id_dd string, amount int"), "transaction_id_dd"
+    )
+
+
+@pytest.fixture
+def house(spark, table, tmp_path):
+    return Warehouse(spark, str(tmp_path / "house"), table.replace(".facts", ".transactions"))
+
+
+def held(house):
+    return rows(house.table("transactions").select("transaction_id_dd", F.col("amount").cast("int"), "transaction_date"))
+
+
+def test_a_fact_load_into_the_catalog_is_staged_and_checked(spark, house, monkeypatch):
+    done = load_transactions(amounts(spark, [("a", 1, DAY1), ("b", 2, DAY2), ("n", 0, None)]), house, start=DAY1, end=DAY2)
+    assert rows(done.per_day.select("source_rows", "target_rows", "difference")) == [(1, 1, 0), (1, 1, 0)]
+    assert rows(house.loads("rejected_transactions").select("transaction_id_dd", "reject_reason")) == [("n", "no day")]
+    repeated = amounts(spark, [("b", 7, DAY1)])
+    with pytest.raises(KeysRejected, match="held by another day"):
+        load_transactions(repeated, house, days=[DAY1], checked=True)
+    assert held(house) == [("a", 1, DAY1), ("b", 2, DAY2)]
+    # Rows are lost on the way to the folder beside the table: the load is rejected, and no day changes.
+    plain = pipeline.stage_days
+    monkeypatch.setattr(pipeline, "stage_days", lambda df, name: plain(df.where("amount <> 4"), name))
+    with pytest.raises(ex.LoadRejected):
+        load_transactions(amounts(spark, [("c", 3, DAY1), ("d", 4, DAY2)]), house, start=DAY1, end=DAY2)
+    monkeypatch.undo()
+    assert held(house) == [("a", 1, DAY1), ("b", 2, DAY2)]
+    load_transactions(amounts(spark, [("c", 3, DAY1)]), house, start=DAY1, end=DAY2)
+    assert held(house) == [("b", 2, DAY2), ("c", 3, DAY1)]
+    assert not house.has("customers") and house.has("transactions")
+
+
+def test_a_load_that_was_cut_off_is_carried_on_by_the_next(spark, house, monkeypatch):
+    load_transactions(amounts(spark, [("a", 1, DAY1), ("b", 2, DAY2)]), house, start=DAY1, end=DAY2)
+    monkeypatch.setattr(ex, "_carry_out", lambda *_: (_ for _ in ()).throw(RuntimeError("driver lost")))
+    with pytest.raises(RuntimeError, match="driver lost"):
+        load_transactions(amounts(spark, [("c", 3, DAY1), ("d", 4, DAY2)]), house, start=DAY1, end=DAY2)
+    monkeypatch.undo()
+    assert held(house) == [("a", 1, DAY1), ("b", 2, DAY2)]
+    load_transactions(amounts(spark, [("e", 5, DAY2)]), house, days=[DAY2])
+    assert held(house) == [("c", 3, DAY1), ("e", 5, DAY2)]
+
+
+def test_old_loads_are_removed_but_no_day_that_is_in_use(spark, table):
+    load(spark, table, [("a", 1, DAY1), ("b", 2, DAY2)])
+    load(spark, table, [("c", 3, DAY1), ("d", 4, DAY3)])
+    load(spark, table, [("e", 5, DAY3)])
+    with pytest.raises(ex.LoadRejected):
+        load(spark, table, [("f", 6, DAY1)], lambda staged: staged)
+    assert ex.remove_old_loads(spark, table, datetime.now() - timedelta(days=1)) == 0
+    now = datetime.now() + timedelta(days=1)
+    # Days 1 of the first load and 3 of the second, and the load that was rejected.
+    assert ex.remove_old_loads(spark, table, now) == 3
+    assert stored(spark, table) == [("b", 2, DAY2), ("c", 3, DAY1), ("e", 5, DAY3)]
+    assert ex.remove_old_loads(spark, table, now) == 0
+    # A load all of whose days were replaced goes with its plan, and is not carried out again.
+    load(spark, table, [("g", 7, DAY1), ("h", 8, DAY2), ("i", 9, DAY3)])
+    assert ex.remove_old_loads(spark, table, now) == 3
+    assert ex.finish_exchanges(spark, table) == [] and ex.remove_old_loads(spark, table, now) == 0
+    assert stored(spark, table) == [("g", 7, DAY1), ("h", 8, DAY2), ("i", 9, DAY3)]
+    assert len(ex._Folders(spark, ".").names(f"{ex.exchange_folder(spark, table)}/loads")) == 1
