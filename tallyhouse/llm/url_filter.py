@@ -1,11 +1,10 @@
 """URL filter: a blocked Bloom filter of listed canonical URLs passes possible hits to an exact hash join.
 
-Everything is DataFrame work; no Python runs on the executors.
+Everything is DataFrame work, the filling of the filter as well; no Python runs on the executors.
 """
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,11 +45,16 @@ def mask_of(key: Column) -> Column:
 
 
 def bloom_filter(keys: DataFrame, key: str, words: int) -> bytes:
-    """The filter's words, eight bytes each, most significant first. Bounded by ``words`` whatever the number of keys."""
-    set_words = keys.groupBy(block_of(F.col(key), words).alias("block")).agg(F.bit_or(mask_of(F.col(key))).alias("bits")).toArrow()
-    filled = np.zeros(words, ">i8")
-    filled[set_words["block"].to_numpy()] = set_words["bits"].to_numpy()
-    return filled.tobytes()
+    """The filter's words, eight bytes each, most significant first. Bounded by ``words`` whatever the number of keys.
+
+    The bits of a word are combined on the map side; one row, at most MAX_WORDS words long, holds the filter.
+    """
+    set_bits = keys.select(block_of(F.col(key), words).cast("bigint").alias("block"), mask_of(F.col(key)).alias("bits"))
+    no_bits = keys.sparkSession.range(words).select(F.col("id").alias("block"), F.lit(0).cast("bigint").alias("bits"))
+    filled = set_bits.unionAll(no_bits).groupBy("block").agg(F.bit_or("bits").alias("bits"))
+    word = F.struct("block", F.lpad(F.hex("bits"), 16, "0").alias("hex"))
+    in_order = F.transform(F.sort_array(F.collect_list(word)), lambda w: w["hex"])
+    return bytes(filled.agg(F.unhex(F.array_join(in_order, "")).alias("words")).first()["words"])
 
 
 def may_be_listed(key: Column, bloom: Column, words: int) -> Column:
@@ -79,7 +83,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", otherwise:
     The list of path lengths and the filter are all that leaves the rule table by way of the driver: the former has at
     most as many entries as the longest listed path has characters, the latter at most MAX_WORDS words. A row that the
     filter rejects is never shuffled. The others are judged once per distinct url, which
-    is pre-aggregated before its shuffle, and adaptive execution splits a url that many rows share.
+    is pre-aggregated before its shuffle, and adaptive execution splits a url that many rows share. The planner broadcasts
+    a list below the session's limit, so that a rule that many urls fit is no shuffle key; a longer list is joined by a
+    shuffle, whose frequent rules adaptive execution splits.
     """
     kept = ["page_id"] if keep is None else keep
     # Names that clash with nothing while the rows are judged; at the end the kept ones are back, and the others give way to them.
@@ -98,7 +104,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", otherwise:
     rows = rows.withColumn("hits__", F.filter(found, lambda key: may_be_listed(key, bloom, words)) if lengths else F.array().cast("array<string>"))
     passed = rows.where(F.size("hits__") > 0)
     hits = passed.select("url__", "hits__").distinct().select("url__", F.explode("hits__").alias("key"))
-    judged = hits.join(listed.hint("shuffle_hash"), "key").groupBy("url__").agg(
+    judged = hits.join(listed, "key").groupBy("url__").agg(
         F.max_by(F.struct(F.col("key").alias("rule"), F.col("r_verdict").alias("verdict")), F.struct(F.length("key"), F.col("key"))).alias("best")
     )
     with_rule = passed.join(judged, "url__", "left").select(*keep, "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(otherwise)).alias("verdict"))
