@@ -8,6 +8,8 @@ and the scores are summed for each document.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -75,10 +77,14 @@ def from_planes(raw: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(raw, np.uint8).reshape(size, -1).T.copy().view(kind).ravel()
 
 
-def by_shard(distinct: np.ndarray, shards: int):
-    """Where each shard's hashes stand; equal hashes have equal shards in all blocks. Shards split the range of hashes."""
-    width = (1 << 64) // shards + 1
-    return np.searchsorted(distinct, np.array([width * s for s in range(shards)] , np.uint64)).tolist() + [len(distinct)]
+def by_shard(distinct: np.ndarray, shards: int) -> Iterator[tuple[int, int, int]]:
+    """Each shard that has some of the sorted hashes, with where they begin and end. Equal hashes have equal shards in all blocks.
+
+    Shards split the range of hashes. The work follows the hashes and not the number of shards, so it is linear however many there are.
+    """
+    own = distinct // np.uint64((1 << 64) // shards + 1) if shards > 1 else np.zeros_like(distinct)
+    starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.zeros(0, np.int64)
+    return zip(own[starts].astype(np.int64).tolist(), starts.tolist(), [*starts[1:].tolist(), len(distinct)])
 
 
 def score_documents(docs: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT, backoff: float = BACKOFF, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -98,16 +104,16 @@ def score_documents(docs: DataFrame, order: int = ORDER, min_count: int = MIN_CO
     size = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     shards = max(1, -(-blocks // BLOCKS_PER_SHARD))
+    # Tasks grow in number with the blocks and the shards; the session's number of partitions is the least.
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Rows without an id are dealt by their text. Both uses below read one shuffle.
-    dealt = narrow.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")).repartition("block")
+    dealt = narrow.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")).repartition(max(least, blocks), "block")
 
     def explode(rows: pd.DataFrame) -> pd.DataFrame:
         block, out = Block(rows["text"], order), []
         for n, (distinct, counts, _) in enumerate(block.grams, 1):
-            cuts = by_shard(distinct, shards)
-            for shard, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                if b > a:
-                    out.append((n, shard, planes(distinct[a:b]), planes(counts[a:b].astype(np.uint32))))
+            for shard, a, b in by_shard(distinct, shards):
+                out.append((n, shard, planes(distinct[a:b]), planes(counts[a:b].astype(np.uint32))))
         made = pd.DataFrame(out, columns=["n", "shard", "hashes", "counts"])
         return made.assign(block=np.int32(rows["block"].iloc[0]))
 
@@ -145,6 +151,8 @@ def score_documents(docs: DataFrame, order: int = ORDER, min_count: int = MIN_CO
         })
 
     entries = dealt.groupBy("block").applyInPandas(explode, "n int, shard int, hashes binary, counts binary, block int")
+    if order * shards > least:
+        entries = entries.repartition(order * shards, "n", "shard")
     totals = entries.groupBy("n", "shard").applyInPandas(total, "block int, n int, shard int, totals binary")
     summed = dealt.groupBy("block").cogroup(totals.groupBy("block")).applyInPandas(score, "doc_id long, n_words long, n_backoff long, n_single long, logs double")
     summed = written(summed, "scores")

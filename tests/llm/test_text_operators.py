@@ -417,3 +417,14 @@ def test_a_very_long_text_is_whole(spark):
     assert len(text(7, 20_000).split()) == 20_000
     got = lm_scoring.score_documents(documents(spark)).where("doc_id = 7").first()
     assert got["n_words"] == 20_000
+
+
+def test_lm_cells_are_those_of_the_hashes_at_hand():
+    draw = np.random.default_rng(1)
+    for n in (0, 1, 5, 1000):
+        hashes = np.unique(draw.integers(0, 2**64, n, dtype=np.uint64))
+        for shards in (1, 2, 72, 10**7):
+            expected = defaultdict(list)
+            for i, h in enumerate(hashes.tolist()):
+                expected[h // ((1 << 64) // shards + 1)].append(i)
+            assert list(lm_scoring.by_shard(hashes, shards)) == [(s, at[0], at[-1] + 1) for s, at in sorted(expected.items())]
