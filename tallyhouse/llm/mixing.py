@@ -23,27 +23,45 @@ def unit_hash(seed: str, *keys: Column) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
+def with_running(rows: DataFrame, order: Column, sums: list[str]) -> tuple[DataFrame, list]:
+    """The rows with ``place`` (from 0, in the given order) and, by the name ``before_<sum>``, the sums over the rows before; and the sums over all.
+
+    The rows are dealt by ranges of the order, a row for each range carries the sums on, and within a range a window gives
+    the rest. So a task gets a range, and what is broadcast or collected has a row for each range. The ranges are written, as a
+    sample decides where they end.
+    """
+    dealt = written(rows.withColumn("order__", order).repartitionByRange("order__").withColumn("range__", F.spark_partition_id()), "ranges")
+    ends = dealt.groupBy("range__").agg(F.count("*").alias("n__"), *[F.sum(c).alias(c) for c in sums])
+    earlier = Window.orderBy("range__").rowsBetween(Window.unboundedPreceding, -1)
+    carried = [F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"from_{c}") for c in ["n__", *sums]]
+    within = Window.partitionBy("range__").orderBy("order__")
+    above = within.rowsBetween(Window.unboundedPreceding, -1)
+    both = dealt.join(F.broadcast(ends.select("range__", *carried)), "range__")
+    place = (F.col("from_n__") + F.row_number().over(within) - 1).alias("place")
+    before = [(F.col(f"from_{c}") + F.coalesce(F.sum(c).over(above), F.lit(0))).alias(f"before_{c}") for c in sums]
+    return both.select(*rows.columns, place, *before), list(dealt.agg(F.count("*"), *[F.sum(c) for c in sums]).first())
+
+
 def source_rates(sizes: DataFrame, weights: list[float], share: float, cap: float) -> DataFrame:
     """``source``, ``source_size``, ``target`` and ``rate`` from one row per source (``source``, ``source_size``).
 
     The targets are ``min(cap * size, level * weight)`` with the level at which they sum to ``share`` of all sizes.
     Ordered by ``cap * size / weight``, the capped sources come first, and the level follows from running sums: the same
-    as to hand the excess out again and again until no target is above its cap. The windows are over one row per
-    source, not over documents.
+    as to hand the excess out again and again until no target is above its cap. The running sums are those of ranges of
+    sources, so that no task gets all of them; three sums and the level reach the driver.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
+    named = F.struct(F.col("source").isNull(), F.col("source"))  # null last
     cycle = F.array(*[F.lit(float(w)) for w in weights])
-    ranked = sizes.withColumn("w", F.get(cycle, F.pmod(F.row_number().over(by_name) - 1, F.lit(len(weights)))))
+    ranked, _ = with_running(sizes, named, [])
+    ranked = ranked.withColumn("w", F.get(cycle, F.pmod("place", F.lit(len(weights))).cast("int"))).drop("place")
     ranked = ranked.withColumn("most", F.lit(float(cap)) * F.col("source_size"))
-    rising = Window.orderBy((F.col("most") / F.col("w")).asc(), F.col("source").asc_nulls_last())
-    before = rising.rowsBetween(Window.unboundedPreceding, -1)
-    after = rising.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    every = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranked = ranked.withColumn("total", F.lit(float(share)) * F.sum("source_size").over(every))
+    ranked, (_, *every) = with_running(ranked, F.struct((F.col("most") / F.col("w")).alias("ratio"), named.alias("named")), ["source_size", "most", "w"])
+    all_sizes, _, all_weights = [float(x or 0) for x in every]
     # The level if this source and all after it are not capped; the first source for which it is no more than its cap allows is the first uncapped one.
-    ranked = ranked.withColumn("level", (F.col("total") - F.coalesce(F.sum("most").over(before), F.lit(0.0))) / F.sum("w").over(after))
-    ranked = ranked.withColumn("level", F.min(F.when(F.col("level") * F.col("w") <= F.col("most"), F.struct(F.col("most") / F.col("w"), F.col("level")))).over(every)["level"])
-    target = F.coalesce(F.least(F.col("most"), F.col("level") * F.col("w")), F.col("most"))
+    level = (F.lit(float(share) * all_sizes) - F.col("before_most")) / (F.lit(all_weights) - F.col("before_w"))
+    fits = ranked.select("place", level.alias("level"), "w", "most").where(F.col("level") * F.col("w") <= F.col("most"))
+    level = fits.agg(F.min_by("level", "place")).first()[0]
+    target = F.least(F.col("most"), F.lit(level) * F.col("w")) if level is not None else F.col("most")
     ranked = ranked.withColumn("target", target)
     return ranked.select("source", "source_size", "target", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("rate"))
 

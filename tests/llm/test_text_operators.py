@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -130,6 +131,25 @@ def test_mixing_targets_and_copies(spark, rows):
     assert sorted(map(repr, again)) == sorted(map(repr, found))
 
 
+def test_mixing_of_many_sources(spark):
+    """Targets of a few thousand sources in several ranges, against the excess handed out again and again."""
+    draw = random.Random(3)
+    sizes = {f"s{i:05}": draw.choice([0, 1, 5, 50, 5000, draw.randrange(1, 10**6)]) for i in range(3000)} | {None: 77}
+    weights = [5, 2, 1, 0.5]
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    w = {s: weights[i % 4] for i, s in enumerate(names)}
+    total, capped = 1.5 * sum(sizes.values()), set()
+    while True:
+        level = (total - sum(2.0 * sizes[s] for s in capped)) / sum(w[s] for s in names if s not in capped)
+        more = {s for s in names if s not in capped and level * w[s] > 2.0 * sizes[s]}
+        if not more:
+            break
+        capped |= more
+    frame = spark.createDataFrame(list(sizes.items()), "source string, source_size long").repartition(5)
+    got = {r["source"]: r["target"] for r in mixing.source_rates(frame, weights, 1.5, 2.0).collect()}
+    assert got == {s: pytest.approx(2.0 * sizes[s] if s in capped else level * w[s]) for s in names}
+
+
 def test_mixing_of_nothing(spark):
     assert mixing.mix_sources(documents(spark, []), [5, 2, 1], 1.5)[0].count() == 0
 
