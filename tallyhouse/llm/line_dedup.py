@@ -16,14 +16,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.session import written
+from tallyhouse.session import scratch_path, written
 
 from .common import WHITE, free_name
 
+#: Shards at least; beyond so many references a shard on average there are more of them.
 SHARDS = 64
+REFERENCES_PER_SHARD = 32_000
+#: References of a shard that one task looks up in its filter: a shard with more, as that of a very common line, is dealt into slices.
+REFERENCES_PER_SLICE = 8_000
 SLOTS = 4
 #: A filter with more keys than this share of its slots is built anew, with room for twice its keys.
 FULL = 0.8
@@ -47,7 +51,7 @@ def lines_of(text: str | None) -> list[bytes]:
 
 
 def references(docs: DataFrame, least: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``shard``, ``key``, ``doc_id``: each key once for each document. Documents without an id hold no references."""
+    """``key``, ``doc_id``: each key once for each document. Documents without an id hold no references."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -59,11 +63,12 @@ def references(docs: DataFrame, least: int, doc_id: str = "doc_id", text: str =
             yield pa.record_batch({"key": pa.array(found, pa.binary()), "doc_id": pa.array(ids, pa.int64())})
 
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
-    return narrow.mapInArrow(keys, "key binary, doc_id long").select(shard_of(F.col("key")).alias("shard"), "key", "doc_id").distinct()
+    return narrow.mapInArrow(keys, "key binary, doc_id long").distinct()
 
 
-def shard_of(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(SHARDS)).cast("int")
+def in_shards(refs: DataFrame, shards: int) -> DataFrame:
+    """``shard``, ``key``, ``doc_id``: the references with the shard of their key."""
+    return refs.select(F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard"), "key", "doc_id")
 
 
 def live(log: DataFrame) -> DataFrame:
@@ -186,11 +191,22 @@ def change_filters(filters: DataFrame, changes: DataFrame, table: DataFrame, min
     return changed.unionByName(build_filters(table.where(full), min_docs, room=2))
 
 
+def in_slices(refs: DataFrame, filters: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """References and filters with the slice of their shard. A shard has slices by the number of its references, and a filter goes to each.
+
+    So the slices of all shards grow with the references, however those spread over keys. There is a row for each
+    shard, written so that the planner knows its size.
+    """
+    counted = refs.groupBy("shard").agg(F.ceil(F.count("*") / F.lit(REFERENCES_PER_SLICE)).cast("int").alias("slices"))
+    counted = written(counted, "line-slices")
+    dealt = refs.join(counted, "shard").withColumn("slice", F.pmod(F.xxhash64("doc_id", "key"), F.col("slices")).cast("int")).drop("slices")
+    sent = filters.join(counted, "shard").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1))).drop("slices")
+    return dealt, sent
+
+
 def possible_hits(refs: DataFrame, filters: DataFrame) -> DataFrame:
-    """The references whose key the filter of their shard may hold. A filter is sent to the slices of its shard, a bounded number."""
-    slices = 16
-    dealt = refs.withColumn("slice", F.pmod(F.xxhash64("doc_id", "key"), F.lit(slices)).cast("int"))
-    sent = filters.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    """The references whose key the filter of their shard may hold, looked up slice by slice."""
+    dealt, sent = in_slices(refs, filters)
 
     def probe(rows: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         if rows.empty or own.empty:
@@ -258,47 +274,88 @@ def dedup_lines(docs: DataFrame, least: int = 20, min_docs: int = 3, doc_id: str
     are not counted and lose nothing. Null and empty texts are one empty line. An empty table gives an empty one.
 
     A line that all documents share is one row per document in the reference log, spread over slices of its shard, and
-    one row of the table, as counts are combined before the shuffle.
+    one row of the table, as counts are combined before the shuffle. Shards and slices follow the number of references.
     """
     refs = written(references(docs, least, doc_id, text), "line-references")
+    refs = in_shards(refs, max(SHARDS, -(-refs.count() // REFERENCES_PER_SHARD)))
     table = written(count_table(refs).where(F.col("n_docs") >= min_docs), "line-counts")
     filters = build_filters(table, min_docs)
     return strip_lines(docs, drops(refs, table, filters, min_docs), least, doc_id, text)
 
 
+class ShardTable:
+    """A table with a folder for each shard. A change writes new folders for the shards it touches; the others, and what an
+    earlier reader knows, stay as they are. The driver holds a path for each shard."""
+
+    def __init__(self, spark: SparkSession, name: str, schema: str):
+        self.spark, self.name, self.schema = spark, name, schema
+        self.at: dict[int, str] = {}
+
+    def read(self, shards: list[int] | None = None) -> DataFrame:
+        paths = [self.at[s] for s in sorted(self.at if shards is None else self.at.keys() & set(shards))]
+        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
+
+    def replace(self, rows: DataFrame, shards: list[int]) -> None:
+        """``rows`` take the place of all rows of these shards."""
+        path = scratch_path(self.spark, self.name)
+        rows.withColumn("of_shard", F.col("shard")).hint("rebalance", "of_shard").write.partitionBy("of_shard").parquet(path)
+        there = {r["shard"] for r in self.spark.read.schema(self.schema).parquet(path).select("shard").distinct().collect()}
+        self.at = {s: p for s, p in self.at.items() if s not in set(shards)} | {s: f"{path}/of_shard={s}" for s in there}
+
+
 class LineIndex:
-    """An index that grows and shrinks: reference log, exact table and filters after each load or deletion.
+    """An index that grows and shrinks: references, exact table and filters after each load or deletion.
 
-    The three are tables in the shared folder; a step writes new ones and leaves the old ones as they are.
+    Each lies in shards by key. A load or a deletion counts and rewrites the shards of its keys only; references that were
+    taken back are gone from them. ``shards`` stays what it is for an index: choose it by the references that it is to hold.
     """
 
-    def __init__(self, spark, least: int = 20, min_docs: int = 3):
-        self.least, self.min_docs = least, min_docs
-        self.log = spark.createDataFrame([], "shard int, key binary, doc_id long, sign int")
-        self.table = spark.createDataFrame([], "shard int, key binary, n_docs long, keeper long")
-        self.filters = spark.createDataFrame([], FILTERS)
+    def __init__(self, spark: SparkSession, least: int = 20, min_docs: int = 3, shards: int | None = None):
+        self.least, self.min_docs, self.shards = least, min_docs, shards or SHARDS
+        self._log = ShardTable(spark, "line-log", "shard int, key binary, doc_id long")
+        self._table = ShardTable(spark, "line-counts", "shard int, key binary, n_docs long, keeper long")
+        self._filters = ShardTable(spark, "line-filters", FILTERS)
+
+    @property
+    def table(self) -> DataFrame:
+        """The exact table."""
+        return self._table.read()
+
+    @property
+    def filters(self) -> DataFrame:
+        return self._filters.read()
 
     def insert(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> None:
         """Add documents. A key that a document has already in the index is not counted again."""
-        new = references(docs, self.least, doc_id, text)
-        self._apply(new.join(live(self.log), ["shard", "key", "doc_id"], "left_anti").withColumn("sign", F.lit(1)))
+        new = written(in_shards(references(docs, self.least, doc_id, text), self.shards), "line-references")
+        known = self._log.read(_shards_of(new))
+        self._apply(new.join(known, ["shard", "key", "doc_id"], "left_anti").withColumn("sign", F.lit(1)))
 
     def delete(self, ids: DataFrame, doc_id: str = "doc_id") -> None:
-        """Take documents back by id; ids that the index does not hold change nothing."""
-        gone = live(self.log).join(ids.select(F.col(doc_id).cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
-        self._apply(gone.select("shard", "key", "doc_id").withColumn("sign", F.lit(-1)))
+        """Take documents back by id; ids that the index does not hold change nothing. Their references are looked up in the log."""
+        ids = ids.select(F.col(doc_id).cast("long").alias("doc_id")).distinct()
+        self._apply(self._log.read().join(ids, "doc_id", "left_semi").select("shard", "key", "doc_id", F.lit(-1).alias("sign")))
 
     def _apply(self, changes: DataFrame) -> None:
-        self.log = written(self.log.unionByName(changes), "line-log")
-        now = written(count_table(live(self.log)), "line-counts")
-        was, has = (t.where(F.col("n_docs") >= self.min_docs).select("shard", "key") for t in (self.table, now))
+        changes = written(changes, "line-changes")
+        touched = _shards_of(changes)
+        was = self._table.read(touched)
+        log = self._log.read(touched).withColumn("sign", F.lit(1)).unionByName(changes)
+        self._log.replace(live(log), touched)
+        self._table.replace(count_table(self._log.read(touched)), touched)
+        now = self._table.read(touched)
+        was, has = (t.where(F.col("n_docs") >= self.min_docs).select("shard", "key") for t in (was, now))
         moved = has.join(was, ["shard", "key"], "left_anti").withColumn("sign", F.lit(1)).unionByName(
             was.join(has, ["shard", "key"], "left_anti").withColumn("sign", F.lit(-1))
         )
-        self.filters = written(change_filters(self.filters, moved, now, self.min_docs), "line-filters")
-        self.table = now
+        self._filters.replace(change_filters(self._filters.read(touched), moved, now, self.min_docs), touched)
 
     def strip(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
         """The documents without the lines that the index as it stands calls shared."""
-        refs = references(docs, self.least, doc_id, text)
+        refs = written(in_shards(references(docs, self.least, doc_id, text), self.shards), "line-references")
         return strip_lines(docs, drops(refs, self.table, self.filters, self.min_docs), self.least, doc_id, text)
+
+
+def _shards_of(rows: DataFrame) -> list[int]:
+    """The shards that occur, a number for each at most."""
+    return sorted(r["shard"] for r in rows.select("shard").distinct().collect())

@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallyhouse.llm import language_id, line_dedup, lm_scoring, mixing, packing, queries, simhash
@@ -315,6 +316,34 @@ def test_line_index_grows_past_a_tiny_first_load(spark, monkeypatch):
         assert sorted(map(tuple, index.strip(now).collect())) == sorted(map(tuple, line_dedup.dedup_lines(now).collect()))
 
 
+def test_line_index_rewrites_the_shards_of_a_document_only(spark):
+    docs = spark.createDataFrame([(i, f"{LINE}\na line that only document {i} holds") for i in range(40)], "doc_id long, text string")
+    index = line_dedup.LineIndex(spark, shards=32)
+    index.insert(docs.unionAll(spark.createDataFrame([(99, LINE)], docs.schema)))
+    before = [dict(t.at) for t in (index._log, index._table, index._filters)]
+    index.delete(spark.createDataFrame([(99,)], "doc_id long"))
+    for was, now in zip(before, (index._log, index._table, index._filters)):
+        assert len({s for s in was.keys() | now.at.keys() if was.get(s) != now.at.get(s)}) == 1
+    index.delete(spark.createDataFrame([(5,), (1000,), (None,)], "doc_id long"))
+    left = docs.where("doc_id <> 5")
+    assert sorted(map(tuple, index.strip(left).collect())) == sorted(map(tuple, line_dedup.dedup_lines(left).collect()))
+    assert index.table.count() == 40 and index._log.read().count() == 78
+
+
+def test_a_line_of_all_documents_is_looked_up_in_bounded_slices(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "REFERENCES_PER_SLICE", 50)
+    monkeypatch.setattr(line_dedup, "REFERENCES_PER_SHARD", 100)
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit(LINE + "\nown line of the document "), "id").alias("text"))
+    refs = line_dedup.in_shards(line_dedup.references(docs, 20), 80)
+    filters = line_dedup.build_filters(line_dedup.count_table(refs), 3)
+    dealt, sent = line_dedup.in_slices(refs, filters)
+    sizes = [r["count"] for r in dealt.groupBy("shard", "slice").count().collect()]
+    assert sum(sizes) == 8000 and max(sizes) <= 150 and len(sizes) <= 8000 / 50 + 80
+    assert sent.count() <= 4100 / 50 + 1 and filters.count() == 1
+    found = line_dedup.dedup_lines(docs)
+    assert found.agg(F.sum("n_dropped")).first()[0] == 3999
+
+
 # -- LM scoring
 
 
