@@ -15,7 +15,11 @@ from tallyhouse.session import written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in learned languages, one or several. The model is learned from the labelled ones that are not held out."""
+    """Documents in learned languages, one or several. The model is learned from the labelled ones that are not held out.
+
+    A null or empty text, or one without a letter, is in no language and goes. Rows are judged by their text alone, so repeated ones
+    stay or go alike. Rows without an id are not held out. An empty table gives an empty one. All columns stay, whatever their names.
+    """
     model = language_id.learn(docs.where(f"not coalesce({queries.HELD_OUT}, false)"))
     found = free_name(docs, "found")
     judged = docs.withColumn(found, language_id.predict(model)(F.col("text")))
@@ -23,7 +27,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that others repeat; ``n_chars`` follows the text."""
+    """Documents without the lines that others repeat; ``n_chars`` follows the text.
+
+    No document goes: null and empty texts stay as they are, and rows without an id lose nothing. Rows with one id count as one document.
+    A shared line stays in the document with the largest id. An empty table gives an empty one. All columns stay, whatever their names.
+    """
     kept = line_dedup.dedup_lines(docs, least=20, min_docs=3)
     if "n_chars" in docs.columns:
         changed = kept[line_dedup.added_names(docs)[1]] > 0
@@ -48,13 +56,22 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the target weights of their sources call for."""
+    """Documents as often as the target weights of their sources call for.
+
+    A null or empty text has no words and is taken at its source's rate; a source without words is not taken at all. Null is a source of
+    its own, named last. Rows alike in id are taken alike, rows without an id by their text. An empty table gives an empty one.
+    All columns stay, whatever their names.
+    """
     mixed, new = mixing.mix_sources(docs, queries.MIX_WEIGHTS, queries.MIX_SHARE, queries.MIX_CAP)
     return mixing.emit_copies(mixed, new["copies"], docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of 2048 tokens."""
+    """Pieces of documents in sequences of 2048 tokens.
+
+    A null or empty text is one piece with the closing id alone; a text longer than a window is cut into full windows and a rest. Each copy
+    of a repeated row is packed. An empty table gives no pieces. Of the documents only the id and the text are read.
+    """
     return packing.pack_documents(docs, window=2048, with_ids=False)
 
 
