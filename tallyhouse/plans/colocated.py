@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyhouse.plans import marts
 from tallyhouse.schemas import PRIMARY_KEY, WAREHOUSE
-from tallyhouse.sinks.buckets import BUCKETS, over_parts, read_bucketed, read_facts, write_bucketed, write_facts
+from tallyhouse.sinks.buckets import BUCKETS, buckets_for, over_parts, read_bucketed, read_facts, write_bucketed, write_facts
+from tallyhouse.sources.files import read_table
 
 #: mart -> fact key and dimension it is bucketed by
 MART_BUCKETS = {"customer_monthly": ("customer_id", "customers"), "wide_expense": ("account_id", "accounts")}
@@ -22,23 +25,43 @@ def _places(folder: str, key: str, dimension: str, buckets: int) -> tuple[str, s
     return tuple(f"{folder.rstrip('/')}/{table}__by_{column}_{buckets}" for table, column in (("transactions", key), (dimension, PRIMARY_KEY[dimension])))
 
 
+def _note(folder: str, key: str, buckets: int) -> str:
+    """Path of the one row that says how many buckets there are where at least ``buckets`` were asked for."""
+    return f"{folder.rstrip('/')}/buckets__by_{key}_{buckets}"
+
+
+def _noted(spark: SparkSession, folder: str, key: str, buckets: int) -> int:
+    """The number of buckets that was stored; a copy without a note has as many as were asked for."""
+    try:
+        return read_table(spark, _note(folder, key, buckets)).first()["buckets"]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return buckets
+
+
 def store_buckets(table: Tables, folder: str, mart: str, buckets: int = BUCKETS) -> None:
-    """Store the facts and the dimension that a mart shares its key with in buckets below ``folder``."""
+    """Store the facts and the dimension that a mart shares its key with below ``folder``: in ``buckets`` buckets of their key,
+    or in more if the rows ask for it (see ``buckets_for``)."""
     key, dimension = MART_BUCKETS[mart]
-    fact_path, dim_path = _places(folder, key, dimension, buckets)
-    write_facts(table("transactions"), fact_path, key, buckets)
-    write_bucketed(table(dimension), dim_path, PRIMARY_KEY[dimension], buckets)
+    facts, dim = table("transactions"), table(dimension)
+    stored = buckets_for([facts, dim], buckets)
+    fact_path, dim_path = _places(folder, key, dimension, stored)
+    write_facts(facts, fact_path, key, stored)
+    write_bucketed(dim, dim_path, PRIMARY_KEY[dimension], stored)
+    facts.sparkSession.range(1).select(F.lit(stored).alias("buckets")).coalesce(1).write.mode("overwrite").parquet(_note(folder, key, buckets))
 
 
 def build_from_buckets(
     spark: SparkSession, table: Tables, folder: str, mart: str, as_of: date, buckets: int = BUCKETS
 ) -> DataFrame:
-    """A mart from what ``store_buckets`` left, and ``table`` for the other dimensions.
+    """A mart from what ``store_buckets`` left for the same ``buckets``, and ``table`` for the other dimensions.
 
     The monthly sums of a customer and the attributes come together without a shuffle of facts, and so do the facts of an
     account and the account in the wide mart; its other large dimensions are joined after that.
     """
     key, dimension = MART_BUCKETS[mart]
+    buckets = _noted(spark, folder, key, buckets)
     fact_path, dim_path = _places(folder, key, dimension, buckets)
     facts = read_facts(spark, fact_path, key, buckets)
     dim = read_bucketed(spark, dim_path, PRIMARY_KEY[dimension], buckets)

@@ -5,6 +5,9 @@ are stored in two parts: those of frequent keys, and those without a key, lie ap
 A key is frequent if it has more rows than a bucket has on average. There are fewer such keys than buckets, so their
 dimension rows can be broadcast whatever the size of the data.
 
+A task sorts a whole bucket, so a fixed number of buckets would let a task's memory grow with the table: ``buckets_for`` lets the
+number follow the rows instead.
+
 The tables lie at paths, as the rest of the warehouse does; a session registers them in its catalog to learn of the buckets.
 They are replaced as a whole, which is worth its one shuffle for facts that are read several times.
 """
@@ -12,7 +15,7 @@ They are replaced as a whole, which is worth its one shuffle for facts that are
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +24,8 @@ from pyspark.sql import functions as F
 from tallyhouse.sources.files import read_table
 
 BUCKETS = 256
+#: A bucket of about so many rows is sorted in some hundred MB.
+ROWS_PER_BUCKET = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -33,6 +38,15 @@ class BucketedFacts:
     key: str
 
 
+def buckets_for(tables: Sequence[DataFrame], least: int = BUCKETS) -> int:
+    """Buckets for tables that share them: ``least``, doubled until none has more than ``ROWS_PER_BUCKET`` rows on average."""
+    rows = max(table.count() for table in tables)
+    buckets = least
+    while rows > buckets * ROWS_PER_BUCKET:
+        buckets *= 2
+    return buckets
+
+
 def write_bucketed(df: DataFrame, path: str, key: str, buckets: int = BUCKETS) -> None:
     """Replace the table at ``path`` by the rows in buckets of ``key``, one sorted file each: the shuffle deals by the buckets' hash."""
     name = _table_of(path)
@@ -65,7 +79,8 @@ def frequent_keys(df: DataFrame, key: str, buckets: int = BUCKETS) -> DataFrame:
 def write_facts(df: DataFrame, path: str, key: str, buckets: int = BUCKETS) -> None:
     """Store the facts by ``key`` below ``path``. ``df`` is read three times: to count its keys, and for each part."""
     spark = df.sparkSession
-    frequent_keys(df, key, buckets).coalesce(1).write.mode("overwrite").parquet(f"{path}/keys")
+    # Not coalesced: that would draw the count of all keys into one task.
+    frequent_keys(df, key, buckets).repartition(1).write.mode("overwrite").parquet(f"{path}/keys")
     keys = F.broadcast(read_table(spark, f"{path}/keys").withColumnRenamed(key, "frequent__"))
     known = df.where(F.col(key).isNotNull())
     # A null key meets no key, so the rows without one have to be asked for.

@@ -3,6 +3,7 @@
 from datetime import date
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from tallyhouse.plans import colocated, marts
@@ -93,3 +94,30 @@ def test_an_empty_table(spark, tables, tmp_path):
     colocated.store_buckets(tables.__getitem__, str(tmp_path), "customer_monthly", BUCKETS)
     got = colocated.build_from_buckets(spark, tables.__getitem__, str(tmp_path), "customer_monthly", AS_OF, BUCKETS)
     assert rows(got) == []
+
+
+def test_the_number_of_buckets_follows_the_rows(spark, tables, tmp_path, monkeypatch):
+    monkeypatch.setattr(buckets, "ROWS_PER_BUCKET", 6)
+    colocated.store_buckets(tables.__getitem__, str(tmp_path), "customer_monthly", BUCKETS)
+    assert not (tmp_path / "transactions__by_customer_id_4").exists()
+    even = spark.read.parquet(f"{tmp_path}/transactions__by_customer_id_16/even")
+    assert even.groupBy(F.input_file_name()).count().count() > BUCKETS
+    got = colocated.build_from_buckets(spark, tables.__getitem__, str(tmp_path), "customer_monthly", AS_OF, BUCKETS)
+    want = marts.customer_monthly(tables["transactions"], tables["calender"], tables["transaction_types"], tables["customers"], AS_OF)
+    assert rows(got) == rows(want)
+
+
+def test_a_copy_without_a_note_has_the_buckets_asked_for(spark, tables, tmp_path):
+    fact_path, dim_path = colocated._places(str(tmp_path), "customer_id", "customers", BUCKETS)
+    buckets.write_facts(tables["transactions"], fact_path, "customer_id", BUCKETS)
+    buckets.write_bucketed(tables["customers"], dim_path, "customer_id", BUCKETS)
+    got = colocated.build_from_buckets(spark, tables.__getitem__, str(tmp_path), "customer_monthly", AS_OF, BUCKETS)
+    want = marts.customer_monthly(tables["transactions"], tables["calender"], tables["transaction_types"], tables["customers"], AS_OF)
+    assert rows(got) == rows(want)
+
+
+def test_the_count_of_all_keys_is_not_drawn_into_one_task(spark, tmp_path, monkeypatch):
+    task = F.udf(lambda _: str(TaskContext.get().taskAttemptId()), "string")
+    monkeypatch.setattr(buckets, "frequent_keys", lambda df, key, n: spark.range(0, 8, 1, 8).select(task("id").alias(key)))
+    buckets.write_facts(spark.createDataFrame([("a",)], "k string"), f"{tmp_path}/facts", "k", BUCKETS)
+    assert spark.read.parquet(f"{tmp_path}/facts/keys").distinct().count() == 8
