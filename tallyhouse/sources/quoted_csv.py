@@ -2,8 +2,9 @@
 
 A split may begin inside a quoted field, and its lines alone do not tell. A first pass counts the quotes of each split:
 the number before a split, modulo two, says whether it begins inside quotes. With that, a second pass puts the
-lines of each split together to records; the two pieces at most of a split that belong to a record of other splits
-are joined by their file and order. So a file is read by as many tasks as it has splits, and lines are never shuffled.
+lines of each split together to records. A third looks only at splits that begin or end inside quotes, for the two pieces at
+most of each that belong to a record of other splits; they are joined by their file and order. So a file is read by as many
+tasks as it has splits, and lines are never shuffled. Lines are put together by columns of a batch, without a loop over them.
 
 Every quote opens or closes, as in a database's bulk load of CSV: a quote within an unquoted field counts too.
 """
@@ -11,6 +12,7 @@ Every quote opens or closes, as in a database's bulk load of CSV: a quote within
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,8 @@ from tallyhouse.sources.files import CORRUPT, UNQUOTED_EMPTY
 
 #: A record with more characters than this is an error: most likely a quote that nothing closes.
 MAX_RECORD = 64 << 20
-PIECES = "file string, start long, ends_here boolean, begins_here boolean, header boolean, record string"
+WHOLE = "split long, header boolean, record string"
+PIECES = "split long, ends_here boolean, begins_here boolean, header boolean, record string"
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
@@ -33,102 +36,139 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _splits(lines: DataFrame) -> DataFrame:
-    """One row for each split: whether it begins inside quotes. The window runs over the splits of one file."""
+    """One row for each split: its number, and whether it begins and ends inside quotes. The windows run over splits, not lines."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     counted = lines.groupBy("file", "start").agg(F.sum(quotes).alias("quotes"))
-    before = F.sum("quotes").over(Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
-    return counted.select(F.col("file").alias("of_file"), F.col("start").alias("of_start"), (F.coalesce(before, F.lit(0)) % 2 == 1).alias("inside"))
+    up_to = F.sum("quotes").over(Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, 0))
+    number = F.row_number().over(Window.orderBy("file", "start")).cast("long")
+    return counted.select(
+        F.col("file").alias("of_file"),
+        F.col("start").alias("of_start"),
+        number.alias("split"),
+        ((up_to - F.col("quotes")) % 2 == 1).alias("inside"),
+        (up_to % 2 == 1).alias("after"),
+    )
 
 
 def _runs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose lines are of one split."""
-    start, file = batch.column(1).to_numpy(), batch.column(0).dictionary_encode()
-    codes = file.indices.to_numpy()
-    cuts = np.flatnonzero((np.diff(start) != 0) | (np.diff(codes) != 0)) + 1
-    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(batch)]):
+    cuts = (np.flatnonzero(np.diff(batch.column(0).to_numpy())) + 1).tolist()
+    for a, b in zip([0, *cuts], [*cuts, len(batch)]):
         yield batch.slice(a, b - a)
 
 
-def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Whole records (``ends_here`` and ``begins_here``), and the pieces at a split's ends. The first record that begins in the
+def _joined(lines: list[pa.Array]) -> str:
+    return "\n".join(line for part in lines for line in part.to_pylist())
+
+
+def _records(batches: Iterator[pa.RecordBatch], path: str, pieces: bool) -> Iterator[pa.RecordBatch]:
+    """Records that lie in one split, or with ``pieces`` those at a split's ends that do not. The first record that begins in the
     first split of a file is its header.
 
-    Lines outside quotes are handed on as they are, without a loop.
+    ``open_lines`` is what the batch before left of a record; ``began`` says whether that record began in this split.
     """
-    at: tuple | None = None
-    open_lines: list[str] = []
-    inside = began = head = False
-    size = 0
-
-    def piece(file, start, ends, begins, lines):
-        return pa.record_batch({"file": [file], "start": pa.array([start], pa.int64()), "ends_here": [ends], "begins_here": [begins], "header": [head and begins], "record": ["\n".join(lines)]})
+    at: int | None = None
+    open_lines: list[pa.Array] = []
+    inside = began = head = first = False
+    size = byte = 0
+
+    def whole(texts):
+        nonlocal head
+        heads = np.arange(len(texts)) < head
+        head = False
+        return pa.record_batch({"split": pa.array(np.full(len(texts), at, np.int64)), "header": heads, "record": texts})
+
+    def piece(ends):
+        return pa.record_batch({"split": pa.array([at], pa.int64()), "ends_here": [ends], "begins_here": [began], "header": [first and began], "record": [_joined(open_lines)]})
+
+    def too_long():
+        return ValueError(f"{path}: the record at or before byte {byte} of the file of split {at} has a quote that is not closed within {MAX_RECORD} characters")
+
+    def carry(lines):
+        nonlocal size
+        open_lines.append(lines)
+        size += pc.sum(pc.utf8_length(lines)).as_py() + len(lines)
+        if size > MAX_RECORD:
+            raise too_long()
 
     for batch in batches:
         for part in _runs(batch) if len(batch) else ():
-            split = (part.column(0)[0].as_py(), part.column(1)[0].as_py())
+            split = part.column(0)[0].as_py()
             if split != at:
-                if open_lines:
-                    yield piece(*at, False, began, open_lines)
-                at, open_lines, size = split, [], 0
-                inside, began, head = part.column(3)[0].as_py(), False, split[1] == 0
-            values = part.column(2)
+                if open_lines and pieces:
+                    yield piece(False)
+                at, byte, open_lines, size = split, part.column(1)[0].as_py(), [], 0
+                inside, began, head = part.column(3)[0].as_py(), False, byte == 0
+            values = part.column(2).cast(pa.string())
             odd = pc.count_substring(values, '"').to_numpy(zero_copy_only=False) % 2 == 1
             after = np.logical_xor(np.logical_xor.accumulate(odd), inside)
-            before = np.concatenate([[inside], after[:-1]])
-            alone = ~before & ~after
-            # Whole records in their order: single lines, and those put together here.
-            done: list[tuple[int, str]] = []
-            for i in np.flatnonzero(~alone).tolist():
-                if not before[i]:
-                    began, open_lines, size = True, [], 0
-                line = values[i].as_py()
-                open_lines.append(line)
-                size += len(line) + 1
-                if size > MAX_RECORD:
-                    raise ValueError(f"{at[0]}: the record at or before byte {at[1]} has a quote that is not closed within {MAX_RECORD} characters")
-                if not after[i]:
-                    if began:
-                        done.append((i, "\n".join(open_lines)))
-                    else:
-                        yield piece(*at, True, False, open_lines)
-                    open_lines, size, began = [], 0, False
+            starts = np.flatnonzero(~np.concatenate([[inside], after[:-1]]))
             inside = bool(after[-1])
-            whole = np.flatnonzero(alone)
-            places = np.concatenate([whole, np.array([i for i, _ in done], np.int64)])
-            order = np.argsort(places, kind="stable")
-            texts = pa.concat_arrays([values.take(pa.array(whole)).cast(pa.string()), pa.array([t for _, t in done], pa.string())]).take(pa.array(order))
-            if len(texts):
-                yes = np.ones(len(texts), bool)
-                heads = np.arange(len(texts)) < head
+            to = int(starts[0]) if len(starts) else len(values)
+            if to:
+                carry(values.slice(0, to))
+                if len(starts) or not inside:
+                    if began and not pieces:
+                        yield whole(pa.array([_joined(open_lines)], pa.string()))
+                    elif pieces and not began:
+                        yield piece(True)
+                    head = head and not began
+                    open_lines, size, began = [], 0, False
+            if not len(starts):
+                continue
+            ends = np.append(starts, len(values))
+            if inside:
+                ends = ends[:-1]
+            if len(ends) > 1:
+                lines = values.slice(to, int(ends[-1]) - to)
+                if not pieces:
+                    alone = len(lines) == len(ends) - 1
+                    texts = lines if alone else pc.binary_join(pa.ListArray.from_arrays(pa.array(ends - to, pa.int32()), lines), "\n")
+                    if not alone and texts.nbytes >= MAX_RECORD and (np.where(np.diff(ends) > 1, pc.utf8_length(texts).to_numpy(), 0) >= MAX_RECORD).any():
+                        raise too_long()
+                    yield whole(texts)
                 head = False
-                yield pa.record_batch({"file": pa.array([at[0]] * len(texts)), "start": pa.array(np.full(len(texts), at[1])), "ends_here": yes, "begins_here": yes, "header": heads, "record": texts})
-    if open_lines:
-        yield piece(*at, False, began, open_lines)
+            if inside:
+                began, first = True, head
+                carry(values.slice(int(starts[-1])))
+    if open_lines and pieces:
+        yield piece(False)
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """``file``, ``header`` (whether it is a file's first) and ``record`` for each record of the CSV files at ``path``, without
-    its line break.
-
-    The splits and what is joined across them are bounded by the number of splits, which the driver plans anyway, so
-    the former may be broadcast. Both passes have to cut the files alike; if the session's cores change in between, the
-    read fails. A file that ends inside quotes gives its last record as far as it goes.
-    """
+def _whole_and_joined(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The splits, the records that lie in one of them (``split``, ``header``, ``record``) and those that do not (``file`` in place of ``split``)."""
     lines = _lines(spark, path)
     splits = _splits(lines)
     known = lines.join(F.broadcast(splits), (F.col("file") == F.col("of_file")) & (F.col("start") == F.col("of_start")), "left")
     inside = F.when(F.col("inside").isNull(), F.raise_error(F.lit("the files were split in another way by the second pass"))).otherwise(F.col("inside"))
-    found = known.select("file", "start", "value", inside.alias("inside")).mapInArrow(_records, PIECES)
-    whole = F.col("ends_here") & F.col("begins_here")
+    known = known.select("split", "start", "value", inside.alias("inside"), "after")
+    whole = known.drop("after").mapInArrow(partial(_records, path=path, pieces=False), WHOLE)
+    has_pieces = F.col("inside") | F.col("after")
+    found = known.where(has_pieces).drop("after").mapInArrow(partial(_records, path=path, pieces=True), PIECES)
+    places = splits.where(has_pieces).select("split", F.col("of_file").alias("file"), F.col("of_start").alias("start"))
+    found = found.join(F.broadcast(places), "split")
     # A split's piece that ends a record comes before the one that begins another; one that does neither is all the split.
     in_order = Window.partitionBy("file").orderBy("start", F.desc("ends_here"))
-    pieces = found.where(~whole).withColumn("number", F.sum(F.col("begins_here").cast("int")).over(in_order))
+    pieces = found.withColumn("number", F.sum(F.col("begins_here").cast("int")).over(in_order))
     ordered = F.array_sort(F.collect_list(F.struct("start", (~F.col("ends_here")).alias("later"), "record")))
     joined = pieces.groupBy("file", "number").agg(ordered.alias("parts"), F.bool_or("header").alias("header"), F.sum(F.length("record")).alias("size"))
     too_long = F.raise_error(F.concat("file", F.lit(f": a quote is not closed within {MAX_RECORD} characters")))
     text = F.array_join(F.transform("parts", lambda p: p["record"]), "\n")
     joined = joined.select("file", "header", F.when(F.col("size") > MAX_RECORD, too_long).otherwise(text).alias("record"))
-    return found.where(whole).select("file", "header", "record").unionByName(joined)
+    return splits, whole, joined
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """``file``, ``header`` (whether it is a file's first) and ``record`` for each record of the CSV files at ``path``, without
+    its line break.
+
+    The splits and what is joined across them are bounded by the number of splits, which the driver plans anyway, so
+    the former may be broadcast. All passes have to cut the files alike; if the session's cores change in between, the
+    read fails. A file that ends inside quotes gives its last record as far as it goes.
+    """
+    splits, whole, joined = _whole_and_joined(spark, path)
+    named = whole.join(F.broadcast(splits.select("split", F.col("of_file").alias("file"))), "split")
+    return named.select("file", "header", "record").unionByName(joined)
 
 
 def read_quoted_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -143,7 +183,9 @@ def read_quoted_csv(spark: SparkSession, path: str, schema: T.StructType) -> Dat
         "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "dateFormat": "yyyy-MM-dd", "nullValue": UNQUOTED_EMPTY,
         "emptyValue": "", "escape": '"', "multiLine": "true",
     }
-    text = F.regexp_replace("record", r"\r$", "")
-    body = read_records(spark, path).where(~F.col("header")).select(text.alias("record")).where(F.trim("record") != "")
+    text = F.when(F.contains("record", F.lit("\r")), F.regexp_replace("record", r"\r$", "")).otherwise(F.col("record"))
+    _, whole, joined = _whole_and_joined(spark, path)
+    records = whole.select("header", "record").unionByName(joined.select("header", "record"))
+    body = records.where(~F.col("header")).select(text.alias("record")).where(F.trim("record") != "")
     layout = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     return body.select(F.from_csv("record", layout, options).alias("row")).select("row.*")

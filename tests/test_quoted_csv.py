@@ -4,6 +4,8 @@ import csv
 import io
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,3 +86,38 @@ def test_a_quote_that_nothing_closes_is_an_error(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,text,day,last\n1,\"" + ("x" * 1000 + "\n") * 70_000)
     with pytest.raises(Exception, match="not closed within"):
         q.read_quoted_csv(spark, str(tmp_path), SCHEMA).agg(F.max("id"), F.max(CORRUPT)).collect()
+
+
+def test_lines_are_put_together_without_a_loop_and_only_open_splits_are_read_for_pieces(spark, setting, tmp_path, monkeypatch):
+    """Lines handed to Python one by one took most of the time of a file of many short quoted lines."""
+    lines = pa.array(['1,"a', "b", 'c"', "2,d"] * 1000)
+    n = len(lines)
+    batch = pa.record_batch({"split": np.zeros(n, np.int64), "start": np.zeros(n, np.int64), "value": lines, "inside": np.zeros(n, bool)})
+    calls = []
+    monkeypatch.setattr(q, "_joined", lambda parts: calls.append(parts) or "")
+    records = pa.Table.from_batches(q._records(iter([batch]), "p", pieces=False))
+    assert records["record"].to_pylist() == ['1,"a\nb\nc"', "2,d"] * 1000 and not calls
+    assert records["header"].to_pylist() == [True] + [False] * 1999
+    assert not list(q._records(iter([batch]), "p", pieces=True)) and not calls
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 50])
+def test_batches_may_end_anywhere(size):
+    """Three splits of one file in batches of any size: whole records and pieces make up all records."""
+    text = 'h,"x\ny"\n1,a\n2,"b\n\n""c""\nd"\n3,"e\nf\ng\nh"\n4,"i"\n5,"j\nk"'
+    lines = text.split("\n")
+    splits = np.array([0] * 5 + [1] * 3 + [2] * (len(lines) - 8))
+    odd = np.cumsum([line.count('"') for line in lines]) % 2 == 1
+    inside = {0: False, 1: bool(odd[4]), 2: bool(odd[7])}
+    whole = pa.record_batch({"split": splits, "start": splits * 10, "value": pa.array(lines), "inside": pa.array([inside[s] for s in splits])})
+    batches = [whole.slice(i, size) for i in range(0, len(lines), size)]
+    records = [r for b in q._records(iter(batches), "p", pieces=False) for r in b.to_pylist()]
+    pieces = [r for b in q._records(iter(batches), "p", pieces=True) for r in b.to_pylist()]
+    joined, open_record = [], None
+    for p in sorted(pieces, key=lambda p: (p["split"], not p["ends_here"])):
+        open_record = p["record"] if p["begins_here"] else open_record + "\n" + p["record"]
+        if p["ends_here"]:
+            joined.append(open_record)
+    expected = ['h,"x\ny"', "1,a", '2,"b\n\n""c""\nd"', '3,"e\nf\ng\nh"', '4,"i"', '5,"j\nk"']
+    assert sorted([r["record"] for r in records] + joined) == sorted(expected) and joined
+    assert [r["record"] for r in records if r["header"]] == ['h,"x\ny"'] and not any(p["header"] for p in pieces)
