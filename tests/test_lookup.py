@@ -102,3 +102,33 @@ def test_building_a_plan_runs_no_job(spark):
         assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("build")) == []
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_the_widest_dimension_comes_last_and_keys_are_not_carried_twice(spark, setting):
+    """What one join attaches is shuffled by every later one."""
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    fact = spark.range(100).select(*[F.col("id").cast("string").alias(k) for k in ("a", "b")])
+    outer = spark.range(50).select(F.col("id").cast("string").alias("ok"), *[F.lit(i).alias(f"o{i}") for i in range(4)])
+    few = spark.range(0, 100, 2).select(F.col("id").cast("string").alias("bk"), F.col("id").alias("v"), F.lit(1).alias("w"))
+    wide = spark.range(0, 100, 3).select(F.col("id").cast("string").alias("ak"), (F.col("id") % 60).cast("string").alias("to"))
+    attached = Lookup(outer, "a_to", "ok", {c: c for c in outer.columns})
+    joined = star_join(fact, [Lookup(wide, "a", "ak", {"ak": "a_ak", "to": "a_to"}, attached=[attached], large=True), Lookup(few, "b", "bk", {"bk": "b_bk", "v": "v", "w": "w"}, large=True)])
+    plan = plan_of(joined)
+    assert plan.index("SortMergeJoin [a#") < plan.index("SortMergeJoin [b#")
+    assert not [line for line in plan.splitlines() if "AS b_bk" in line and "CASE" not in line and "_matched" not in line]
+    assert joined.columns == ["a", "b", "a_ak", "a_to", *outer.columns, "b_bk", "v", "w"]
+    expected = []
+    for i in range(100):
+        to = str(i % 60) if i % 3 == 0 else None
+        inner = (to, 0, 1, 2, 3) if to and int(to) < 50 else (None,) * 5
+        expected.append((str(i), str(i), str(i) if to else None, to, *inner, *((str(i), i, 1) if i % 2 == 0 else (None, None, None))))
+    assert rows(joined) == sorted(expected, key=repr)
+
+
+def test_a_key_of_another_type_is_the_dimensions_own(spark, setting):
+    fact = spark.sql("SELECT * FROM VALUES ('01'), ('2'), (null) AS t(k)")
+    dim = spark.sql("SELECT * FROM VALUES (1L), (3L) AS t(dk)")
+    assert rows(star_join(fact, [Lookup(dim, "k", "dk", {"dk": "dk"}, large=True)])) == sorted([("01", 1), ("2", None), (None, None)], key=repr)
+    attached = Lookup(spark.sql("SELECT 3L AS ok, 7 AS v"), "dk", "ok", {"v": "v"})
+    numbers = spark.sql("SELECT * FROM VALUES (1L), (3L), (4L) AS t(k)")
+    assert rows(star_join(numbers, [Lookup(dim, "k", "dk", {"dk": "dk"}, attached=[attached], large=True)])) == sorted([(1, 1, None), (3, 3, 7), (4, None, None)], key=repr)
