@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.plans import colocated, marts
 from tallyhouse.sinks import buckets
+from tallyhouse.sources.files import read_table
 from tallyhouse.stand_in import queries
 from tests import bank
 from tests.conftest import plan_of, rows
@@ -121,3 +122,13 @@ def test_the_count_of_all_keys_is_not_drawn_into_one_task(spark, tmp_path, monke
     monkeypatch.setattr(buckets, "frequent_keys", lambda df, key, n: spark.range(0, 8, 1, 8).select(task("id").alias(key)))
     buckets.write_facts(spark.createDataFrame([("a",)], "k string"), f"{tmp_path}/facts", "k", BUCKETS)
     assert spark.read.parquet(f"{tmp_path}/facts/keys").distinct().count() == 8
+
+
+def test_the_wide_mart_from_more_buckets_than_were_asked_for(spark, tables, tmp_path, monkeypatch):
+    monkeypatch.setattr(buckets, "ROWS_PER_BUCKET", 300)
+    asked = []
+    store = colocated.store_buckets
+    monkeypatch.setattr(colocated, "store_buckets", lambda table, folder, mart, **options: asked.append(folder) or store(table, folder, mart, **options))
+    got = queries.bucketed_star(spark, "/root/testdata/sf0.001")
+    assert rows(got) == rows(queries.wide_expense_transactions(spark, "/root/testdata/sf0.001"))
+    assert rows(read_table(spark, f"{asked[0]}/buckets__by_account_id_16")) == [(32,)]
