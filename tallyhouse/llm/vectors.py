@@ -21,6 +21,32 @@ def usable_rows(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     return rows.select("vec_id", F.transform("v", lambda x: x + 0.0).alias("v")).distinct()
 
 
+def packed(column: pa.Array) -> tuple[np.ndarray, list[bytes]]:
+    """Positions of the usable vectors (see ``usable_rows``) of a column of lists of one length, and the bytes of each.
+
+    A vector is as many bytes in single precision where that loses nothing, else in double, and equal vectors are the same bytes.
+    """
+    values = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    if values.dtype != np.float32:
+        values = values.astype(np.float64)
+    values = values + values.dtype.type(0)  # a negative zero is a zero
+    usable = np.flatnonzero(np.isfinite(values).all(1) & (values != 0).any(1))
+    values = values[usable]
+    with np.errstate(over="ignore"):
+        single = values.astype(np.float32)
+    exact = (single == values).all(1)
+    return usable, [(s if e else v).tobytes() for s, v, e in zip(single, values, exact)]
+
+
+def unpacked(vectors: list[bytes], size: int) -> np.ndarray:
+    """What ``packed`` made from vectors of one length, as a matrix."""
+    out = np.empty((len(vectors), size))
+    for kind in (np.float32, np.float64):
+        own = [i for i, v in enumerate(vectors) if len(v) == size * np.dtype(kind).itemsize]
+        out[own] = np.frombuffer(b"".join([vectors[i] for i in own]), kind).reshape(-1, size)
+    return out
+
+
 def lengths(rows: DataFrame) -> list[int]:
     """The lengths of the vectors ``v``."""
     return sorted(r[0] for r in rows.select(F.size("v")).distinct().collect())

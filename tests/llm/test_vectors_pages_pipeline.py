@@ -7,11 +7,14 @@ import math
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallyhouse.llm import ann, cover_tree, mixing, queries, url_filter, warc
+from tallyhouse.llm import ann, cover_tree, mixing, queries, url_filter, vectors, warc
+from tallyhouse.session import written
+from tests.conftest import plan_of
 from tests.llm.edge import ROWS, documents
 from tests.llm.test_text_operators import components, lower, plain_lines
 
@@ -125,6 +128,43 @@ def test_cover_tree_covers_and_nests():
         assert all(tree.radius[c] <= tree.radius[node] / 2 + 1e-3 for c in children)
 
 
+def test_chunks_are_not_sent_to_each_other(spark, monkeypatch):
+    """Vectors without structure, of which no two chunks can be told apart: what is compared in pairs is not shuffled, and what is written follows the vectors."""
+    monkeypatch.setattr(cover_tree, "CHUNK", 20)
+    monkeypatch.setattr(cover_tree, "PAGE", 20_000, raising=False)
+    plans, files, n = {}, [], 800
+
+    def watched(df, purpose):
+        plans[purpose] = plan_of(df)
+        out = written(df, purpose)
+        files.extend(Path(x.removeprefix("file:")) for x in out.inputFiles())
+        return out
+
+    monkeypatch.setattr(cover_tree, "written", watched)
+    rng = np.random.default_rng(6)
+    whole = rng.normal(size=(n, 64)).astype(np.float32).astype(np.float64)
+    whole[n // 2 :: 8] = whole[: n // 2 : 8] + rng.normal(size=whole[: n // 2 : 8].shape) / 10  # near copies, which single precision does not hold
+    whole[1], whole[3, 5] = whole[0], 0
+    rows = [(i, v.tolist()) for i, v in enumerate(whole)] + [(n, [-0.0 if x == 0 else x for x in whole[3].tolist()])] * 2
+    whole = np.vstack([whole, whole[3]])
+    whole /= np.linalg.norm(whole, axis=1, keepdims=True)
+    near = whole @ whole.T >= 0.9
+    of = components(range(n + 1), [(int(i), int(j)) for i, j in zip(*np.nonzero(np.triu(near, 1)))])
+    found = cover_tree.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found) == [(i, int(near[i].sum()) - 1, of[i]) for i in range(n + 1)]
+    assert "Exchange" not in plans["links"]
+    assert sum(x.stat().st_size for x in files) < 3 * whole.nbytes
+
+
+def test_packed_vectors_are_whole():
+    rows = [[0.5, -0.0, 3.0], [0.1, 2.0, 1e300], [0.0, 0.0, 0.0], [None, 1.0, 1.0], [float("inf"), 1.0, 1.0], [0.5, 0.0, 3.0], [1e-320, 0.0, 0.0]]
+    for kind, whole in ((pa.float64(), [0, 1, 5, 6]), (pa.float32(), [0, 5])):
+        usable, data = vectors.packed(pa.array(rows, pa.list_(kind)))
+        assert usable.tolist() == whole
+        assert data[0] == data[whole.index(5)] and len(data[0]) == 12
+        assert vectors.unpacked(data, 3).tolist() == [rows[i] for i in whole]
+
+
 def test_two_lengths_in_one_table(spark):
     rows = [(i, [1.0, float(i % 2)], 0) for i in range(4)] + [(10 + i, [1.0, 0.5, float(i % 3)], 0) for i in range(6)]
     df = vector_frame(spark, rows)
